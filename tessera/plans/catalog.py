@@ -36,4 +36,4 @@ def register(name: str, sql: str | None = None, spec: str | None = None):
 
 
 # Importing the modules fills the registry.
-from . import q_monitoring  # noqa: E402,F401
+from . import q_monitoring, q_text  # noqa: E402,F401

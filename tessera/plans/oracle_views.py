@@ -73,3 +73,27 @@ V_LOGITS = """logits AS (
 
 def with_views(*views: str) -> str:
     return "WITH " + ",\n".join(views) + "\n"
+
+
+def sql_clean_text(expr: str) -> str:
+    """The native cleaning steps (F2-F6) as DuckDB SQL, same patterns."""
+    from ..functions.text import KEEP_RE, SPACE_RE, TAG_RE, URL_RE
+
+    def q(p: str) -> str:
+        return p.replace("'", "''")
+    e = f"lower(coalesce({expr}, 'None'))"
+    e = f"regexp_replace({e}, '{q(TAG_RE)}', '', 'g')"
+    e = f"regexp_replace({e}, '{q(URL_RE)}', ' ', 'g')"
+    e = f"regexp_replace({e}, '{q(KEEP_RE)}', ' ', 'g')"
+    e = f"regexp_replace({e}, '{q(SPACE_RE)}', ' ', 'g')"
+    return f"trim({e}, ' ')"
+
+
+def sql_blank(expr: str) -> str:
+    from ..functions.text import WS
+    return f"coalesce(regexp_matches({expr}, '^[{WS}]*$'), FALSE)"
+
+
+def sql_md5_order(key: str, seed: int, salt: str | None = None) -> str:
+    s = f"'{seed}:' || " + (f"'{salt}:' || " if salt else "")
+    return f"md5({s}CAST({key} AS VARCHAR))"
