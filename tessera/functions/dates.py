@@ -53,7 +53,7 @@ def duration_seconds(start: str | Column, end: str | Column) -> Column:
     """``max(0, round(end - start))`` in whole seconds (rounded, not truncated)."""
     s = F.col(start) if isinstance(start, str) else start
     e = F.col(end) if isinstance(end, str) else end
-    micros = F.timestampdiff("MICROSECOND", s, e)
+    micros = F.unix_micros(e.cast("timestamp")) - F.unix_micros(s.cast("timestamp"))
     return F.greatest(F.lit(0), F.round(micros / F.lit(1e6)).cast("bigint"))
 
 

@@ -113,6 +113,12 @@ def model_versions(t: Tables, cfg: Config = DEFAULT) -> DataFrame:
         F.lit(True).alias("has_metrics"),
         F.col("metrics")["f1_macro"].alias("f1_macro"),
         F.col("metrics")["accuracy"].alias("accuracy"),
+        # Registry tags as text; every fifth run registered without tags so
+        # the lookup falls back to the run's metrics.
+        F.when(F.col("position") % 5 == 0, F.create_map().cast("map<string,string>"))
+         .otherwise(F.create_map(F.lit("f1_macro"), F.col("metrics")["f1_macro"].cast("string"),
+                                 F.lit("accuracy"), F.col("metrics")["accuracy"].cast("string")))
+         .alias("tags"),
     )
 
 
