@@ -123,11 +123,15 @@ def tokens(col: str | Column, pattern: str = TOKEN_RE) -> Column:
 
 
 def ngrams(tok: str | Column, n_max: int = 2) -> Column:
-    """unigrams followed by adjacent pairs joined by a space."""
+    """unigrams followed by adjacent pairs joined by a space.
+
+    ``tok`` should be a column reference: the lambda looks elements up in it,
+    and an expression there would be re-evaluated per element.
+    """
     t = _c(tok)
     out = t
     for n in range(2, n_max + 1):
-        k = F.greatest(F.size(t) - (n - 1), F.lit(0))
+        k = F.size(t) - (n - 1)
         grams = F.transform(
             F.sequence(F.lit(1), F.greatest(k, F.lit(1))),
             lambda i: F.concat_ws(" ", *[F.element_at(t, i + j) for j in range(n)]))
