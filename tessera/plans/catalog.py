@@ -36,4 +36,4 @@ def register(name: str, sql: str | None = None, spec: str | None = None):
 
 
 # Importing the modules fills the registry.
-from . import q_drift, q_eval, q_features, q_ledgers, q_model, q_monitoring, q_text  # noqa: E402,F401
+from . import q_drift, q_eval, q_features, q_ledgers, q_model, q_monitoring, q_stream, q_text  # noqa: E402,F401
