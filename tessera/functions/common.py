@@ -30,3 +30,21 @@ def det_id(*parts: Column | str) -> Column:
     """
     cols = [F.col(p) if isinstance(p, str) else p for p in parts]
     return F.sha2(F.concat_ws(":", *[c.cast("string") for c in cols]), 256)
+
+
+def spread(df, key: str | None = None, per_core: int = 2):
+    """Balance CPU-heavy row work (text cleaning, n-grams) across cores.
+
+    A scan has one task per file split; a single large row group is one task.
+    When the frame has fewer partitions than the cluster's default
+    parallelism, rows are hash-partitioned by ``key`` (deterministic under
+    retry) before the heavy projection; otherwise this is a no-op, so on a
+    large cluster reading many files nothing is shuffled.
+    """
+    if df.isStreaming:
+        return df
+    sc = df.sparkSession.sparkContext
+    target = sc.defaultParallelism * per_core
+    if df.rdd.getNumPartitions() >= sc.defaultParallelism:
+        return df
+    return df.repartition(target, key) if key else df.repartition(target)

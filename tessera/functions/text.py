@@ -45,6 +45,10 @@ TAG_RE = "<[^>]+>"
 URL_RE = f"https?://{NOT_WS}+|www\\.{NOT_WS}+"
 KEEP_RE = f"[^a-z0-9{WS}.,!?;:'\"()\\-]"
 SPACE_RE = f"[{WS}]+"
+# Whitelist and collapse in one pass: a maximal run of characters that are
+# whitespace or outside the whitelist becomes one space (same result as the
+# two steps, since a replaced character joins the whitespace run around it).
+KEEP_OR_SPACE_RE = "[^a-z0-9.,!?;:'\"()\\-]+"
 # Word tokens of the vectoriser on cleaned text: two or more of [a-z0-9]
 # (the public default ``\b\w\w+\b`` restricted to the cleaned alphabet).
 TOKEN_RE = "[a-z0-9]{2,}"
@@ -76,8 +80,7 @@ def clean_native(col: str | Column) -> Column:
     c = F.lower(_c(col))
     c = F.regexp_replace(c, TAG_RE, "")
     c = F.regexp_replace(c, URL_RE, " ")
-    c = F.regexp_replace(c, KEEP_RE, " ")
-    c = F.regexp_replace(c, SPACE_RE, " ")
+    c = F.regexp_replace(c, KEEP_OR_SPACE_RE, " ")
     return F.trim(c)
 
 

@@ -17,17 +17,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
+from ..functions.common import spread
 from ..functions.text import clean_text, ngrams, tokens
 
 
 def with_grams(df: DataFrame, text_col: str, out: str = "grams", n_max: int = 2,
-               cleaned: bool = False) -> DataFrame:
+               cleaned: bool = False, key: str | None = None) -> DataFrame:
     """Clean ``text_col`` (unless ``cleaned``) and add its n-grams as ``out``.
 
     Each intermediate (cleaned text, tokens) is projected as a column first:
     a lambda referencing an expression re-evaluates it per element, and the
     entity-unescape UDF may not sit inside a lambda at all.
     """
+    df = spread(df, key if key in df.columns else None)
     c = df if cleaned else df.withColumn("_clean", clean_text(text_col))
     src = text_col if cleaned else "_clean"
     c = c.withColumn("_tok", tokens(src))

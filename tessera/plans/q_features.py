@@ -22,7 +22,7 @@ dt AS (SELECT {key}, term, count(*) AS tf FROM gr GROUP BY ALL)"""
 
 
 def doc_terms_df(t):
-    d = FE.with_grams(t.documents.select("doc_id", "text"), "text", "grams", CFG.ngram_max)
+    d = FE.with_grams(t.documents.select("doc_id", "text"), "text", "grams", CFG.ngram_max, key="doc_id")
     return FE.doc_terms(d, "doc_id", "grams")
 
 
@@ -67,7 +67,7 @@ SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight F
 def tfidf_weights(t):
     """K1: TF-IDF weights of the test split, vocabulary and idf fitted on train."""
     s = S.stratified_split(V.reviews(t), "doc_id", "label", CFG)
-    g = FE.with_grams(s.select("doc_id", "split", "text"), "text", "grams", CFG.ngram_max)
+    g = FE.with_grams(s.select("doc_id", "split", "text"), "text", "grams", CFG.ngram_max, key="doc_id")
     train = g.where(F.col("split") == "train")
     idf, _ = FE.fit_vocabulary(train, "doc_id", "grams", CFG)
     test_terms = FE.doc_terms(g.where(F.col("split") == "test"), "doc_id", "grams")

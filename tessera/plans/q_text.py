@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT
+from ..functions.common import spread
 from ..functions import text as X
 from ..operators import sample as S
 from ..operators import validate as VA
@@ -25,7 +26,7 @@ FROM documents""", "doc_id:int text_clean:str n_clean:int text_hash:str n_chars:
 def clean_documents(t):
     """clean_text over every document, with raw hash and length."""
     c = X.clean_text("text")
-    return t.documents.select("doc_id", c.alias("text_clean"),
+    return spread(t.documents, "doc_id").select("doc_id", c.alias("text_clean"),
                               F.char_length(c).alias("n_clean"),
                               X.sha256_hex("text").alias("text_hash"),
                               X.char_length("text").alias("n_chars"))
