@@ -87,8 +87,13 @@ def latency_spike_alerts(predictions: DataFrame, factor: float = 2.0) -> DataFra
     from pyspark.sql import Window
     d = (predictions.groupBy(F.to_date("created_at").alias("day"))
          .agg(F.percentile("latency_ms", 0.95).alias("p95")))
+    # One row per day: a 7-row frame, its median from the sorted values.
     w = Window.orderBy("day").rowsBetween(-7, -1)
-    d = d.withColumn("base", F.median("p95").over(w))
+    d = d.withColumn("_prev", F.array_sort(F.collect_list("p95").over(w)))
+    n = F.size("_prev")
+    mid = F.element_at("_prev", F.floor((n - 1) / 2).cast("int") + 1)
+    mid2 = F.element_at("_prev", F.floor(n / 2).cast("int") + 1)
+    d = d.withColumn("base", F.when(n > 0, (mid + mid2) / 2))
     return (d.where(F.col("p95") > F.lit(factor) * F.col("base"))
             .select(det_id(F.lit("latency"), F.col("day")).alias("id"),
                     F.lit("latency_spike").alias("alert_type"), F.lit("warning").alias("severity"),

@@ -173,3 +173,13 @@ GROUP BY experiment""", "experiment:str winner_run_id:str winner_f1:dbl n_candid
 def best_candidate(t):
     """Best run per experiment by F1; the first listed wins ties."""
     return RG.best_candidate(V.runs(t))
+
+
+@register("pipeline_failure_alerts", _RUNS_SQL + """
+SELECT sha256('runfail:' || id) AS id, 'pipeline_failure' AS alert_type, 'warning' AS severity,
+       'Pipeline failed: ' || dag_id || '/' || run_id AS message, coalesce(completed_at, started_at) AS created_at
+FROM runs WHERE status = 'failed'""", "id:str alert_type:str severity:str message:str created_at:ts")
+def pipeline_failure_alerts(t):
+    """The declared pipeline_failure alert type, one per failed run row."""
+    from ..operators import alerts as AL
+    return AL.pipeline_failure_alerts(run_history_df(t))

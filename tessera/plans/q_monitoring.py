@@ -12,6 +12,7 @@ from ..operators import metrics as M
 from ..sources import views as V
 from .catalog import register
 from .oracle_views import AS_OF, V_PREDICTIONS, with_views
+from .oracle_views import V_REVIEWS as V_REVIEWS_FOR_INGEST
 
 CFG = DEFAULT
 AS = CFG.as_of
@@ -119,3 +120,33 @@ SELECT id, input_text_hash, input_length, predicted_sentiment, confidence,
 def prediction_log(t):
     """The full derived prediction log rows."""
     return V.predictions(t)
+
+
+@register("latency_spike_alerts", W_PRED + """
+, d AS (SELECT CAST(created_at AS DATE) AS day, quantile_cont(latency_ms, 0.95) AS p95
+        FROM predictions GROUP BY 1),
+b AS (SELECT day, p95, median(p95) OVER (ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS base FROM d)
+SELECT sha256('latency:' || CAST(day AS VARCHAR)) AS id, 'latency_spike' AS alert_type, 'warning' AS severity,
+       'Latency p95 spike: ' || printf('%.1f', p95) AS message, CAST(day AS TIMESTAMP) AS created_at
+FROM b WHERE p95 > 1.05 * base""".replace("\n, d AS", ", d AS", 1),
+          "id:str alert_type:str severity:str message:str created_at:ts")
+def latency_spike_alerts(t):
+    """The declared latency_spike type: daily p95 above 1.05x the median
+    p95 of the previous 7 days (one row per day, a tiny window)."""
+    from ..operators import alerts as AL
+    return AL.latency_spike_alerts(V.predictions(t), factor=1.05)
+
+
+@register("ingested_reviews", with_views(V_REVIEWS_FOR_INGEST) + """
+SELECT doc_id, text, label FROM reviews""", "doc_id:int text:str label:int")
+def ingested_reviews(t):
+    """The labelled splits unioned back and normalised to
+    (text, label), keyed by doc_id."""
+    from pyspark.sql import functions as F
+    from ..operators import sample as S
+    from ..sources import ingest as IG
+    s = S.stratified_split(V.reviews(t), "doc_id", "label", CFG)
+    parts = [s.where(F.col("split") == name).select("doc_id", F.col("text").alias("sentence"), "label")
+             for name in ("train", "val", "test")]
+    u = IG.union_splits(parts)
+    return IG.normalize_columns(u, keep=("doc_id",))
