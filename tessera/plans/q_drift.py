@@ -256,3 +256,29 @@ def drift_monitor_daily(t):
                     "drift_status", "alert_type", "severity",
                     F.coalesce("is_resolved", F.lit(False)).alias("is_resolved"),
                     F.coalesce("predictions_on_day", F.lit(0)).alias("predictions_on_day"))
+
+
+@register("drift_summary_from_report", _DIST_CTES + """
+SELECT report_date, drift_score > 0 AS dataset_drift_detected, drift_score, features_drifted,
+       total_features, prediction_drift_detected FROM rep""",
+          "report_date:date dataset_drift_detected:bool drift_score:dbl features_drifted:int "
+          "total_features:int prediction_drift_detected:bool")
+def drift_summary_from_report(t):
+    """Each date's distances written as a preset-style report document
+    (JSON text) and summarised back by ``create_drift_summary`` rules."""
+    from ..functions import jsonx as J
+    d = D.feature_distances(V.profile(t, CFG), FEATURES, CFG)
+    per_col = F.struct(F.lit("ColumnDriftMetric").alias("metric"), F.struct(
+        F.col("feature").alias("column_name"), F.col("drifted").alias("drift_detected")).alias("result"))
+    g = d.groupBy("report_date").agg(
+        F.sum(F.col("drifted").cast("int")).alias("k"), F.count(F.lit(1)).alias("n"),
+        F.collect_list(per_col).alias("cols"))
+    dataset = F.struct(F.lit("DatasetDriftMetric").alias("metric"), F.struct(
+        F.col("k").alias("number_of_drifted_columns"), F.col("n").alias("number_of_columns"),
+        (F.col("k") / F.col("n")).alias("share_of_drifted_columns")).alias("result"))
+    # Build the document as real JSON text: {"metrics": [ ... ]}
+    doc = F.concat(F.lit('{"metrics": ['), F.array_join(F.concat(
+        F.array(F.to_json(dataset)), F.transform("cols", lambda c: F.to_json(c))), ", "), F.lit("]}"))
+    s = g.select("report_date", J.drift_summary(doc).alias("s"))
+    return s.select("report_date", "s.dataset_drift_detected", "s.drift_score", "s.features_drifted",
+                    "s.total_features", "s.prediction_drift_detected")
