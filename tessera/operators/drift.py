@@ -46,27 +46,32 @@ def _report_dates(first: date, last: date) -> Column:
     return F.sequence(date_lit(first), date_lit(last))
 
 
-def aligned_counts(daily: DataFrame, key: str, ref_end: date, first: date, last: date,
+def aligned_counts(daily: DataFrame, key, ref_end: date, first: date, last: date,
                    window_days: int) -> DataFrame:
-    """``(report_date, <key...>, ref_n, cur_n)`` for every report date.
+    """``(report_date, <key...>, ref_n, cur_n)`` for every report date, in one pass.
 
     ``daily`` has ``day``, the key columns and ``n``. The current window of
     report date d is ``[d - window_days, d)``; the reference is every day
-    before ``ref_end``.
+    before ``ref_end``. Each daily row is exploded to the report dates it
+    serves (as reference: all of them; as current: the next ``window_days``
+    dates), then one aggregate sums both sides.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    ref = (daily.where(F.col("day") < date_lit(ref_end))
-           .groupBy(*keys).agg(F.sum("n").alias("ref_n"))
-           .select(F.explode(_report_dates(first, last)).alias("report_date"), *keys, "ref_n",
-                   F.lit(0).cast("bigint").alias("cur_n")))
     lo = first - timedelta(days=window_days)
+    is_ref = F.col("day") < date_lit(ref_end)
+    in_cur = (F.col("day") >= date_lit(lo)) & (F.col("day") < date_lit(last))
+    empty = F.array().cast("array<struct<report_date:date,ref:boolean>>")
+
+    def tag(dates, ref: bool):
+        return F.transform(dates, lambda d: F.struct(d.alias("report_date"), F.lit(ref).alias("ref")))
     served = F.sequence(F.greatest(F.date_add("day", 1), date_lit(first)),
                         F.least(F.date_add("day", window_days), date_lit(last)))
-    cur = (daily.where((F.col("day") >= date_lit(lo)) & (F.col("day") < date_lit(last)))
-           .select(F.explode(served).alias("report_date"), *keys,
-                   F.lit(0).cast("bigint").alias("ref_n"), F.col("n").alias("cur_n")))
-    return (ref.unionByName(cur).groupBy("report_date", *keys)
-            .agg(F.sum("ref_n").alias("ref_n"), F.sum("cur_n").alias("cur_n")))
+    targets = F.concat(F.when(is_ref, tag(_report_dates(first, last), True)).otherwise(empty),
+                       F.when(in_cur, tag(served, False)).otherwise(empty))
+    x = daily.where(is_ref | in_cur).select(F.explode(targets).alias("t"), *keys, "n")
+    return (x.groupBy(F.col("t.report_date").alias("report_date"), *keys)
+            .agg(F.sum(F.when(F.col("t.ref"), F.col("n")).otherwise(0)).cast("bigint").alias("ref_n"),
+                 F.sum(F.when(~F.col("t.ref"), F.col("n")).otherwise(0)).cast("bigint").alias("cur_n")))
 
 
 def _distances(aligned: DataFrame, threshold: float, group: list[str]) -> DataFrame:

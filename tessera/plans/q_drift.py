@@ -8,6 +8,7 @@ from ..config import DEFAULT
 from ..operators import alerts as AL
 from ..operators import drift as D
 from ..operators import metrics as M
+from ..session import cut_lineage
 from ..sources import views as V
 from .catalog import register
 from .oracle_views import AS_OF, V_PREDICTIONS, V_PROFILE, with_views
@@ -20,11 +21,13 @@ THR = CFG.drift_threshold
 
 
 def drift_reports_df(t):
-    return D.drift_reports(V.profile(t, CFG), FEATURES, CFG)
+    """One row per report date, materialised once: several branches (alerts,
+    resolutions, status, volume join) read it."""
+    return cut_lineage(D.drift_reports(V.profile(t, CFG), FEATURES, CFG))
 
 
-def alerts_df(t):
-    a = AL.alerts_from_reports(drift_reports_df(t), CFG)
+def alerts_df(t, reps=None):
+    a = AL.alerts_from_reports(reps if reps is not None else drift_reports_df(t), CFG)
     return AL.apply_resolutions(a, AL.resolutions_before(a, CFG.resolve_before, CFG))
 
 
@@ -243,9 +246,7 @@ def drift_monitor_daily(t):
     """Flagship: R5 drift backfill joined with R4 alerts and the A2 volume of
     the day each report closes."""
     reps = drift_reports_df(t)
-    al = AL.apply_resolutions(AL.alerts_from_reports(reps, CFG),
-                              AL.resolutions_before(AL.alerts_from_reports(reps, CFG),
-                                                    CFG.resolve_before, CFG))
+    al = alerts_df(t, reps)
     vol = (M.prediction_volume(V.predictions(t), CFG.as_of, days=30)
            .select(F.to_date("bucket").alias("day"), F.col("count").alias("predictions_on_day")))
     r = reps.select("report_date", "drift_score", "features_drifted", "prediction_drift_detected",

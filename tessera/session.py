@@ -61,3 +61,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def cut_lineage(df):
+    """Materialise a small, reused intermediate in the shared checkpoint
+    folder (reliable ``checkpoint``, never ``localCheckpoint``), so later
+    branches read it instead of recomputing it and a lost executor does not
+    force a recompute from the sources."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
