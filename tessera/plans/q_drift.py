@@ -23,7 +23,7 @@ THR = CFG.drift_threshold
 def drift_reports_df(t):
     """One row per report date, materialised once: several branches (alerts,
     resolutions, status, volume join) read it."""
-    return cut_lineage(D.drift_reports(V.profile(t, CFG), FEATURES, CFG))
+    return cut_lineage(D.drift_reports(V.profile(t, CFG), FEATURES, CFG), "drift_reports")
 
 
 def alerts_df(t, reps=None):

@@ -20,9 +20,17 @@ from .catalog import register
 CFG = DEFAULT
 
 
+_FITTED: dict = {}
+
+
 def _candidates(t):
-    splits = S.stratified_split(V.reviews(t), "doc_id", "label", CFG)
-    return MD.train_and_evaluate(splits, CFG)
+    """Both candidates for this input folder, fitted once per process (the
+    fitted models are small; scoring reuses them like a registry would)."""
+    key = (t.root, CFG)
+    if key not in _FITTED:
+        splits = S.stratified_split(V.reviews(t), "doc_id", "label", CFG)
+        _FITTED[key] = MD.train_and_evaluate(splits, CFG)
+    return _FITTED[key]
 
 
 def _candidate_frame(t, cands):

@@ -25,9 +25,8 @@ SELECT doc_id, {sql_clean_text('text')} AS text_clean,
 FROM documents""", "doc_id:int text_clean:str n_clean:int text_hash:str n_chars:int")
 def clean_documents(t):
     """clean_text over every document, with raw hash and length."""
-    c = X.clean_text("text")
-    return spread(t.documents, "doc_id").select("doc_id", c.alias("text_clean"),
-                              F.char_length(c).alias("n_clean"),
+    d = spread(t.documents, "doc_id").withColumn("text_clean", X.clean_text("text"))
+    return d.select("doc_id", "text_clean", F.char_length("text_clean").alias("n_clean"),
                               X.sha256_hex("text").alias("text_hash"),
                               X.char_length("text").alias("n_chars"))
 

@@ -63,10 +63,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
-def cut_lineage(df):
-    """Materialise a small, reused intermediate in the shared checkpoint
-    folder (reliable ``checkpoint``, never ``localCheckpoint``), so later
-    branches read it instead of recomputing it and a lost executor does not
-    force a recompute from the sources."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df, name: str = "cut"):
+    """Materialise a small, reused intermediate as a parquet table in the
+    shared checkpoint folder and read it back, so later branches read it
+    instead of recomputing it, and a lost executor does not force a
+    recompute from the sources (never ``localCheckpoint``; a written table
+    also avoids the second computation an unpersisted RDD checkpoint makes)."""
+    import uuid
+    path = scratch_path(df.sparkSession, f"tables/{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

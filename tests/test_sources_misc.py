@@ -88,3 +88,20 @@ def test_streaming_scoring(spark, tmp_path):
                            "scoring_test", str(src))
     got = {r.conv_id: r.predicted_sentiment for r in out.collect()}
     assert got == {1: "positive", 2: "negative"}
+
+
+def test_training_job_end_to_end(spark, tmp_path):
+    from tessera.plans.jobs import training_job
+    pos = ["excellent great good", "wonderful good nice", "great excellent nice", "good nice fine"]
+    neg = ["bad awful terrible", "poor bad awful", "terrible poor bad", "awful poor bad"]
+    rows = [(i, t, 1) for i, t in enumerate(pos * 5)] + [(100 + i, t, 0) for i, t in enumerate(neg * 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    out = training_job(spark, df, str(tmp_path), DEFAULT.with_(ngram_max=1, tfidf_max_features=50))
+    led = out["ledger"].first()
+    assert led.promoted and led.stage == "Production" and len(out["candidates"]) == 2
+
+
+def test_daily_monitoring_job(spark, tmp_path):
+    from tessera.plans.jobs import daily_monitoring_job
+    out = daily_monitoring_job(spark, "/root/testdata/sf0.001", str(tmp_path))
+    assert out["reports"].count() == 24 and out["alerts"].count() >= 1
