@@ -23,6 +23,11 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Spill-aware sizing: scans split at 128 MiB and AQE coalesces
+        # shuffle output towards 128 MiB partitions, so the static partition
+        # count is only an upper bound at any scale.
+        .config("spark.sql.files.maxPartitionBytes", str(128 << 20))
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(128 << 20))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
