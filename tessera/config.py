@@ -46,6 +46,9 @@ class Config:
     # spread over (key, chunk) tasks.
     fold_chunk: str = "hour"
     broadcast_row_limit: int = 2_000_000
+    # Largest number of rows a top-k may merge in its final single task
+    # (partitions x k); above it the exact distributed top-k is used.
+    topk_funnel_rows: int = 5_000_000
 
     def with_(self, **kw) -> "Config":
         return replace(self, **kw)

@@ -43,6 +43,10 @@ def spread(df, key: str | None = None, per_core: int = 2):
     """
     if df.isStreaming:
         return df
+    # Output of a shuffle is already spread (and asking an adaptive plan for
+    # its RDD partitions would execute its shuffle stages).
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     sc = df.sparkSession.sparkContext
     target = sc.defaultParallelism * per_core
     if df.rdd.getNumPartitions() >= sc.defaultParallelism:

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, Config
 from ..functions.common import spread
 from ..functions.text import clean_text, ngrams, tokens
+from ..session import cut_lineage
+from .ordered import top_k
 
 
 def with_grams(df: DataFrame, text_col: str, out: str = "grams", n_max: int = 2,
@@ -63,13 +65,30 @@ def term_stats(doc_term: DataFrame) -> DataFrame:
     return doc_term.groupBy("term").agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df"))
 
 
-def vocabulary(stats: DataFrame, max_features: int, min_df: int = 1) -> DataFrame:
+def vocabulary(stats: DataFrame, max_features: int, min_df: int = 1,
+               funnel_rows: int | None = None) -> DataFrame:
     """The ``max_features`` terms with the highest corpus count; ties by term.
 
-    Planned as TakeOrderedAndProject (per-partition top-k, then a merge).
+    ``orderBy().limit(k)`` merges every partition's k rows in one task. While
+    partitions x k stays under ``topk_funnel_rows`` that is the cheapest plan;
+    above it the statistics are written once to the shared folder and the
+    exact distributed ``ordered.top_k`` runs: terms bucketed by (count, first
+    two characters), only buckets straddling rank k are ranked, each in its
+    own task.
     """
+    funnel_rows = funnel_rows or DEFAULT.topk_funnel_rows
     s = stats.where(F.col("df") >= min_df) if min_df > 1 else stats
-    return s.orderBy(F.col("tf").desc(), F.col("term")).limit(max_features)
+    # The statistics come out of a groupBy: at most spark.sql.shuffle.partitions
+    # partitions (read from the session; counting RDD partitions would run
+    # the adaptive plan's shuffle stages).
+    parts = int(s.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if parts * max_features <= funnel_rows:
+        return s.orderBy(F.col("tf").desc(), F.col("term")).limit(max_features)
+    s = cut_lineage(s, "term_stats")
+    s = s.withColumn("_neg_tf", -F.col("tf")).withColumn(
+        "_b", F.struct(F.col("_neg_tf").alias("t"), F.substring("term", 1, 2).alias("p")))
+    top = top_k(s, max_features, ["_neg_tf", "term"], "_b", "_rank")
+    return top.drop("_neg_tf", "_b", "_rank")
 
 
 def idf_table(stats_vocab: DataFrame, n_docs: Column | int) -> DataFrame:
@@ -96,6 +115,6 @@ def fit_vocabulary(train_docs: DataFrame, key: str, gram_col: str, cfg: Config =
     """
     dt = doc_terms(train_docs, key, gram_col)
     stats = term_stats(dt)
-    vocab = vocabulary(stats, cfg.tfidf_max_features, cfg.min_df)
+    vocab = vocabulary(stats, cfg.tfidf_max_features, cfg.min_df, cfg.topk_funnel_rows)
     n_docs = train_docs.count()
     return idf_table(vocab, n_docs), n_docs

@@ -133,3 +133,28 @@ def neighbours(df: DataFrame, part_cols: list[str], order_cols: list[str],
         j = j.withColumn(f"prev_{c}", F.col("_prev")[c]).withColumn(f"next_{c}", F.col("_next")[c])
     return j.drop("_prev", "_next", "_rn", "_cnt", "_prev_chunk_last", "_next_chunk_first",
                   "_k_chunk", *[f"_k_{c}" for c in part_cols])
+
+
+def top_k(df: DataFrame, k: int, order_cols: list, bucket_col: str, out: str = "rank") -> DataFrame:
+    """Exact global top-``k`` with its rank, without funnelling into one task.
+
+    ``order_cols`` are ascending sort columns (negate a column for
+    descending) that totally order the rows; ``bucket_col`` is a coarse,
+    order-preserving prefix of them. A count per bucket gives each bucket's
+    offset; buckets starting at or beyond ``k`` are dropped before any
+    ranking, and the rest are ranked inside ``bucket`` windows in parallel.
+    (``orderBy().limit(k)`` would merge every partition's k rows in a single
+    task, which does not hold for large k on many partitions.)
+    """
+    counts = df.groupBy(bucket_col).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy(bucket_col).rowsBetween(Window.unboundedPreceding, -1)
+    offs = (counts.select(F.col(bucket_col).alias("_k_bucket"),
+                          F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+            .where(F.col("_off") < k))
+    # No pre-count here: the offsets come from ``df`` itself, and a separate
+    # counting job would recompute ``df``. In one query both branches share
+    # the exchange below them, and AQE picks broadcast from runtime sizes.
+    j = df.join(offs, df[bucket_col].eqNullSafe(offs["_k_bucket"]), "inner")
+    wr = Window.partitionBy(bucket_col).orderBy(*order_cols)
+    r = j.withColumn(out, F.col("_off") + F.row_number().over(wr))
+    return r.where(F.col(out) <= k).drop("_off", "_k_bucket")

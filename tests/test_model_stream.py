@@ -50,3 +50,11 @@ def test_rate_flags_match_sequential(spark, tmp_path):
                                          window_s=60), "rate_test", str(src))
     got = {r.event_id: (r.hits, r.flagged) for r in out.collect()}
     assert got == ST.rate_flags_reference(rows, 5, 60)
+
+
+def test_distributed_topk_equals_sorted_limit(spark):
+    t = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    st = FE.term_stats(FE.doc_terms(FE.with_grams(t, "text", "grams"), "doc_id", "grams")).persist()
+    simple = [tuple(r) for r in FE.vocabulary(st, 3000, funnel_rows=10 ** 12).collect()]
+    dist = [tuple(r) for r in FE.vocabulary(st, 3000, funnel_rows=1).collect()]
+    assert len(simple) == 3000 and sorted(simple) == sorted(dist)
