@@ -131,3 +131,13 @@ def log_rows(scored: DataFrame, raw_text_col: str, key_cols: list[str],
         F.lit(0).alias("latency_ms"),
         F.lit(scored_at).cast("timestamp_ntz").alias("created_at"),
         F.lit(batch_id).alias("batch_id"))
+
+
+def load_production(ledger: DataFrame, models_root: str, name: str) -> tuple[str, PipelineModel]:
+    """The newest Production version of ``name`` (at most one row, by
+    construction of the ledger) and its saved model; an error when none."""
+    row = (ledger.where((F.col("name") == name) & (F.col("stage") == "Production"))
+           .agg(F.max_by(F.struct("version", "run_id"), "version").alias("v")).first()["v"])
+    if row is None:
+        raise LookupError(f"No Production version for model '{name}'.")
+    return str(row["version"]), PipelineModel.load(f"{models_root.rstrip('/')}/{row['run_id']}")

@@ -65,3 +65,17 @@ def batch_scoring(t):
     scored = MD.predict(best.model, src, "text")
     return MD.log_rows(scored, "text", ["conv_id", "turn"], "1", CFG.registry_name,
                        datetime(2024, 1, 31), "batch-2024-01-31")
+
+
+@register("stream_scoring")
+def stream_scoring(t):
+    """Conversation turns read as a file stream, scored by the winning
+    model (row-local stages only) and appended to a parquet prediction log."""
+    from ..streaming import stream as ST
+    cands = _candidates(t)
+    best = max(enumerate(cands), key=lambda ic: (ic[1].metrics["f1_macro"], -ic[0]))[1]
+    path = f"{t.root}/conversations.parquet"
+    src = (t.spark.readStream.schema("conv_id BIGINT, turn BIGINT, role STRING, text STRING")
+           .option("maxFilesPerTrigger", 1).parquet(ST._stream_path(path)))
+    scored = ST.scored_stream(best.model, src, "text", ["conv_id", "turn"], "1", CFG)
+    return ST.run_available(scored, f"scoring-{best.run_id[:8]}", path)

@@ -99,6 +99,10 @@ def test_training_job_end_to_end(spark, tmp_path):
     out = training_job(spark, df, str(tmp_path), DEFAULT.with_(ngram_max=1, tfidf_max_features=50))
     led = out["ledger"].first()
     assert led.promoted and led.stage == "Production" and len(out["candidates"]) == 2
+    from tessera.operators import model as MD
+    version, model = MD.load_production(out["ledger"], str(tmp_path / "models"), DEFAULT.registry_name)
+    q = spark.createDataFrame([("excellent nice",)], "text string")
+    assert version == "1" and MD.predict(model, q).first().pred_class == 1
 
 
 def test_daily_monitoring_job(spark, tmp_path):
