@@ -45,9 +45,21 @@ def stream_sliding_categories(t):
                             "sliding_categories", path)
 
 
-@register("stream_user_sessions")
+@register("stream_user_sessions", """
+WITH e AS (
+  SELECT user_id, ts, value,
+         CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL
+                OR ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 30 MINUTE
+              THEN 1 ELSE 0 END AS new_session
+  FROM events),
+s AS (SELECT *, sum(new_session) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM e),
+g AS (SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end,
+             count(*) AS events, sum(value) AS value
+      FROM s GROUP BY user_id, sid)
+SELECT * FROM g WHERE session_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+          "user_id:int session_start:ts session_end:ts events:int value:dbl")
 def stream_user_sessions(t):
-    """Per-user session windows with a 30-minute gap (rows-only)."""
+    """Per-user session windows with a 30-minute gap; closed sessions."""
     s, path = _events(t)
     return ST.run_available(ST.user_sessions(s), "user_sessions", path)
 
