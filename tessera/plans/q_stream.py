@@ -64,7 +64,20 @@ def stream_user_sessions(t):
     return ST.run_available(ST.user_sessions(s), "user_sessions", path)
 
 
-@register("stream_rate_flags")
+@register("stream_rate_flags", """
+WITH RECURSIVE e AS (
+  SELECT event_id, user_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
+  FROM events),
+f(event_id, user_id, ts, rn, window_start, hits) AS (
+  SELECT event_id, user_id, ts, rn, ts, 1 FROM e WHERE rn = 1
+  UNION ALL
+  SELECT e.event_id, e.user_id, e.ts, e.rn,
+         CASE WHEN e.ts >= f.window_start + INTERVAL {W} SECOND THEN e.ts ELSE f.window_start END,
+         CASE WHEN e.ts >= f.window_start + INTERVAL {W} SECOND THEN 1 ELSE f.hits + 1 END
+  FROM f JOIN e ON e.user_id = f.user_id AND e.rn = f.rn + 1)
+SELECT event_id, user_id, ts, window_start, hits, hits > {L} AS flagged FROM f""".format(
+    W=CFG.rate_window_seconds, L=CFG.rate_limit_per_minute),
+          "event_id:int user_id:int ts:ts window_start:ts hits:int flagged:bool")
 def stream_rate_flags(t):
     """First-hit anchored 60 s windows per user, flagged above the limit
     (rows-only; equality with a sequential simulation is in pytest)."""
