@@ -13,6 +13,17 @@ from .catalog import register
 CFG = DEFAULT
 
 
+def _drift_sql() -> str:
+    from . import q_drift
+    return q_drift._DIST_CTES + """
+SELECT report_date, drift_score, features_drifted, total_features, prediction_drift_detected,
+       reference_size, current_size
+FROM rep WHERE CAST(report_date AS TIMESTAMP) <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY"""
+
+
+_DRIFT_SQL = _drift_sql()
+
+
 def _events(t):
     path = f"{t.root}/events.parquet"
     return ST.event_stream(t.spark, path), path
@@ -93,3 +104,23 @@ def stream_dedup(t):
     s, path = _events(t)
     d = ST.run_available(ST.deduplicated(s), "dedup", path)
     return d.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type")
+
+
+@register("stream_drift_reports", _DRIFT_SQL, "report_date:date drift_score:dbl features_drifted:int total_features:int prediction_drift_detected:bool reference_size:int current_size:int")
+def stream_drift_reports(t):
+    """X2 full: drift reports scored per micro-batch on closed sliding windows
+    (oracle: the batch drift report for the same, closed, report dates)."""
+    from ..operators import drift as D
+    from ..session import scratch_path
+    from ..sources import views as V
+    import hashlib
+    feats = list(V.PROFILE_FEATURES)
+    ref = (D.daily_category_counts(V.profile(t, CFG), feats)
+           .where(F.col("day") < F.lit(CFG.reference_end))
+           .groupBy("feature", "category").agg(F.sum("n").alias("ref_n")))
+    s, path = _events(t)
+    tag = hashlib.md5(path.encode()).hexdigest()[:12]
+    rep, _ = ST.drift_on_closed_windows(s, ref, feats, scratch_path(t.spark, f"streams/drift-out-{tag}"),
+                                        "drift_windows", path, CFG)
+    return rep.select("report_date", "drift_score", "features_drifted", "total_features",
+                      "prediction_drift_detected", "reference_size", "current_size")

@@ -28,7 +28,12 @@ def truth_pred(t: Tables) -> DataFrame:
 
 def predictions(t: Tables, cfg: Config = DEFAULT, extra: tuple[str, ...] = ()) -> DataFrame:
     """The prediction log derived from ``events`` (with a planted drift)."""
-    e = t.events
+    return predictions_from_events(t.events, cfg, extra)
+
+
+def predictions_from_events(e: DataFrame, cfg: Config = DEFAULT,
+                            extra: tuple[str, ...] = ()) -> DataFrame:
+    """Row-local derivation, so it applies to a batch or a stream of events."""
     k = F.col("event_id") * F.lit(7919)
     return e.select(
         F.col("event_id").alias("id"),
@@ -52,7 +57,11 @@ PROFILE_FEATURES = ("predicted_sentiment", "confidence_bucket", "model_version",
 
 def profile(t: Tables, cfg: Config = DEFAULT) -> DataFrame:
     """Five categorical features per prediction, as text, with its day."""
-    p = predictions(t, cfg, extra=("event_type",))
+    return profile_from_predictions(predictions(t, cfg, extra=("event_type",)))
+
+
+def profile_from_predictions(p: DataFrame) -> DataFrame:
+    """Row-local: the five profile features of prediction rows (batch or stream)."""
     return p.select(
         "id", "created_at", F.to_date("created_at").alias("day"),
         "predicted_sentiment",
