@@ -58,3 +58,13 @@ def test_distributed_topk_equals_sorted_limit(spark):
     simple = [tuple(r) for r in FE.vocabulary(st, 3000, funnel_rows=10 ** 12).collect()]
     dist = [tuple(r) for r in FE.vocabulary(st, 3000, funnel_rows=1).collect()]
     assert len(simple) == 3000 and sorted(simple) == sorted(dist)
+
+
+def test_dedup_stream_across_batches(spark, tmp_path):
+    src = tmp_path / "dup"
+    rows = [(i, datetime(2024, 1, 1) + timedelta(minutes=i), 1, "view", 1.0, "{}") for i in range(50)]
+    df = spark.createDataFrame(rows, ST.EVENTS_SCHEMA).coalesce(1)
+    df.write.mode("append").parquet(str(src))
+    df.write.mode("append").parquet(str(src))  # every event delivered twice, in a second file
+    out = ST.run_available(ST.deduplicated(ST.event_stream(spark, str(src))), "dedup_test", str(src))
+    assert out.count() == 50 and out.select("event_id").distinct().count() == 50

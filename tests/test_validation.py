@@ -44,3 +44,11 @@ def test_missing_columns(spark):
     df = spark.createDataFrame([("a",)], "sentence string")
     with pytest.raises(DataValidationError, match="Missing required columns"):
         validate(df)
+
+
+def test_report_duplicates_over_all_columns(spark):
+    df = spark.createDataFrame([(1, "a", 1), (2, "a", 1), (3, "b", 0), (3, "b", 0)],
+                               "doc_id long, text string, label int")
+    r = validate(df)
+    assert any("2 duplicated" in w for w in r.warnings)  # (text, label) copies
+    assert r.duplicate_count == 1                         # whole-row copies
