@@ -121,17 +121,13 @@ def neighbours(df: DataFrame, part_cols: list[str], order_cols: list[str],
         cond = cond & df[c].eqNullSafe(summ[f"_k_{c}"])
     j = df.join(summ, cond, "inner")
     w = Window.partitionBy(*part_cols, chunk_col).orderBy(*order_cols)
-    j = j.withColumn("_prev", F.lag(payload).over(w)).withColumn("_next", F.lead(payload).over(w))
-    rn = F.row_number().over(w)
-    j = j.withColumn("_rn", rn)
-    cnt = F.count(F.lit(1)).over(Window.partitionBy(*part_cols, chunk_col))
-    j = j.withColumn("_cnt", cnt)
-    j = j.withColumn("_prev", F.when(F.col("_rn") == 1, F.col("_prev_chunk_last")).otherwise(F.col("_prev")))
-    j = j.withColumn("_next", F.when(F.col("_rn") == F.col("_cnt"), F.col("_next_chunk_first"))
-                     .otherwise(F.col("_next")))
+    # The payload struct is never null, so lag/lead are null exactly at the
+    # chunk's edges, where the adjacent chunk's boundary row applies.
+    j = (j.withColumn("_prev", F.coalesce(F.lag(payload).over(w), F.col("_prev_chunk_last")))
+         .withColumn("_next", F.coalesce(F.lead(payload).over(w), F.col("_next_chunk_first"))))
     for c in carry_cols:
         j = j.withColumn(f"prev_{c}", F.col("_prev")[c]).withColumn(f"next_{c}", F.col("_next")[c])
-    return j.drop("_prev", "_next", "_rn", "_cnt", "_prev_chunk_last", "_next_chunk_first",
+    return j.drop("_prev", "_next", "_prev_chunk_last", "_next_chunk_first",
                   "_k_chunk", *[f"_k_{c}" for c in part_cols])
 
 
