@@ -27,14 +27,6 @@ def sized_broadcast(small: DataFrame, limit_rows: int | None = None) -> DataFram
     return F.broadcast(small) if n <= limit_rows else small
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
-    cond = None
-    for c in cols:
-        e = left[c].eqNullSafe(right[c])
-        cond = e if cond is None else cond & e
-    return cond
-
-
 def exact_rank(df: DataFrame, part_cols: list[str], order_cols: list[str],
                bucket_col: str, out: str, bound_rows: int | None = None) -> DataFrame:
     """``row_number() over (partition by part order by order_cols)``, exactly.

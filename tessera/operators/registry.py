@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT, Config
 from .ordered import neighbours, running_max_before, sized_broadcast
 
 # Fixed metric keys (must equal the reference's).

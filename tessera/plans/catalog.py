@@ -8,11 +8,8 @@ Operators without an SQL restatement register no oracle (rows-only check).
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
-
 from pyspark.sql import DataFrame, SparkSession
 
-from ..config import DEFAULT
 from ..session import prepare
 from ..sources.tables import Tables
 from .canonical import canon, sql_canon

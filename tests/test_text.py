@@ -3,8 +3,6 @@
 import html
 import re
 
-from pyspark.sql import functions as F
-
 from tessera.functions import text as X
 from tessera.sources.tables import Tables
 
