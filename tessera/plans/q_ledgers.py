@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT
@@ -91,7 +92,11 @@ ledger AS (
 
 
 def ledger_df(t):
-    return RG.promotion_ledger(V.model_versions(t, CFG))
+    """The version table (one row per version) is read by every step of the
+    ledger (rank offsets, running max, last promotion, deployments); it is
+    persisted once (memory and disk; lineage kept for executor loss)."""
+    versions = V.model_versions(t, CFG).persist(StorageLevel.MEMORY_AND_DISK)
+    return RG.promotion_ledger(versions)
 
 
 @register("promotion_ledger", _LEDGER_SQL + """
