@@ -28,21 +28,24 @@ def sized_broadcast(small: DataFrame, limit_rows: int | None = None) -> DataFram
 
 
 def exact_rank(df: DataFrame, part_cols: list[str], order_cols: list[str],
-               bucket_col: str, out: str, bound_rows: int | None = None) -> DataFrame:
+               bucket_col: str, out: str, bound_rows: int | None = None,
+               total_col: str | None = None) -> DataFrame:
     """``row_number() over (partition by part order by order_cols)``, exactly.
 
     ``bucket_col`` must be non-decreasing along ``order_cols`` (for example
     a prefix of the ordering hash). Rank = rows of the key in earlier
     buckets + row number inside ``(key, bucket)``. The offsets table has one
     row per (key, bucket); pass ``bound_rows`` when that count is known by
-    construction, otherwise it is counted before it is broadcast.
+    construction, otherwise it is counted before it is broadcast. With
+    ``total_col`` the key's row count is attached too (from the same table).
     """
     counts = df.groupBy(*part_cols, bucket_col).agg(F.count(F.lit(1)).alias("_n"))
     w = (Window.partitionBy(*part_cols).orderBy(bucket_col)
          .rowsBetween(Window.unboundedPreceding, -1))
+    extra = [F.sum("_n").over(Window.partitionBy(*part_cols)).alias(total_col)] if total_col else []
     offs = counts.select(*[F.col(c).alias(f"_k_{c}") for c in part_cols],
                          F.col(bucket_col).alias("_k_bucket"),
-                         F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+                         F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"), *extra)
     if bound_rows is not None and bound_rows <= DEFAULT.broadcast_row_limit:
         offs = F.broadcast(offs)
     else:

@@ -25,11 +25,13 @@ def order_hash(key: str | Column, seed: int, salt: str | None = None) -> Column:
 
 
 def stratified_rank(df: DataFrame, key: str, label: str = "label", seed: int = 42,
-                    out: str = "rank", n_classes: int = 2, prefix_hex: int = 4) -> DataFrame:
-    """``row_number() over (partition by label order by md5(seed:key), key)``."""
+                    out: str = "rank", n_classes: int = 2, prefix_hex: int = 4,
+                    total_col: str | None = None) -> DataFrame:
+    """``row_number() over (partition by label order by md5(seed:key), key)``
+    (optionally with the class size as ``total_col``)."""
     d = df.withColumn("_h", order_hash(key, seed)).withColumn("_b", F.substring("_h", 1, prefix_hex))
     bound = n_classes * 16 ** prefix_hex
-    r = exact_rank(d, [label], ["_h", key], "_b", out, bound_rows=bound)
+    r = exact_rank(d, [label], ["_h", key], "_b", out, bound_rows=bound, total_col=total_col)
     return r.drop("_b")
 
 
@@ -47,10 +49,9 @@ def stratified_split(df: DataFrame, key: str = "doc_id", label: str = "label",
     80/10/10 with label mean 0.5 in each split. Row choice differs from the
     reference's RNG by design.
     """
-    ranked = stratified_rank(df, key, label, cfg.seed, "_rank", n_classes, cfg.split_prefix_hex)
-    counts = class_counts(df, label).withColumnRenamed(label, "_lab")
-    # One row per class: bounded by the validated label domain.
-    ranked = ranked.join(F.broadcast(counts), ranked[label].eqNullSafe(counts["_lab"])).drop("_lab")
+    # The class sizes come from the rank's own (class, bucket) count table.
+    ranked = stratified_rank(df, key, label, cfg.seed, "_rank", n_classes, cfg.split_prefix_hex,
+                             total_col="_class_n")
     n_test = F.round(F.col("_class_n") * F.lit(cfg.test_size))
     n_val = F.round(F.col("_class_n") * F.lit(cfg.val_size))
     split = (F.when(F.col("_rank") <= n_test, "test")
