@@ -37,6 +37,8 @@ class Config:
     logreg_max_iter: int = 100
     logreg_standardize: bool = True
     min_df: int = 1
+    # Lateness accepted by the rate-flag stream (X4); bounds its keyed state.
+    rate_late_delay: str = "1 hour"
     as_of: datetime = datetime(2024, 1, 31)
     reference_end: date = date(2024, 1, 8)
     resolve_before: date = date(2024, 1, 27)

@@ -93,7 +93,7 @@ def stream_rate_flags(t):
     """First-hit anchored 60 s windows per user, flagged above the limit
     (rows-only; equality with a sequential simulation is in pytest)."""
     s, path = _events(t)
-    return ST.run_available(ST.rate_flags(s, CFG), "rate_flags", path)
+    return ST.run_available(ST.rate_flags(s, CFG), "rate_flags_wm", path)
 
 
 @register("stream_dedup", """

@@ -101,47 +101,71 @@ def user_sessions(events: DataFrame, gap: str = "30 minutes", delay: str = "1 ho
 
 # --- X4: fixed-window rate flagging (window opens at the first hit) -------------------
 
-RATE_OUT = "event_id BIGINT, user_id BIGINT, ts TIMESTAMP, window_start TIMESTAMP, hits INT, flagged BOOLEAN"
-RATE_STATE = "window_start TIMESTAMP, hits INT"
+RATE_OUT = "event_id BIGINT, user_id BIGINT, ts_us BIGINT, window_start_us BIGINT, hits INT"
+RATE_STATE = "window_start_us BIGINT, hits INT"
 
 
-def _rate_fn(limit: int, window_s: int):
+def _rate_fn(window_s: int, timeout: bool):
+    span = window_s * 1_000_000  # microseconds
+
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            start, hits = state.get
-            start = pd.Timestamp(start)
-        else:
-            start, hits = None, 0
-        span = pd.Timedelta(seconds=window_s)
-        out = []
+        if state.hasTimedOut:
+            # The watermark has passed this user's window end, so any hit
+            # still accepted opens a new window: the state is not needed.
+            state.remove()
+            return
+        start, hits = state.get if state.exists else (None, 0)
         for pdf in pdfs:
-            pdf = pdf.sort_values(["ts", "event_id"])
-            for eid, ts in zip(pdf["event_id"].tolist(), pdf["ts"].tolist()):
-                ts = pd.Timestamp(ts)
-                if start is None or ts >= start + span:
-                    start, hits = ts, 0
+            pdf = pdf.sort_values(["ts_us", "event_id"])
+            tss = pdf["ts_us"].tolist()
+            starts, counts = [], []
+            for t in tss:
+                if start is None or t >= start + span:
+                    start, hits = t, 0
                 hits += 1  # rejected hits still count, as the counter does
-                out.append((eid, key[0], ts, start, hits, hits > limit))
-        if start is not None:
-            state.update((start.to_pydatetime(), int(hits)))
-        if out:
-            yield pd.DataFrame(out, columns=["event_id", "user_id", "ts", "window_start", "hits",
-                                             "flagged"])
+                starts.append(start)
+                counts.append(hits)
+            yield pd.DataFrame({"event_id": pdf["event_id"].to_numpy(), "user_id": key[0],
+                                "ts_us": tss, "window_start_us": starts, "hits": counts})
+        if start is None:
+            return
+        end_ms = -(-(start + span) // 1000)
+        if timeout and end_ms <= state.getCurrentWatermarkMs():
+            state.remove()  # window already closed for every hit that is not late
+            return
+        state.update((int(start), int(hits)))
+        if timeout:
+            state.setTimeoutTimestamp(end_ms)
     return fn
 
 
 def rate_flags(events: DataFrame, cfg: Config = DEFAULT, limit: int | None = None,
-               window_s: int | None = None) -> DataFrame:
+               window_s: int | None = None, late_delay: str | None = "default") -> DataFrame:
     """Per key a fixed window opens at the first hit and lasts
     ``window_s``; a hit is flagged when the count in its window exceeds
-    ``limit``. Keyed state holds two values per user; the rows of one key in
-    one call are bounded by the micro-batch (``maxFilesPerTrigger``).
-    Order inside a micro-batch is (ts, event_id); across batches, arrival."""
+    ``limit``. The rows of one key in one call are bounded by the
+    micro-batch (``maxFilesPerTrigger``). Order inside a micro-batch is
+    (ts, event_id); across batches, arrival.
+
+    State is two numbers per user. With ``late_delay`` (default
+    ``cfg.rate_late_delay``) the stream is watermarked and a user's state
+    times out once the watermark passes the end of their window, so state is
+    bounded by the users active within the delay; hits older than the
+    watermark are dropped, as in the other watermarked streams. With
+    ``late_delay=None`` every hit is counted in arrival order and the state
+    keeps one entry per user ever seen."""
     lim = limit if limit is not None else cfg.rate_limit_per_minute
     win = window_s if window_s is not None else cfg.rate_window_seconds
-    return (events.select("event_id", "user_id", "ts").groupBy("user_id")
-            .applyInPandasWithState(_rate_fn(lim, win), RATE_OUT, RATE_STATE, "append",
-                                    "NoTimeout"))
+    delay = cfg.rate_late_delay if late_delay == "default" else late_delay
+    if delay is not None:
+        events = events.withWatermark("ts", delay)
+    return (events.select("event_id", "user_id", "ts", F.unix_micros("ts").alias("ts_us"))
+            .groupBy("user_id")
+            .applyInPandasWithState(_rate_fn(win, delay is not None), RATE_OUT, RATE_STATE,
+                                    "append", "EventTimeTimeout" if delay else "NoTimeout")
+            .select("event_id", "user_id", F.timestamp_micros("ts_us").alias("ts"),
+                    F.timestamp_micros("window_start_us").alias("window_start"), "hits",
+                    (F.col("hits") > lim).alias("flagged")))
 
 
 def rate_flags_reference(rows: list[tuple], limit: int, window_s: int) -> dict:
