@@ -103,7 +103,17 @@ def numeric_props(t):
     return J.numeric_metrics(t.events, "props", ["event_id"])
 
 
-@register("flattened_props")
+@register("flattened_props", """
+WITH e AS (
+  SELECT event_id, k AS key, json_extract(props, '$."' || k || '"') AS v,
+         json_type(props, '$."' || k || '"') AS ty
+  FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events))
+SELECT event_id, key,
+       CASE WHEN ty IN ('BOOLEAN', 'BIGINT', 'UBIGINT', 'DOUBLE', 'VARCHAR') THEN v ->> '$'
+            ELSE CAST(v AS VARCHAR) END AS value,
+       ty IN ('BOOLEAN', 'BIGINT', 'UBIGINT', 'DOUBLE', 'VARCHAR') AS is_scalar
+FROM e""", "event_id:int key:str value:str is_scalar:bool")
 def flattened_props(t):
-    """Event props flattened to text parameters (rows-only)."""
+    """Event props flattened to text parameters: scalars as their text,
+    lists, objects and nulls as JSON text."""
     return J.flatten_params(t.events, "props", ["event_id"])

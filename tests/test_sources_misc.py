@@ -109,3 +109,23 @@ def test_daily_monitoring_job(spark, tmp_path):
     from tessera.plans.jobs import daily_monitoring_job
     out = daily_monitoring_job(spark, "/root/testdata/sf0.001", str(tmp_path))
     assert out["reports"].count() == 24 and out["alerts"].count() >= 1
+
+
+def test_flattened_props_oracle_on_mixed_json(spark, tmp_path):
+    """J4 in Spark equals the registered DuckDB oracle on every JSON kind."""
+    import duckdb
+
+    from tessera.plans.catalog import ORACLE
+    props = ['{"k": 3, "s": "a b", "t": true}', '{"f": 1.5, "n": null}',
+             '{"l": [1, 2], "o": {"x": "y"}}', None, '{}']
+    src = str(tmp_path / "events.parquet")
+    spark.createDataFrame([(i, p) for i, p in enumerate(props)],
+                          "event_id bigint, props string").coalesce(1).write.parquet(src)
+    got = sorted((r.event_id, r.key, r.value, r.is_scalar)
+                 for r in J.flatten_params(spark.read.parquet(src), "props", ["event_id"]).collect())
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{src}')")
+    want = sorted((int(a), b, c, bool(d)) for a, b, c, d in
+                  con.execute(ORACLE["flattened_props"]).fetchall())
+    assert got == want
+    assert (2, "o", '{"x":"y"}', False) in got and (1, "n", "null", False) in got
