@@ -8,6 +8,7 @@ from ..config import DEFAULT
 from ..operators import features as FE
 from ..operators import sample as S
 from ..sources import views as V
+from ..session import cut_lineage
 from .catalog import register
 from .oracle_views import V_REVIEWS, sql_clean_text, sql_md5_order, with_views
 
@@ -65,9 +66,13 @@ w AS (SELECT dt.doc_id, dt.term, dt.tf * idf.idf AS w FROM dt JOIN idf ON dt.ter
 SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM w""",
           "doc_id:int term:str weight:dbl")
 def tfidf_weights(t):
-    """K1: TF-IDF weights of the test split, vocabulary and idf fitted on train."""
-    s = S.stratified_split(V.reviews(t), "doc_id", "label", CFG)
-    g = FE.with_grams(s.select("doc_id", "split", "text"), "text", "grams", CFG.ngram_max, key="doc_id")
+    """K1: TF-IDF weights of the test split, vocabulary and idf fitted on train.
+
+    Both branches (train fit, test weights) read the split, so it is written
+    once to the shared checkpoint folder instead of ranked twice."""
+    s = cut_lineage(S.stratified_split(V.reviews(t), "doc_id", "label", CFG)
+                    .select("doc_id", "split", "text"), "tfidf_split")
+    g = FE.with_grams(s, "text", "grams", CFG.ngram_max, key="doc_id")
     train = g.where(F.col("split") == "train")
     idf, _ = FE.fit_vocabulary(train, "doc_id", "grams", CFG)
     test_terms = FE.doc_terms(g.where(F.col("split") == "test"), "doc_id", "grams")
