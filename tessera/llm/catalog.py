@@ -6,11 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .language import op3_language
+from .mixing import op1_mixing
 from .token_counts import op10_token_counts
 from .token_file import op7_token_file
+from .url_filter import op4_url_filter
 from .word_table import op8_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
+    "op3_language": op3_language,
+    "op4_url_filter": op4_url_filter,
     "op7_token_file": op7_token_file,
     "op8_bpe": op8_bpe,
     "op10_token_counts": op10_token_counts,
