@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .jaccard_join import op9_jaccard_join
 from .language import op3_language
 from .mixing import op1_mixing
 from .token_counts import op10_token_counts
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filter": op4_url_filter,
     "op7_token_file": op7_token_file,
     "op8_bpe": op8_bpe,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_token_counts": op10_token_counts,
 }
 ORACLE: dict[str, str] = {}
