@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .jaccard_join import op9_jaccard_join
 from .language import op3_language
 from .mixing import op1_mixing
+from .near_vectors import OP2_SQL, op2_near_vectors
 from .token_counts import op10_token_counts
 from .token_file import op7_token_file
 from .url_filter import op4_url_filter
@@ -16,6 +17,7 @@ from .word_table import op8_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_near_vectors": op2_near_vectors,
     "op3_language": op3_language,
     "op4_url_filter": op4_url_filter,
     "op7_token_file": op7_token_file,
@@ -23,4 +25,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_token_counts": op10_token_counts,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_near_vectors": OP2_SQL,
+}
