@@ -10,6 +10,7 @@ from .jaccard_join import op9_jaccard_join
 from .language import op3_language
 from .mixing import op1_mixing
 from .near_vectors import OP2_SQL, op2_near_vectors
+from .neighbour_graph import op5_neighbours
 from .substring_dedup import op6_substring_dedup
 from .token_counts import op10_token_counts
 from .token_file import op7_token_file
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_vectors": op2_near_vectors,
     "op3_language": op3_language,
     "op4_url_filter": op4_url_filter,
+    "op5_neighbours": op5_neighbours,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_token_file": op7_token_file,
     "op8_bpe": op8_bpe,
