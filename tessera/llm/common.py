@@ -91,5 +91,13 @@ def documents(df: DataFrame, *more: str) -> DataFrame:
     return df.select(*cols, *[df[c] for c in more])
 
 
-__all__ = ["F", "binary_column", "cut", "documents", "partitions", "ragged", "slices",
+def free_name(df: DataFrame, base: str) -> str:
+    """``base``, with underscores before it until no column has that name."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base = "_" + base
+    return base
+
+
+__all__ = ["F", "binary_column", "cut", "documents", "free_name", "partitions", "ragged", "slices",
            "spread_rows", "table", "utf8_batch"]

@@ -31,10 +31,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import binary_column, cut, documents, partitions, ragged, slices, table
+from .common import binary_column, cut, documents, free_name, partitions, ragged, slices, table
 from .components import components
 from .shingles import HASHES, mix64, shingles, signatures
 
@@ -281,25 +281,52 @@ def link_nodes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float =
     return info, links
 
 
-def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
-    """Per row of ``docs``: ``doc_id, class_id`` (smallest doc_id reachable by
-    links or copies, itself included), ``n_links`` (other documents linked
-    directly, copies included), ``n_copies`` (rows with this text), ``kept``."""
-    rows = documents(docs).withColumn("node", node(F.col("text")))
+def classes(rows: DataFrame, threshold: float, tolerance: float) -> DataFrame:
+    """Per text with a word of ``doc_id, node, text`` rows: ``node, class_id,
+    class_node`` (the text that stands for its class), ``copies, n_links``."""
     info, links = link_nodes(rows, threshold, tolerance)
     roots = components(links.select(F.col("node").alias("a"), F.col("joined").alias("b")))
     counts = links.groupBy("node").agg(F.sum("links").alias("links"))
     info = (info.join(counts, "node", "left").join(roots, "node", "left")
             .withColumn("root", F.coalesce("root", "node")))
-    first = info.groupBy("root").agg(F.min("first_doc").alias("class_id"))
-    info = cut(info.join(first, "root").select(
-        "node", "class_id", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "classes")
+    first = info.groupBy("root").agg(F.min(F.struct(F.col("first_doc").isNull().alias("no_id"), "first_doc", "node")).alias("least"))
+    return cut(info.join(first, "root").select(
+        "node", F.col("least.first_doc").alias("class_id"), F.col("least.node").alias("class_node"), "copies",
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "classes")
+
+
+def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+    """Per row of ``docs``: ``doc_id, class_id`` (smallest doc_id reachable by
+    links or copies, itself included), ``n_links`` (other documents linked
+    directly, copies included), ``n_copies`` (rows with this text), ``kept``."""
+    rows = documents(docs).withColumn("node", node(F.col("text")))
+    info = classes(rows, threshold, tolerance)
     out = rows.select("doc_id", "node").join(info, "node", "left")
     known = F.col("copies").isNotNull()
+    first = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("node") == F.col("class_node"))
     return out.select("doc_id", F.when(known, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
                       F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                       F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies"),
-                      F.when(known, F.col("doc_id").eqNullSafe(F.col("class_id"))).otherwise(True).alias("kept"))
+                      F.when(known, first).otherwise(True).alias("kept"))
+
+
+def keep_one(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+    """``docs``, all columns, with one row of each class: its smallest doc_id. Texts
+    without a word all stay. Of rows equal in doc_id and text any one stays."""
+    rows = documents(docs).withColumn("node", node(F.col("text")))
+    own, theirs, first, least = (free_name(docs, c) for c in ("_own", "_node", "_class_node", "_class_id"))
+    info = classes(rows, threshold, tolerance).select(
+        F.col("node").alias(theirs), F.col("class_node").alias(first), F.col("class_id").alias(least))
+    joined = docs.withColumn(own, node(docs["text"].cast("string"))).join(info, F.col(own) == F.col(theirs), "left")
+    stays = F.col(theirs).isNull() | ((F.col(own) == F.col(first)) & docs["doc_id"].cast("long").eqNullSafe(F.col(least)))
+    kept = joined.where(stays)
+    again = rows.groupBy("doc_id", "node").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and node is not null").limit(1).count()
+    if again:
+        # equal rows of a class are told apart by a running number
+        one = F.row_number().over(Window.partitionBy(own, "doc_id").orderBy(F.lit(0)))
+        number = free_name(docs, "_number")
+        kept = kept.withColumn(number, one).where(F.col(theirs).isNull() | (F.col(number) == 1))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, slices, table
+from .common import documents, free_name, slices, table
 
 BITS = 16
 DIM = 16
@@ -213,8 +213,8 @@ def fit(docs: DataFrame) -> Model:
 
 def classify(df: DataFrame, model: Model, out: str = "language") -> DataFrame:
     """``df`` with a struct ``out`` (lang, score, rejected) from its ``text``."""
-    if out in df.columns:
-        raise ValueError(f"the input has a column {out}")
+    if free_name(df, out) != out:
+        raise ValueError(f"the input has a column {out}; name another")
     shared = df.sparkSession.sparkContext.broadcast(model)  # 2**BITS x languages
 
     def predict(batches):
@@ -233,6 +233,12 @@ def classify(df: DataFrame, model: Model, out: str = "language") -> DataFrame:
     return df.mapInArrow(predict, schema)
 
 
+def accepted(docs: DataFrame) -> DataFrame:
+    """``docs``, all columns, without the rows that the model trained on them rejects."""
+    out = free_name(docs, "language")
+    return classify(docs, fit(docs), out).where(~F.col(out)["rejected"]).drop(out)
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     got = classify(documents(docs), fit(docs))

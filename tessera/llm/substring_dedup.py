@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import binary_column, cut, documents, partitions, ragged, slices, table, utf8_batch
+from .common import binary_column, cut, documents, free_name, partitions, ragged, slices, table, utf8_batch
 from .jaccard_join import node
 from .shingles import mix64
 from .suffix_sort import PrefixHash
@@ -290,7 +290,7 @@ def _cut_text(batches):
     for batch in batches:
         for part in slices(batch, "text"):
             texts = [None if t is None else keep(t.encode(), merge(s)).decode("utf-8", "ignore")
-                     for t, s in zip(part.column("text").to_pylist(), part.column("spans").to_pylist())]
+                     for t, s in zip(part.column("text").to_pylist(), part.column(part.num_columns - 1).to_pylist())]
             at = part.schema.get_field_index("text")
             cols = list(part.columns)
             cols[at] = pa.array(texts, pa.string())
@@ -308,9 +308,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     """``docs``, all columns, with the repeated bytes cut out of ``text``. A
     character that loses some of its bytes goes whole."""
     rows = documents(docs).withColumn("node", node(F.col("text")))
-    spans = repeated_spans(rows, length, gram).select(F.col("node").alias("_node"), F.col("spans").alias("_spans"))
-    joined = docs.withColumn("_own", node(docs["text"].cast("string"))).join(spans, F.col("_own") == F.col("_node"), "left")
-    return joined.select(*[joined[f"`{c}`"] for c in docs.columns], F.col("_spans").alias("spans")).mapInArrow(_cut_text, docs.schema)
+    own, theirs, cuts = (free_name(docs, c) for c in ("_own", "_node", "_spans"))
+    spans = repeated_spans(rows, length, gram).select(F.col("node").alias(theirs), F.col("spans").alias(cuts))
+    joined = docs.withColumn(own, node(docs["text"].cast("string"))).join(spans, F.col(own) == F.col(theirs), "left")
+    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], cuts).mapInArrow(_cut_text, docs.schema)
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -74,76 +74,62 @@ def _split_blocks(path: str, n_parts: int, kind: int):
     list that they were counted in."""
 
     def blocks(batches):
-        index: dict[str, int] = {}
+        index, words, keys = bpe.KeyIndex(), [], []
         held: list[tuple[int, bytes, bytes]] = []
         n_words = n_rows = 0
 
         def close():
-            words = pa.array(list(index), pa.string())
-            off = np.frombuffer(words.buffers()[1], np.int32)[:len(words) + 1].astype(np.int64)
-            raw = words.buffers()[2]
-            data = np.frombuffer(raw, np.uint8)[:off[-1]] if raw is not None else np.empty(0, np.uint8)
-            lens = np.diff(off)
-            name = xxhash.xxh3_64_intdigest(data.tobytes() + lens.astype("<u4").tobytes()) >> 1
+            name = xxhash.xxh3_64_intdigest(np.concatenate(keys).tobytes()) >> 1
             if kind == DOCS:
                 for n, docs, at in held:
                     yield _row(name, DOCS, 0, n, docs, at)
-                held.clear()
-            else:
-                part = _word_hash(data, off) % np.uint64(n_parts)
-                order = np.argsort(part, kind="stable")
-                ends = np.searchsorted(part[order], np.arange(n_parts), side="right")
-                lo = 0
-                for p, hi in enumerate(ends.tolist()):
-                    if hi > lo:
-                        take = order[lo:hi]
-                        yield _row(name, WORDS, p, hi - lo, None, _shrink(
-                            take.astype("<u4"), lens[take].astype("<u4"), data[ragged(off[take], lens[take])]))
-                    lo = hi
-            index.clear()
+                return
+            text = pa.array(words, pa.string())
+            off = np.frombuffer(text.buffers()[1], np.int32)[:len(text) + 1].astype(np.int64)
+            data = np.frombuffer(text.buffers()[2], np.uint8)[:off[-1]] if len(text) else np.empty(0, np.uint8)
+            lens = np.diff(off)
+            part = np.concatenate(keys) % np.uint64(n_parts)
+            order = np.argsort(part, kind="stable")
+            ends = np.searchsorted(part[order], np.arange(n_parts), side="right")
+            lo = 0
+            for p, hi in enumerate(ends.tolist()):
+                if hi > lo:
+                    take = order[lo:hi]
+                    yield _row(name, WORDS, p, hi - lo, None, _shrink(
+                        take.astype("<u4"), lens[take].astype("<u4"), data[ragged(off[take], lens[take])]))
+                lo = hi
 
         for whole in batches:
             for batch in slices(whole, "text"):
-                words = [bpe.split(t, path) if t else [] for t in batch.column("text").to_pylist()]
-                for ws in words:
-                    for w in dict.fromkeys(ws):
-                        if w not in index:
-                            index[w] = len(index)
-                counts = np.fromiter(map(len, words), "<u4", len(words))
-                total = int(counts.sum())
-                n_words, n_rows = n_words + total, n_rows + len(words)
+                joined, cp, at, first = bpe.word_starts([t or "" for t in batch.column("text").to_pylist()], path)
+                if not keys:
+                    keys.append(np.empty(0, np.uint64))
+                if len(cp):
+                    key = bpe.word_keys(cp, at)
+                    number, fresh = index.add(key)
+                    keys.append(key[fresh])
+                else:
+                    number = fresh = np.empty(0, np.int64)
+                n_words, n_rows = n_words + len(number), n_rows + batch.num_rows
                 if kind == DOCS:
-                    at = np.fromiter((index[w] for ws in words for w in ws), "<u4", total)
                     ids = batch.column("doc_id")
                     docs = _shrink(np.asarray(ids.fill_null(0), "<i8"),
-                                   np.asarray(ids.is_valid()).astype("u1"), counts)
+                                   np.asarray(ids.is_valid()).astype("u1"), np.diff(first).astype("<u4"))
                     # byte planes compress better than 4-byte numbers
-                    planes = at.view(np.uint8).reshape(-1, 4)
+                    planes = number.astype("<u4").view(np.uint8).reshape(-1, 4)
                     held.append((batch.num_rows, docs,
                                  _shrink(*[np.ascontiguousarray(planes[:, i]) for i in range(4)])))
-                if n_words >= BLOCK_WORDS or len(index) >= BLOCK_DISTINCT:
+                else:
+                    words.extend(joined[a:b] for a, b in zip(at[fresh].tolist(), at[fresh + 1].tolist()))
+                if n_words >= BLOCK_WORDS or index.size >= BLOCK_DISTINCT:
                     yield from close()
-                    n_words = n_rows = 0
+                    index, n_words, n_rows = bpe.KeyIndex(), 0, 0
+                    words.clear(), keys.clear(), held.clear()
         if n_rows:
             yield from close()
     return blocks
 
 
-def _word_hash(data: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """Polynomial hash of each word, mixed (only deals words to parts)."""
-    if not len(data):
-        return np.zeros(len(off) - 1, np.uint64)
-    lens = np.diff(off)
-    power = np.cumprod(np.full(int(lens.max(initial=1)) + 1, 0x9E3779B97F4A7C15, np.uint64))
-    place = np.arange(len(data)) - np.repeat(off[:-1], lens)
-    sums = np.concatenate([np.zeros(1, np.uint64),
-                           np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[place])])
-    h = sums[off[1:]] - sums[off[:-1]]
-    h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(32))
-
-
 def _encode_parts(path: str):
     """Rows of a part (sorted by part): encode the part's distinct words once,
     return every block its words' ids in the block's order."""
