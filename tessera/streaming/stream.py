@@ -1,10 +1,19 @@
 """Structured Streaming forms of the monitoring jobs.
 
-Sources are file streams over parquet (``maxFilesPerTrigger`` bounds a
-micro-batch); sinks are parquet with a checkpoint in the shared checkpoint
-folder, so a restarted query resumes exactly once. ``run_available`` drives
-a query with ``trigger(availableNow=True)``, which processes what is there
-and then flushes windows the watermark has closed.
+Sources are file streams over parquet; sinks are parquet with a checkpoint in
+the shared checkpoint folder. ``run_available`` drives a query with
+``trigger(availableNow=True)``, which processes what is there and then flushes
+what the watermark has closed.
+
+A backlog is read as one micro-batch unless ``max_files`` says otherwise: the
+watermark then moves after all of it, so the answer does not depend on the
+order of the files. With ``max_files`` the files must come in event-time order
+within the watermark delay; rows that the watermark drops are counted, and a
+run that dropped any raises unless the caller accepts them.
+
+Each run has a checkpoint and an output of its own. A run that must resume
+names a ``resume`` key; the folder then depends on that key, the source and the
+query's configuration, never on the name alone.
 
 ``withWatermark`` needs TIMESTAMP (not TIMESTAMP_NTZ): event time is cast
 with the session zone pinned to UTC.
@@ -13,8 +22,10 @@ with the session zone pinned to UTC.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,33 +46,52 @@ def _stream_path(path: str) -> str:
     return path
 
 
-def event_stream(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
+class LateRows(RuntimeError):
+    """The watermark dropped rows of a run that had to be complete."""
+
+
+def event_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Events as a stream, event time ``ts`` cast to TIMESTAMP (UTC)."""
-    s = (spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", max_files)
-         .parquet(_stream_path(path)))
-    return s.withColumn("ts", F.col("ts").cast("timestamp"))
+    r = spark.readStream.schema(EVENTS_SCHEMA)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    return r.parquet(_stream_path(path)).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _location(spark: SparkSession, name: str, source: str) -> tuple[str, str]:
-    tag = hashlib.md5(source.encode()).hexdigest()[:12]
+def _location(spark: SparkSession, name: str, source: str, resume: str | None = None) -> tuple[str, str]:
+    tag = uuid.uuid4().hex if resume is None else hashlib.md5(f"{source}\n{resume}".encode()).hexdigest()
     base = scratch_path(spark, f"streams/{name}-{tag}")
     return f"{base}/checkpoint", f"{base}/output"
 
 
+def late_rows(query) -> int:
+    """Rows that the watermark has dropped, over the query's recent progress."""
+    return sum(int(op.get("numRowsDroppedByWatermark", 0))
+               for p in query.recentProgress for op in p["stateOperators"])
+
+
+def _finish(query, allow_late: bool) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    dropped = late_rows(query)
+    if dropped and not allow_late:
+        raise LateRows(f"{query.name or 'stream'}: {dropped} rows came after the watermark; read the backlog as "
+                       "one micro-batch, order its files by event time or raise the delay")
+
+
 def run_available(df: DataFrame, name: str, source: str, mode: str = "append",
-                  partition_by: list[str] | None = None) -> DataFrame:
+                  partition_by: list[str] | None = None, resume: str | None = None,
+                  allow_late: bool = False) -> DataFrame:
     """Run a streaming frame to completion on what is available; return the
-    sink as a batch DataFrame. Idempotent: a rerun on the same source and
-    checkpoint adds nothing."""
+    sink as a batch DataFrame. With ``resume`` (name the configuration and the
+    model in it) a rerun goes on from its checkpoint and adds nothing twice."""
     spark = df.sparkSession
-    ckpt, out = _location(spark, name, source)
+    ckpt, out = _location(spark, name, source, resume)
     w = df.writeStream.format("parquet").option("checkpointLocation", ckpt).outputMode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    q = w.trigger(availableNow=True).start(out)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
+    _finish(w.trigger(availableNow=True).start(out), allow_late)
     return spark.read.schema(df.schema).parquet(out)
 
 
@@ -102,40 +132,51 @@ def user_sessions(events: DataFrame, gap: str = "30 minutes", delay: str = "1 ho
 # --- X4: fixed-window rate flagging (window opens at the first hit) -------------------
 
 RATE_OUT = "event_id BIGINT, user_id BIGINT, ts_us BIGINT, window_start_us BIGINT, hits INT"
-RATE_STATE = "window_start_us BIGINT, hits INT"
+RATE_STATE = "window_start_us BIGINT, hits INT, ts_us ARRAY<BIGINT>, ids ARRAY<BIGINT>"
+
+
+def fold_hits(ts: np.ndarray, span: int, start: int | None, hits: int):
+    """Window start and hit number of each of the sorted times ``ts``, going on
+    from an open window (``start``, ``hits``). Jumps from window to window."""
+    starts, counts = np.empty(len(ts), np.int64), np.empty(len(ts), np.int32)
+    at = 0
+    while at < len(ts):
+        if start is None or ts[at] >= start + span:
+            start, hits = int(ts[at]), 0
+        end = int(np.searchsorted(ts, start + span, side="left"))
+        starts[at:end] = start
+        counts[at:end] = hits + np.arange(1, end - at + 1)  # rejected hits count too
+        hits += end - at
+        at = end
+    return starts, counts, start, hits
 
 
 def _rate_fn(window_s: int, timeout: bool):
     span = window_s * 1_000_000  # microseconds
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            # The watermark has passed this user's window end, so any hit
-            # still accepted opens a new window: the state is not needed.
-            state.remove()
+        start, hits, ts, ids = state.get if state.exists else (None, 0, [], [])
+        parts = [] if state.hasTimedOut else [(p["ts_us"].to_numpy(), p["event_id"].to_numpy()) for p in pdfs]
+        ts = np.concatenate([np.asarray(ts, np.int64), *[p[0] for p in parts]])
+        ids = np.concatenate([np.asarray(ids, np.int64), *[p[1] for p in parts]])
+        order = np.lexsort((ids, ts))
+        ts, ids = ts[order], ids[order]
+        # Hits up to the watermark are complete: Spark lets no earlier one in.
+        wm = state.getCurrentWatermarkMs() if timeout else None
+        n = int(np.searchsorted(ts, wm * 1000, side="right")) if timeout else len(ts)
+        starts, counts, start, hits = fold_hits(ts[:n], span, start, hits)
+        if n:
+            yield pd.DataFrame({"event_id": ids[:n], "user_id": key[0], "ts_us": ts[:n],
+                                "window_start_us": starts, "hits": counts})
+        if not timeout:
+            state.update((start, hits, [], []))
             return
-        start, hits = state.get if state.exists else (None, 0)
-        for pdf in pdfs:
-            pdf = pdf.sort_values(["ts_us", "event_id"])
-            tss = pdf["ts_us"].tolist()
-            starts, counts = [], []
-            for t in tss:
-                if start is None or t >= start + span:
-                    start, hits = t, 0
-                hits += 1  # rejected hits still count, as the counter does
-                starts.append(start)
-                counts.append(hits)
-            yield pd.DataFrame({"event_id": pdf["event_id"].to_numpy(), "user_id": key[0],
-                                "ts_us": tss, "window_start_us": starts, "hits": counts})
-        if start is None:
+        if n == len(ts) and (start is None or start + span <= wm * 1000):
+            state.remove()  # nothing waits and the window is over
             return
-        end_ms = -(-(start + span) // 1000)
-        if timeout and end_ms <= state.getCurrentWatermarkMs():
-            state.remove()  # window already closed for every hit that is not late
-            return
-        state.update((int(start), int(hits)))
-        if timeout:
-            state.setTimeoutTimestamp(end_ms)
+        state.update((start, hits, ts[n:].tolist(), ids[n:].tolist()))
+        due = ts[n] if n < len(ts) else start + span
+        state.setTimeoutTimestamp(max(int(due) // 1000 - 1, wm + 1))
     return fn
 
 
@@ -143,17 +184,15 @@ def rate_flags(events: DataFrame, cfg: Config = DEFAULT, limit: int | None = Non
                window_s: int | None = None, late_delay: str | None = "default") -> DataFrame:
     """Per key a fixed window opens at the first hit and lasts
     ``window_s``; a hit is flagged when the count in its window exceeds
-    ``limit``. The rows of one key in one call are bounded by the
-    micro-batch (``maxFilesPerTrigger``). Order inside a micro-batch is
-    (ts, event_id); across batches, arrival.
-
-    State is two numbers per user. With ``late_delay`` (default
-    ``cfg.rate_late_delay``) the stream is watermarked and a user's state
-    times out once the watermark passes the end of their window, so state is
-    bounded by the users active within the delay; hits older than the
-    watermark are dropped, as in the other watermarked streams. With
-    ``late_delay=None`` every hit is counted in arrival order and the state
-    keeps one entry per user ever seen."""
+    ``limit``.
+
+    Hits wait in the key's state until the watermark (``late_delay``, default
+    ``cfg.rate_late_delay``) has passed them, and are then counted in
+    (ts, event_id) order, however they were split into files, micro-batches and
+    Arrow batches. The state holds the hits of the delay and one open window,
+    and times out with it. With ``late_delay=None`` hits are counted as they
+    arrive, in (ts, event_id) order inside a micro-batch, and the state keeps
+    two numbers for every user ever seen."""
     lim = limit if limit is not None else cfg.rate_limit_per_minute
     win = window_s if window_s is not None else cfg.rate_window_seconds
     delay = cfg.rate_late_delay if late_delay == "default" else late_delay
@@ -168,20 +207,6 @@ def rate_flags(events: DataFrame, cfg: Config = DEFAULT, limit: int | None = Non
                     (F.col("hits") > lim).alias("flagged")))
 
 
-def rate_flags_reference(rows: list[tuple], limit: int, window_s: int) -> dict:
-    """Sequential simulation of X4 for tests: ``rows`` = (event_id, user, ts)."""
-    state: dict = {}
-    out = {}
-    for eid, user, ts in sorted(rows, key=lambda r: (r[2], r[0])):
-        start, hits = state.get(user, (None, 0))
-        if start is None or (ts - start).total_seconds() >= window_s:
-            start, hits = ts, 0
-        hits += 1
-        state[user] = (start, hits)
-        out[eid] = (hits, hits > limit)
-    return out
-
-
 # --- X5: late and duplicate events --------------------------------------------------
 
 def deduplicated(events: DataFrame, delay: str = "1 hour") -> DataFrame:
@@ -193,35 +218,39 @@ def deduplicated(events: DataFrame, delay: str = "1 hour") -> DataFrame:
 # --- X6: streaming scoring to the log ---------------------------------------------------
 
 def scored_stream(model, stream: DataFrame, text_col: str, key_cols: list[str],
-                  model_version: str, cfg: Config = DEFAULT) -> DataFrame:
-    """Every row-local model stage applies to a stream unchanged."""
-    from ..operators.model import predict
-    from ..functions.common import det_id
-    s = predict(model, stream.where(F.char_length(text_col).between(1, cfg.max_text_length)),
-                text_col)
-    return s.select(
-        det_id(F.lit("stream"), *key_cols).alias("id"), *key_cols,
-        F.sha2(F.col(text_col), 256).alias("input_text_hash"),
-        F.char_length(text_col).cast("int").alias("input_length"),
-        "predicted_sentiment", F.col("confidence").cast("decimal(5,4)").alias("confidence"),
-        F.lit(model_version).alias("model_version"), F.lit(cfg.registry_name).alias("model_name"))
+                  model_version: str, cfg: Config = DEFAULT, batch_id: str = "stream") -> DataFrame:
+    """Every row-local model stage applies to a stream unchanged. The rows
+    are prediction-log rows (S8), like those of a batch. Texts outside the
+    admissible lengths are ``rejected_stream``'s."""
+    from ..operators.model import log_rows, predict
+    s = predict(model, stream.where(F.char_length(text_col).between(1, cfg.max_text_length)), text_col)
+    return log_rows(s, text_col, key_cols, model_version, cfg.registry_name, cfg.as_of, batch_id)
+
+
+def rejected_stream(stream: DataFrame, text_col: str, key_cols: list[str], cfg: Config = DEFAULT) -> DataFrame:
+    """The quarantine side of X6/V12: keys and lengths of texts that are not scored."""
+    n = F.char_length(text_col)
+    return stream.where(~F.coalesce(n.between(1, cfg.max_text_length), F.lit(False))).select(
+        *key_cols, n.alias("input_length"),
+        F.when(n.isNull(), "null text").when(n < 1, "empty text").otherwise("text too long").alias("reason"))
 
 
 # --- X2 (full): sliding-window drift computed per micro-batch ----------------------
 
 def drift_on_closed_windows(events: DataFrame, reference_counts: DataFrame, features: list[str],
-                            out_root: str, name: str, source: str, cfg: Config = DEFAULT,
-                            delay: str = "1 day") -> tuple[DataFrame, DataFrame]:
+                            name: str, source: str, cfg: Config = DEFAULT,
+                            delay: str = "1 day", resume: str | None = None,
+                            allow_late: bool = False) -> tuple[DataFrame, DataFrame]:
     """X2 -> R1/R2/R4 in ``foreachBatch``.
 
     The stream counts (7-day window sliding by 1 day, feature, category); a
     window closes when the watermark passes its end, and its end is the
     report date (current window ``[d - 7 days, d)``, as in the batch job).
     Each micro-batch aligns its closed windows with the reference counts
-    (``feature, category, ref_n``; small, broadcast by row bound), scores
+    (``feature, category, ref_n``; written once, read by every batch), scores
     them and writes reports and alerts under ``batch=<epoch>`` with
     overwrite, so a replayed epoch rewrites rather than duplicates.
-    Returns the reports and alerts written so far.
+    Returns the reports and alerts written (no rows if no window closed).
     """
     from ..operators import alerts as AL
     from ..operators import drift as D
@@ -235,14 +264,14 @@ def drift_on_closed_windows(events: DataFrame, reference_counts: DataFrame, feat
               .groupBy(F.window("created_at", win, "1 day").alias("w"), "feature", "category")
               .agg(F.count(F.lit(1)).alias("n"))
               .select(F.to_date(F.col("w.end")).alias("report_date"), "feature", "category", "n"))
-    ref = F.broadcast(reference_counts.select("feature", "category", "ref_n"))
+    ckpt, out_root = _location(spark, name, source, resume)
+    ref_path = f"{out_root}/reference"
+    reference_counts.select("feature", "category", "ref_n").write.mode("overwrite").parquet(ref_path)
+    ref = spark.read.parquet(ref_path)
     reports_path, alerts_path = f"{out_root}/drift_reports", f"{out_root}/alerts"
 
-    def score(batch: DataFrame, epoch: int) -> None:
-        cur = batch.where(F.col("report_date") >= F.lit(cfg.reference_end))
-        dates = [r[0] for r in cur.select("report_date").distinct().collect()]  # windows closed in this batch
-        if not dates:
-            return
+    def scored(cur: DataFrame, dates: list) -> tuple[DataFrame, DataFrame]:
+        # reference categories x closed windows of this batch
         ref_rows = ref.select(F.explode(F.array(*[F.lit(d) for d in dates])).alias("report_date"),
                               "feature", "category", "ref_n", F.lit(0).cast("bigint").alias("cur_n"))
         cur_rows = cur.select("report_date", "feature", "category",
@@ -250,24 +279,32 @@ def drift_on_closed_windows(events: DataFrame, reference_counts: DataFrame, feat
         aligned = (ref_rows.unionByName(cur_rows).groupBy("report_date", "feature", "category")
                    .agg(F.sum("ref_n").alias("ref_n"), F.sum("cur_n").alias("cur_n")))
         dist = D._distances(aligned, cfg.drift_threshold, ["report_date", "feature"])
-        reports = D.reports_from_distances(dist, cfg).persist()
-        reports.write.mode("overwrite").parquet(f"{reports_path}/batch={epoch}")
-        AL.alerts_from_reports(reports, cfg).write.mode("overwrite").parquet(f"{alerts_path}/batch={epoch}")
-        reports.unpersist()
-
-    ckpt, _ = _location(spark, name, source)
-    q = (counts.writeStream.outputMode("append").option("checkpointLocation", ckpt)
-         .foreachBatch(score).trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    return _read_or_none(spark, reports_path), _read_or_none(spark, alerts_path)
-
-
-def _read_or_none(spark: SparkSession, path: str):
-    """The sink folder, or None when no micro-batch closed a window yet."""
+        reports = D.reports_from_distances(dist, cfg)
+        return reports, AL.alerts_from_reports(reports, cfg)
+
+    def score(batch: DataFrame, epoch: int) -> None:
+        cur = batch.where(F.col("report_date") >= F.lit(cfg.reference_end)).persist()
+        try:
+            dates = [r[0] for r in cur.select("report_date").distinct().collect()]  # windows closed in this batch
+            if dates:
+                reports, _ = scored(cur, dates)
+                reports.write.mode("overwrite").parquet(f"{reports_path}/batch={epoch}")
+                written = spark.read.schema(reports.schema).parquet(f"{reports_path}/batch={epoch}")
+                AL.alerts_from_reports(written, cfg).write.mode("overwrite").parquet(f"{alerts_path}/batch={epoch}")
+        finally:
+            cur.unpersist()
+
+    _finish(counts.writeStream.outputMode("append").option("checkpointLocation", ckpt)
+            .foreachBatch(score).trigger(availableNow=True).start(), allow_late)
+    none = spark.createDataFrame([], "report_date date, feature string, category string, n bigint")
+    shapes = scored(none, [cfg.reference_end])
+    return tuple(_read_or_empty(spark, p, d.schema) for p, d in zip((reports_path, alerts_path), shapes))
+
+
+def _read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The sink folder, or an empty frame when no micro-batch has written it."""
     from pyspark.errors import AnalysisException
     try:
-        return spark.read.parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException:
-        return None
+        return spark.createDataFrame([], schema)

@@ -1,8 +1,11 @@
 """Baseline training (K2-K3), TF-IDF shape (K1) and the rate-flag stream."""
 
+import collections
 import random
 from datetime import datetime, timedelta
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.config import DEFAULT
@@ -39,64 +42,140 @@ def test_tfidf_shapes(spark):
     assert len(norms) == 4 and all(abs(r.s - 1) < 1e-9 for r in norms)
 
 
-def test_rate_flags_match_sequential(spark, tmp_path):
-    rnd = random.Random(2)
-    t0 = datetime(2024, 1, 1)
-    rows = [(i, rnd.randint(0, 3), t0 + timedelta(seconds=rnd.randint(0, 600))) for i in range(500)]
-    src = tmp_path / "events"
-    spark.createDataFrame([(i, ts, u, "view", 1.0, "{}") for i, u, ts in rows],
-                          ST.EVENTS_SCHEMA).coalesce(1).write.parquet(str(src))
-    out = ST.run_available(ST.rate_flags(ST.event_stream(spark, str(src)), DEFAULT, limit=5,
-                                         window_s=60), "rate_test", str(src))
-    got = {r.event_id: (r.hits, r.flagged) for r in out.collect()}
-    assert got == ST.rate_flags_reference(rows, 5, 60)
+def sequential(rows, limit, window_s):
+    """X4 one hit at a time: ``rows`` = (event_id, user, ts)."""
+    state, out = {}, {}
+    for eid, user, ts in sorted(rows, key=lambda r: (r[2], r[0])):
+        start, hits = state.get(user, (None, 0))
+        if start is None or (ts - start).total_seconds() >= window_s:
+            start, hits = ts, 0
+        state[user] = (start, hits + 1)
+        out[eid] = (hits + 1, hits + 1 > limit)
+    return out
+
 
+def closed(rows, delay):
+    """Events that the watermark has passed at the end."""
+    last = max(ts for _, _, ts in rows)
+    return {e for e, _, ts in rows if ts <= last - delay}
 
 
-def _rate_source(spark, root, slices):
-    """One parquet file per slice, named so the file stream reads them in order."""
-    for i, rows in enumerate(slices):
+def write_slices(spark, root, slices):
+    """One parquet file per slice, written (and so listed) in order."""
+    for rows in slices:
         spark.createDataFrame([(e, ts, u, "view", 1.0, "{}") for e, u, ts in rows],
-                              ST.EVENTS_SCHEMA).coalesce(1).write.parquet(f"{root}/part={i:03d}")
-    return ST.event_stream(spark, str(root))
+                              ST.EVENTS_SCHEMA).coalesce(1).write.mode("append").parquet(str(root))
+    return str(root)
+
+
+def hits_of(df):
+    return {r.event_id: (r.hits, r.flagged) for r in df.collect()}
+
+
+T0 = datetime(2024, 1, 1)
+
+
+@pytest.mark.parametrize("per_batch", [100, 10_000])
+def test_rate_flags_match_sequential_over_shuffled_files(spark, tmp_path, per_batch):
+    rnd = random.Random(2)
+    rows = [(i, rnd.randint(0, 2), T0 + timedelta(milliseconds=rnd.randint(0, 4 * 3_600_000))) for i in range(4000)]
+    parts = [rows[i::8] if i % 2 else sorted(rows[i::8], key=lambda r: r[2], reverse=True) for i in range(8)]
+    src = write_slices(spark, tmp_path / "events", parts)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", per_batch)
+    try:
+        flags = ST.rate_flags(ST.event_stream(spark, src), DEFAULT, limit=5, window_s=60)
+        got = hits_of(ST.run_available(flags, "rate_test", src))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    want = sequential(rows, 5, 60)
+    assert got == {e: want[e] for e in closed(rows, timedelta(hours=1))}
+
+
+def test_fold_hits_equals_one_by_one():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        ts = np.sort(rng.integers(0, 300, rng.integers(1, 60)))
+        cut = int(rng.integers(0, len(ts) + 1))
+        s1, c1, start, hits = ST.fold_hits(ts[:cut], 40, None, 0)
+        s2, c2, _, _ = ST.fold_hits(ts[cut:], 40, start, hits)
+        want = sequential([(i, 0, T0 + timedelta(seconds=int(t))) for i, t in enumerate(ts)], 5, 40)
+        assert [*c1, *c2] == [want[i][0] for i in range(len(ts))]
+        assert all(a <= t < a + 40 for a, t in zip([*s1, *s2], ts))
 
 
 def test_rate_flags_state_times_out_across_batches(spark, tmp_path):
     rnd = random.Random(5)
-    t0 = datetime(2024, 1, 1)
     slices, rows, eid = [], [], 0
     for b in range(4):  # every slice holds its own users, two hours apart
         part = []
         for _ in range(200):
             part.append((eid, 10 * b + rnd.randint(0, 4),
-                         t0 + timedelta(hours=2 * b, seconds=rnd.randint(0, 300))))
+                         T0 + timedelta(hours=2 * b, seconds=rnd.randint(0, 300))))
             eid += 1
         slices.append(part)
         rows += part
-    src = tmp_path / "events"
-    stream = _rate_source(spark, src, slices)
-    q = (ST.rate_flags(stream, DEFAULT, limit=5, window_s=60, late_delay="10 minutes")
+    src = write_slices(spark, tmp_path / "events", slices)
+    q = (ST.rate_flags(ST.event_stream(spark, src, max_files=1), DEFAULT, limit=5, window_s=60, late_delay="10 minutes")
          .writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "ck"))
          .trigger(availableNow=True).start(str(tmp_path / "out")))
     q.awaitTermination()
-    got = {r.event_id: (r.hits, r.flagged) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
-    assert got == ST.rate_flags_reference(rows, 5, 60)
+    want = sequential(rows, 5, 60)
+    assert hits_of(spark.read.parquet(str(tmp_path / "out"))) == {
+        e: want[e] for e in closed(rows, timedelta(minutes=10))}
     state = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
-    # A batch uses the previous batch's watermark, so a slice's users leave the
-    # state one batch after their windows close: at most two slices (10 users)
-    # are held, never all 20.
+    # a slice's users leave the state one batch after their windows close
     assert len(state) >= 4 and max(state) <= 10 and state[-1] <= 5
 
 
 def test_rate_flags_without_delay_counts_every_arrival(spark, tmp_path):
-    t0 = datetime(2024, 1, 1)
-    slices = [[(0, 1, t0 + timedelta(hours=3))], [(1, 1, t0), (2, 1, t0 + timedelta(seconds=1))]]
-    src = tmp_path / "events"
-    out = ST.run_available(ST.rate_flags(_rate_source(spark, src, slices), DEFAULT, limit=1,
-                                         window_s=60, late_delay=None), "rate_nodelay", str(src))
-    got = {r.event_id: (r.hits, r.flagged) for r in out.collect()}
+    slices = [[(0, 1, T0 + timedelta(hours=3))], [(1, 1, T0), (2, 1, T0 + timedelta(seconds=1))]]
+    src = write_slices(spark, tmp_path / "events", slices)
+    flags = ST.rate_flags(ST.event_stream(spark, src, max_files=1), DEFAULT, limit=1, window_s=60, late_delay=None)
     # no hit is dropped: the late hits count against the user's open window
-    assert got == {0: (1, False), 1: (2, True), 2: (3, True)}
+    assert hits_of(ST.run_available(flags, "rate_nodelay", src)) == {0: (1, False), 1: (2, True), 2: (3, True)}
+
+
+def test_parameters_never_meet_old_results(spark, tmp_path):
+    rows = [(i, 0, T0 + timedelta(seconds=i)) for i in range(120)] + [(999, 1, T0 + timedelta(hours=9))]
+    src = write_slices(spark, tmp_path / "events", [rows])
+    for limit, window in ((5, 60), (1, 10)):
+        flags = ST.rate_flags(ST.event_stream(spark, src), DEFAULT, limit=limit, window_s=window)
+        want = sequential(rows, limit, window)
+        assert hits_of(ST.run_available(flags, "same_name", src)) == {e: want[e] for e in range(120)}
+
+
+def test_resume_adds_nothing_twice(spark, tmp_path):
+    rows = [(i, 0, T0 + timedelta(hours=i)) for i in range(30)]
+    src = write_slices(spark, tmp_path / "events", [rows])
+    one = [ST.run_available(ST.hourly_volume(ST.event_stream(spark, src)), "resumed", src, resume="a").count() for _ in range(2)]
+    assert one[0] == one[1] > 0
+
+
+def test_volume_and_dedup_over_files_out_of_order(spark, tmp_path):
+    days = [[(100 * d + i, 1, T0 + timedelta(days=d, minutes=10 * i)) for i in range(100)] for d in (3, 1, 2)]
+    src = write_slices(spark, tmp_path / "events", days)
+    write_slices(spark, tmp_path / "events", [days[1]])  # delivered twice
+    volume = ST.run_available(ST.hourly_volume(ST.event_stream(spark, src)), "volume", src)
+    end = max(ts for part in days for _, _, ts in part) - timedelta(hours=1)
+    per_hour = collections.Counter(ts.replace(minute=0, second=0) for part in [*days, days[1]] for _, _, ts in part)
+    want = {h: n for h, n in per_hour.items() if h + timedelta(hours=1) <= end}
+    assert {r.window_start: r["count"] for r in volume.collect()} == want
+    kept = ST.run_available(ST.deduplicated(ST.event_stream(spark, src)), "dedup", src)
+    assert sorted(r.event_id for r in kept.collect()) == sorted(e for part in days for e, _, _ in part)
+    # one file a batch ties the answer to the order of the files: it is refused
+    with pytest.raises(ST.LateRows):
+        ST.run_available(ST.hourly_volume(ST.event_stream(spark, src, max_files=1)), "volume", src)
+    late = ST.run_available(ST.hourly_volume(ST.event_stream(spark, src, max_files=1)), "volume", src, allow_late=True)
+    assert late.count() < len(want)
+
+
+def test_drift_stream_without_closed_window_is_empty(spark, tmp_path):
+    src = write_slices(spark, tmp_path / "events", [[(1, 1, datetime(2024, 1, 9))]])
+    ref = spark.createDataFrame([("predicted_sentiment", "positive", 5)], "feature string, category string, ref_n bigint")
+    reports, alerts = ST.drift_on_closed_windows(ST.event_stream(spark, src), ref, ["predicted_sentiment"], "drift_none", src)
+    assert reports.count() == 0 and alerts.count() == 0 and "drift_score" in reports.columns
+
 
 def test_distributed_topk_equals_sorted_limit(spark):
     t = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
