@@ -32,23 +32,9 @@ def det_id(*parts: Column | str) -> Column:
     return F.sha2(F.concat_ws(":", *[c.cast("string") for c in cols]), 256)
 
 
-def spread(df, key: str | None = None, per_core: int = 2):
-    """Balance CPU-heavy row work (text cleaning, n-grams) across cores.
-
-    A scan has one task per file split; a single large row group is one task.
-    When the frame has fewer partitions than the cluster's default
-    parallelism, rows are hash-partitioned by ``key`` (deterministic under
-    retry) before the heavy projection; otherwise this is a no-op, so on a
-    large cluster reading many files nothing is shuffled.
-    """
-    if df.isStreaming:
-        return df
-    # Output of a shuffle is already spread (and asking an adaptive plan for
-    # its RDD partitions would execute its shuffle stages).
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-        return df
-    sc = df.sparkSession.sparkContext
-    target = sc.defaultParallelism * per_core
-    if df.rdd.getNumPartitions() >= sc.defaultParallelism:
+def dealt(df, partitions: int, key: str | None = None):
+    """``df`` hash-partitioned by ``key`` into ``partitions`` (0: as it is), for
+    CPU-heavy row work on a table of a few large files."""
+    if not partitions or df.isStreaming:
         return df
-    return df.repartition(target, key) if key else df.repartition(target)
+    return df.repartition(partitions, key) if key else df.repartition(partitions)

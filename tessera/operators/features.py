@@ -17,21 +17,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
-from ..functions.common import spread
+from ..functions.common import dealt
 from ..functions.text import clean_text, ngrams, tokens
 from ..session import cut_lineage
 from .ordered import top_k
 
 
 def with_grams(df: DataFrame, text_col: str, out: str = "grams", n_max: int = 2,
-               cleaned: bool = False, key: str | None = None) -> DataFrame:
-    """Clean ``text_col`` (unless ``cleaned``) and add its n-grams as ``out``.
+               cleaned: bool = False, key: str | None = None,
+               partitions: int = 0) -> DataFrame:
+    """Clean ``text_col`` (unless ``cleaned``) and add its n-grams as ``out``,
+    after dealing the rows to ``partitions`` tasks by ``key`` (0: as they are).
 
     Each intermediate (cleaned text, tokens) is projected as a column first:
     a lambda referencing an expression re-evaluates it per element, and the
     entity-unescape UDF may not sit inside a lambda at all.
     """
-    df = spread(df, key if key in df.columns else None)
+    df = dealt(df, partitions, key)
     c = df if cleaned else df.withColumn("_clean", clean_text(text_col))
     src = text_col if cleaned else "_clean"
     c = c.withColumn("_tok", tokens(src))
@@ -65,30 +67,18 @@ def term_stats(doc_term: DataFrame) -> DataFrame:
     return doc_term.groupBy("term").agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df"))
 
 
-def vocabulary(stats: DataFrame, max_features: int, min_df: int = 1,
-               funnel_rows: int | None = None) -> DataFrame:
+def vocabulary(stats: DataFrame, max_features: int, min_df: int = 1) -> DataFrame:
     """The ``max_features`` terms with the highest corpus count; ties by term.
 
-    ``orderBy().limit(k)`` merges every partition's k rows in one task. While
-    partitions x k stays under ``topk_funnel_rows`` that is the cheapest plan;
-    above it the statistics are written once to the shared folder and the
-    exact distributed ``ordered.top_k`` runs: terms bucketed by (count, first
-    two characters), only buckets straddling rank k are ranked, each in its
-    own task.
+    One plan at every size: the statistics are written once to the shared
+    folder, then ``ordered.top_k`` buckets the terms by (count, first two
+    characters) and ranks only the buckets that reach rank k, each in its own
+    task (``orderBy().limit(k)`` would merge every partition's k rows in one).
     """
-    funnel_rows = funnel_rows or DEFAULT.topk_funnel_rows
     s = stats.where(F.col("df") >= min_df) if min_df > 1 else stats
-    # The statistics come out of a groupBy: at most spark.sql.shuffle.partitions
-    # partitions (read from the session; counting RDD partitions would run
-    # the adaptive plan's shuffle stages).
-    parts = int(s.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if parts * max_features <= funnel_rows:
-        return s.orderBy(F.col("tf").desc(), F.col("term")).limit(max_features)
-    s = cut_lineage(s, "term_stats")
-    s = s.withColumn("_neg_tf", -F.col("tf")).withColumn(
-        "_b", F.struct(F.col("_neg_tf").alias("t"), F.substring("term", 1, 2).alias("p")))
-    top = top_k(s, max_features, ["_neg_tf", "term"], "_b", "_rank")
-    return top.drop("_neg_tf", "_b", "_rank")
+    s = cut_lineage(s, "term_stats").withColumn("_neg_tf", -F.col("tf"))
+    top = top_k(s, max_features, ["_neg_tf", "term"], ["_neg_tf", F.substring("term", 1, 2)], "_rank")
+    return top.drop("_neg_tf", "_rank")
 
 
 def idf_table(stats_vocab: DataFrame, n_docs: Column | int) -> DataFrame:
@@ -115,6 +105,6 @@ def fit_vocabulary(train_docs: DataFrame, key: str, gram_col: str, cfg: Config =
     """
     dt = doc_terms(train_docs, key, gram_col)
     stats = term_stats(dt)
-    vocab = vocabulary(stats, cfg.tfidf_max_features, cfg.min_df, cfg.topk_funnel_rows)
+    vocab = vocabulary(stats, cfg.tfidf_max_features, cfg.min_df)
     n_docs = train_docs.count()
     return idf_table(vocab, n_docs), n_docs

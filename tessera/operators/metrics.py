@@ -72,9 +72,10 @@ def prediction_volume(predictions: DataFrame, as_of: datetime, days: int | None
             .orderBy("bucket"))
 
 
-def latency_percentiles(predictions: DataFrame, as_of: datetime, days: int | None = None,
+def latency_percentiles(predictions: DataFrame, as_of: datetime | None, days: int | None = None,
                         hours: int | None = None, exact: bool = True) -> DataFrame:
-    """A3: interpolated p50/p95/p99 and n; null becomes 0.
+    """A3: interpolated p50/p95/p99 and n; null becomes 0. Without ``as_of``
+    over the whole log.
 
     ``exact`` uses ``percentile`` (= ``percentile_cont``), whose buffer is a
     value->count map: small for integer latencies. For very wide value
@@ -85,7 +86,7 @@ def latency_percentiles(predictions: DataFrame, as_of: datetime, days: int | Non
         ps = [F.percentile(lat, q) for q in (0.5, 0.95, 0.99)]
     else:
         ps = [F.percentile_approx(lat, q, 10000).cast("double") for q in (0.5, 0.95, 0.99)]
-    w = predictions.where(trailing_window("created_at", as_of, days, hours))
+    w = predictions if as_of is None else predictions.where(trailing_window("created_at", as_of, days, hours))
     agg = w.agg(*[p.alias(n) for p, n in zip(ps, ("p50", "p95", "p99"))],
                 F.count(F.lit(1)).alias("count"))
     return agg.select(*[F.coalesce(F.col(n).cast("double"), F.lit(0.0)).alias(n)

@@ -12,56 +12,64 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT
-
-
-def sized_broadcast(small: DataFrame, limit_rows: int | None = None) -> DataFrame:
-    """Broadcast ``small`` only after checking its row count.
-
-    The frame is persisted first so the count and the join read it once;
-    beyond the limit the ordinary shuffle join (with AQE skew handling) runs.
-    """
-    limit_rows = limit_rows or DEFAULT.broadcast_row_limit
-    small = small.persist()
-    n = small.count()
-    return F.broadcast(small) if n <= limit_rows else small
-
 
 def exact_rank(df: DataFrame, part_cols: list[str], order_cols: list[str],
-               bucket_col: str, out: str, bound_rows: int | None = None,
-               total_col: str | None = None) -> DataFrame:
+               bucket_col: str, out: str) -> DataFrame:
     """``row_number() over (partition by part order by order_cols)``, exactly.
 
     ``bucket_col`` must be non-decreasing along ``order_cols`` (for example
     a prefix of the ordering hash). Rank = rows of the key in earlier
-    buckets + row number inside ``(key, bucket)``. The offsets table has one
-    row per (key, bucket); pass ``bound_rows`` when that count is known by
-    construction, otherwise it is counted before it is broadcast. With
-    ``total_col`` the key's row count is attached too (from the same table).
+    buckets + row number inside ``(key, bucket)``; the offsets table has one
+    row per (key, bucket).
     """
     counts = df.groupBy(*part_cols, bucket_col).agg(F.count(F.lit(1)).alias("_n"))
     w = (Window.partitionBy(*part_cols).orderBy(bucket_col)
          .rowsBetween(Window.unboundedPreceding, -1))
-    extra = [F.sum("_n").over(Window.partitionBy(*part_cols)).alias(total_col)] if total_col else []
     offs = counts.select(*[F.col(c).alias(f"_k_{c}") for c in part_cols],
                          F.col(bucket_col).alias("_k_bucket"),
-                         F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"), *extra)
-    if bound_rows is not None and bound_rows <= DEFAULT.broadcast_row_limit:
-        offs = F.broadcast(offs)
-    else:
-        offs = sized_broadcast(offs)
-    cond = None
+                         F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    cond = df[bucket_col].eqNullSafe(offs["_k_bucket"])
     for c in part_cols:
-        e = df[c].eqNullSafe(offs[f"_k_{c}"])
-        cond = e if cond is None else cond & e
-    e = df[bucket_col].eqNullSafe(offs["_k_bucket"])
-    cond = e if cond is None else cond & e
-    j = df.join(offs, cond, "inner")
+        cond = cond & df[c].eqNullSafe(offs[f"_k_{c}"])
     wr = Window.partitionBy(*part_cols, bucket_col).orderBy(*order_cols)
-    return (j.withColumn(out, F.col("_off") + F.row_number().over(wr))
+    return (df.join(offs, cond).withColumn(out, F.col("_off") + F.row_number().over(wr))
             .drop("_off", "_k_bucket", *[f"_k_{c}" for c in part_cols]))
 
 
+def rank_cutoffs(rows: DataFrame, part_col: str, hash_col: str, key_col: str, quotas: list[Column],
+                 total_col: str = "_total", prefix: int = 4) -> DataFrame:
+    """The row that has rank ``quota`` in ``row_number() over (partition by part
+    order by hash, key)``, for each quota, without ranking a whole class.
+
+    ``rows``: ``part, hash, key`` only. Rows are counted by class and hash prefix;
+    the running count says in which bucket a quota falls, and only that
+    bucket's rows are ranked. ``quotas`` are expressions over ``total_col``, the
+    class's row count. Returns ``_part, cut_0, cut_1, ...``: structs (hash, key), null
+    for a quota below 1; a quota beyond the class gives its last row. Nulls are
+    a class of their own.
+    """
+    d = rows.select(F.col(part_col).alias("_part"), F.col(hash_col).alias("_h"), F.col(key_col).alias("_key"),
+                    F.substring(hash_col, 1, prefix).alias("_b"))
+    counts = d.groupBy("_part", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy("_part")
+    before = w.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select("_part", "_b", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
+                         F.sum("_n").over(w).alias(total_col))
+    wanted = F.posexplode(F.array(*[F.least(q.cast("long"), F.col(total_col)) for q in quotas])).alias("_i", "_q")
+    edge = (offs.select("_part", "_b", "_n", "_off", total_col, wanted)
+            .where((F.col("_q") > F.col("_off")) & (F.col("_q") <= F.col("_off") + F.col("_n")))
+            .select(F.col("_part").alias("_p2"), F.col("_b").alias("_b2"), "_i", (F.col("_q") - F.col("_off")).alias("_need")))
+    # boundary buckets only: at most one bucket a class and quota
+    inside = d.join(edge, F.col("_part").eqNullSafe(F.col("_p2")) & (F.col("_b") == F.col("_b2")))
+    rank = F.row_number().over(Window.partitionBy("_part", "_b", "_i").orderBy("_h", "_key"))
+    at = inside.withColumn("_r", rank).where(F.col("_r") == F.col("_need"))
+    cut = F.struct("_h", "_key")
+    found = at.groupBy("_part").agg(*[F.max(F.when(F.col("_i") == i, cut)).alias(f"cut_{i}") for i in range(len(quotas))])
+    classes = offs.select("_part").distinct().withColumnRenamed("_part", "_c")
+    return (classes.join(found, F.col("_c").eqNullSafe(F.col("_part")), "left").drop("_part")
+            .withColumnRenamed("_c", "_part"))
+
+
 def running_max_before(df: DataFrame, part_cols: list[str], order_cols: list[str],
                        chunk_col: str, value: Column, out: str) -> DataFrame:
     """``max(value) over (partition by part order by order rows unbounded
@@ -77,7 +85,6 @@ def running_max_before(df: DataFrame, part_cols: list[str], order_cols: list[str
     carry = per_chunk.select(*[F.col(c).alias(f"_k_{c}") for c in part_cols],
                              F.col(chunk_col).alias("_k_chunk"),
                              F.max("_cmax").over(wc).alias("_carry"))
-    carry = sized_broadcast(carry)
     cond = d[chunk_col].eqNullSafe(carry["_k_chunk"])
     for c in part_cols:
         cond = cond & d[c].eqNullSafe(carry[f"_k_{c}"])
@@ -110,7 +117,6 @@ def neighbours(df: DataFrame, part_cols: list[str], order_cols: list[str],
                        F.col(chunk_col).alias("_k_chunk"),
                        F.lag("_last").over(wc).alias("_prev_chunk_last"),
                        F.lead("_first").over(wc).alias("_next_chunk_first"))
-    summ = sized_broadcast(summ)
     cond = df[chunk_col].eqNullSafe(summ["_k_chunk"])
     for c in part_cols:
         cond = cond & df[c].eqNullSafe(summ[f"_k_{c}"])
@@ -126,26 +132,30 @@ def neighbours(df: DataFrame, part_cols: list[str], order_cols: list[str],
                   "_k_chunk", *[f"_k_{c}" for c in part_cols])
 
 
-def top_k(df: DataFrame, k: int, order_cols: list, bucket_col: str, out: str = "rank") -> DataFrame:
+def top_k(df: DataFrame, k: int, order_cols: list, bucket_cols: list, out: str = "rank") -> DataFrame:
     """Exact global top-``k`` with its rank, without funnelling into one task.
 
     ``order_cols`` are ascending sort columns (negate a column for
-    descending) that totally order the rows; ``bucket_col`` is a coarse,
-    order-preserving prefix of them. A count per bucket gives each bucket's
-    offset; buckets starting at or beyond ``k`` are dropped before any
-    ranking, and the rest are ranked inside ``bucket`` windows in parallel.
-    (``orderBy().limit(k)`` would merge every partition's k rows in a single
-    task, which does not hold for large k on many partitions.)
+    descending) that totally order the rows; ``bucket_cols`` are two coarse,
+    order-preserving prefixes of them. A count per first prefix, and inside it
+    per second, gives each bucket's offset; buckets starting at or beyond
+    ``k`` are dropped before any ranking, and the rest are ranked inside
+    ``bucket`` windows in parallel. Only the counts of the first prefix (for a
+    vocabulary: the distinct term counts) are ordered in one window.
     """
-    counts = df.groupBy(bucket_col).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy(bucket_col).rowsBetween(Window.unboundedPreceding, -1)
-    offs = (counts.select(F.col(bucket_col).alias("_k_bucket"),
-                          F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    first, second = (F.col(c) if isinstance(c, str) else c for c in bucket_cols)
+    d = df.withColumn("_b1", first).withColumn("_b2", second)
+    counts = d.groupBy("_b1", "_b2").agg(F.count(F.lit(1)).alias("_n"))
+    outer = counts.groupBy("_b1").agg(F.sum("_n").alias("_n1"))
+    w1 = Window.orderBy("_b1").rowsBetween(Window.unboundedPreceding, -1)
+    outer = (outer.select(F.col("_b1").alias("_k1"), F.coalesce(F.sum("_n1").over(w1), F.lit(0)).alias("_off1"))
+             .where(F.col("_off1") < k))
+    w2 = Window.partitionBy("_b1").orderBy("_b2").rowsBetween(Window.unboundedPreceding, -1)
+    offs = (counts.join(outer, counts["_b1"].eqNullSafe(outer["_k1"]))
+            .select("_k1", F.col("_b2").alias("_k2"),
+                    (F.col("_off1") + F.coalesce(F.sum("_n").over(w2), F.lit(0))).alias("_off"))
             .where(F.col("_off") < k))
-    # No pre-count here: the offsets come from ``df`` itself, and a separate
-    # counting job would recompute ``df``. In one query both branches share
-    # the exchange below them, and AQE picks broadcast from runtime sizes.
-    j = df.join(offs, df[bucket_col].eqNullSafe(offs["_k_bucket"]), "inner")
-    wr = Window.partitionBy(bucket_col).orderBy(*order_cols)
+    j = d.join(offs, d["_b1"].eqNullSafe(offs["_k1"]) & d["_b2"].eqNullSafe(offs["_k2"]))
+    wr = Window.partitionBy("_b1", "_b2").orderBy(*order_cols)
     r = j.withColumn(out, F.col("_off") + F.row_number().over(wr))
-    return r.where(F.col(out) <= k).drop("_off", "_k_bucket")
+    return r.where(F.col(out) <= k).drop("_off", "_k1", "_k2", "_b1", "_b2")

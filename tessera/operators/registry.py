@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import neighbours, running_max_before, sized_broadcast
+from .ordered import neighbours, running_max_before
 
 # Fixed metric keys (must equal the reference's).
 TAG_KEYS = ("f1_macro", "accuracy", "precision_macro", "recall_macro")
@@ -41,7 +41,6 @@ def promotion_ledger(versions: DataFrame, chunk: int = 1024) -> DataFrame:
     promoted = F.col("_prod_f1").isNull() | (F.coalesce(F.col("f1_macro"), F.lit(0.0)) > F.col("_prod_f1"))
     r = r.withColumn("promoted", promoted)
     last = (r.where("promoted").groupBy("name").agg(F.max("version").alias("_last_prod")))
-    last = sized_broadcast(last)
     r = r.join(last, "name", "left")
     stage = (F.when(F.col("version") == F.col("_last_prod"), "Production")
              .when(F.col("promoted"), "Archived").otherwise("Staging"))

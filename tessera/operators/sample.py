@@ -1,19 +1,20 @@
 """Deterministic stratified sampling and splitting.
 
 The seed is an input of the ordering hash ``md5(seed:key)``, so there is no
-process-wide random state (L4) and a task retry draws the same rows. The
-per-class rank is exact but never puts a class into one task: rows are
-bucketed by the first hex digits of their hash (``exact_rank``), and only
-the small (class, bucket) count table is solved centrally.
+process-wide random state (L4) and a task retry draws the same rows. A quota of
+a class is the (hash, key) of its last row: ``ordered.rank_cutoffs`` finds it
+from bucket counts and ranks only the bucket it falls in, on keys alone. Every
+row is then decided where it is, by comparing its own hash with its class's
+cutoffs; no text is shuffled or sorted.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
-from .ordered import exact_rank
+from .ordered import rank_cutoffs
 
 SPLITS = ("train", "val", "test")
 
@@ -24,23 +25,22 @@ def order_hash(key: str | Column, seed: int, salt: str | None = None) -> Column:
     return F.md5(F.concat_ws(":", *parts))
 
 
-def stratified_rank(df: DataFrame, key: str, label: str = "label", seed: int = 42,
-                    out: str = "rank", n_classes: int = 2, prefix_hex: int = 4,
-                    total_col: str | None = None) -> DataFrame:
-    """``row_number() over (partition by label order by md5(seed:key), key)``
-    (optionally with the class size as ``total_col``)."""
-    d = df.withColumn("_h", order_hash(key, seed)).withColumn("_b", F.substring("_h", 1, prefix_hex))
-    bound = n_classes * 16 ** prefix_hex
-    r = exact_rank(d, [label], ["_h", key], "_b", out, bound_rows=bound, total_col=total_col)
-    return r.drop("_b")
-
-
-def class_counts(df: DataFrame, label: str = "label") -> DataFrame:
-    return df.groupBy(label).agg(F.count(F.lit(1)).alias("_class_n"))
+def with_cutoffs(df: DataFrame, key: str, part: str, quotas: list[Column], seed: int,
+                 salt: str | None = None, prefix: int = DEFAULT.split_prefix_hex) -> DataFrame:
+    """W1 against quotas: ``df`` with a boolean ``_in_<i>`` for each quota, true for the
+    rows of rank ``quota`` or less in their class (quotas are over ``_total``)."""
+    h = order_hash(key, seed, salt)
+    rows = df.select(F.col(part).alias("_p"), h.alias("_hash"), F.col(key).alias("_k"))
+    cuts = rank_cutoffs(rows, "_p", "_hash", "_k", quotas, prefix=prefix)
+    j = df.withColumn("_at", F.struct(h.alias("_h"), F.col(key).alias("_key")))
+    j = j.join(cuts, F.col(part).eqNullSafe(F.col("_part")), "left")  # one row a class
+    for i in range(len(quotas)):
+        j = j.withColumn(f"_in_{i}", F.coalesce(F.col("_at") <= F.col(f"cut_{i}"), F.lit(False)))
+    return j.drop("_at", "_part", *[f"cut_{i}" for i in range(len(quotas))])
 
 
 def stratified_split(df: DataFrame, key: str = "doc_id", label: str = "label",
-                     cfg: Config = DEFAULT, n_classes: int = 2) -> DataFrame:
+                     cfg: Config = DEFAULT) -> DataFrame:
     """L2: test / val / train by per-class quotas on the hash rank.
 
     Quotas: ``test = round(n_c * test_size)``, ``val = round(n_c * val_size)``
@@ -49,19 +49,15 @@ def stratified_split(df: DataFrame, key: str = "doc_id", label: str = "label",
     80/10/10 with label mean 0.5 in each split. Row choice differs from the
     reference's RNG by design.
     """
-    # The class sizes come from the rank's own (class, bucket) count table.
-    ranked = stratified_rank(df, key, label, cfg.seed, "_rank", n_classes, cfg.split_prefix_hex,
-                             total_col="_class_n")
-    n_test = F.round(F.col("_class_n") * F.lit(cfg.test_size))
-    n_val = F.round(F.col("_class_n") * F.lit(cfg.val_size))
-    split = (F.when(F.col("_rank") <= n_test, "test")
-             .when(F.col("_rank") <= n_test + n_val, "val").otherwise("train"))
-    return ranked.withColumn("split", split).drop("_rank", "_class_n", "_h")
+    n = F.col("_total")
+    test, val = F.round(n * F.lit(cfg.test_size)), F.round(n * F.lit(cfg.val_size))
+    marked = with_cutoffs(df, key, label, [test, test + val], cfg.seed, prefix=cfg.split_prefix_hex)
+    split = F.when(F.col("_in_0"), "test").when(F.col("_in_1"), "val").otherwise("train")
+    return marked.withColumn("split", split).drop("_in_0", "_in_1")
 
 
 def balanced_cap(df: DataFrame, key: str = "doc_id", label: str = "label",
-                 max_samples: int | None = None, cfg: Config = DEFAULT,
-                 n_classes: int | None = None, total_rows: int | None = None) -> DataFrame:
+                 max_samples: int | None = None, cfg: Config = DEFAULT) -> DataFrame:
     """L1: at most ``max(1, max_samples // n_classes)`` rows per class.
 
     Applies only when the data has more than ``max_samples`` rows. The final
@@ -70,15 +66,14 @@ def balanced_cap(df: DataFrame, key: str = "doc_id", label: str = "label",
     rows are ordered by a second seeded hash and cut, which is the feature.
     """
     max_samples = max_samples or cfg.max_samples
-    if total_rows is None:
-        total_rows = df.count()
-    if total_rows <= max_samples:
+    # One row a class; the totals decide whether and where to cap.
+    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    total, n_classes = sizes.agg(F.sum("n"), F.count(label)).first()
+    if (total or 0) <= max_samples:
         return df
-    if n_classes is None:
-        n_classes = df.select(F.count_distinct(label)).first()[0]
     cap = max(1, max_samples // max(1, n_classes))
-    ranked = stratified_rank(df, key, label, cfg.seed, "_rank", n_classes, cfg.split_prefix_hex)
-    kept = ranked.where(F.col("_rank") <= cap).drop("_rank", "_h")
+    marked = with_cutoffs(df, key, label, [F.lit(cap)], cfg.seed, prefix=cfg.split_prefix_hex)
+    kept = marked.where("_in_0").drop("_in_0")
     if cap * n_classes > max_samples:
         kept = kept.orderBy(order_hash(key, cfg.seed, "shuffle"), key).limit(max_samples)
     return kept
@@ -92,22 +87,13 @@ def proportional_cap(split_df: DataFrame, key: str = "doc_id", cfg: Config = DEF
     ``max(2, cap - train - val)``; each split keeps its lowest-hash rows.
     """
     cap = max_total or min(cfg.max_samples, cfg.transformer_row_cap)
-    sizes = split_df.groupBy(split_col).agg(F.count(F.lit(1)).alias("_n"))
-    # At most three rows; the quota arithmetic is a tiny driver-free projection.
-    tot = F.sum("_n").over(Window.partitionBy())
-    q = sizes.select(split_col, "_n", tot.alias("_tot"))
-    share_quota = F.greatest(F.lit(2), F.floor(F.lit(cap) * F.col("_n") / F.col("_tot")))
-    trval = F.sum(F.when(F.col(split_col) != "test", share_quota).otherwise(0)).over(
-        Window.partitionBy())
-    q = q.select(split_col, "_n", "_tot",
-                 F.when(F.col(split_col) == "test", F.greatest(F.lit(2), F.lit(cap) - trval))
-                  .otherwise(share_quota).alias("_quota"))
-    q = q.select(F.col(split_col).alias("_s"),
-                 F.when(F.col("_tot") <= cap, F.col("_n"))
-                  .otherwise(F.least(F.col("_quota"), F.col("_n"))).alias("_quota"))
-    d = split_df.withColumn("_h", order_hash(key, cfg.seed, "cap")) \
-        .withColumn("_b", F.substring("_h", 1, cfg.split_prefix_hex))
-    ranked = exact_rank(d, [split_col], ["_h", key], "_b", "_rank",
-                        bound_rows=3 * 16 ** cfg.split_prefix_hex)
-    j = ranked.join(F.broadcast(q), ranked[split_col] == q["_s"])
-    return j.where(F.col("_rank") <= F.col("_quota")).drop("_s", "_quota", "_rank", "_h", "_b")
+    sizes = {r[0]: r[1] for r in split_df.groupBy(split_col).agg(F.count(F.lit(1))).collect()}  # three rows
+    total = sum(sizes.values())
+    if total <= cap:
+        return split_df
+    quota = {s: max(2, cap * n // total) for s, n in sizes.items()}
+    if "test" in quota:
+        quota["test"] = max(2, cap - sum(q for s, q in quota.items() if s != "test"))
+    of_split = F.coalesce(*[F.when(F.col("_part") == s, F.lit(q)) for s, q in quota.items()])
+    marked = with_cutoffs(split_df, key, split_col, [of_split], cfg.seed, "cap", cfg.split_prefix_hex)
+    return marked.where("_in_0").drop("_in_0")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT
+from ..functions.common import date_lit
 from ..operators import alerts as AL
 from ..operators import drift as D
 from ..operators import metrics as M
@@ -231,8 +234,7 @@ def kpi_summary(t):
 
 
 @register("drift_monitor_daily", _DIST_CTES + f"""
-, vol AS (SELECT CAST(date_trunc('day', created_at) AS DATE) AS day, count(*) AS n FROM predictions
-          WHERE created_at >= {AS_OF} - INTERVAL 30 DAY GROUP BY 1)
+, vol AS (SELECT CAST(date_trunc('day', created_at) AS DATE) AS day, count(*) AS n FROM predictions GROUP BY 1)
 SELECT r.report_date, r.drift_score, r.features_drifted, r.prediction_drift_detected,
        CASE WHEN r.drift_score > {2 * THR} THEN 'critical' WHEN r.drift_score > {THR} THEN 'warning'
             ELSE 'healthy' END AS drift_status,
@@ -247,8 +249,10 @@ def drift_monitor_daily(t):
     the day each report closes."""
     reps = drift_reports_df(t)
     al = alerts_df(t, reps)
-    vol = (M.prediction_volume(V.predictions(t), CFG.as_of, days=30)
-           .select(F.to_date("bucket").alias("day"), F.col("count").alias("predictions_on_day")))
+    # The days that the reports close: bounded by the report dates themselves.
+    first, last = CFG.reference_end - timedelta(days=1), CFG.as_of.date()
+    p = V.predictions(t).where((F.col("created_at") >= date_lit(first)) & (F.col("created_at") < date_lit(last)))
+    vol = p.groupBy(F.to_date("created_at").alias("day")).agg(F.count(F.lit(1)).alias("predictions_on_day"))
     r = reps.select("report_date", "drift_score", "features_drifted", "prediction_drift_detected",
                     M.status_of(F.col("drift_score"), CFG.drift_threshold).alias("drift_status"))
     j = (r.join(al.select("report_date", "alert_type", "severity", "is_resolved"), "report_date", "left")

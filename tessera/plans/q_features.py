@@ -23,7 +23,8 @@ dt AS (SELECT {key}, term, count(*) AS tf FROM gr GROUP BY ALL)"""
 
 
 def doc_terms_df(t):
-    d = FE.with_grams(t.documents.select("doc_id", "text"), "text", "grams", CFG.ngram_max, key="doc_id")
+    d = FE.with_grams(t.documents.select("doc_id", "text"), "text", "grams", CFG.ngram_max, key="doc_id",
+                     partitions=CFG.text_partitions)
     return FE.doc_terms(d, "doc_id", "grams")
 
 
@@ -72,7 +73,8 @@ def tfidf_weights(t):
     once to the shared checkpoint folder instead of ranked twice."""
     s = cut_lineage(S.stratified_split(V.reviews(t), "doc_id", "label", CFG)
                     .select("doc_id", "split", "text"), "tfidf_split")
-    g = FE.with_grams(s, "text", "grams", CFG.ngram_max, key="doc_id")
+    g = FE.with_grams(s, "text", "grams", CFG.ngram_max, key="doc_id",
+                     partitions=CFG.text_partitions)
     train = g.where(F.col("split") == "train")
     idf, _ = FE.fit_vocabulary(train, "doc_id", "grams", CFG)
     test_terms = FE.doc_terms(g.where(F.col("split") == "test"), "doc_id", "grams")

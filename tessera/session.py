@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -46,17 +47,18 @@ def prepare(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names.
+    """The shared folder that the cluster names in ``spark.checkpoint.dir`` (or
+    in the context's checkpoint folder).
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only
-    when neither is set -- local tests -- a scratch folder is created and
-    registered, so on a cluster the shared folder is always used.
+    Without one, a local session (one JVM: tests, this machine) gets a scratch
+    folder; on a cluster that would be one machine's disk, so it is an error.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[[^,\]]*(,[^\]]*)?\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d

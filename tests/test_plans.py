@@ -34,10 +34,16 @@ def test_drift_has_no_range_join_and_scans_events_once(spark):
     assert p.count("FileScan parquet") == 1
 
 
-def test_split_window_is_bucketed(spark):
-    p = _plan(spark, "stratified_split")
-    # the rank window is partitioned by label *and* hash bucket
-    assert re.search(r"Window \[.*row_number\(\).*\], \[label#\d+, _b#\d+\]", p)
+@pytest.mark.parametrize("name", ["stratified_split", "balanced_cap", "reference_profile"])
+def test_split_ranks_boundary_buckets_on_keys_only(spark, name):
+    p = _plan(spark, name)
+    # the rank window is partitioned by class, hash bucket and quota
+    assert re.search(r"Window \[.*row_number\(\).*\], \[_part#\d+, _b#\d+, _i#\d+\]", p)
+    df = E.queries()[name](spark, SF)
+    optimized = df._jdf.queryExecution().optimizedPlan().toString()
+    # no text below a window or a shuffled aggregate
+    for line in optimized.splitlines():
+        assert not re.search(r"(Window|Aggregate|Repartition).*\btext#", line)
 
 
 def test_top_runs_use_group_limit(spark):

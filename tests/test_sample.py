@@ -18,15 +18,16 @@ def test_balanced_split_80_10_10(spark):
     assert got == {"train": (80, 0.5), "val": (10, 0.5), "test": (10, 0.5)}
 
 
-def test_bucketed_rank_equals_window_rank(spark):
+def test_cutoffs_equal_window_rank(spark):
     rnd = random.Random(7)
     rows = [(i, 0 if rnd.random() < 0.7 else 1) for i in range(3000)]  # a hot class
     df = spark.createDataFrame(rows, "doc_id long, label int")
-    fast = S.stratified_rank(df, "doc_id", "label", 42, "r", prefix_hex=2)
-    w = Window.partitionBy("label").orderBy(S.order_hash("doc_id", 42), "doc_id")
-    slow = df.withColumn("r2", F.row_number().over(w))
-    j = fast.join(slow, ["doc_id", "label"])
-    assert j.where(F.col("r") != F.col("r2")).count() == 0 and j.count() == 3000
+    rank = F.row_number().over(Window.partitionBy("label").orderBy(S.order_hash("doc_id", 42), "doc_id"))
+    quotas = [0, 1, 7, 450, 10_000]
+    got = S.with_cutoffs(df, "doc_id", "label", [F.lit(q) for q in quotas], 42, prefix=2).withColumn("r", rank)
+    for i, q in enumerate(quotas):
+        assert got.where(F.col(f"_in_{i}") != (F.col("r") <= q)).count() == 0
+    assert got.count() == 3000
 
 
 def test_running_max_and_neighbours_match_plain_windows(spark):
@@ -49,6 +50,6 @@ def test_running_max_and_neighbours_match_plain_windows(spark):
 def test_balanced_cap(spark):
     rows = [(i, 1 if i < 30 else 0) for i in range(40)]
     df = spark.createDataFrame(rows, "doc_id long, label int")
-    got = S.balanced_cap(df, max_samples=20, n_classes=2)
+    got = S.balanced_cap(df, max_samples=20)
     c = {r.label: r["count"] for r in got.groupBy("label").count().collect()}
     assert c == {0: 10, 1: 10}
