@@ -45,6 +45,7 @@ STEP = 16
 TILE_NODES = 1024
 TILE_SHINGLES = 1 << 20
 SLICE = 1 << 21
+PAIRS = 1 << 15  # compared at a time
 
 
 def node(text) -> F.Column:
@@ -138,12 +139,16 @@ def candidate_pairs(keys: np.ndarray, group: np.ndarray, side: np.ndarray) -> tu
 
 def prune(a: np.ndarray, b: np.ndarray, sig: np.ndarray, threshold: float, tolerance: float):
     """Pairs that may still reach the threshold after comparing signatures in steps."""
-    agree = np.zeros(len(a), np.int64)
-    for i, least in enumerate(least_matches(threshold, tolerance)):
-        agree += (sig[a, i * STEP:(i + 1) * STEP] == sig[b, i * STEP:(i + 1) * STEP]).sum(axis=1)
-        live = agree >= least
-        a, b, agree = a[live], b[live], agree[live]
-    return a, b
+    kept = []
+    for lo in range(0, len(a), PAIRS):
+        x, y = a[lo:lo + PAIRS], b[lo:lo + PAIRS]
+        agree = np.zeros(len(x), np.int64)
+        for i, least in enumerate(least_matches(threshold, tolerance)):
+            agree += (sig[x, i * STEP:(i + 1) * STEP] == sig[y, i * STEP:(i + 1) * STEP]).sum(axis=1)
+            live = agree >= least
+            x, y, agree = x[live], y[live], agree[live]
+        kept.append((x, y))
+    return tuple(np.concatenate(c) for c in zip(*kept)) if kept else (a, b)
 
 
 def intersections(a: np.ndarray, b: np.ndarray, sets: np.ndarray, off: np.ndarray) -> np.ndarray:
