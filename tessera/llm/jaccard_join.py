@@ -275,7 +275,8 @@ def link_nodes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float =
         F.ceil(F.greatest(F.count(F.lit(1)) / TILE_NODES, F.sum("n_shingles") / TILE_SHINGLES)).cast("int").alias("tiles"))
     members = cut(members.join(sizes, "root").select("node", "root", "tiles", "copies", F.col("first_doc").alias("doc_id")), "members")
     mine = docs.withColumnRenamed("doc_id", "own_id")
-    texts = mine.join(members, (mine["node"] == members["node"]) & mine["own_id"].eqNullSafe(members["doc_id"]))
+    # Dealt by key at every size: the candidates grow with the data.
+    texts = mine.hint("merge").join(members, (mine["node"] == members["node"]) & mine["own_id"].eqNullSafe(members["doc_id"]))
     sets = texts.select(members["node"], "root", "tiles", "copies", "text").mapInArrow(
         _sets, "node long, root long, tiles int, copies long, sig binary, shingles binary")
     tile = F.pmod(F.xxhash64("node", F.lit(3)), F.col("tiles")).cast("int")
