@@ -23,9 +23,23 @@ def _is(type_col: Column, prefixes) -> Column:
     return cond
 
 
+def _object(json_col: str) -> Column:
+    return F.try_parse_json(F.col(json_col)).try_cast("map<string,variant>")
+
+
+def json_rejects(df: DataFrame, json_col: str, keep: list[str]) -> DataFrame:
+    """Quarantine side of J3/J4: rows whose text is no JSON object, with the
+    reason. Null text is no document and no reject."""
+    parsed = F.try_parse_json(F.col(json_col))
+    reason = F.when(parsed.isNull(), "not JSON").otherwise("not an object")
+    return (df.where(F.col(json_col).isNotNull() & _object(json_col).isNull())
+            .select(*keep, reason.alias("reason")))
+
+
 def object_entries(df: DataFrame, json_col: str, keep: list[str]) -> DataFrame:
-    """``(keep..., key, value VARIANT, value_type)`` for each top-level key."""
-    m = F.try_parse_json(F.col(json_col)).try_cast("map<string,variant>")
+    """``(keep..., key, value VARIANT, value_type)`` for each top-level key; rows
+    without an object are ``json_rejects``."""
+    m = _object(json_col)
     return (df.select(*keep, F.explode(m).alias("key", "value"))
             .withColumn("value_type", F.schema_of_variant("value")))
 
@@ -54,22 +68,23 @@ DRIFT_REPORT_SCHEMA = (
 def drift_summary(report_json: str | Column) -> Column:
     """Summary struct of a preset drift report document.
 
-    The last metric entry carrying drift counts wins; a ColumnDriftMetric on
+    The last metric entry carrying drift counts gives the counts, the last one
+    of them that has a share gives the score; a ColumnDriftMetric on
     ``predicted_sentiment`` or ``label`` sets the prediction flag (last wins).
     """
     c = F.col(report_json) if isinstance(report_json, str) else report_json
     r = F.from_json(c, DRIFT_REPORT_SCHEMA)
     ms = F.coalesce(r["metrics"], F.array())
     counted = F.filter(ms, lambda m: m["result"]["number_of_drifted_columns"].isNotNull())
-    last = F.element_at(counted, -1)
+    last = F.try_element_at(counted, F.lit(-1))
+    shared = F.filter(counted, lambda m: m["result"]["share_of_drifted_columns"].isNotNull())
     cols = F.filter(ms, lambda m: (m["metric"] == "ColumnDriftMetric")
                     & m["result"]["column_name"].isin("predicted_sentiment", "label"))
-    share = F.coalesce(last["result"]["share_of_drifted_columns"], F.lit(0.0))
-    score = F.when(F.size(counted) > 0, share).otherwise(F.lit(0.0))
-    pred = F.coalesce(F.element_at(cols, -1)["result"]["drift_detected"], F.lit(False))
+    score = F.coalesce(F.try_element_at(shared, F.lit(-1))["result"]["share_of_drifted_columns"], F.lit(0.0))
+    pred = F.coalesce(F.try_element_at(cols, F.lit(-1))["result"]["drift_detected"], F.lit(False))
     return F.struct(
         (score > 0).alias("dataset_drift_detected"),
         score.alias("drift_score"),
         F.coalesce(last["result"]["number_of_drifted_columns"], F.lit(0)).alias("features_drifted"),
         F.coalesce(last["result"]["number_of_columns"], F.lit(0)).alias("total_features"),
-        F.when(F.size(cols) > 0, pred).otherwise(F.lit(False)).alias("prediction_drift_detected"))
+        pred.alias("prediction_drift_detected"))

@@ -52,26 +52,23 @@ def aligned_counts(daily: DataFrame, key, ref_end: date, first: date, last: date
 
     ``daily`` has ``day``, the key columns and ``n``. The current window of
     report date d is ``[d - window_days, d)``; the reference is every day
-    before ``ref_end``. Each daily row is exploded to the report dates it
-    serves (as reference: all of them; as current: the next ``window_days``
-    dates), then one aggregate sums both sides.
+    before ``ref_end``. Each daily row is exploded to the ``window_days`` report
+    dates it serves, the summed reference to all of them, then one aggregate
+    sums both sides.
     """
     keys = [key] if isinstance(key, str) else list(key)
     lo = first - timedelta(days=window_days)
-    is_ref = F.col("day") < date_lit(ref_end)
-    in_cur = (F.col("day") >= date_lit(lo)) & (F.col("day") < date_lit(last))
-    empty = F.array().cast("array<struct<report_date:date,ref:boolean>>")
-
-    def tag(dates, ref: bool):
-        return F.transform(dates, lambda d: F.struct(d.alias("report_date"), F.lit(ref).alias("ref")))
+    # The reference is summed to one row a category before it serves every date.
+    ref = (daily.where(F.col("day") < date_lit(ref_end)).groupBy(*keys).agg(F.sum("n").alias("n"))
+           .select(F.explode(_report_dates(first, last)).alias("report_date"), *keys,
+                   F.col("n").alias("ref_n"), F.lit(0).cast("bigint").alias("cur_n")))
     served = F.sequence(F.greatest(F.date_add("day", 1), date_lit(first)),
                         F.least(F.date_add("day", window_days), date_lit(last)))
-    targets = F.concat(F.when(is_ref, tag(_report_dates(first, last), True)).otherwise(empty),
-                       F.when(in_cur, tag(served, False)).otherwise(empty))
-    x = daily.where(is_ref | in_cur).select(F.explode(targets).alias("t"), *keys, "n")
-    return (x.groupBy(F.col("t.report_date").alias("report_date"), *keys)
-            .agg(F.sum(F.when(F.col("t.ref"), F.col("n")).otherwise(0)).cast("bigint").alias("ref_n"),
-                 F.sum(F.when(~F.col("t.ref"), F.col("n")).otherwise(0)).cast("bigint").alias("cur_n")))
+    cur = (daily.where((F.col("day") >= date_lit(lo)) & (F.col("day") < date_lit(last)))
+           .select(F.explode(served).alias("report_date"), *keys,
+                   F.lit(0).cast("bigint").alias("ref_n"), F.col("n").alias("cur_n")))
+    return (ref.unionByName(cur).groupBy("report_date", *keys)
+            .agg(F.sum("ref_n").cast("bigint").alias("ref_n"), F.sum("cur_n").cast("bigint").alias("cur_n")))
 
 
 def _distances(aligned: DataFrame, threshold: float, group: list[str]) -> DataFrame:
@@ -84,11 +81,16 @@ def _distances(aligned: DataFrame, threshold: float, group: list[str]) -> DataFr
     m = (F.col("p") + F.col("q")) / 2
     kl_p = F.when(F.col("p") > 0, F.col("p") * F.log(F.col("p") / m)).otherwise(0.0)
     kl_q = F.when(F.col("q") > 0, F.col("q") * F.log(F.col("q") / m)).otherwise(0.0)
+    # Homogeneity of the two samples over the categories of either.
+    gap = (F.col("ref_n") * F.sqrt(F.col("cur_tot") / F.col("ref_tot"))
+           - F.col("cur_n") * F.sqrt(F.col("ref_tot") / F.col("cur_tot")))
+    chi = F.when(F.col("ref_tot") > 0, gap * gap / (F.col("ref_n") + F.col("cur_n")))
     pe, qe = F.greatest("p", F.lit(PSI_EPS)), F.greatest("q", F.lit(PSI_EPS))
     return (a.groupBy(*group)
             .agg((F.sum(F.abs(F.col("p") - F.col("q"))) / 2).alias("distance"),
                  (F.sum(kl_p + kl_q) / 2).alias("js_divergence"),
                  F.sum((qe - pe) * F.log(qe / pe)).alias("psi"),
+                 F.sum(chi).alias("chi_square"),
                  F.first("ref_tot").alias("reference_size"),
                  F.first("cur_tot").alias("current_size"))
             .withColumn("drifted", F.col("distance") > F.lit(threshold)))
@@ -130,6 +132,10 @@ def reports_from_distances(dist: DataFrame, cfg: Config = DEFAULT, mode: str = "
         F.max("reference_size").alias("reference_size"),
         F.max("current_size").alias("current_size"),
         details.alias("details"))
+    # A report without a reference is an error, whatever date it is for.
+    sized = F.when(F.coalesce("reference_size", F.lit(0)) > 0, F.col("features_drifted")).otherwise(
+        F.raise_error(F.lit("Reference dataset is empty.")).cast("bigint"))
+    r = r.withColumn("features_drifted", sized)
     score = F.col("features_drifted") / F.col("total_features")
     dd = score > F.lit(cfg.drift_threshold) if mode == "fallback" else score > F.lit(0.0)
     return r.select(
@@ -155,30 +161,46 @@ def drift_reports(profile: DataFrame, features: list[str], cfg: Config = DEFAULT
 
 
 def ks_backfill(df: DataFrame, value_col: str, day_col: str = "day", cfg: Config = DEFAULT,
-                first: date | None = None, last: date | None = None) -> DataFrame:
+                first: date | None = None, last: date | None = None, step: float = 16) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov statistic per report date.
 
     D = max over distinct values of |F_ref(x) - F_cur(x)|, from cumulative
-    counts. The window is partitioned by report date over distinct values.
+    counts. Values are cut into ranges of ``step``; counts run inside each
+    (date, range), and one small table of range totals carries them on, so no
+    date's values are sorted in one task.
     """
     first = first or cfg.reference_end
     last = last or cfg.as_of.date()
     daily = (df.groupBy(F.col(day_col).alias("day"), F.col(value_col).alias("value"))
              .agg(F.count(F.lit(1)).alias("n")))
     al = aligned_counts(daily, ["value"], cfg.reference_end, first, last, cfg.drift_window_days)
-    tot = Window.partitionBy("report_date")
-    cum = Window.partitionBy("report_date").orderBy("value").rowsBetween(
+    al = al.withColumn("_range", F.floor(F.col("value") / F.lit(step)))
+    sums = al.groupBy("report_date", "_range").agg(F.sum("ref_n").alias("r"), F.sum("cur_n").alias("c"))
+    day = Window.partitionBy("report_date")
+    before = day.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carry = sums.select(F.col("report_date").alias("_d"), F.col("_range").alias("_g"),
+                        F.coalesce(F.sum("r").over(before), F.lit(0)).alias("r0"),
+                        F.coalesce(F.sum("c").over(before), F.lit(0)).alias("c0"),
+                        F.sum("r").over(day).alias("ref_tot"), F.sum("c").over(day).alias("cur_tot"))
+    inside = Window.partitionBy("report_date", "_range").orderBy("value").rowsBetween(
         Window.unboundedPreceding, 0)
-    a = (al.withColumn("ref_tot", F.sum("ref_n").over(tot))
-         .withColumn("cur_tot", F.sum("cur_n").over(tot))
+    a = (al.withColumn("ri", F.sum("ref_n").over(inside)).withColumn("ci", F.sum("cur_n").over(inside))
+         .join(carry, (F.col("report_date") == F.col("_d")) & F.col("_range").eqNullSafe(F.col("_g")))
          .where(F.col("cur_tot") > 0)
-         .withColumn("gap", F.abs(F.sum("ref_n").over(cum) / F.col("ref_tot")
-                                  - F.sum("cur_n").over(cum) / F.col("cur_tot"))))
+         .withColumn("gap", F.abs((F.col("r0") + F.col("ri")) / F.col("ref_tot")
+                                  - (F.col("c0") + F.col("ci")) / F.col("cur_tot"))))
     return a.groupBy("report_date").agg(F.max("gap").alias("ks_statistic"),
                                         F.first("ref_tot").alias("reference_size"),
                                         F.first("cur_tot").alias("current_size"))
 
 
+def require_rows(reference: DataFrame, current: DataFrame) -> None:
+    """R2's precondition: both sides have a row."""
+    for side, df in (("Reference", reference), ("Current", current)):
+        if df.limit(1).count() == 0:
+            raise ValueError(f"{side} dataset is empty.")
+
+
 def detect_drift(reference: DataFrame, current: DataFrame, cfg: Config = DEFAULT,
                  features: list[str] | None = None, mode: str = "fallback"):
     """R1/R2 for two frames (the reference's single-run form).
@@ -189,6 +211,7 @@ def detect_drift(reference: DataFrame, current: DataFrame, cfg: Config = DEFAULT
     feats = features or comparable_features(reference, current)
     if not feats:
         raise ValueError("No comparable features between reference and current data.")
+    require_rows(reference, current)
     rd = cfg.as_of.date()
     r = stack_features(reference, feats, []).withColumn("_side", F.lit(0))
     c = stack_features(current, feats, []).withColumn("_side", F.lit(1))

@@ -67,8 +67,7 @@ V_MODEL_VERSIONS = """model_versions AS (
   FROM runs)"""
 
 V_LOGITS = """logits AS (
-  SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS s0, CAST(embedding[2] AS DOUBLE) AS s1
-  FROM embeddings)"""
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS s FROM embeddings)"""
 
 
 def with_views(*views: str) -> str:

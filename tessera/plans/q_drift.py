@@ -66,6 +66,14 @@ dist AS (
          sum((greatest(q, {D.PSI_EPS}) - greatest(p, {D.PSI_EPS})) * ln(greatest(q, {D.PSI_EPS}) / greatest(p, {D.PSI_EPS}))) AS psi,
          sum(abs(p - q)) / 2 > {THR} AS drifted
   FROM pq GROUP BY pq.report_date, pq.feature),
+chi AS (
+  SELECT k.report_date, k.feature,
+         sum(pow(coalesce(r.n, 0) * sqrt(t.cur_tot / t.ref_tot) - coalesce(c.n, 0) * sqrt(t.ref_tot / t.cur_tot), 2)
+             / (coalesce(r.n, 0) + coalesce(c.n, 0))) AS chi_square
+  FROM keys k JOIN sizes t ON k.report_date = t.report_date AND k.feature = t.feature
+  LEFT JOIN ref r ON k.feature = r.feature AND k.category = r.category
+  LEFT JOIN cur c ON k.report_date = c.report_date AND k.feature = c.feature AND k.category = c.category
+  GROUP BY k.report_date, k.feature),
 dist2 AS (SELECT d.*, s.ref_tot AS reference_size, s.cur_tot AS current_size
           FROM dist d JOIN sizes s ON d.report_date = s.report_date AND d.feature = s.feature),
 rep AS (
@@ -105,13 +113,14 @@ alerts AS (
 
 
 @register("drift_feature_distances", _DIST_CTES + """
-SELECT report_date, feature, distance, js_divergence, psi, drifted, reference_size, current_size FROM dist2""",
-          "report_date:date feature:str distance:dbl js_divergence:dbl psi:dbl drifted:bool "
+SELECT d.report_date, d.feature, distance, js_divergence, psi, chi_square, drifted, reference_size, current_size
+FROM dist2 d JOIN chi ON chi.report_date = d.report_date AND chi.feature = d.feature""",
+          "report_date:date feature:str distance:dbl js_divergence:dbl psi:dbl chi_square:dbl drifted:bool "
           "reference_size:int current_size:int")
 def drift_feature_distances(t):
-    """TVD, JS and PSI per report date and feature."""
+    """TVD, JS, PSI and chi-square per report date and feature."""
     d = D.feature_distances(V.profile(t, CFG), FEATURES, CFG)
-    return d.select("report_date", "feature", "distance", "js_divergence", "psi", "drifted",
+    return d.select("report_date", "feature", "distance", "js_divergence", "psi", "chi_square", "drifted",
                     "reference_size", "current_size")
 
 
@@ -270,7 +279,8 @@ SELECT report_date, drift_score > 0 AS dataset_drift_detected, drift_score, feat
           "total_features:int prediction_drift_detected:bool")
 def drift_summary_from_report(t):
     """Each date's distances written as a preset-style report document
-    (JSON text) and summarised back by ``create_drift_summary`` rules."""
+    (JSON text) and summarised back by ``create_drift_summary`` rules. On every
+    other date a last entry repeats the counts without a share."""
     from ..functions import jsonx as J
     d = D.feature_distances(V.profile(t, CFG), FEATURES, CFG)
     per_col = F.struct(F.lit("ColumnDriftMetric").alias("metric"), F.struct(
@@ -281,9 +291,14 @@ def drift_summary_from_report(t):
     dataset = F.struct(F.lit("DatasetDriftMetric").alias("metric"), F.struct(
         F.col("k").alias("number_of_drifted_columns"), F.col("n").alias("number_of_columns"),
         (F.col("k") / F.col("n")).alias("share_of_drifted_columns")).alias("result"))
+    # to_json leaves the null share out
+    bare = F.struct(F.lit("DataDriftTable").alias("metric"), F.struct(
+        F.col("k").alias("number_of_drifted_columns"), F.col("n").alias("number_of_columns"),
+        F.lit(None).cast("double").alias("share_of_drifted_columns")).alias("result"))
+    tail = F.when(F.dayofmonth("report_date") % 2 == 1, F.array(F.to_json(bare))).otherwise(F.array().cast("array<string>"))
     # Build the document as real JSON text: {"metrics": [ ... ]}
     doc = F.concat(F.lit('{"metrics": ['), F.array_join(F.concat(
-        F.array(F.to_json(dataset)), F.transform("cols", lambda c: F.to_json(c))), ", "), F.lit("]}"))
+        F.array(F.to_json(dataset)), F.transform("cols", lambda c: F.to_json(c)), tail), ", "), F.lit("]}"))
     s = g.select("report_date", J.drift_summary(doc).alias("s"))
     return s.select("report_date", "s.dataset_drift_detected", "s.drift_score", "s.features_drifted",
                     "s.total_features", "s.prediction_drift_detected")

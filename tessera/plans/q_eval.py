@@ -80,12 +80,12 @@ def classification_report_json(t):
 
 
 @register("softmax_argmax", with_views(V_LOGITS) + """
-SELECT vec_id, CASE WHEN s0 >= s1 THEN 0 ELSE 1 END AS pred_class,
-       1.0 / (exp(s0 - greatest(s0, s1)) + exp(s1 - greatest(s0, s1))) AS confidence,
-       CASE WHEN s0 >= s1 THEN 'negative' ELSE 'positive' END AS sentiment
-FROM logits""", "vec_id:int pred_class:int confidence:dbl sentiment:str")
+, m AS (SELECT vec_id, s, list_max(s) AS top, list_position(s, list_max(s)) - 1 AS i FROM logits)
+SELECT vec_id, i AS pred_class, 1.0 / list_sum(list_transform(s, lambda x: exp(x - top))) AS confidence,
+       CASE i WHEN 0 THEN 'negative' WHEN 1 THEN 'positive' ELSE CAST(i AS VARCHAR) END AS sentiment
+FROM m""", "vec_id:int pred_class:int confidence:dbl sentiment:str")
 def softmax_argmax(t):
-    """Softmax over two scores, winning class (first wins ties)."""
+    """Softmax over all 64 scores, winning class (first wins ties)."""
     lg = V.logits(t)
     idx, prob = MX.softmax_argmax("scores")
     return lg.select("vec_id", idx.alias("pred_class"), prob.alias("confidence"),
@@ -103,6 +103,15 @@ def numeric_props(t):
     return J.numeric_metrics(t.events, "props", ["event_id"])
 
 
+@register("json_rejects", """
+SELECT doc_id, CASE WHEN json_valid(text) THEN 'not an object' ELSE 'not JSON' END AS reason FROM documents
+WHERE text IS NOT NULL AND (NOT json_valid(text) OR json_type(CASE WHEN json_valid(text) THEN text END) <> 'OBJECT')""",
+          "doc_id:int reason:str")
+def json_rejects(t):
+    """J3/J4 quarantine: texts that are no JSON object, with the reason."""
+    return J.json_rejects(t.documents, "text", ["doc_id"])
+
+
 @register("flattened_props", """
 WITH e AS (
   SELECT event_id, k AS key, json_extract(props, '$."' || k || '"') AS v,

@@ -132,11 +132,8 @@ def model_versions(t: Tables, cfg: Config = DEFAULT) -> DataFrame:
 
 
 def logits(t: Tables) -> DataFrame:
-    """Two-class scores: the first two embedding components."""
-    return t.embeddings.select(
-        "vec_id",
-        F.array(F.col("embedding")[0].cast("double"),
-                F.col("embedding")[1].cast("double")).alias("scores"))
+    """Class scores: all components of the embedding."""
+    return t.embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("scores"))
 
 
 def scoring_input(t: Tables) -> DataFrame:

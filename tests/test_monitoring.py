@@ -5,6 +5,7 @@ import json
 import random
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.config import DEFAULT
@@ -164,3 +165,32 @@ def test_scoring_argmax(spark):
 def test_leaderboard_order(spark):
     df = spark.createDataFrame([("a", 0.49), ("b", 0.85)], "run_id string, f1 double")
     assert [r.run_id for r in RG.leaderboard(df).collect()] == ["b", "a"]
+
+
+def test_drift_needs_both_sides(spark):
+    df = spark.createDataFrame([("positive", 10)], "predicted_sentiment string, input_length int")
+    for ref, cur, side in ((df.limit(0), df, "Reference"), (df, df.limit(0), "Current")):
+        with pytest.raises(ValueError, match=f"{side} dataset is empty"):
+            D.detect_drift(ref, cur)
+    aligned = spark.createDataFrame([(datetime(2024, 1, 9).date(), "f", "a", 0, 5)],
+                                    "report_date date, feature string, category string, ref_n bigint, cur_n bigint")
+    dist = D._distances(aligned, 0.1, ["report_date", "feature"])
+    with pytest.raises(Exception, match="Reference dataset is empty"):
+        D.reports_from_distances(dist).collect()
+
+
+def test_ks_ranges_carry_over(spark):
+    rnd = random.Random(4)
+    days = [datetime(2024, 1, d).date() for d in range(1, 15)]
+    rows = [(rnd.choice(days), rnd.randint(-50, 400)) for _ in range(3000)]
+    cfg = DEFAULT.with_(as_of=datetime(2024, 1, 12))
+    df = spark.createDataFrame(rows, "day date, value int")
+    one = {r.report_date: r.ks_statistic for r in D.ks_backfill(df, "value", cfg=cfg, step=1e9).collect()}
+    for step in (1, 7, 64):
+        got = {r.report_date: r.ks_statistic for r in D.ks_backfill(df, "value", cfg=cfg, step=step).collect()}
+        assert got.keys() == one.keys() and all(abs(got[d] - one[d]) < 1e-12 for d in one)
+    for day, stat in one.items():
+        ref = sorted(v for d, v in rows if d < cfg.reference_end)
+        cur = sorted(v for d, v in rows if 0 < (day - d).days <= cfg.drift_window_days)
+        gap = max(abs(sum(r <= x for r in ref) / len(ref) - sum(c <= x for c in cur) / len(cur)) for x in {*ref, *cur})
+        assert abs(gap - stat) < 1e-12

@@ -65,6 +65,26 @@ def test_drift_summary_last_entry_wins(spark):
     assert (s.drift_score, s.features_drifted, s.prediction_drift_detected) == (0.5, 2, True)
 
 
+def test_drift_summary_keeps_the_last_share(spark):
+    def entry(metric, k, share=None):
+        result = {"number_of_drifted_columns": k, "number_of_columns": 4}
+        return {"metric": metric, "result": result if share is None else {**result, "share_of_drifted_columns": share}}
+    docs = [{"metrics": [entry("DatasetDriftMetric", 1, 0.25), entry("DataDriftTable", 2)]},
+            {"metrics": [entry("DatasetDriftMetric", 3)]}, {"metrics": []}, {}]
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "i int, r string")
+    got = [(r.s.dataset_drift_detected, r.s.drift_score, r.s.features_drifted)
+           for r in df.orderBy("i").select(J.drift_summary("r").alias("s")).collect()]
+    assert got == [(True, 0.25, 2), (False, 0.0, 3), (False, 0.0, 0), (False, 0.0, 0)]
+
+
+def test_json_rejects_are_kept_with_their_reason(spark):
+    texts = ['{"a": 1', '{"a": NaN}', "[1, 2]", "3", '{"a": 1}', "{}", None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, m string")
+    got = {r.i: r.reason for r in J.json_rejects(df, "m", ["i"]).collect()}
+    assert got == {0: "not JSON", 1: "not JSON", 2: "not an object", 3: "not an object", 7: "not JSON"}
+    assert [r.i for r in J.numeric_metrics(df, "m", ["i"]).collect()] == [4]
+
+
 def test_first_with_prefix(spark):
     df = spark.createDataFrame([("g", 0, "distilbert-x", 0.4), ("g", 1, "baseline-lr", 0.8),
                                 ("g", 2, "baseline-nb", 0.9)],
