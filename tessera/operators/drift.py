@@ -58,17 +58,21 @@ def aligned_counts(daily: DataFrame, key, ref_end: date, first: date, last: date
     """
     keys = [key] if isinstance(key, str) else list(key)
     lo = first - timedelta(days=window_days)
-    # The reference is summed to one row a category before it serves every date.
-    ref = (daily.where(F.col("day") < date_lit(ref_end)).groupBy(*keys).agg(F.sum("n").alias("n"))
-           .select(F.explode(_report_dates(first, last)).alias("report_date"), *keys,
-                   F.col("n").alias("ref_n"), F.lit(0).cast("bigint").alias("cur_n")))
+    # One scan: a daily row counts for the reference (no day) and for its own
+    # day; the reference is summed to one row a category before it is exploded.
+    use = F.array_compact(F.array(
+        F.when(F.col("day") < date_lit(ref_end), F.struct(F.lit(None).cast("date").alias("day"), F.lit(True).alias("ref"))),
+        F.when((F.col("day") >= date_lit(lo)) & (F.col("day") < date_lit(last)),
+               F.struct(F.col("day"), F.lit(False).alias("ref")))))
+    sums = (daily.select(F.explode(use).alias("u"), *keys, "n")
+            .groupBy(F.col("u.day").alias("day"), F.col("u.ref").alias("ref"), *keys).agg(F.sum("n").alias("n")))
     served = F.sequence(F.greatest(F.date_add("day", 1), date_lit(first)),
                         F.least(F.date_add("day", window_days), date_lit(last)))
-    cur = (daily.where((F.col("day") >= date_lit(lo)) & (F.col("day") < date_lit(last)))
-           .select(F.explode(served).alias("report_date"), *keys,
-                   F.lit(0).cast("bigint").alias("ref_n"), F.col("n").alias("cur_n")))
-    return (ref.unionByName(cur).groupBy("report_date", *keys)
-            .agg(F.sum("ref_n").cast("bigint").alias("ref_n"), F.sum("cur_n").cast("bigint").alias("cur_n")))
+    x = sums.select(F.explode(F.when(F.col("ref"), _report_dates(first, last)).otherwise(served)).alias("report_date"),
+                    "ref", *keys, "n")
+    return (x.groupBy("report_date", *keys)
+            .agg(F.sum(F.when(F.col("ref"), F.col("n")).otherwise(0)).cast("bigint").alias("ref_n"),
+                 F.sum(F.when(~F.col("ref"), F.col("n")).otherwise(0)).cast("bigint").alias("cur_n")))
 
 
 def _distances(aligned: DataFrame, threshold: float, group: list[str]) -> DataFrame:
