@@ -34,7 +34,7 @@ def test_drift_has_no_range_join_and_scans_events_once(spark):
     assert p.count("FileScan parquet") == 1
 
 
-@pytest.mark.parametrize("name", ["stratified_split", "balanced_cap", "reference_profile"])
+@pytest.mark.parametrize("name", ["stratified_split", "reference_profile"])
 def test_split_ranks_boundary_buckets_on_keys_only(spark, name):
     p = _plan(spark, name)
     # the rank window is partitioned by class, hash bucket and quota
