@@ -44,7 +44,9 @@ from .suffix_sort import PrefixHash
 LENGTH = 200
 GRAM = 40
 HOT_CONTEXTS = 16_384
-BATCH_CONTEXTS = 4096
+BATCH_CONTEXTS = 1024
+STRINGS = 300_000  # compared at a time in a task
+SLICE = 1 << 20  # bytes of text whose anchors are searched at a time
 
 
 def anchors(data: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int = GRAM):
@@ -82,7 +84,7 @@ ANCHOR = "node long, pos long, anchor long, context long, before int, after int,
 def _anchor_rows(length: int, gram: int):
     def rows(batches):
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", SLICE):
                 nodes = np.asarray(batch.column("node"), np.int64)
                 _, first, count = np.unique(nodes, return_index=True, return_counts=True)
                 part = batch.take(pa.array(first))
@@ -113,25 +115,42 @@ def _contexts(batches):
                 names=["anchor", "context", "before", "bytes"])
 
 
-def strings_at(prefix: PrefixHash, off: np.ndarray, left: np.ndarray, length: int, gram: int):
-    """Every ``length``-byte string that holds its context's anchor: context
-    number, offset to the anchor (<= 0), start, hash."""
+def strings_at(prefix: PrefixHash, off: np.ndarray, left: np.ndarray, length: int, gram: int,
+               first: int | None = None, last: int = 0):
+    """Every ``length``-byte string that holds its context's anchor and starts
+    ``first`` to ``last`` bytes from it (<= 0): context number, that offset, start, hash."""
     right = np.diff(off) - left
-    count = np.maximum(np.minimum(left, length - gram) - np.maximum(length - right, 0) + 1, 0)
-    begin = off[:-1] + left - np.minimum(left, length - gram)
-    start = ragged(begin, count)
+    first = gram - length if first is None else first
+    low = np.maximum(-np.minimum(left, length - gram), first)
+    high = np.minimum(np.minimum(right - length, 0), last)
+    count = np.maximum(high - low + 1, 0)
+    anchor = off[:-1] + left
+    start = ragged(anchor + low, count)
     row = np.repeat(np.arange(len(left)), count)
-    return row, start - (off[:-1] + left)[row], start, prefix.hash(start, length)
+    return row, start - anchor[row], start, prefix.hash(start, length)
 
 
 def repeated_reach(data: np.ndarray, off: np.ndarray, left: np.ndarray, group: np.ndarray,
                    length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
     """How far repeated strings reach before and after the anchor of each context
-    (0, 0: no string repeats). Contexts of a group share the anchor and differ."""
+    (0, 0: no string repeats). Contexts of a group share the anchor and differ.
+    Strings can only be equal at the same offset, so a few offsets are taken at a time."""
     n = len(left)
     reach_left, reach_right = np.zeros(n, np.int64), np.zeros(n, np.int64)
     prefix = PrefixHash(data)
-    row, offset, start, name = strings_at(prefix, off, left, length, gram)
+    width = max(1, STRINGS // max(n, 1))
+    for first in range(gram - length, 1, width):
+        row, offset, start, name = strings_at(prefix, off, left, length, gram, first, first + width - 1)
+        far = outermost(prefix, row, offset, start, name, group, length)
+        np.maximum.at(reach_left, row[far], -offset[far])
+        np.maximum.at(reach_right, row[far], length + offset[far])
+    return reach_left, reach_right
+
+
+def outermost(prefix: PrefixHash, row, offset, start, name, group, length: int) -> np.ndarray:
+    """The first and last repeated strings of each context, with their partners.
+    Candidates agree by hash; the chosen ones are suffix
+    sorted, and neighbours that are equal byte by byte are confirmed."""
     key = mix64(name + mix64(group[row].astype(np.uint64) * np.uint64(1024) + (-offset).astype(np.uint64)))
     alive = np.arange(len(row))
     while len(alive):
@@ -140,15 +159,13 @@ def repeated_reach(data: np.ndarray, off: np.ndarray, left: np.ndarray, group: n
         alive, cls = alive[some], inverse[some]
         if not len(alive):
             break
-        # The outermost candidates of each context, and their partners.
         first = np.concatenate([[True], row[alive][1:] != row[alive][:-1]])
         last = np.concatenate([first[1:], [True]])
         outer = np.zeros(int(cls.max()) + 1, bool)
         outer[cls[first | last]] = True
         chosen = outer[cls]
         items, kinds = alive[chosen], cls[chosen]
-        segment = group[row[items]] * 1024 - offset[items]
-        _, segment = np.unique(segment, return_inverse=True)
+        _, segment = np.unique(group[row[items]] * 1024 - offset[items], return_inverse=True)
         order = prefix.sort(start[items], np.full(len(items), length, np.int64), segment)
         a, b = order[:-1], order[1:]
         near = (segment[a] == segment[b]) & (kinds[a] == kinds[b])
@@ -157,11 +174,9 @@ def repeated_reach(data: np.ndarray, off: np.ndarray, left: np.ndarray, group: n
         good = np.zeros(len(items), bool)
         good[a[true]] = good[b[true]] = True
         if good.all():
-            np.maximum.at(reach_left, row[items], -offset[items])
-            np.maximum.at(reach_right, row[items], length + offset[items])
-            break
+            return items
         alive = np.setdiff1d(alive, items[~good])  # a collision: look again without it
-    return reach_left, reach_right
+    return alive
 
 
 REACH = "anchor long, context long, reach_left int, reach_right int"
