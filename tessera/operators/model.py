@@ -103,9 +103,20 @@ def evaluate_model(model: PipelineModel, test: DataFrame, label: str = "label")
     return EV.evaluate(p).first().asDict()
 
 
-def train_and_evaluate(splits: DataFrame, cfg: Config = DEFAULT) -> list[Candidate]:
+def data_version(splits: DataFrame) -> str:
+    """Fingerprint of a labelled split table: its rows in any order."""
+    row = splits.agg(F.count(F.lit(1)).alias("n"),
+                     F.sum(F.xxhash64(*sorted(splits.columns)).cast("decimal(38,0)")).alias("h")).first()
+    return f"{row['n']}-{row['h']}"
+
+
+def train_and_evaluate(splits: DataFrame, cfg: Config = DEFAULT, attempt: str = "") -> list[Candidate]:
     """K3: fit both candidates on train, evaluate on test; metrics include the
-    training time, feature count and validation size.
+    training time, feature count, validation size, and for the logistic
+    regression its iterations and whether it converged within the limit.
+
+    A run id names the candidate, the data, the configuration and the attempt,
+    so a retrained model never takes another one's name.
 
     The split table is the one intermediate read by fitting, validation and
     both evaluations, so it is written once to the shared checkpoint folder.
@@ -114,6 +125,7 @@ def train_and_evaluate(splits: DataFrame, cfg: Config = DEFAULT) -> list[Candida
     train = splits.where(F.col("split") == "train")
     test = with_grams(splits.where(F.col("split") == "test"), "text", "grams").persist()
     n_val = splits.where(F.col("split") == "val").count()
+    version = data_version(splits)
     out = []
     for mtype, (model, secs) in fit_candidates(train, cfg).items():
         p = _predict_grams(model, test).select(F.col("label").alias("y_true"),
@@ -121,7 +133,11 @@ def train_and_evaluate(splits: DataFrame, cfg: Config = DEFAULT) -> list[Candida
         m = EV.evaluate(p).first().asDict()
         m.update(training_time=secs, n_features=len(model.stages[0].vocabulary),
                  validation_rows=n_val)
-        run_id = hashlib.md5(f"{mtype}:{cfg.seed}".encode()).hexdigest()
+        solver = model.stages[-1]
+        if getattr(solver, "hasSummary", False):
+            m["iterations"] = int(solver.summary.totalIterations)
+            m["converged"] = m["iterations"] < cfg.logreg_max_iter
+        run_id = hashlib.sha256(f"{mtype}|{cfg!r}|{version}|{attempt}".encode()).hexdigest()[:32]
         out.append(Candidate(mtype, run_id, model, m))
     test.unpersist()
     return out
@@ -149,6 +165,20 @@ def log_rows(scored: DataFrame, raw_text_col: str, key_cols: list[str],
         F.lit(batch_id).alias("batch_id"))
 
 
+def save_model(model: PipelineModel, models_root: str, run_id: str) -> str:
+    """Save under the run's own folder; a folder that is there is that run's
+    (same data, configuration and attempt) and is left as it is."""
+    path = f"{models_root.rstrip('/')}/{run_id}"
+    from pyspark.errors import AnalysisException
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    try:
+        spark.read.text(f"{path}/metadata").limit(1).count()
+    except AnalysisException:
+        model.write().save(path)
+    return path
+
+
 def load_production(ledger: DataFrame, models_root: str, name: str) -> tuple[str, PipelineModel]:
     """The newest Production version of ``name`` (at most one row, by
     construction of the ledger) and its saved model; an error when none."""

@@ -132,3 +132,27 @@ def first_with_prefix(candidates: DataFrame, prefix: str, group: str = "experime
     """per group, the value of the first candidate whose type starts with ``prefix``."""
     c = candidates.where(F.col(type_col).startswith(prefix))
     return c.groupBy(group).agg(F.min_by(value_col, "position").alias(f"{prefix}_{value_col}"))
+
+
+def candidate_comparison(candidates: DataFrame, group: str = "experiment") -> DataFrame:
+    """The candidates as they were compared, one row each, winner marked."""
+    best = best_candidate(candidates, group).select(F.col(group).alias("_g"), "winner_run_id")
+    m = F.col("metrics")
+    return (candidates.join(best, candidates[group] == best["_g"])
+            .select(group, "run_id", F.try_element_at(m, F.lit("f1_macro")).alias("f1_macro"),
+                    F.try_element_at(m, F.lit("accuracy")).alias("accuracy"),
+                    (F.col("run_id") == F.col("winner_run_id")).alias("is_winner")))
+
+
+def pipeline_summary(candidates: DataFrame, ledger: DataFrame, group: str = "experiment") -> DataFrame:
+    """winner's type, the first candidate's F1 of each model family
+    (null without one) and the registry's decision on the winner."""
+    f1 = F.coalesce(F.try_element_at(F.col("metrics"), F.lit("f1_macro")), F.lit(0.0))
+    c = candidates.withColumn("f1", f1)
+    best = F.max_by(F.struct("model_type", "run_id"), F.struct("f1", (-F.col("position")).alias("p")))
+    w = c.groupBy(group).agg(best.alias("w")).select(group, F.col("w.model_type").alias("winner"), F.col("w.run_id").alias("_run"))
+    for prefix in ("baseline", "distilbert"):
+        w = w.join(first_with_prefix(c, prefix, group), group, "left")
+    decided = ledger.select(F.col("name").alias("_n"), F.col("run_id").alias("_r"), "promoted")
+    j = w.join(decided, (w[group] == decided["_n"]) & (w["_run"] == decided["_r"]), "left")
+    return j.select(group, "winner", "baseline_f1", F.col("distilbert_f1").alias("transformer_f1"), "promoted")

@@ -29,7 +29,8 @@ V_REVIEWS = """reviews AS (
   FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"""
 
 V_TRUTH_PRED = """truth_pred AS (
-  SELECT doc_id, quality AS y_true, 1 - toxic AS y_pred FROM labels)"""
+  SELECT l.doc_id, l.quality AS y_true, CAST(d.n_chars > 1000 AS INTEGER) AS y_pred
+  FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"""
 
 V_PROFILE = """profile AS (
   SELECT id, created_at, CAST(created_at AS DATE) AS day,
@@ -61,7 +62,7 @@ V_RUNS = """runs AS (
   FROM part)"""
 
 V_MODEL_VERSIONS = """model_versions AS (
-  SELECT experiment AS name,
+  SELECT experiment AS name, position,
          row_number() OVER (PARTITION BY experiment ORDER BY position) AS version,
          run_id, start_time AS registered_at, TRUE AS has_metrics, f1_macro, accuracy
   FROM runs)"""

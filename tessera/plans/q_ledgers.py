@@ -3,7 +3,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT
@@ -82,7 +81,7 @@ _LEDGER_SQL = with_views(V_RUNS, V_MODEL_VERSIONS) + """, l AS (
 p AS (SELECT *, prod IS NULL OR coalesce(f1_macro, 0) > prod AS promoted FROM l),
 lp AS (SELECT name, max(version) AS last_prod FROM p WHERE promoted GROUP BY name),
 ledger AS (
-  SELECT p.name, p.version, p.run_id, p.registered_at, p.f1_macro, p.accuracy, p.promoted,
+  SELECT p.name, p.version, p.position, p.run_id, p.registered_at, p.f1_macro, p.accuracy, p.promoted,
          coalesce(p.prod, 0) AS old_f1, coalesce(p.f1_macro, 0) AS new_f1,
          CASE WHEN p.promoted THEN 'Production' ELSE 'Staging' END AS decision_stage,
          CASE WHEN p.version = lp.last_prod THEN 'Production' WHEN p.promoted THEN 'Archived'
@@ -93,10 +92,8 @@ ledger AS (
 
 def ledger_df(t):
     """The version table (one row per version) is read by every step of the
-    ledger (rank offsets, running max, last promotion, deployments); it is
-    persisted once (memory and disk; lineage kept for executor loss)."""
-    versions = V.model_versions(t, CFG).persist(StorageLevel.MEMORY_AND_DISK)
-    return RG.promotion_ledger(versions)
+    ledger (rank offsets, running max, last promotion, deployments)."""
+    return RG.promotion_ledger(V.model_versions(t, CFG))
 
 
 @register("promotion_ledger", _LEDGER_SQL + """
@@ -130,7 +127,9 @@ def deployment_history(t):
 
 
 @register("registry_listing", _LEDGER_SQL + """
-SELECT l.name, l.version, l.stage, l.run_id, l.f1_macro, l.accuracy
+SELECT l.name, l.version, l.stage, l.run_id,
+       CASE WHEN l.position % 5 = 0 THEN l.f1_macro ELSE l.f1_macro / 2 END AS f1_macro,
+       CASE WHEN l.position % 5 = 0 THEN l.accuracy ELSE l.accuracy / 4 END AS accuracy
 FROM ledger l JOIN (SELECT DISTINCT experiment AS name FROM runs) m ON l.name = m.name""",
           "name:str version:int stage:str run_id:str f1_macro:dbl accuracy:dbl")
 def registry_listing(t):
@@ -180,6 +179,34 @@ def best_candidate(t):
     return RG.best_candidate(V.runs(t))
 
 
+@register("candidate_comparison", with_views(V_RUNS) + """
+, w AS (SELECT experiment, arg_max(run_id, (coalesce(f1_macro, 0), -position)) AS winner FROM runs GROUP BY experiment)
+SELECT r.experiment, r.run_id, r.f1_macro, r.accuracy, r.run_id = w.winner AS is_winner
+FROM runs r JOIN w ON r.experiment = w.experiment""",
+          "experiment:str run_id:str f1_macro:dbl accuracy:dbl is_winner:bool")
+def candidate_comparison(t):
+    """Every candidate echoed, the winner marked."""
+    return RG.candidate_comparison(V.runs(t))
+
+
+@register("pipeline_summary", _LEDGER_SQL + """
+, c AS (SELECT *, CASE position % 3 WHEN 0 THEN 'distilbert-' ELSE 'baseline-' END || (position % 7) AS model_type FROM runs),
+w AS (SELECT experiment, arg_max(model_type, (f1_macro, -position)) AS winner,
+             arg_max(run_id, (f1_macro, -position)) AS run_id FROM c GROUP BY experiment),
+b AS (SELECT experiment, arg_min(f1_macro, position) AS f1 FROM c WHERE model_type LIKE 'baseline%' GROUP BY experiment),
+d AS (SELECT experiment, arg_min(f1_macro, position) AS f1 FROM c WHERE model_type LIKE 'distilbert%' GROUP BY experiment)
+SELECT w.experiment, w.winner, b.f1 AS baseline_f1, d.f1 AS transformer_f1, l.promoted
+FROM w LEFT JOIN b ON b.experiment = w.experiment LEFT JOIN d ON d.experiment = w.experiment
+LEFT JOIN ledger l ON l.name = w.experiment AND l.run_id = w.run_id""",
+          "experiment:str winner:str baseline_f1:dbl transformer_f1:dbl promoted:bool")
+def pipeline_summary(t):
+    """Each pipeline's summary row: winner, first F1 of each model
+    family, and whether the winner was promoted."""
+    kind = F.when(F.col("position") % 3 == 0, "distilbert-").otherwise("baseline-")
+    c = V.runs(t).withColumn("model_type", F.concat(kind, (F.col("position") % 7).cast("string")))
+    return RG.pipeline_summary(c, ledger_df(t))
+
+
 @register("pipeline_failure_alerts", _RUNS_SQL + """
 SELECT sha256('runfail:' || id) AS id, 'pipeline_failure' AS alert_type, 'warning' AS severity,
        'Pipeline failed: ' || dag_id || '/' || run_id AS message, coalesce(completed_at, started_at) AS created_at

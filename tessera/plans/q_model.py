@@ -14,33 +14,29 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT
 from ..operators import model as MD
 from ..operators import sample as S
+from ..operators import validate as VA
 from ..sources import views as V
 from .catalog import register
 
 CFG = DEFAULT
 
 
-_FITTED: dict = {}
-
-
 def _candidates(t):
-    """Both candidates for this input folder, fitted once per process (the
-    fitted models are small; scoring reuses them like a registry would)."""
-    key = (t.root, CFG)
-    if key not in _FITTED:
-        splits = S.stratified_split(V.reviews(t), "doc_id", "label", CFG)
-        _FITTED[key] = MD.train_and_evaluate(splits, CFG)
-    return _FITTED[key]
+    """Both candidates, fitted on this folder's labelled reviews."""
+    splits = S.stratified_split(V.reviews(t), "doc_id", "label", CFG)
+    return MD.train_and_evaluate(splits, CFG)
 
 
 def _candidate_frame(t, cands):
     rows = [(c.model_type, i, c.run_id, float(c.metrics["accuracy"]), float(c.metrics["f1_macro"]),
              float(c.metrics["precision_macro"]), float(c.metrics["recall_macro"]),
-             int(c.metrics["n_features"]), int(c.metrics["validation_rows"]))
+             int(c.metrics["n_features"]), int(c.metrics["validation_rows"]),
+             c.metrics.get("iterations"), c.metrics.get("converged"))
             for i, c in enumerate(cands)]
     return t.spark.createDataFrame(
         rows, "model_type string, position int, run_id string, accuracy double, f1_macro double, "
-              "precision_macro double, recall_macro double, n_features int, validation_rows int")
+              "precision_macro double, recall_macro double, n_features int, validation_rows int, "
+              "iterations int, converged boolean")
 
 
 @register("train_candidates")
@@ -61,12 +57,23 @@ def batch_scoring(t):
     winning model and derive the prediction-log rows."""
     cands = _candidates(t)
     best = max(enumerate(cands), key=lambda ic: (ic[1].metrics["f1_macro"], -ic[0]))[1]
-    src = t.conversations.where(F.char_length("text").between(1, CFG.max_text_length))
+    src = VA.admissibility(t.conversations, "text", CFG.max_text_length).where("admissible")
     scored = MD.predict(best.model, src, "text")
     return MD.log_rows(scored, "text", ["conv_id", "turn"], "1", CFG.registry_name,
                        datetime(2024, 1, 31), "batch-2024-01-31")
 
 
+@register("scoring_rejects", f"""
+SELECT doc_id, length(text) AS input_length,
+       CASE WHEN text IS NULL THEN 'null text' WHEN length(text) < 1 THEN 'empty text' ELSE 'text too long' END AS reason
+FROM documents WHERE NOT coalesce(length(text) BETWEEN 1 AND {CFG.max_text_length}, FALSE)""",
+          "doc_id:int input_length:int reason:str")
+def scoring_rejects(t):
+    """The quarantine side of scoring, over every document."""
+    from ..streaming import stream as ST
+    return ST.rejected_stream(t.documents, "text", ["doc_id"], CFG)
+
+
 @register("stream_scoring")
 def stream_scoring(t):
     """Conversation turns read as a file stream, scored by the winning
@@ -76,6 +83,6 @@ def stream_scoring(t):
     best = max(enumerate(cands), key=lambda ic: (ic[1].metrics["f1_macro"], -ic[0]))[1]
     path = f"{t.root}/conversations.parquet"
     src = (t.spark.readStream.schema("conv_id BIGINT, turn BIGINT, role STRING, text STRING")
-           .option("maxFilesPerTrigger", 1).parquet(ST._stream_path(path)))
+           .parquet(ST._stream_path(path)))
     scored = ST.scored_stream(best.model, src, "text", ["conv_id", "turn"], "1", CFG)
     return ST.run_available(scored, f"scoring-{best.run_id[:8]}", path)

@@ -102,7 +102,7 @@ _PROFILE_SPEC = ("row_count:int null_count:int empty_text_count:int duplicate_co
           .replace("\n, d AS", ", d AS", 1), _PROFILE_SPEC)
 def validation_profile(t):
     """One-pass validation profile of the labelled reviews."""
-    return VA.profile(V.reviews(t))
+    return VA.profile(V.reviews(t)).select(*VA.PROFILE_FIGURES)
 
 
 @register("validation_profile_clean",
@@ -112,7 +112,21 @@ def validation_profile(t):
 def validation_profile_clean(t):
     """V11 after cleaning: a row that cleans to empty text would fail the gate."""
     r = V.reviews(t).select(X.clean_text("text").alias("text"), "label")
-    return VA.profile(r)
+    return VA.profile(r).select(*VA.PROFILE_FIGURES)
+
+
+@register("validation_quarantine", f"""
+WITH d AS (SELECT d.doc_id, d.text, CASE WHEN l.quality = 1 AND l.toxic = 1 THEN 2 ELSE l.quality END AS label
+           FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
+SELECT doc_id, CASE WHEN label IS NULL THEN 'null label' ELSE 'label not 0 or 1' END AS reason
+FROM d WHERE label IS NULL OR label NOT IN (0, 1)""", "doc_id:int reason:str")
+def validation_quarantine(t):
+    """V11 quarantine: documents without a label, or with one outside 0/1
+    (good and toxic counts as 2 here)."""
+    lab = F.when((F.col("quality") == 1) & (F.col("toxic") == 1), 2).otherwise(F.col("quality"))
+    d = t.documents.select("doc_id", "text").join(t.labels.select("doc_id", lab.alias("label")), "doc_id", "left")
+    _, bad = VA.quarantine(d)
+    return bad.select("doc_id", F.explode("reasons").alias("reason"))
 
 
 @register("class_distribution", with_views(V_REVIEWS) + """

@@ -54,7 +54,8 @@ def write_versioned(df: DataFrame, root: str, name: str, version: str | None = N
 def read_latest(spark: SparkSession, root: str, name: str) -> DataFrame:
     """S3: the greatest version (partition discovery on ``version``)."""
     df = spark.read.parquet(f"{root.rstrip('/')}/{name}")
-    latest = df.agg(F.max("version")).first()[0]
+    # Folder names only: the version is a partition column, no data file is read.
+    latest = max(p.rsplit("version=", 1)[1].split("/", 1)[0] for p in df.inputFiles())
     return df.where(F.col("version") == latest).drop("version")
 
 
@@ -82,6 +83,13 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
     w.parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:
+    """S8-S10, retry-safe: the rows' own partitions are replaced, others stay,
+    so a rerun of a job leaves the table as one run does."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*by).parquet(path))
+
+
 def write_json_report(df: DataFrame, path: str, col: str = "report") -> None:
     """One JSON document per row as text."""
-    df.select(F.col(col).cast("string").alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    df.select(F.col(col).cast("string").alias("value")).write.mode("overwrite").text(path)

@@ -22,8 +22,11 @@ def reviews(t: Tables) -> DataFrame:
 
 
 def truth_pred(t: Tables) -> DataFrame:
-    return t.labels.select("doc_id", F.col("quality").alias("y_true"),
-                           (F.lit(1) - F.col("toxic")).alias("y_pred"))
+    """Truth (labels) joined with a prediction made from another table
+    (documents: long texts count as good) on the document."""
+    truth = t.labels.select("doc_id", F.col("quality").alias("y_true"))
+    pred = t.documents.select("doc_id", (F.col("n_chars") > 1000).cast("int").alias("y_pred"))
+    return truth.join(pred, "doc_id")
 
 
 def predictions(t: Tables, cfg: Config = DEFAULT, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -123,10 +126,10 @@ def model_versions(t: Tables, cfg: Config = DEFAULT) -> DataFrame:
         F.col("metrics")["f1_macro"].alias("f1_macro"),
         F.col("metrics")["accuracy"].alias("accuracy"),
         # Registry tags as text; every fifth run registered without tags so
-        # the lookup falls back to the run's metrics.
+        # the lookup falls back to the run's metrics (J6), which differ.
         F.when(F.col("position") % 5 == 0, F.create_map().cast("map<string,string>"))
-         .otherwise(F.create_map(F.lit("f1_macro"), F.col("metrics")["f1_macro"].cast("string"),
-                                 F.lit("accuracy"), F.col("metrics")["accuracy"].cast("string")))
+         .otherwise(F.create_map(F.lit("f1_macro"), (F.col("metrics")["f1_macro"] / 2).cast("string"),
+                                 F.lit("accuracy"), (F.col("metrics")["accuracy"] / 4).cast("string")))
          .alias("tags"),
     )
 

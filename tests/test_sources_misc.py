@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tessera.config import DEFAULT
 from tessera.functions import jsonx as J
 from tessera.operators import registry as RG
-from tessera.schemas import split_valid
+from tessera.schemas import PREDICTIONS, split_valid
 from tessera.sources import ingest as IG
 
 
@@ -92,43 +92,93 @@ def test_first_with_prefix(spark):
     assert RG.first_with_prefix(df, "baseline").first()[1] == 0.8
 
 
-def test_streaming_scoring(spark, tmp_path):
+CFG = DEFAULT.with_(ngram_max=1, tfidf_max_features=50)
+POS = ["excellent great good", "wonderful good nice", "great excellent nice", "good nice fine"]
+NEG = ["bad awful terrible", "poor bad awful", "terrible poor bad", "awful poor bad"]
+
+
+def labelled(spark, flip=0):
+    rows = [(i, t, 1 - flip) for i, t in enumerate(POS * 5)] + [(100 + i, t, flip) for i, t in enumerate(NEG * 5)]
+    return spark.createDataFrame(rows, "doc_id long, text string, label int")
+
+
+def table(spark, path):
+    return sorted(map(str, spark.read.parquet(str(path)).collect()))
+
+
+def test_streaming_scoring_rows_fit_the_log(spark, tmp_path):
     from tessera.operators import model as MD
     from tessera.streaming import stream as ST
-    rows = [(0, "excellent great good", 1, "train"), (1, "bad awful terrible", 0, "train"),
-            (2, "great nice", 1, "train"), (3, "poor bad", 0, "train"),
-            (4, "excellent", 1, "test"), (5, "awful", 0, "test")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, label int, split string")
-    cand = MD.train_and_evaluate(df, DEFAULT.with_(ngram_max=1, tfidf_max_features=50))[0]
+    splits = labelled(spark).withColumn("split", F.when(F.col("doc_id") % 5 == 0, "test").otherwise("train"))
+    cand = MD.train_and_evaluate(splits, CFG)[0]
     src = tmp_path / "texts"
-    spark.createDataFrame([(1, "excellent good"), (2, "bad awful")], "conv_id long, text string") \
+    spark.createDataFrame([(1, "excellent good"), (2, "bad awful"), (3, ""), (4, "x" * 6000), (5, None)], "conv_id long, text string") \
         .coalesce(1).write.parquet(str(src))
-    stream = spark.readStream.schema("conv_id long, text string").parquet(str(src))
-    out = ST.run_available(ST.scored_stream(cand.model, stream, "text", ["conv_id"], "1"),
-                           "scoring_test", str(src))
-    got = {r.conv_id: r.predicted_sentiment for r in out.collect()}
-    assert got == {1: "positive", 2: "negative"}
-
 
-def test_training_job_end_to_end(spark, tmp_path):
-    from tessera.plans.jobs import training_job
-    pos = ["excellent great good", "wonderful good nice", "great excellent nice", "good nice fine"]
-    neg = ["bad awful terrible", "poor bad awful", "terrible poor bad", "awful poor bad"]
-    rows = [(i, t, 1) for i, t in enumerate(pos * 5)] + [(100 + i, t, 0) for i, t in enumerate(neg * 5)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, label int")
-    out = training_job(spark, df, str(tmp_path), DEFAULT.with_(ngram_max=1, tfidf_max_features=50))
+    def stream():
+        return spark.readStream.schema("conv_id long, text string").parquet(str(src))
+    out = ST.run_available(ST.scored_stream(cand.model, stream(), "text", ["conv_id"], "1", CFG), "scoring_test", str(src))
+    assert {r.conv_id: r.predicted_sentiment for r in out.collect()} == {1: "positive", 2: "negative"}
+    good, bad = split_valid(out, "predictions")
+    assert good.count() == 2 and bad.count() == 0
+    assert {f.name for f in PREDICTIONS.fields} <= set(out.columns)
+    rejected = ST.run_available(ST.rejected_stream(stream(), "text", ["conv_id"], CFG), "rejected_test", str(src))
+    assert {r.conv_id: r.reason for r in rejected.collect()} == {3: "empty text", 4: "text too long", 5: "null text"}
+
+
+def test_jobs_run_twice_leave_equal_tables(spark, tmp_path):
+    from tessera.plans.jobs import scoring_job, training_job
+    texts = spark.createDataFrame([(1, "excellent nice"), (2, "bad poor"), (3, "")], "conv_id long, text string")
+    root, seen = str(tmp_path), []
+    for _ in range(2):
+        out = training_job(spark, labelled(spark), root, CFG, run_key="day1")
+        scored = scoring_job(spark, texts, "text", ["conv_id"], root, out["ledger"], "batch1", CFG)
+        assert {r.conv_id: r.predicted_sentiment for r in scored["predictions"].collect()} == {1: "positive", 2: "negative"}
+        seen.append([table(spark, tmp_path / t) for t in (
+            "model_versions", "pipeline_runs", "predictions", "predictions_quarantine", "splits")])
+    assert seen[0] == seen[1]
+    assert [len(t) for t in seen[0][:4]] == [1, 2, 2, 1]
     led = out["ledger"].first()
     assert led.promoted and led.stage == "Production" and len(out["candidates"]) == 2
+    runs = {r.dag_id: json.loads(r.metrics) for r in spark.read.parquet(f"{root}/pipeline_runs").collect()}
+    assert runs["training"]["winner"].startswith("baseline") and runs["training"]["promoted"] and runs["scoring"]["scored"] == 2
+    assert "converged" in out["candidates"][0].metrics
+
+
+def test_a_losing_retrain_leaves_production_as_it_is(spark, tmp_path):
     from tessera.operators import model as MD
-    version, model = MD.load_production(out["ledger"], str(tmp_path / "models"), DEFAULT.registry_name)
+    from tessera.plans.jobs import training_job
+    root = str(tmp_path)
     q = spark.createDataFrame([("excellent nice",)], "text string")
+    first = training_job(spark, labelled(spark), root, CFG, run_key="day1")
+    second = training_job(spark, labelled(spark, flip=1), root, CFG, run_key="day2")  # equal F1: not better
+    stages = {r.version: (r.stage, r.run_id) for r in second["ledger"].collect()}
+    assert stages[1][0] == "Production" and stages[2][0] == "Staging" and stages[1][1] != stages[2][1]
+    version, model = MD.load_production(second["ledger"], f"{root}/models", CFG.registry_name)
     assert version == "1" and MD.predict(model, q).first().pred_class == 1
+    assert MD.predict(second["winner"].model, q).first().pred_class == 0
+    assert first["winner"].run_id == stages[1][1]
+
+
+def test_failed_jobs_leave_a_row(spark, tmp_path):
+    from tessera.operators.validate import DataValidationError
+    from tessera.plans.jobs import training_job
+    with pytest.raises(DataValidationError):
+        training_job(spark, labelled(spark).withColumn("text", F.lit(" ")), str(tmp_path), CFG, run_key="bad")
+    row = spark.read.parquet(f"{tmp_path}/pipeline_runs").first()
+    assert (row.status, json.loads(row.metrics)) == ("failed", {"error": "DataValidationError"})
 
 
-def test_daily_monitoring_job(spark, tmp_path):
+def test_daily_monitoring_job_twice(spark, tmp_path):
     from tessera.plans.jobs import daily_monitoring_job
-    out = daily_monitoring_job(spark, "/root/testdata/sf0.001", str(tmp_path))
-    assert out["reports"].count() == 24 and out["alerts"].count() >= 1
+    seen = []
+    for _ in range(2):
+        out = daily_monitoring_job(spark, "/root/testdata/sf0.001", str(tmp_path))
+        seen.append([table(spark, tmp_path / t) for t in ("drift_reports", "alerts", "pipeline_runs")])
+    assert seen[0] == seen[1] and len(seen[0][0]) == 24 and len(seen[0][1]) >= 1
+    assert out["reports"].select("report_date").distinct().count() == 24
+    payloads = spark.read.text(f"{tmp_path}/drift_payloads")
+    assert payloads.count() == 24 and all("distance" in str(json.loads(r.value)) for r in payloads.collect())
 
 
 def test_flattened_props_oracle_on_mixed_json(spark, tmp_path):

@@ -2,7 +2,7 @@
 
 import pytest
 
-from tessera.operators.validate import DataValidationError, validate
+from tessera.operators.validate import DataValidationError, profile, quarantine, validate
 
 
 def _df(spark, rows):
@@ -10,9 +10,9 @@ def _df(spark, rows):
 
 
 def test_balanced_passes(spark):
-    r = validate(_df(spark, [("good", 1), ("bad", 0), ("fine", 1), ("poor", 0)]))
-    assert r.passed and r.class_distribution == {0: 2, 1: 2}
-    assert r.text_length["median"] > 0
+    r, warnings = validate(_df(spark, [("good", 1), ("bad", 0), ("fine", 1), ("poor", 0)]))
+    assert not warnings and [tuple(c) for c in r.classes] == [(0, 2, 0.5), (1, 2, 0.5)]
+    assert (r.len_min, r.len_median, r.len_max, r.len_mean) == (3, 4, 4, 3.75)
 
 
 def test_null_text_fails(spark):
@@ -26,13 +26,13 @@ def test_blank_text_fails(spark):
 
 
 def test_imbalance_warns(spark):
-    r = validate(_df(spark, [("a", 1), ("b", 1), ("c", 1), ("d", 1), ("e", 0)]))
-    assert any("60/40" in w for w in r.warnings)
+    _, warnings = validate(_df(spark, [("a", 1), ("b", 1), ("c", 1), ("d", 1), ("e", 0)]))
+    assert any("60/40" in w for w in warnings)
 
 
 def test_duplicates_warn(spark):
-    r = validate(_df(spark, [("a", 1), ("a", 1), ("b", 0), ("b", 0)]))
-    assert any("2 duplicated" in w for w in r.warnings)
+    _, warnings = validate(_df(spark, [("a", 1), ("a", 1), ("b", 0), ("b", 0)]))
+    assert any("2 duplicated" in w for w in warnings)
 
 
 def test_non_binary_labels_fail(spark):
@@ -49,6 +49,38 @@ def test_missing_columns(spark):
 def test_report_duplicates_over_all_columns(spark):
     df = spark.createDataFrame([(1, "a", 1), (2, "a", 1), (3, "b", 0), (3, "b", 0)],
                                "doc_id long, text string, label int")
-    r = validate(df)
-    assert any("2 duplicated" in w for w in r.warnings)  # (text, label) copies
-    assert r.duplicate_count == 1                         # whole-row copies
+    r, warnings = validate(df)
+    assert any("2 duplicated" in w for w in warnings)  # (text, label) copies
+    assert (r.duplicate_count, r.duplicate_rows) == (2, 1)
+
+
+def test_every_bad_label_is_named(spark):
+    with pytest.raises(DataValidationError) as e:
+        validate(_df(spark, [(f"t{i}", i) for i in range(60)]))
+    assert str(list(range(60))) in str(e.value)
+
+
+def test_empty_dataset_fails(spark):
+    with pytest.raises(DataValidationError, match="empty"):
+        validate(_df(spark, []))
+
+
+def test_null_cells_count_all_columns(spark):
+    df = spark.createDataFrame([(None, "a", 1), (2, "b", 0), (None, "c", 1), (4, "d", 0)], "doc_id long, text string, label int")
+    r, _ = validate(df)
+    assert (r.null_count, r.null_cells) == (0, 2)
+
+
+def test_quarantine_splits_off_what_the_gate_stops_at(spark):
+    df = _df(spark, [("a", 1), (None, 1), ("  ", 0), ("b", None), ("c", 7), (None, None), ("d", 0)])
+    good, bad = quarantine(df)
+    assert sorted(r.text for r in good.collect()) == ["a", "d"]
+    assert sorted(map(tuple, (r.reasons for r in bad.collect()))) == [
+        ("empty text",), ("label not 0 or 1",), ("null label",), ("null text",), ("null text", "null label")]
+    validate(good)
+
+
+def test_gate_is_one_scan(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").selectExpr("text", "cast(n_chars % 2 as int) as label")
+    plan = profile(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
