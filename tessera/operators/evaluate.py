@@ -105,9 +105,10 @@ def classification_report(df: DataFrame, y_true: str = "y_true", y_pred: str = "
     return c.select(F.explode(rows).alias("r")).select("r.*")
 
 
-def report_json(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred") -> DataFrame:
-    """The report as one sorted-key JSON document."""
+def report_json(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred", digits: int = 6) -> DataFrame:
+    """The report as one sorted-key JSON document, metrics to ``digits`` places."""
     rep = classification_report(df, y_true, y_pred)
+    rep = rep.withColumns({c: F.round(c, digits) for c in ("precision", "recall", "f1_score")})
     m = F.map_from_entries(F.array_sort(F.collect_list(F.struct(
         "label", F.struct("f1_score", "precision", "recall", "support")))))
     return rep.agg(F.to_json(m).alias("report"))

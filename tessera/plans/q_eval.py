@@ -73,9 +73,19 @@ def classification_report(t):
     return EV.classification_report(V.truth_pred(t))
 
 
-@register("classification_report_json")
+@register("classification_report_json", _CELLS + """, rep AS (
+SELECT 'accuracy' AS label, correct / total AS f, correct / total AS p, correct / total AS r, sneg + spos AS s FROM k UNION ALL
+SELECT 'macro avg', (fneg + fpos) / 2, (pn + pp) / 2, (rn + rp) / 2, sneg + spos FROM k UNION ALL
+SELECT 'negative', fneg, pn, rn, sneg FROM k UNION ALL
+SELECT 'positive', fpos, pp, rp, spos FROM k UNION ALL
+SELECT 'weighted avg', coalesce((fneg * sneg + fpos * spos) / nullif(sneg + spos, 0), 0),
+       coalesce((pn * sneg + pp * spos) / nullif(sneg + spos, 0), 0),
+       coalesce((rn * sneg + rp * spos) / nullif(sneg + spos, 0), 0), sneg + spos FROM k)
+SELECT '{' || string_agg('"' || label || '":{"f1_score":' || CAST(round(f, 6) AS DOUBLE) || ',"precision":' || CAST(round(p, 6) AS DOUBLE)
+       || ',"recall":' || CAST(round(r, 6) AS DOUBLE) || ',"support":' || CAST(s AS BIGINT) || '}', ',' ORDER BY label) || '}' AS report
+FROM rep""", "report:str")
 def classification_report_json(t):
-    """The report as one sorted-key JSON document (rows-only)."""
+    """The report as one sorted-key JSON document, to 6 places."""
     return EV.report_json(V.truth_pred(t))
 
 

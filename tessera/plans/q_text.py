@@ -154,6 +154,67 @@ def prediction_constraints(t):
                  F.sum((F.size("violations") > 0).cast("int")).alias("quarantined_rows"))
 
 
+# V9 on rows that break rules: log rows of each table filled from other tables
+# without care for types and lengths. One line a column: (table's column, SQL).
+_CARELESS = {
+    "predictions": ("events", {
+        "id": "CAST(event_id AS STRING)", "input_text_hash": "CASE WHEN event_id % 5 = 0 THEN NULL ELSE props END",
+        "input_length": "CASE WHEN event_id % 7 = 0 THEN NULL ELSE event_id END",
+        "predicted_sentiment": "concat(event_type, '-', CAST(user_id AS STRING))", "confidence": "value / 10",
+        "model_version": "CASE WHEN user_id % 9 = 0 THEN NULL ELSE '1' END", "model_name": "repeat(event_type, CAST(user_id % 40 AS INT))",
+        "latency_ms": "CASE WHEN user_id % 11 = 0 THEN NULL ELSE event_id END"}),
+    "alerts": ("events", {
+        "alert_type": "CASE event_type WHEN 'error' THEN 'pipeline_failure' WHEN 'click' THEN NULL ELSE repeat(event_type, CAST(user_id % 9 AS INT)) END",
+        "severity": "CASE user_id % 4 WHEN 0 THEN 'info' WHEN 1 THEN 'warning' WHEN 2 THEN 'loud' ELSE event_type || '-alert' END",
+        "message": "CASE WHEN event_id % 3 = 0 THEN NULL ELSE props END"}),
+    "drift_reports": ("lineitem", {
+        "report_date": "CASE WHEN l_orderkey % 13 = 0 THEN NULL ELSE l_shipdate END", "dataset_drift_detected": "l_discount > 0.05",
+        "drift_score": "l_quantity / 4", "features_drifted": "CASE WHEN l_linenumber = 2 THEN NULL ELSE l_linenumber END",
+        "total_features": "l_linenumber", "prediction_drift_detected": "CASE WHEN l_tax > 0.07 THEN NULL ELSE l_tax > 0.02 END",
+        "reference_size": "l_partkey", "current_size": "CASE WHEN l_suppkey % 3 = 0 THEN NULL ELSE l_suppkey END",
+        "report_path": "repeat(l_returnflag, CAST(l_quantity * 12 AS INT))"}),
+    "model_deployments": ("part", {
+        "model_name": "repeat(p_name, CAST(p_size % 20 AS INT))", "model_version": "repeat(p_brand, CAST(p_size % 9 AS INT))",
+        "mlflow_run_id": "CASE WHEN p_partkey % 6 = 0 THEN NULL ELSE repeat(p_brand, CAST(p_partkey % 8 AS INT)) END",
+        "f1_score": "p_retailprice / 100", "accuracy": "CASE WHEN p_size % 10 = 0 THEN NULL ELSE p_size / 4.0 END"}),
+    "pipeline_runs": ("conversations", {
+        "dag_id": "CASE WHEN turn = 0 THEN NULL ELSE text END", "run_id": "CASE WHEN conv_id % 4 = 0 THEN NULL ELSE role END",
+        "status": "CASE WHEN conv_id % 3 = 0 THEN 'failed' WHEN conv_id % 3 = 1 THEN role ELSE text END",
+        "started_at": "CASE WHEN turn % 2 = 0 THEN NULL ELSE conv_id END"}),
+}
+
+
+def _violation_sql() -> str:
+    """The rules restated: a condition for each, counted over each table."""
+    from ..schemas import RULES
+    parts = []
+    for table, (source, cols) in _CARELESS.items():
+        inner = ", ".join(f"{e.replace('AS STRING', 'AS VARCHAR')} AS {c}" for c, e in cols.items())
+        for col, rule in RULES[table]:
+            if rule == "notnull":
+                name, cond = "not_null", f"{col} IS NULL"
+            elif rule[0] == "varchar":
+                name, cond = f"varchar({rule[1]})", f"length({col}) > {rule[1]}"
+            elif rule[0] == "numeric":
+                name, cond = f"numeric({rule[1]},{rule[2]})", f"abs(round(CAST({col} AS DOUBLE), {rule[2]})) >= {10 ** (rule[1] - rule[2])}"
+            else:
+                name, cond = "check", f"{col} NOT IN ({', '.join(repr(v) for v in rule[1])})"
+            parts.append(f"SELECT '{table}' AS log_table, '{col}:{name}' AS violation, count(*) AS n_rows "
+                         f"FROM (SELECT {inner} FROM {source}) WHERE {cond}")
+    return "SELECT * FROM (" + " UNION ALL ".join(parts) + ") WHERE n_rows > 0"
+
+
+@register("constraint_violations", _violation_sql(), "log_table:str violation:str n_rows:int")
+def constraint_violations(t):
+    """V9: broken rules of all five log tables, on rows that break them."""
+    out = None
+    for table, (source, cols) in _CARELESS.items():
+        rows = getattr(t, source).selectExpr(*[f"{e} AS {c}" for c, e in cols.items()])
+        bad = check_constraints(rows, table).select(F.lit(table).alias("log_table"), F.explode("violations").alias("violation"))
+        out = bad if out is None else out.unionByName(bad)
+    return out.groupBy("log_table", "violation").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def _split_sql() -> str:
     h = sql_md5_order("doc_id", CFG.seed)
     return with_views(V_REVIEWS) + f"""

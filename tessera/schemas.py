@@ -82,6 +82,17 @@ RULES = {
         ("alert_type", ("in", ALERT_TYPES)), ("severity", "notnull"),
         ("severity", ("varchar", 10)), ("severity", ("in", SEVERITIES)), ("message", "notnull"),
     ],
+    "drift_reports": [
+        ("report_date", "notnull"), ("dataset_drift_detected", "notnull"), ("drift_score", "notnull"),
+        ("drift_score", ("numeric", 5, 4)), ("features_drifted", "notnull"), ("total_features", "notnull"),
+        ("prediction_drift_detected", "notnull"), ("reference_size", "notnull"), ("current_size", "notnull"),
+        ("report_path", ("varchar", 500)),
+    ],
+    "model_deployments": [
+        ("model_name", "notnull"), ("model_name", ("varchar", 100)), ("model_version", "notnull"),
+        ("model_version", ("varchar", 50)), ("mlflow_run_id", "notnull"), ("mlflow_run_id", ("varchar", 50)),
+        ("f1_score", "notnull"), ("f1_score", ("numeric", 5, 4)), ("accuracy", "notnull"), ("accuracy", ("numeric", 5, 4)),
+    ],
     "pipeline_runs": [
         ("dag_id", "notnull"), ("dag_id", ("varchar", 100)), ("run_id", "notnull"),
         ("run_id", ("varchar", 100)), ("status", "notnull"), ("status", ("varchar", 20)),
