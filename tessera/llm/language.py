@@ -28,7 +28,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, free_name, slices, table
@@ -191,20 +191,30 @@ def fold(doc_id) -> F.Column:
 
 
 def sample(docs: DataFrame) -> tuple[list[str], list[str]]:
-    """The training rows: ids first (narrow rows), then the chosen texts."""
+    """The training rows: of each language the ``PER_LANG`` rows of lowest hash.
+
+    Languages are counted first. A language's share of rows wanted gives a bound
+    on the hash, so that about 1.5 x ``PER_LANG`` rows of it are fetched and no
+    language is sorted anywhere.
+    """
     rows = documents(docs, "lang").where(
         (fold(F.col("doc_id")) != 2) & (F.trim("lang") != "") & (F.length("text") <= SAMPLE_CHARS)
         & F.col("text").rlike(r"\p{L}")).select(
-        "doc_id", "text", F.col("lang").cast("string").alias("lang"), F.xxhash64("doc_id", "text").alias("h"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    chosen = rows.select("lang", "h").withColumn("r", rank).where(F.col("r") <= PER_LANG).select("lang", "h").distinct()
-    n_langs = rows.select("lang").distinct().limit(MAX_LANGS + 1).count()
-    if n_langs > MAX_LANGS:
+        "text", F.col("lang").cast("string").alias("lang"), F.xxhash64("doc_id", "text").alias("h"))
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGS + 1).collect()
+    if len(counts) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
-    # at most PER_LANG rows a language
-    got = rows.join(F.broadcast(chosen), ["lang", "h"]).select("text", "lang", "h").collect()
-    got = sorted({(r["lang"], r["h"], r["text"]) for r in got})
-    return [t for _, _, t in got], [lang for lang, _, _ in got]
+    if not counts:
+        return [], []
+    share = lambda n: min(1.0, 1.5 * (PER_LANG + 50) / n)
+    bounds = [(r["lang"], min((1 << 63) - 1, int(share(r["n"]) * (1 << 64)) - (1 << 63))) for r in counts]
+    bounds = docs.sparkSession.createDataFrame(bounds, "l string, bound long")  # a row a language
+    few = rows.join(F.broadcast(bounds), F.col("lang") == F.col("l")).where(F.col("h") <= F.col("bound"))
+    got: dict[str, list] = {}
+    for r in few.select("lang", "h", "text").collect():  # 1.5 x PER_LANG rows a language, about
+        got.setdefault(r["lang"], []).append((r["h"], r["text"]))
+    chosen = [(lang, text) for lang in sorted(got) for _, text in sorted(set(got[lang]))[:PER_LANG]]
+    return [t for _, t in chosen], [lang for lang, _ in chosen]
 
 
 def fit(docs: DataFrame) -> Model:
