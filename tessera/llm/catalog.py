@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .jaccard_join import op9_jaccard_join
+from .jaccard_join import OP9_SQL, op9_jaccard_join
 from .language import op3_language
 from .mixing import op1_mixing
 from .near_vectors import OP2_SQL, op2_near_vectors
@@ -31,4 +31,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLE: dict[str, str] = {
     "op2_near_vectors": OP2_SQL,
+    "op9_jaccard_join": OP9_SQL,
 }

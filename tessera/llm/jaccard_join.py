@@ -337,3 +337,27 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = T
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"))
+
+
+OP9_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, text, list_filter(string_split_regex(lower(text), '\\s+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, list_slice(ws, i, i + 4) AS shingle
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+           FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT c.a, c.b FROM common c JOIN n x ON x.doc_id = c.a JOIN n y ON y.doc_id = c.b
+          WHERE 5 * c.c >= 4 * (x.n + y.n - c.c)),
+reach(node, root) AS (
+  SELECT a, b FROM links
+  UNION SELECT l.a, r.root FROM links l JOIN reach r ON l.b = r.node WHERE r.root < l.a OR r.root < l.b),
+roots AS (SELECT node, min(root) AS root FROM reach GROUP BY node),
+l AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+copies AS (SELECT text, count(*) AS n FROM w WHERE len(ws) > 0 GROUP BY text)
+SELECT w.doc_id AS doc_id, CAST(least(w.doc_id, coalesce(roots.root, w.doc_id)) AS BIGINT) AS class_id,
+  CAST(coalesce(l.n, 0) AS BIGINT) AS n_links, CAST(coalesce(copies.n, 1) AS BIGINT) AS n_copies,
+  w.doc_id = least(w.doc_id, coalesce(roots.root, w.doc_id)) AS kept
+FROM w LEFT JOIN roots ON roots.node = w.doc_id LEFT JOIN l ON l.a = w.doc_id
+  LEFT JOIN copies ON copies.text = w.text AND len(w.ws) > 0
+"""
