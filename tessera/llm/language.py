@@ -43,7 +43,7 @@ TRAIN_FEATURES = 384  # of a row, drawn anew each epoch from its whole text
 EPOCHS = 6
 RATE = 0.8
 REJECT_RATE = 0.001
-MAX_THRESHOLD = 0.5
+MAX_THRESHOLD = 0.35
 UNKNOWN = "und"
 
 
