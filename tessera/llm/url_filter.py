@@ -100,7 +100,8 @@ def suffix_rates(labelled: DataFrame, labels: int, share: float, name: str) -> D
 
 
 def judge(pages: DataFrame, rules=RULES, labelled: DataFrame | None = None) -> DataFrame:
-    """``page_id, host, path, rule, verdict`` of ``page_id, url`` rows.
+    """``page_id, host, path, rule, verdict`` of ``page_id, url`` rows, and the trees'
+    probability of a block (null where there was nothing to learn).
 
     ``labelled``: ``url, blocked`` (0/1) rows to learn from; by default the urls
     that a rule decides.
@@ -120,7 +121,8 @@ def judge(pages: DataFrame, rules=RULES, labelled: DataFrame | None = None) -> D
     n, blocked = known.agg(F.count(F.lit(1)), F.sum("blocked")).first()
     if not n or blocked in (0.0, float(n)):
         learned = F.lit("block" if n and blocked else "allow")
-        return parts.select("page_id", "host", "path", "rule", F.coalesce(decided, learned).alias("verdict"))
+        return parts.select("page_id", "host", "path", "rule", F.coalesce(decided, learned).alias("verdict"),
+                            F.lit(None).cast("double").alias("block_probability"))
     share = blocked / n
     # One row a suffix; written once, as both the sample and all pages join them.
     rates = {name: cut(suffix_rates(known, k, share, name), f"url-{name}") for name, k in (("top_rate", 1), ("pair_rate", 2))}
