@@ -175,7 +175,7 @@ _CARELESS = {
         "report_path": "repeat(l_returnflag, CAST(l_quantity * 12 AS INT))"}),
     "model_deployments": ("part", {
         "model_name": "repeat(p_name, CAST(p_size % 20 AS INT))", "model_version": "repeat(p_brand, CAST(p_size % 9 AS INT))",
-        "mlflow_run_id": "CASE WHEN p_partkey % 6 = 0 THEN NULL ELSE repeat(p_brand, CAST(p_partkey % 8 AS INT)) END",
+        "run_id": "CASE WHEN p_partkey % 6 = 0 THEN NULL ELSE repeat(p_brand, CAST(p_partkey % 8 AS INT)) END",
         "f1_score": "p_retailprice / 100", "accuracy": "CASE WHEN p_size % 10 = 0 THEN NULL ELSE p_size / 4.0 END"}),
     "pipeline_runs": ("conversations", {
         "dag_id": "CASE WHEN turn = 0 THEN NULL ELSE text END", "run_id": "CASE WHEN conv_id % 4 = 0 THEN NULL ELSE role END",

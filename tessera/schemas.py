@@ -90,7 +90,7 @@ RULES = {
     ],
     "model_deployments": [
         ("model_name", "notnull"), ("model_name", ("varchar", 100)), ("model_version", "notnull"),
-        ("model_version", ("varchar", 50)), ("mlflow_run_id", "notnull"), ("mlflow_run_id", ("varchar", 50)),
+        ("model_version", ("varchar", 50)), ("run_id", "notnull"), ("run_id", ("varchar", 50)),
         ("f1_score", "notnull"), ("f1_score", ("numeric", 5, 4)), ("accuracy", "notnull"), ("accuracy", ("numeric", 5, 4)),
     ],
     "pipeline_runs": [
