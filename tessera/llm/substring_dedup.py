@@ -234,8 +234,10 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     byte ranges (unmerged) that repeat, for each text that has any."""
     spark = rows.sparkSession
     found = rows.where(F.octet_length("text") >= length).select("node", "text").mapInArrow(_anchor_rows(length, gram), ANCHOR)
-    shared = found.groupBy("anchor").agg(F.sum("weight").alias("uses")).where("uses > 1").select("anchor")
-    places = found.join(shared, "anchor").groupBy("node", "pos", "anchor", "context", "before", "after").agg(
+    # A table of its own, and dealt anew by text after the join: so Spark may
+    # split a hot anchor's rows in the join.
+    shared = cut(found.groupBy("anchor").agg(F.sum("weight").alias("uses")).where("uses > 1").select("anchor"), "shared")
+    places = found.join(shared, "anchor").repartition(partitions(spark), "node").groupBy("node", "pos", "anchor", "context", "before", "after").agg(
         F.sum("weight").alias("weight"))
     places = cut(places, "anchors")
     classes = cut(places.groupBy("anchor", "context").agg(
