@@ -228,7 +228,7 @@ class KeyIndex:
 class WordTable:
     """Ids of the words a worker has met; starts anew beyond ``max_words``."""
 
-    def __init__(self, path: str, max_words: int = 1_000_000):
+    def __init__(self, path: str, max_words: int = 600_000):
         self.path, self.max_words = path, max_words
         self._reset()
 

@@ -19,7 +19,17 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 
+ARROW_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Batches to Python by bytes, not by 10,000 rows: long texts would make them
+    as large as memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -63,7 +73,7 @@ def binary_column(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
         pa.py_buffer(np.ascontiguousarray(data))]).cast(pa.binary())
 
 
-def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20):
+def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 1 << 20):
     """Cut a batch so that ``column`` holds about ``max_bytes`` a slice (one
     row at least), which bounds the memory of array work on long texts."""
     n = batch.num_rows
@@ -87,6 +97,7 @@ def spread_rows(df: DataFrame, *keys) -> DataFrame:
 def documents(df: DataFrame, *more: str) -> DataFrame:
     """``doc_id`` and ``text`` (typed, nothing else unless named), so extra
     columns and clashing names of the input never reach an operator."""
+    small_batches(df.sparkSession)
     cols = [df["doc_id"].cast("long").alias("doc_id"), df["text"].cast("string").alias("text")]
     return df.select(*cols, *[df[c] for c in more])
 

@@ -44,7 +44,7 @@ BANDS, BAND_ROWS = 32, 4
 STEP = 16
 TILE_NODES = 1024
 TILE_SHINGLES = 1 << 20
-SLICE = 1 << 21
+SLICE = 1 << 20
 PAIRS = 1 << 15  # compared at a time
 
 

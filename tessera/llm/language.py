@@ -11,8 +11,8 @@ by likelihood, and the rejection threshold is set so that at most
 ``REJECT_RATE`` of the rows that the model gets right fall below it (never
 above ``MAX_THRESHOLD``).
 
-The sample is bounded: at most ``PER_LANG`` rows a language, of up to
-``SAMPLE_CHARS`` characters, the same rows for the same table (lowest hash).
+The sample is bounded: at most ``PER_LANG`` rows a language and ``SAMPLE_ROWS``
+in all, of up to ``SAMPLE_CHARS`` characters, the same rows for the same table (lowest hash).
 Prediction reads every whole text. As the mean and the linear layer commute,
 workers get one table ``buckets x languages`` (``2**BITS`` rows).
 
@@ -31,15 +31,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, free_name, slices, table
+from .common import documents, free_name, slices, small_batches, table
 
 BITS = 16
 DIM = 16
 ORDERS = (2, 3, 4)
 PER_LANG = 1500
+SAMPLE_ROWS = 20_000  # over all languages
 SAMPLE_CHARS = 8192
 MAX_LANGS = 1000
-TRAIN_FEATURES = 384  # of a row, drawn anew each epoch from its whole text
+KEPT_FEATURES = 2048  # of a row, drawn from its whole text
+TRAIN_FEATURES = 384  # of those, drawn anew each epoch
 EPOCHS = 6
 RATE = 0.8
 REJECT_RATE = 0.001
@@ -144,11 +146,12 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> Model:
         rank[y == k] = np.arange((y == k).sum())
     held = rank % 5 == 4
     runs = []
-    for lo in range(0, len(texts), 500):
-        orders, off, _ = features(texts[lo:lo + 500])
+    for lo in range(0, len(texts), 100):
+        orders, off, _ = features(texts[lo:lo + 100])
         for a, b in zip(off, off[1:]):
             ids = np.concatenate([o[a:b] for o in orders])
-            runs.append(ids[ids < (1 << BITS)])
+            ids = ids[ids < (1 << BITS)]
+            runs.append(ids if len(ids) <= KEPT_FEATURES else rng.choice(ids, KEPT_FEATURES, replace=False))
     use = np.flatnonzero(~held & np.array([len(r) > 0 for r in runs], bool))
     emb = rng.uniform(-1 / DIM, 1 / DIM, ((1 << BITS) + 1, DIM))
     emb[-1] = 0
@@ -206,14 +209,15 @@ def sample(docs: DataFrame) -> tuple[list[str], list[str]]:
         raise ValueError(f"more than {MAX_LANGS} languages")
     if not counts:
         return [], []
-    share = lambda n: min(1.0, 1.5 * (PER_LANG + 50) / n)
+    per_lang = min(PER_LANG, SAMPLE_ROWS // len(counts))
+    share = lambda n: min(1.0, 1.5 * (per_lang + 50) / n)
     bounds = [(r["lang"], min((1 << 63) - 1, int(share(r["n"]) * (1 << 64)) - (1 << 63))) for r in counts]
     bounds = docs.sparkSession.createDataFrame(bounds, "l string, bound long")  # a row a language
     few = rows.join(F.broadcast(bounds), F.col("lang") == F.col("l")).where(F.col("h") <= F.col("bound"))
     got: dict[str, list] = {}
     for r in few.select("lang", "h", "text").collect():  # 1.5 x PER_LANG rows a language, about
         got.setdefault(r["lang"], []).append((r["h"], r["text"]))
-    chosen = [(lang, text) for lang in sorted(got) for _, text in sorted(set(got[lang]))[:PER_LANG]]
+    chosen = [(lang, text) for lang in sorted(got) for _, text in sorted(set(got[lang]))[:per_lang]]
     return [t for _, t in chosen], [lang for lang, _ in chosen]
 
 
@@ -225,12 +229,13 @@ def classify(df: DataFrame, model: Model, out: str = "language") -> DataFrame:
     """``df`` with a struct ``out`` (lang, score, rejected) from its ``text``."""
     if free_name(df, out) != out:
         raise ValueError(f"the input has a column {out}; name another")
+    small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)  # 2**BITS x languages
 
     def predict(batches):
         kind = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])
         for whole in batches:
-            for batch in slices(whole, "text", 1 << 21):
+            for batch in slices(whole, "text"):
                 lang, score, rejected = shared.value.predict([t or "" for t in batch.column("text").to_pylist()])
                 got = pa.StructArray.from_arrays(
                     [pa.array(lang, pa.string()), pa.array(score), pa.array(rejected)], fields=list(kind))
