@@ -57,9 +57,8 @@ def anchors(data: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int =
     if n < length:
         return empty, empty, empty, empty, empty, empty
     prefix = PrefixHash(data)
-    at = np.arange(n - gram + 1)
-    grams = prefix.hash(at, gram)
-    key = (grams & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64)
+    grams = (prefix.sums[gram:] - prefix.sums[:-gram]) * prefix.down[:n - gram + 1]
+    key = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(n - gram + 1, dtype=np.uint64)
     width, low = 1, key
     while width * 2 <= span:
         low = np.minimum(low[:-width], low[width:])
@@ -75,7 +74,7 @@ def anchors(data: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int =
     left = np.minimum(pos - off[doc], length - gram)
     right = np.minimum(off[doc + 1] - pos, length)
     context = mix64(prefix.hash(pos - left, left + right) + (left * 1024 + right).astype(np.uint64))
-    return doc, pos - off[doc], grams[pos].view(np.int64), context.view(np.int64), left, right
+    return doc, pos - off[doc], mix64(grams[pos]).view(np.int64), context.view(np.int64), left, right
 
 
 ANCHOR = "node long, pos long, anchor long, context long, before int, after int, weight long"
@@ -115,14 +114,36 @@ def _contexts(batches):
                 names=["anchor", "context", "before", "bytes"])
 
 
-def strings_at(prefix: PrefixHash, off: np.ndarray, left: np.ndarray, length: int, gram: int,
-               first: int | None = None, last: int = 0):
-    """Every ``length``-byte string that holds its context's anchor and starts
-    ``first`` to ``last`` bytes from it (<= 0): context number, that offset, start, hash."""
-    right = np.diff(off) - left
-    first = gram - length if first is None else first
-    low = np.maximum(-np.minimum(left, length - gram), first)
-    high = np.minimum(np.minimum(right - length, 0), last)
+def reach_of(left: np.ndarray, right: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last offset (<= 0) to the anchor of a string that holds it."""
+    return -np.minimum(left, length - gram), np.minimum(right - length, 0)
+
+
+def possible(prefix: PrefixHash, anchor, left, right, group, low, high, length: int, gram: int):
+    """Offsets at which a string can repeat at all. A string that starts more than
+    half the free bytes before the anchor holds that half before it, and any
+    other the like half after it; a half that no other context of the group has
+    rules its strings out."""
+    half = (length - gram) // 2
+
+    def seen(start, size, there):
+        out = np.zeros(len(anchor), bool)
+        rows = np.flatnonzero(there)
+        key = mix64(prefix.hash(start[rows], size) + mix64(group[rows].astype(np.uint64)))
+        _, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
+        out[rows] = count[inverse] > 1
+        return out
+
+    before = seen(anchor - half, half + gram, left >= half)
+    after = seen(anchor, length - half, right >= length - half)
+    low = np.where(before, low, np.maximum(low, -half))
+    high = np.where(after, high, np.minimum(high, -half))
+    return low, np.where(before | after, high, low - 1)
+
+
+def strings_at(prefix: PrefixHash, off: np.ndarray, left: np.ndarray, length: int, low: np.ndarray, high: np.ndarray):
+    """The ``length``-byte strings that start ``low`` to ``high`` bytes from their
+    context's anchor: context number, that offset, start, hash."""
     count = np.maximum(high - low + 1, 0)
     anchor = off[:-1] + left
     start = ragged(anchor + low, count)
@@ -138,9 +159,13 @@ def repeated_reach(data: np.ndarray, off: np.ndarray, left: np.ndarray, group: n
     n = len(left)
     reach_left, reach_right = np.zeros(n, np.int64), np.zeros(n, np.int64)
     prefix = PrefixHash(data)
+    right = np.diff(off) - left
+    low, high = reach_of(left, right, length, gram)
+    low, high = possible(prefix, off[:-1] + left, left, right, group, low, high, length, gram)
     width = max(1, STRINGS // max(n, 1))
     for first in range(gram - length, 1, width):
-        row, offset, start, name = strings_at(prefix, off, left, length, gram, first, first + width - 1)
+        row, offset, start, name = strings_at(prefix, off, left, length, np.maximum(low, first),
+                                              np.minimum(high, first + width - 1))
         far = outermost(prefix, row, offset, start, name, group, length)
         np.maximum.at(reach_left, row[far], -offset[far])
         np.maximum.at(reach_right, row[far], length + offset[far])
@@ -219,8 +244,9 @@ def _string_hashes(length: int, gram: int):
                 part = batch.slice(lo, 4096)
                 held = part.column("bytes").to_pylist()
                 off = np.concatenate([[0], np.cumsum([len(h) for h in held])]).astype(np.int64)
-                row, offset, _, name = strings_at(PrefixHash(np.frombuffer(b"".join(held), np.uint8)), off,
-                                                  np.asarray(part.column("before"), np.int64), length, gram)
+                left = np.asarray(part.column("before"), np.int64)
+                row, offset, _, name = strings_at(PrefixHash(np.frombuffer(b"".join(held), np.uint8)), off, left, length,
+                                                  *reach_of(left, np.diff(off) - left, length, gram))
                 at = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("anchor").take(at), part.column("context").take(at),
