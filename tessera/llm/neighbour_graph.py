@@ -46,7 +46,7 @@ TREES, LEAF = 4, 512
 ROUNDS, SETTLED = 8, 0.05
 BEAM, EXPAND, HOPS = 256, 128, 6
 ENTRIES = 64
-PART_ROWS = 4096
+PART_ROWS, LEAST_PARTS = 4096, 24
 
 GRAPH = "part int, node long, nbrs array<long>, scores array<float>, fresh array<boolean>"
 UPDATES = "part int, v array<long>, w array<long>, s array<float>"
@@ -225,7 +225,7 @@ def build(vectors: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS, seed:
     if dims is None:
         return None
     dim, n = dims["dim"], dims["count"]
-    parts = max(2 * partitions(spark), -(-n // PART_ROWS))
+    parts = max(LEAST_PARTS, -(-n // PART_ROWS))
     rows = rows.where(F.col("dim") == dim).withColumn("part", F.pmod("node", F.lit(parts)).cast("int"))
     bits = max(0, int(np.ceil(np.log2(max(n, 1) / LEAF))))
     small = cut(rows.mapInArrow(_compress(dim, bits, seed),
