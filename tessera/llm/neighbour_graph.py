@@ -3,8 +3,10 @@
 Nearness is the largest inner product.
 
 Index. Every usable row is a node. The graph starts from random-hyperplane
-leaves (``TREES`` divisions of all rows into leaves of at most ``LEAF`` rows, compared
-inside), then NN-descent rounds improve it: the neighbours of each node and up
+leaves about the mean (``TREES`` divisions of all rows into leaves of at most ``LEAF`` rows,
+compared inside) and one division at random, so that a row that is alone in its leaves
+(an outlier, or a few of them) has neighbours to start from and is met by others.
+Then NN-descent rounds improve it: the neighbours of each node and up
 to ``DEGREE`` nodes that have it as a neighbour are joined with their vectors, and
 those that meet at a node (neighbours of neighbours) are compared if one of
 them is new there. A pair is passed on to either end only if it beats that
@@ -14,7 +16,8 @@ or after ``ROUNDS``. The graph is built on 8-bit vectors.
 Search. A query keeps its ``BEAM`` best nodes. In each of ``HOPS`` rounds it expands the
 best ``EXPAND`` nodes not expanded yet: a join with the graph gives their neighbours, a
 join with the vectors their exact scores in double precision. A query that is
-a row of the index starts at its own node, any other at ``ENTRIES`` nodes of lowest hash.
+a row of the index starts at its own node, any other at ``ENTRIES`` nodes of lowest
+hash, and so does a query that holds fewer than ``k`` nodes.
 
 Work is divided by ``part`` (node number modulo parts); parts grow in number
 with the rows, so a part's vectors, lists and updates are bounded. The rows that
@@ -106,8 +109,23 @@ def _small(t: pa.Table) -> np.ndarray:
     return _matrix(t.column("small"), "i1").astype(np.float32) * scale[:, None]
 
 
-def _compress(dim: int, bits: int, seed: int):
-    """8-bit vector with its scale, and the leaf of each tree, of double vectors."""
+def _unit_sums(batches):
+    """Sum of the unit vectors of a task's rows, as doubles."""
+    total = 0
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 4096):
+            x = _matrix(batch.slice(lo, 4096).column("vector"), "<f8")
+            x = x / np.abs(x).max(axis=1, keepdims=True)
+            total = total + (x / np.linalg.norm(x, axis=1, keepdims=True)).sum(axis=0)
+    if np.ndim(total):
+        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], names=["sum"])
+
+
+def _compress(dim: int, bits: int, seed: int, centre: np.ndarray):
+    """8-bit vector with its scale, and the leaf of each tree, of double vectors.
+    Planes go through ``centre``, the mean of the unit vectors: it shifts all scores
+    of a row alike, and rows that share a large mean would fall into few leaves.
+    The last leaf is a random one (a node is a hash)."""
     planes = np.random.default_rng(seed).standard_normal((TREES, dim, max(bits, 1)))
 
     def rows(batches):
@@ -118,16 +136,18 @@ def _compress(dim: int, bits: int, seed: int):
                 scale = np.abs(x).max(axis=1) / 127
                 # values may be as small as doubles go
                 small = np.rint(x / np.maximum(scale, 1e-300)[:, None]).clip(-127, 127).astype(np.int8)
-                leaves = np.zeros((len(x), TREES), np.int64)
+                leaves = np.zeros((len(x), TREES + 1), np.int64)
+                leaves[:, TREES] = (np.asarray(part.column("node"), np.int64) >> 16) & ((1 << bits) - 1)
                 if bits:
-                    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+                    unit = x / np.abs(x).max(axis=1, keepdims=True)
+                    unit = unit / np.linalg.norm(unit, axis=1, keepdims=True) - centre
                     for t in range(TREES):
                         leaves[:, t] = ((unit @ planes[t]) > 0) @ (1 << np.arange(bits))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("part"), part.column("node"),
                      binary_column(small.reshape(-1).view(np.uint8), np.arange(len(x) + 1) * dim),
                      pa.array(scale.astype(np.float32)),
-                     _lists(leaves.ravel(), np.arange(len(x) + 1) * TREES, pa.int64())],
+                     _lists(leaves.ravel(), np.arange(len(x) + 1) * (TREES + 1), pa.int64())],
                     names=["part", "node", "small", "scale", "leaves"])
     return rows
 
@@ -228,7 +248,9 @@ def build(vectors: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS, seed:
     parts = max(LEAST_PARTS, -(-n // PART_ROWS))
     rows = rows.where(F.col("dim") == dim).withColumn("part", F.pmod("node", F.lit(parts)).cast("int"))
     bits = max(0, int(np.ceil(np.log2(max(n, 1) / LEAF))))
-    small = cut(rows.mapInArrow(_compress(dim, bits, seed),
+    sums = rows.select("vector").mapInArrow(_unit_sums, "sum array<double>").collect()  # a vector a task
+    centre = np.round(np.sum([r["sum"] for r in sums], axis=0) / n, 6)
+    small = cut(rows.mapInArrow(_compress(dim, bits, seed, centre),
                                 "part int, node long, small binary, scale float, leaves array<long>"), "ann-small")
     leaves = small.select("node", "small", "scale", F.posexplode("leaves").alias("tree", "leaf"))
     # A crowded leaf (rows alike) is dealt to several at random.
@@ -353,20 +375,20 @@ def search(index: Index, queries: DataFrame, k: int = K, beam: int = BEAM, expan
                                none("double").alias("scores"), none("boolean").alias("done")), "ann-state")
     edges = index.graph.select("node", "nbrs")
     starts = entries.first()["entries"] or []
+    entries = F.array(*[F.lit(e) for e in starts]).cast("array<long>")
     for hop in range(hops):
         if hop == 0:
             front = state.select("query", F.col("own").alias("node")).where("node is not null")
-            given = state.where("own is null").select("query", F.array(*[F.lit(e) for e in starts]).cast("array<long>").alias("nbrs"))
+            given = state.where("own is null").select("query", entries.alias("nbrs"))
         else:
             # beam is sorted: the first unexpanded places are the best
-            place = F.filter(F.sequence(F.lit(0), F.size("beam") - 1), lambda i: ~F.get("done", i))
-            open_ = state.where(F.size("beam") > 0).withColumn("open", F.slice(place, 1, expand))
+            place = F.filter(F.sequence(F.lit(0), F.size("beam")), lambda i: ~F.get("done", i))
+            open_ = state.withColumn("open", F.slice(place, 1, expand))
             front = open_.select("query", F.explode("open").alias("i"), "beam").select("query", F.get("beam", F.col("i")).alias("node"))
             state = open_.withColumn("done", F.transform(F.col("done"), lambda d, i: d | F.array_contains("open", i))).drop("open")
-            given = None
-        met = front.join(edges, "node").groupBy("query").agg(F.flatten(F.collect_list("nbrs")).alias("nbrs"))
-        if given is not None:
-            met = met.unionByName(given)
+            given = state.where(F.size("beam") < k).select("query", entries.alias("nbrs"))
+        met = (front.join(edges, "node").select("query", "nbrs").unionByName(given)
+               .groupBy("query").agg(F.flatten(F.collect_list("nbrs")).alias("nbrs")))
         asks = met.join(state.select("query", "own", "vector", "beam"), "query").mapInArrow(_route(index.parts), ASK)
         found = (asks.groupBy("part").cogroup(index.vectors.groupBy("part"))
                  .applyInArrow(_score(beam), "query long, nodes array<long>, ids array<long>, scores array<double>"))

@@ -179,6 +179,26 @@ def test_op5_recall(spark, tmp_path, monkeypatch):
     assert np.mean(recall) >= 0.9
 
 
+def test_op5_outliers_alone_in_their_leaves(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(neighbour_graph, "LEAF", 64)
+    rng = np.random.default_rng(3)
+    mean = rng.standard_normal(32)
+    x = mean + 0.3 * rng.standard_normal((1200, 32))
+    x[20] = -mean  # on the other side of nearly every plane
+    x[40:45] = 3 * np.roll(mean, 9) * np.where(np.arange(32) % 2, -1, 1) + 0.01 * rng.standard_normal((5, 32))
+    rows = [(i, [float(v) for v in x[i]], 0) for i in range(1200)]
+    got, want = run5(spark, tmp_path, rows), brute(rows)
+    assert set(got) == set(want) and all(len(h) == 20 for h in got.values())
+    assert {h[1] for h in got[40][:4]} == {41, 42, 43, 44}
+    hit = {q: len({h[1] for h in got[q]} & {v for v, _ in want[q]}) / 20 for q in want}
+    # the outlier's nearest rows are nobody else's, so it has them from its leaves alone
+    assert hit[20] >= 0.3 and hit[40] >= 0.3 and np.mean(list(hit.values())) >= 0.9
+    # as candidates
+    far = {q for q in want if {v for v, _ in want[q]} & {20, *range(40, 45)}}
+    found = [len({h[1] for h in got[q]} & {20, *range(40, 45)}) / len({v for v, _ in want[q]} & {20, *range(40, 45)}) for q in far]
+    assert np.mean(found) >= 0.9
+
+
 def test_op5_few_rows_ties_and_odd_vectors(spark, tmp_path):
     one = [1.0, 0.0]
     rows = [(20, one, 1), (1, one, 1), (2, one, 1), (3, [0.5, 5.0], 1), (40, [0.0, 0.0], 1), (60, None, 1), (80, [None, 1.0], 1),
