@@ -2,7 +2,9 @@
 
 Nearness is the largest inner product.
 
-Index. Every usable row is a node. The graph starts from random-hyperplane
+Index. Every usable vector is a node; rows with equal vectors share it, so that a
+group of them of any size is one point of the graph. Hits become rows after the search:
+a node stands for its rows of smallest vec_id, as many as asked. The graph starts from random-hyperplane
 leaves about the mean (``TREES`` divisions of all rows into leaves of at most ``LEAF`` rows,
 compared inside) and one division at random, so that a row that is alone in its leaves
 (an outlier, or a few of them) has neighbours to start from and is met by others.
@@ -57,7 +59,8 @@ UPDATES = "part int, v array<long>, w array<long>, s array<float>"
 
 @dataclass
 class Index:
-    vectors: DataFrame  # part, node, vec_id, vector (doubles as bytes)
+    vectors: DataFrame  # part, node, vec_id (smallest of its rows), vector (doubles as bytes)
+    rows: DataFrame  # node, vec_id
     graph: DataFrame
     parts: int
     dim: int
@@ -228,13 +231,12 @@ def _merge(degree: int):
 
 def usable(vectors: DataFrame) -> DataFrame:
     """``vec_id, dim, vector, node`` of the rows that take part; a node is a hash of
-    the row, with a running number among equal rows."""
+    the vector."""
     rows = vectors.select(vectors["vec_id"].cast("long").alias("vec_id"),
                           vectors["embedding"].cast("array<double>").alias("embedding"), F.lit("").alias("label"))
     rows = rows.where("embedding is not null").mapInArrow(
         _doubles, "vec_id long, label string, dim int, vector binary").drop("label")
-    again = F.row_number().over(Window.partitionBy("vec_id", "vector").orderBy(F.lit(0)))
-    return rows.withColumn("node", F.shiftrightunsigned(F.xxhash64("vec_id", "vector", again), 1))
+    return rows.withColumn("node", F.shiftrightunsigned(F.xxhash64("vector"), 1))
 
 
 def build(vectors: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS, seed: int = 13) -> Index | None:
@@ -244,13 +246,16 @@ def build(vectors: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS, seed:
     dims = rows.groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
     if dims is None:
         return None
-    dim, n = dims["dim"], dims["count"]
+    dim = dims["dim"]
+    rows = rows.where(F.col("dim") == dim)
+    nodes = cut(rows.groupBy("node").agg(F.min("vec_id").alias("vec_id"), F.first("vector").alias("vector")), "ann-nodes")
+    n = nodes.count()
     parts = max(LEAST_PARTS, -(-n // PART_ROWS))
-    rows = rows.where(F.col("dim") == dim).withColumn("part", F.pmod("node", F.lit(parts)).cast("int"))
+    nodes = nodes.withColumn("part", F.pmod("node", F.lit(parts)).cast("int"))
     bits = max(0, int(np.ceil(np.log2(max(n, 1) / LEAF))))
-    sums = rows.select("vector").mapInArrow(_unit_sums, "sum array<double>").collect()  # a vector a task
+    sums = nodes.select("vector").mapInArrow(_unit_sums, "sum array<double>").collect()  # a vector a task
     centre = np.round(np.sum([r["sum"] for r in sums], axis=0) / n, 6)
-    small = cut(rows.mapInArrow(_compress(dim, bits, seed, centre),
+    small = cut(nodes.mapInArrow(_compress(dim, bits, seed, centre),
                                 "part int, node long, small binary, scale float, leaves array<long>"), "ann-small")
     leaves = small.select("node", "small", "scale", F.posexplode("leaves").alias("tree", "leaf"))
     # A crowded leaf (rows alike) is dealt to several at random.
@@ -284,7 +289,7 @@ def build(vectors: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS, seed:
         members = want.join(state, "node")
         updates = lists.groupBy("part").cogroup(members.groupBy("home")).applyInArrow(_meet(parts, degree), UPDATES)
         graph = merged(updates, graph)
-    return Index(rows.select("part", "node", "vec_id", "vector"), graph, parts, dim)
+    return Index(nodes.select("part", "node", "vec_id", "vector"), rows.select("node", "vec_id"), graph, parts, dim)
 
 
 ASK = "part int, query long, vector binary, cands array<long>"
@@ -300,9 +305,9 @@ def _route(parts: int):
             for lo in range(0, batch.num_rows, 64):
                 part = batch.slice(lo, 64)
                 out = []
-                for q, own, vec, beam, nbrs in zip(*[part.column(c) for c in ("query", "own", "vector", "beam", "nbrs")]):
+                for q, vec, beam, nbrs in zip(*[part.column(c) for c in ("query", "vector", "beam", "nbrs")]):
                     ids = np.unique(np.asarray(nbrs.values, np.int64))
-                    ids = ids[~np.isin(ids, np.asarray(beam.values, np.int64)) & (ids != (own.as_py() if own.is_valid else -1))]
+                    ids = ids[~np.isin(ids, np.asarray(beam.values, np.int64))]
                     to = ids % parts
                     order = np.argsort(to, kind="stable")
                     ids, to = ids[order], to[order]
@@ -362,11 +367,8 @@ def _keep(beam: int):
     return rows
 
 
-def search(index: Index, queries: DataFrame, k: int = K, beam: int = BEAM, expand: int = EXPAND,
-           hops: int = HOPS) -> DataFrame:
-    """``query, rank, vec_id, score``: the ``k`` best nodes found for each of the ``query
-    long, own long, vector binary`` rows. ``own`` is the query's node in the index
-    (where it starts; never returned), or null."""
+def _hits(index: Index, queries: DataFrame, k: int, beam: int = BEAM, expand: int = EXPAND, hops: int = HOPS) -> DataFrame:
+    """``query, hits``: the ``k`` best rows found, best first, as ``vec_id, score, node``."""
     spark = queries.sparkSession
     entries = index.graph.select("node").orderBy(F.xxhash64("node"), "node").limit(ENTRIES)
     entries = entries.agg(F.sort_array(F.collect_list("node")).alias("entries"))  # ENTRIES numbers
@@ -379,7 +381,7 @@ def search(index: Index, queries: DataFrame, k: int = K, beam: int = BEAM, expan
     for hop in range(hops):
         if hop == 0:
             front = state.select("query", F.col("own").alias("node")).where("node is not null")
-            given = state.where("own is null").select("query", entries.alias("nbrs"))
+            given = state.select("query", F.when(F.col("own").isNull(), entries).otherwise(F.array("own")).alias("nbrs"))
         else:
             # beam is sorted: the first unexpanded places are the best
             place = F.filter(F.sequence(F.lit(0), F.size("beam")), lambda i: ~F.get("done", i))
@@ -389,16 +391,36 @@ def search(index: Index, queries: DataFrame, k: int = K, beam: int = BEAM, expan
             given = state.where(F.size("beam") < k).select("query", entries.alias("nbrs"))
         met = (front.join(edges, "node").select("query", "nbrs").unionByName(given)
                .groupBy("query").agg(F.flatten(F.collect_list("nbrs")).alias("nbrs")))
-        asks = met.join(state.select("query", "own", "vector", "beam"), "query").mapInArrow(_route(index.parts), ASK)
+        asks = met.join(state.select("query", "vector", "beam"), "query").mapInArrow(_route(index.parts), ASK)
         found = (asks.groupBy("part").cogroup(index.vectors.groupBy("part"))
                  .applyInArrow(_score(beam), "query long, nodes array<long>, ids array<long>, scores array<double>"))
         found = found.groupBy("query").agg(F.collect_list(F.struct("nodes", "ids", "scores")).alias("found"))
         state = state.join(found, "query", "left").withColumn("found", F.coalesce("found", F.expr("array()")))
         state = cut(state.repartition(partitions(spark), "query").mapInArrow(_keep(beam), STATE), "ann-state")
-    top = F.slice(F.arrays_zip("ids", "scores"), 1, k)
-    return state.select("query", F.posexplode(top).alias("rank", "hit")).select(
-        "query", (F.col("rank") + 1).cast("int").alias("rank"),
-        F.when(F.col("hit.ids") < F.lit(np.iinfo(np.int64).max), F.col("hit.ids")).alias("vec_id"), F.col("hit.scores").alias("score"))
+    # The k best nodes (by score and smallest vec_id) hold the k best rows.
+    top = state.select("query", F.explode(F.slice(F.arrays_zip("beam", "scores"), 1, k)).alias("hit"))
+    top = top.select("query", F.col("hit.beam").alias("node"), F.col("hit.scores").alias("score"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy(F.col("vec_id").asc_nulls_last()))
+    first = index.rows.withColumn("r", place).where(F.col("r") <= k).groupBy("node").agg(
+        F.collect_list(F.struct("vec_id")).alias("same"))
+    row = lambda r: F.struct((-F.col("score")).alias("low"), r["vec_id"].isNull().alias("unnamed"), r["vec_id"].alias("vec_id"),
+                             F.col("node").alias("node"))
+    top = top.join(first, "node").groupBy("query").agg(F.flatten(F.collect_list(F.transform("same", row))).alias("hits"))
+    hit = lambda h: F.struct(h["vec_id"].alias("vec_id"), (-h["low"]).alias("score"), h["node"].alias("node"))
+    return top.select("query", F.transform(F.slice(F.array_sort("hits"), 1, k), hit).alias("hits"))
+
+
+def _ranked(*cols: str) -> list:
+    return [*cols, F.posexplode("hits").alias("rank", "hit")]
+
+
+def search(index: Index, queries: DataFrame, k: int = K, beam: int = BEAM, expand: int = EXPAND,
+           hops: int = HOPS) -> DataFrame:
+    """``query, rank, vec_id, score``: the ``k`` best rows found for each of the ``query
+    long, own long, vector binary`` rows. ``own`` is the query's node in the index
+    (where it starts), or null."""
+    found = _hits(index, queries, k, beam, expand, hops).select(*_ranked("query"))
+    return found.select("query", (F.col("rank") + 1).cast("int").alias("rank"), "hit.vec_id", "hit.score")
 
 
 def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -406,7 +428,13 @@ def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = build(table(spark, sf_dir, "embeddings"))
     if index is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    asked = index.vectors.where(F.col("vec_id") % 20 == 0)
-    hits = search(index, asked.select(F.col("node").alias("query"), F.col("node").alias("own"), "vector"))
-    names = asked.select(F.col("node").alias("query"), F.col("vec_id").alias("query_id"))
-    return hits.join(names, "query").select("query_id", "rank", "vec_id", "score")
+    asked = index.rows.where(F.col("vec_id") % 20 == 0)
+    nodes = index.vectors.join(asked.select("node").distinct(), "node")
+    found = _hits(index, nodes.select(F.col("node").alias("query"), F.col("node").alias("own"), "vector"), K + 1)
+    asked = asked.select(F.col("node").alias("query"), F.col("vec_id").alias("query_id")).join(found, "query")
+    # without the row itself, which is a hit of its own node
+    own = F.array_position(F.transform("hits", lambda h: (h["node"] == F.col("query")) & h["vec_id"].eqNullSafe(F.col("query_id"))), True)
+    asked = asked.withColumn("own", own)
+    others = F.slice(F.filter("hits", lambda h, i: i + 1 != F.col("own")), 1, K)
+    found = asked.select("query_id", others.alias("hits")).select(*_ranked("query_id"))
+    return found.select("query_id", (F.col("rank") + 1).cast("int").alias("rank"), "hit.vec_id", "hit.score")

@@ -199,6 +199,21 @@ def test_op5_outliers_alone_in_their_leaves(spark, tmp_path, monkeypatch):
     assert np.mean(found) >= 0.9
 
 
+def test_op5_large_group_of_equal_vectors(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(neighbour_graph, "LEAF", 64)
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((1600, 16))
+    group = rng.permutation(1600)[:1000]
+    x[group] = 2 * x[7]
+    rows = [(i, [float(v) for v in x[i]], 0) for i in range(1600)]
+    got, want = run5(spark, tmp_path, rows), brute(rows)
+    assert set(got) == set(want)
+    assert len(set(group.tolist()) & set(want)) > 20
+    for q in set(group.tolist()) & set(want):
+        assert [v for _, v, _ in got[q]] == [v for v, _ in want[q]]
+    assert np.mean([len({h[1] for h in got[q]} & {v for v, _ in want[q]}) / 20 for q in want]) >= 0.9
+
+
 def test_op5_few_rows_ties_and_odd_vectors(spark, tmp_path):
     one = [1.0, 0.0]
     rows = [(20, one, 1), (1, one, 1), (2, one, 1), (3, [0.5, 5.0], 1), (40, [0.0, 0.0], 1), (60, None, 1), (80, [None, 1.0], 1),
