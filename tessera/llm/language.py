@@ -12,7 +12,9 @@ by likelihood, and the rejection threshold is set so that at most
 above ``MAX_THRESHOLD``).
 
 The sample is bounded: at most ``PER_LANG`` rows a language and ``SAMPLE_ROWS``
-in all, of up to ``SAMPLE_CHARS`` characters, the same rows for the same table (lowest hash).
+in all, texts of any length, the same rows for the same table (lowest hash). Of a text
+longer than ``SAMPLE_CHARS`` characters, ``PIECES`` pieces spread over the whole of it
+are read. Every language with a labelled text that has a letter is learned.
 Prediction reads every whole text. As the mean and the linear layer commute,
 workers get one table ``buckets x languages`` (``2**BITS`` rows).
 
@@ -38,7 +40,8 @@ DIM = 16
 ORDERS = (2, 3, 4)
 PER_LANG = 1500
 SAMPLE_ROWS = 20_000  # over all languages
-SAMPLE_CHARS = 8192
+SAMPLE_CHARS = 8192  # of one text
+PIECES = 16  # that a longer text gives, at hashed places
 MAX_LANGS = 1000
 KEPT_FEATURES = 2048  # of a row, drawn from its whole text
 TRAIN_FEATURES = 384  # of those, drawn anew each epoch
@@ -193,29 +196,42 @@ def fold(doc_id) -> F.Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4
 
 
+def excerpt(text: str, h: str) -> F.Column:
+    """The text, or if it is long ``PIECES`` pieces of it, one at a hashed place of
+    each ``PIECES``-th. Stretches without letters count as three characters, which
+    leaves the runs that hold a letter as they are, so a piece always has some."""
+    some = f"regexp_replace({text}, '\\\\P{{L}}{{3}}\\\\P{{L}}+', '   ')"
+    size = SAMPLE_CHARS // PIECES
+    step = f"(length(t) div {PIECES})"
+    piece = f"substring(t, cast(1 + i * {step} + pmod(xxhash64({h}, i), {step} - {size} + 1) as int), {size})"
+    pieces = f"concat_ws('   ', transform(sequence(0, {PIECES - 1}), i -> {piece}))"
+    of = f"transform(array({some}), t -> if(length(t) <= {SAMPLE_CHARS}, t, {pieces}))[0]"
+    return F.expr(f"if(length({text}) <= {SAMPLE_CHARS}, {text}, {of})")
+
+
 def sample(docs: DataFrame) -> tuple[list[str], list[str]]:
     """The training rows: of each language the ``PER_LANG`` rows of lowest hash.
 
     Languages are counted first. A language's share of rows wanted gives a bound
-    on the hash, so that about 1.5 x ``PER_LANG`` rows of it are fetched and no
-    language is sorted anywhere.
+    on the hash, so that about 1.5 x ``PER_LANG`` rows of it are fetched (its row of
+    lowest hash in any case) and no language is sorted anywhere.
     """
     rows = documents(docs, "lang").where(
-        (fold(F.col("doc_id")) != 2) & (F.trim("lang") != "") & (F.length("text") <= SAMPLE_CHARS)
-        & F.col("text").rlike(r"\p{L}")).select(
+        (fold(F.col("doc_id")) != 2) & (F.trim("lang") != "") & F.col("text").rlike(r"\p{L}")).select(
         "text", F.col("lang").cast("string").alias("lang"), F.xxhash64("doc_id", "text").alias("h"))
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGS + 1).collect()
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("least")).limit(MAX_LANGS + 1).collect()
     if len(counts) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
     if not counts:
         return [], []
     per_lang = min(PER_LANG, SAMPLE_ROWS // len(counts))
     share = lambda n: min(1.0, 1.5 * (per_lang + 50) / n)
-    bounds = [(r["lang"], min((1 << 63) - 1, int(share(r["n"]) * (1 << 64)) - (1 << 63))) for r in counts]
+    bounds = [(r["lang"], max(r["least"], min((1 << 63) - 1, int(share(r["n"]) * (1 << 64)) - (1 << 63)))) for r in counts]
     bounds = docs.sparkSession.createDataFrame(bounds, "l string, bound long")  # a row a language
     few = rows.join(F.broadcast(bounds), F.col("lang") == F.col("l")).where(F.col("h") <= F.col("bound"))
     got: dict[str, list] = {}
-    for r in few.select("lang", "h", "text").collect():  # 1.5 x PER_LANG rows a language, about
+    few = few.select("lang", "h", excerpt("text", "h").alias("text")).dropDuplicates(["lang", "h"])  # repeated rows once
+    for r in few.collect():  # 1.5 x PER_LANG rows a language, about
         got.setdefault(r["lang"], []).append((r["h"], r["text"]))
     chosen = [(lang, text) for lang in sorted(got) for _, text in sorted(set(got[lang]))[:per_lang]]
     return [t for _, t in chosen], [lang for lang, _ in chosen]

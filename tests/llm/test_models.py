@@ -52,6 +52,22 @@ def test_op3_learns_only_from_its_fold(spark):
     assert (a.weights == b.weights).all() and a.threshold == b.threshold
 
 
+def test_op3_language_with_long_texts_only(spark, tmp_path):
+    rnd = random.Random(4)
+    data = [r for r in labelled(300) if r[2] != "zz"]
+    n = language.SAMPLE_CHARS
+    # letters anywhere in the text: all over, or only behind a long stretch without any
+    data += [(1000 + i, "12 .. " * (i % 3) * n + words(rnd, 2500, STEMS["zz"]), "zz", "s") for i in range(30)]
+    data += [(2000 + i, "7 " * n + "щука " + "-" * n, "ru", "s") for i in range(6)]
+    assert all(len(r[1]) > n for r in data if r[0] >= 1000)
+    texts, langs = language.sample(docs_frame(spark, data))
+    assert set(langs) == {"xx", "yy", "zz", "ru"} and max(map(len, texts)) <= n + 3 * language.PIECES
+    assert all(any(c.isalpha() for c in t) for t in texts)
+    got = {r.doc_id: r for r in language.op3_language(spark, save(docs_frame(spark, data), tmp_path, "documents")).collect()}
+    assert np.mean([got[i].lang_pred == lang for i, _, lang, _ in data]) > 0.97
+    assert all(got[1000 + i].lang_pred == "zz" for i in range(30))
+
+
 def test_op3_sums_equal_plain_means():
     texts = ["Kalo mi, su!", "", "x", "ré tra\nne" * 50, "12"]
     orders, off, has = language.features(texts)
