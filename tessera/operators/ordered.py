@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def exact_rank(df: DataFrame, part_cols: list[str], order_cols: list[str],
                bucket_col: str, out: str) -> DataFrame:
@@ -36,38 +38,62 @@ def exact_rank(df: DataFrame, part_cols: list[str], order_cols: list[str],
             .drop("_off", "_k_bucket", *[f"_k_{c}" for c in part_cols]))
 
 
-def rank_cutoffs(rows: DataFrame, part_col: str, hash_col: str, key_col: str, quotas: list[Column],
-                 total_col: str = "_total", prefix: int = 4) -> DataFrame:
-    """The row that has rank ``quota`` in ``row_number() over (partition by part
-    order by hash, key)``, for each quota, without ranking a whole class.
-
-    ``rows``: ``part, hash, key`` only. Rows are counted by class and hash prefix;
-    the running count says in which bucket a quota falls, and only that
-    bucket's rows are ranked. ``quotas`` are expressions over ``total_col``, the
-    class's row count. Returns ``_part, cut_0, cut_1, ...``: structs (hash, key), null
-    for a quota below 1; a quota beyond the class gives its last row. Nulls are
-    a class of their own.
+def _boundary(counts: DataFrame, by: list[str], carried: list[str]) -> DataFrame:
+    """The group of ``counts`` (``_part, _i, _need, by, _n`` and ``carried``) in which
+    row ``_need`` of class and quota falls, with the number of its rows wanted."""
+    before = Window.partitionBy("_part", "_i").orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    off = F.coalesce(F.sum("_n").over(before), F.lit(0))
+    return (counts.withColumn("_off", off).where((F.col("_need") > F.col("_off")) & (F.col("_need") <= F.col("_off") + F.col("_n")))
+            .select("_part", "_i", *carried, *by, (F.col("_need") - F.col("_off")).alias("_need"), "_n"))
+
+
+def _counted(rows: DataFrame, edge: DataFrame, at: list[str], by: list[str]) -> DataFrame:
+    """Rows of the edge's groups (equal in class and ``at``), counted by ``by``."""
+    e = edge.select(F.col("_part").alias("_p2"), "_i", F.col("_need"), *[F.col(c).alias(f"{c}2") for c in at])
+    cond = F.col("_part").eqNullSafe(F.col("_p2"))
+    for c in at:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"{c}2"))
+    keys = ["_part", "_i", "_need", *dict.fromkeys([*at, *by])]
+    return rows.join(e, cond).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def rank_cutoffs(rows: DataFrame, quotas: list[Column], total_col: str = "_total", prefix: int = 4) -> DataFrame:
+    """The row of rank ``quota`` in ``row_number() over (partition by _part
+    order by _h, _key, _row)``, for each quota, without ranking a class.
+
+    ``rows``: class ``_part``, hex hash ``_h``, ``_key`` and ``_row``, a struct of hashes
+    over all columns whose first field is a long: only rows that are equal in every column
+    have equal ``(_h, _key, _row)``. Rows are counted by hash prefix; the running count says
+    in which bucket a quota falls. That bucket's rows are counted by ``(_h, _key)``, and
+    where a quota falls inside rows of one key, these are counted by prefix of the row
+    hash and then by row hash. All are counts combined on the map side: no task sees
+    a class, or all rows of a key.
+
+    ``quotas`` are expressions over ``total_col``, the class's row count. Returns
+    a row for each class and quota (number ``_i``) of at least 1: ``_part, _i, _h, _key,
+    _row, _take, _n``: ``_take`` of the ``_n`` rows equal to this one are inside, all rows before
+    it too. ``_row`` is null where all rows of ``_key`` are inside. A quota beyond the
+    class gives its last row. Nulls are a class, and a key, of their own.
     """
-    d = rows.select(F.col(part_col).alias("_part"), F.col(hash_col).alias("_h"), F.col(key_col).alias("_key"),
-                    F.substring(hash_col, 1, prefix).alias("_b"))
+    d = rows.withColumn("_b", F.substring("_h", 1, prefix))
     counts = d.groupBy("_part", "_b").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy("_part")
-    before = w.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select("_part", "_b", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
-                         F.sum("_n").over(w).alias(total_col))
-    wanted = F.posexplode(F.array(*[F.least(q.cast("long"), F.col(total_col)) for q in quotas])).alias("_i", "_q")
-    edge = (offs.select("_part", "_b", "_n", "_off", total_col, wanted)
-            .where((F.col("_q") > F.col("_off")) & (F.col("_q") <= F.col("_off") + F.col("_n")))
-            .select(F.col("_part").alias("_p2"), F.col("_b").alias("_b2"), "_i", (F.col("_q") - F.col("_off")).alias("_need")))
-    # boundary buckets only: at most one bucket a class and quota
-    inside = d.join(edge, F.col("_part").eqNullSafe(F.col("_p2")) & (F.col("_b") == F.col("_b2")))
-    rank = F.row_number().over(Window.partitionBy("_part", "_b", "_i").orderBy("_h", "_key"))
-    at = inside.withColumn("_r", rank).where(F.col("_r") == F.col("_need"))
-    cut = F.struct("_h", "_key")
-    found = at.groupBy("_part").agg(*[F.max(F.when(F.col("_i") == i, cut)).alias(f"cut_{i}") for i in range(len(quotas))])
-    classes = offs.select("_part").distinct().withColumnRenamed("_part", "_c")
-    return (classes.join(found, F.col("_c").eqNullSafe(F.col("_part")), "left").drop("_part")
-            .withColumnRenamed("_c", "_part"))
+    total = F.sum("_n").over(Window.partitionBy("_part")).alias(total_col)
+    wanted = F.posexplode(F.array(*[F.least(q.cast("long"), F.col(total_col)) for q in quotas])).alias("_i", "_need")
+    buckets = counts.select("_part", "_b", "_n", total).select("_part", "_b", "_n", wanted)
+    edge = _boundary(buckets, ["_b"], [])
+    edge = cut_lineage(_boundary(_counted(d, edge, ["_b"], ["_h", "_key"]), ["_h", "_key"], []), "quota-keys")
+    none = F.lit(None).cast(d.schema["_row"].dataType)
+    found = edge.select("_part", "_i", "_h", "_key", none.alias("_row"), F.col("_need").alias("_take"), "_n")
+    split = edge.where("_need < _n")
+    if not split.limit(1).count():  # every quota ends with the last row of a key
+        return found
+    d = d.withColumn("_rb", F.shiftright(F.col("_row").getField(d.schema["_row"].dataType.names[0]), 48))
+    at = ["_h", "_key"]
+    edge = _boundary(_counted(d, split, at, ["_rb"]), ["_rb"], at)
+    at = [*at, "_rb"]
+    edge = _boundary(_counted(d, edge, at, ["_row"]), ["_row"], ["_h", "_key"])
+    return cut_lineage(found.where("_take = _n").unionByName(
+        edge.select("_part", "_i", "_h", "_key", "_row", F.col("_need").alias("_take"), "_n")), "quota-rows")
 
 
 def running_max_before(df: DataFrame, part_cols: list[str], order_cols: list[str],

@@ -253,6 +253,42 @@ def balanced_cap(t):
     return S.balanced_cap(V.reviews(t), "doc_id", "label", 200, CFG).select("doc_id", "label")
 
 
+# Keys that repeat and are null, labels that are null: requests of users, a row an event.
+_REQUESTS = """requests AS (
+  SELECT CASE WHEN user_id % 10 = 0 THEN NULL ELSE user_id END AS user_key,
+         CASE WHEN event_type = 'error' THEN NULL ELSE event_type END AS label, CAST(ts AS DATE) AS day
+  FROM events)"""
+_PLACE = f"md5(concat_ws(':', '{CFG.seed}', CAST(user_key AS VARCHAR))), user_key"
+
+
+def _requests(t):
+    e = t.events
+    return e.select(F.when(e.user_id % 10 != 0, e.user_id).alias("user_key"), F.when(e.event_type != "error", e.event_type).alias("label"),
+                    F.to_date("ts").alias("day"))
+
+
+@register("stratified_split_ties", f"""
+WITH {_REQUESTS}, r AS (
+  SELECT user_key, label, row_number() OVER (PARTITION BY label ORDER BY {_PLACE}) AS rk,
+         count(*) OVER (PARTITION BY label) AS n FROM requests)
+SELECT user_key, label, CASE WHEN rk <= round(n * {CFG.test_size}) THEN 'test'
+    WHEN rk <= round(n * {CFG.test_size}) + round(n * {CFG.val_size}) THEN 'val' ELSE 'train' END AS split FROM r""",
+          "user_key:int label:str split:str")
+def stratified_split_ties(t):
+    """W1/L2 where keys repeat or are null and labels are null: quotas stay exact."""
+    return S.stratified_split(_requests(t), "user_key", "label", CFG).select("user_key", "label", "split")
+
+
+@register("balanced_cap_ties", f"""
+WITH {_REQUESTS}, r AS (
+  SELECT user_key, label, row_number() OVER (PARTITION BY label ORDER BY {_PLACE}) AS rk,
+         count(DISTINCT label) OVER () AS k FROM requests)
+SELECT user_key, label FROM r WHERE label IS NOT NULL AND rk <= 777 // k""", "user_key:int label:str")
+def balanced_cap_ties(t):
+    """W1/L1 on the same rows: null labels are in no class (max_samples=777)."""
+    return S.balanced_cap(_requests(t), "user_key", "label", 777, CFG).select("user_key", "label")
+
+
 def _prop_sql(cap: int) -> str:
     h = sql_md5_order("doc_id", CFG.seed)
     hc = sql_md5_order("doc_id", CFG.seed, "cap")

@@ -1,6 +1,8 @@
 """Stratified split (W1, L1-L3) and the skew-safe ordered helpers."""
 
+import hashlib
 import random
+from collections import Counter
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -30,6 +32,60 @@ def test_cutoffs_equal_window_rank(spark):
     assert got.count() == 3000
 
 
+def _odd_rows(n=1200):
+    """Repeated, null and hot keys, null labels, rows equal in every column."""
+    rnd = random.Random(11)
+    rows = []
+    for i in range(n):
+        key = rnd.choice([7, 7, 7, None, rnd.randrange(40), i])
+        rows.append((key, rnd.choice(["same", "same", f"text {i}"]), rnd.choice([0, 1, 1, None])))
+    return rows
+
+
+def test_quotas_are_exact_with_equal_keys(spark, monkeypatch):
+    monkeypatch.setattr(S, "COPIES", 7)
+    rows = _odd_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string, label int").repartition(5)
+    sizes = Counter(r[2] for r in rows)
+    for quotas in ([0, 1, 2], [50, 50, 51], [100, 333, 5000]):
+        got = S.with_cutoffs(df, "doc_id", "label", [F.lit(q) for q in quotas], 42, prefix=1).collect()
+        assert Counter((r.doc_id, r.text, r.label) for r in got) == Counter(rows)
+        for i, q in enumerate(quotas):
+            assert Counter(r.label for r in got if r[f"_in_{i}"]) == Counter({c: min(q, n) for c, n in sizes.items() if q})
+        # in the order of (hash, key): no row that is out comes before one that is in
+        for label in sizes:
+            inside = [_place(r.doc_id) for r in got if r.label == label and r._in_1]
+            outside = [_place(r.doc_id) for r in got if r.label == label and not r._in_1]
+            assert not inside or not outside or max(inside) <= min(outside)
+
+
+def _place(key):
+    return hashlib.md5(("42" if key is None else f"42:{key}").encode()).hexdigest()
+
+
+def test_quotas_when_all_rows_are_equal(spark):
+    df = spark.createDataFrame([(1, "t", 0)] * 1000, "doc_id long, text string, label int").repartition(7)
+    assert S.balanced_cap(df, max_samples=100).count() == 100
+    split = {r.split: r["count"] for r in S.stratified_split(df).groupBy("split").count().collect()}
+    assert split == {"test": 100, "val": 100, "train": 800}
+    none = spark.createDataFrame([(None, f"t{i}", 0) for i in range(1000)], "doc_id long, text string, label int")
+    assert S.balanced_cap(none, max_samples=100).count() == 100
+    # the same rows whatever the layout
+    one, two = (S.balanced_cap(none.repartition(n, "text"), max_samples=100).select("text").collect() for n in (2, 9))
+    assert sorted(one) == sorted(two)
+
+
+def test_caps_leave_out_null_labels_and_splits(spark):
+    rows = [(i, None if i % 3 == 0 else i % 3) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, label int")
+    got = Counter(r.label for r in S.balanced_cap(df, max_samples=60).collect())
+    assert got == {1: 30, 2: 30}
+    assert S.balanced_cap(df, max_samples=300).count() == 300
+    s = spark.createDataFrame([(i % 9, ["train", "train", "val", "test", None][i % 5]) for i in range(500)], "doc_id long, split string")
+    got = Counter(r.split for r in S.proportional_cap(s, max_total=40).collect())
+    assert got == {"train": 20, "val": 10, "test": 10}
+
+
 def test_running_max_and_neighbours_match_plain_windows(spark):
     rnd = random.Random(3)
     rows = [(("hot" if rnd.random() < 0.5 else f"k{rnd.randint(0, 5)}"), i,
