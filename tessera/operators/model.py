@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -19,16 +20,18 @@ from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
 from ..functions.common import det_id
 from ..functions.mathx import argmax, round_half_even
 from ..session import cut_lineage
+from ..sources.publish import names, put_new
 from . import evaluate as EV
 from .features import fit_vocabulary, with_grams
 
+# Label texts.
 LABELS = {0: "negative", 1: "positive"}
 
 
@@ -165,20 +168,39 @@ def log_rows(scored: DataFrame, raw_text_col: str, key_cols: list[str],
         F.lit(batch_id).alias("batch_id"))
 
 
+def _marker(models_root: str, run_id: str) -> str:
+    return f"{models_root.rstrip('/')}/complete/{run_id}"
+
+
+def saved_model(spark: SparkSession, models_root: str, run_id: str) -> str | None:
+    """Folder of the run's complete model; None if no save has ended."""
+    if run_id not in names(spark, f"{models_root.rstrip('/')}/complete"):
+        return None
+    folder = spark.read.text(_marker(models_root, run_id), wholetext=True).first().value
+    return f"{models_root.rstrip('/')}/{folder}"
+
+
 def save_model(model: PipelineModel, models_root: str, run_id: str) -> str:
-    """Save under the run's own folder; a folder that is there is that run's
-    (same data, configuration and attempt) and is left as it is."""
-    path = f"{models_root.rstrip('/')}/{run_id}"
-    from pyspark.errors import AnalysisException
-    from pyspark.sql import SparkSession
+    """Save a run's model once; returns its folder. The model is written to a folder of
+    this attempt, and a marker that names the folder comes last, so a save that was
+    stopped half-way is not there for readers and the retry makes a new one. A model
+    that is marked is that run's (same data, configuration and attempt) and stays."""
     spark = SparkSession.getActiveSession()
-    try:
-        spark.read.text(f"{path}/metadata").limit(1).count()
-    except AnalysisException:
-        model.write().save(path)
+    if (path := saved_model(spark, models_root, run_id)) is None:
+        folder = f"{run_id}-{uuid.uuid4().hex}"
+        model.write().save(f"{models_root.rstrip('/')}/{folder}")
+        put_new(spark, _marker(models_root, run_id), folder)  # false if another attempt was first
+        path = saved_model(spark, models_root, run_id)
     return path
 
 
+def load_model(spark: SparkSession, models_root: str, run_id: str) -> PipelineModel:
+    path = saved_model(spark, models_root, run_id)
+    if path is None:
+        raise LookupError(f"no complete model of run {run_id} under {models_root}")
+    return PipelineModel.load(path)
+
+
 def load_production(ledger: DataFrame, models_root: str, name: str) -> tuple[str, PipelineModel]:
     """The newest Production version of ``name`` (at most one row, by
     construction of the ledger) and its saved model; an error when none."""
@@ -186,4 +208,4 @@ def load_production(ledger: DataFrame, models_root: str, name: str) -> tuple[str
            .agg(F.max_by(F.struct("version", "run_id"), "version").alias("v")).first()["v"])
     if row is None:
         raise LookupError(f"No Production version for model '{name}'.")
-    return str(row["version"]), PipelineModel.load(f"{models_root.rstrip('/')}/{row['run_id']}")
+    return str(row["version"]), load_model(ledger.sparkSession, models_root, row["run_id"])

@@ -9,10 +9,11 @@ with inadmissible texts in quarantine.
 
 ``daily_monitoring_job``: drift reports for the report dates -> alerts.
 
-Every job has a ``run_key``. All that it writes lies in partitions of that key (or
-of the report date), which a rerun replaces: running a job twice leaves equal
-tables. Each job leaves one ``pipeline_runs`` row, also when it fails. Times are the
-job's logical date (``cfg.as_of``), not the clock.
+Every job has a ``run_key``. All tables of a run, its ``pipeline_runs`` row among them, are
+published by one entry written last (``sources.publish``): readers see all of a run or
+nothing, and a rerun replaces everything that the run published before, also where it
+has no rows any more. A failed run publishes its row alone. Times are the job's logical date
+(``cfg.as_of``), not the clock.
 """
 
 from __future__ import annotations
@@ -22,7 +23,6 @@ import json
 import uuid
 from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,39 +36,38 @@ from ..operators import sample as S
 from ..operators import validate as VA
 from ..session import cut_lineage, scratch_path
 from ..sources import ingest as IG
+from ..sources import publish as PB
 from ..sources import views as V
 from ..sources.tables import Tables
 
 
-def _record(spark: SparkSession, root: str, dag_id: str, run_key: str, status: str, metrics: dict, cfg: Config) -> None:
+RUN_ROW = ("id string, dag_id string, run_id string, status string, started_at timestamp_ntz, "
+           "completed_at timestamp_ntz, duration_seconds int, metrics string")
+VERSION_ROW = ("name string, run_id string, registered_at timestamp_ntz, has_metrics boolean, f1_macro double, "
+               "accuracy double, version bigint, run_key string")
+
+
+def _run_row(spark: SparkSession, dag_id: str, run_key: str, status: str, metrics: dict, cfg: Config) -> PB.Table:
     """The job's row of the run log."""
     row = [(hashlib.sha256(f"{dag_id}:{run_key}".encode()).hexdigest(), dag_id, run_key, status, cfg.as_of, cfg.as_of, 0,
             json.dumps(metrics, sort_keys=True))]
-    df = spark.createDataFrame(row, "id string, dag_id string, run_id string, status string, started_at timestamp_ntz, "
-                                    "completed_at timestamp_ntz, duration_seconds int, metrics string")
-    IG.replace_partitions(df.withColumn("run_key", F.concat_ws(":", "dag_id", "run_id")), f"{root}/pipeline_runs", ["run_key"])
+    return PB.Table(spark.createDataFrame(row, RUN_ROW))
 
 
 @contextmanager
 def recorded(spark: SparkSession, root: str, dag_id: str, run_key: str, cfg: Config):
-    """Runs a job's body; the metrics it puts into the dict go into its run row."""
+    """Runs a job's body, which fills metrics and tables, and publishes its tables
+    together with its run row."""
     metrics: dict = {}
+    tables: dict[str, PB.Table] = {}
+    run = f"{dag_id}:{run_key}"
     try:
-        yield metrics
+        yield metrics, tables
     except Exception as e:
-        _record(spark, root, dag_id, run_key, "failed", {**metrics, "error": type(e).__name__}, cfg)
+        failed = _run_row(spark, dag_id, run_key, "failed", {**metrics, "error": type(e).__name__}, cfg)
+        PB.publish(spark, root, run, {"pipeline_runs": failed})
         raise
-    _record(spark, root, dag_id, run_key, "success", metrics, cfg)
-
-
-def _registered(spark: SparkSession, root: str) -> DataFrame:
-    """Registered versions so far (no rows before the first)."""
-    schema = ("name string, run_id string, registered_at timestamp_ntz, has_metrics boolean, f1_macro double, "
-              "accuracy double, version bigint, run_key string")
-    try:
-        return spark.read.schema(schema).parquet(f"{root}/model_versions")
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+    PB.publish(spark, root, run, {**tables, "pipeline_runs": _run_row(spark, dag_id, run_key, "success", metrics, cfg)})
 
 
 def training_job(spark: SparkSession, labelled: DataFrame, out_root: str | None = None,
@@ -76,18 +75,18 @@ def training_job(spark: SparkSession, labelled: DataFrame, out_root: str | None
     """K3/K8 pipeline: returns metrics of both candidates, the winner and the
     registry ledger of ``out_root`` with the new version."""
     out_root = out_root or scratch_path(spark, f"training-{uuid.uuid4().hex}")
-    with recorded(spark, out_root, "training", run_key, cfg) as metrics:
+    with recorded(spark, out_root, "training", run_key, cfg) as (metrics, tables):
         raw = IG.normalize_columns(labelled, keep=("doc_id",))
         VA.validate(raw)
         # read by the second gate and the split
         cleaned = cut_lineage(raw.withColumn("text", clean_text("text")), "cleaned")
         VA.validate(cleaned)  # a row cleaning to empty text fails here
-        split_path = f"{out_root}/splits/run_key={run_key}"
+        split_path = f"{out_root}/splits/run_key={run_key}/attempt={uuid.uuid4().hex}"
         IG.write_splits(S.stratified_split(cleaned, "doc_id", "label", cfg), split_path)
         cands = MD.train_and_evaluate(IG.load_splits(spark, split_path), cfg, run_key)
         best = max(enumerate(cands), key=lambda ic: (ic[1].metrics["f1_macro"], -ic[0]))[1]
         model_path = MD.save_model(best.model, f"{out_root}/models", best.run_id)
-        before = cut_lineage(_registered(spark, out_root), "versions")
+        before = PB.read(spark, out_root, "model_versions", VERSION_ROW)
         others = before.where(F.col("run_key") != run_key)
         # a rerun keeps its version
         version = before.agg(F.coalesce(F.max(F.when(F.col("run_key") == run_key, F.col("version"))),
@@ -95,7 +94,7 @@ def training_job(spark: SparkSession, labelled: DataFrame, out_root: str | None
         new = spark.createDataFrame(
             [(cfg.registry_name, best.run_id, cfg.as_of, True, float(best.metrics["f1_macro"]),
               float(best.metrics["accuracy"]), version, run_key)], before.schema)
-        IG.replace_partitions(new, f"{out_root}/model_versions", ["run_key"])
+        tables["model_versions"] = PB.Table(new)
         ledger = cut_lineage(RG.promotion_ledger(others.unionByName(new).drop("run_key")), "ledger")
         mine = ledger.where(F.col("version") == version).first()
         f1 = {c.model_type: float(c.metrics["f1_macro"]) for c in cands}
@@ -109,34 +108,33 @@ def scoring_job(spark: SparkSession, texts: DataFrame, text_col: str, key_cols:
                 ledger: DataFrame, batch_id: str, cfg: Config = DEFAULT) -> dict:
     """Score ``texts`` with the Production model of ``out_root``; rows go to
     ``predictions`` and inadmissible texts to ``predictions_quarantine``, by batch."""
-    with recorded(spark, out_root, "scoring", batch_id, cfg) as metrics:
+    with recorded(spark, out_root, "scoring", batch_id, cfg) as (metrics, tables):
         version, model = MD.load_production(ledger, f"{out_root}/models", cfg.registry_name)
         flagged = VA.admissibility(texts, text_col, cfg.max_text_length)
         scored = MD.predict(model, flagged.where("admissible"), text_col)
-        rows = MD.log_rows(scored, text_col, key_cols, version, cfg.registry_name, cfg.as_of, batch_id)
+        # written once: counted for the run row and published
+        rows = cut_lineage(MD.log_rows(scored, text_col, key_cols, version, cfg.registry_name, cfg.as_of, batch_id), "scored")
         rejects = flagged.where("not admissible").select(
             *key_cols, F.col("n_chars").alias("input_length"), F.lit(batch_id).alias("batch_id"))
-        IG.replace_partitions(rows, f"{out_root}/predictions", ["batch_id"])
-        IG.replace_partitions(rejects, f"{out_root}/predictions_quarantine", ["batch_id"])
-        written = spark.read.schema(rows.schema).parquet(f"{out_root}/predictions").where(F.col("batch_id") == batch_id)
-        metrics.update(model_version=version, scored=written.count())
+        tables.update(predictions=PB.Table(rows), predictions_quarantine=PB.Table(rejects))
+        metrics.update(model_version=version, scored=rows.count())
+    written = PB.read(spark, out_root, "predictions").where(F.col("batch_id") == batch_id)
     return {"predictions": written, "version": version}
 
 
 def daily_monitoring_job(spark: SparkSession, sf_dir: str, log_root: str | None = None,
                          cfg: Config = DEFAULT, run_key: str = "backfill") -> dict:
-    """Drift reports and alerts for every report date, in
-    partitions of the date under ``log_root``, and each report's JSON payload."""
+    """Drift reports, alerts and JSON payloads for every report date,
+    published by date under ``log_root``."""
     log_root = log_root or scratch_path(spark, f"logs-{uuid.uuid4().hex}")
-    with recorded(spark, log_root, "drift_detection", run_key, cfg) as metrics:
+    with recorded(spark, log_root, "drift_detection", run_key, cfg) as (metrics, tables):
         profile = V.profile(Tables(spark, sf_dir), cfg)
         D.require_rows(profile.where(F.col("day") < F.lit(cfg.reference_end)),
                        profile.where(F.col("day") >= F.lit(cfg.reference_end)))
         reports = cut_lineage(D.drift_reports(profile, list(V.PROFILE_FEATURES), cfg), "reports")
         alerts = cut_lineage(AL.alerts_from_reports(reports, cfg), "alerts")
-        IG.replace_partitions(reports, f"{log_root}/drift_reports", ["report_date"])
-        IG.replace_partitions(alerts, f"{log_root}/alerts", ["report_date"])
-        IG.write_json_report(reports, f"{log_root}/drift_payloads/run_key={run_key}", "details")
+        payloads = reports.select("report_date", F.col("details").alias("report"))
+        tables.update(drift_reports=PB.Table(reports, "report_date"), alerts=PB.Table(alerts, "report_date"),
+                      drift_payloads=PB.Table(payloads, "report_date"))
         metrics.update(reports=reports.count(), alerts=alerts.count())
-    return {"reports": spark.read.schema(reports.schema).parquet(f"{log_root}/drift_reports"),
-            "alerts": spark.read.schema(alerts.schema).parquet(f"{log_root}/alerts")}
+    return {t: PB.read(spark, log_root, n) for t, n in (("reports", "drift_reports"), ("alerts", "alerts"), ("payloads", "drift_payloads"))}

@@ -75,21 +75,14 @@ def load_splits(spark: SparkSession, path: str, expected=SPLITS, split_col: str
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Append rows to a log table (failures surface, unlike the
-    reference's swallowed insert errors)."""
+    """Append rows to a table (failures surface, unlike the reference's swallowed
+    insert errors). Jobs publish their logs with ``publish`` instead (S8-S10)."""
     w = df.write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:
-    """S8-S10, retry-safe: the rows' own partitions are replaced, others stay,
-    so a rerun of a job leaves the table as one run does."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*by).parquet(path))
-
-
 def write_json_report(df: DataFrame, path: str, col: str = "report") -> None:
     """One JSON document per row as text."""
     df.select(F.col(col).cast("string").alias("value")).write.mode("overwrite").text(path)

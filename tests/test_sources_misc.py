@@ -12,6 +12,7 @@ from tessera.functions import jsonx as J
 from tessera.operators import registry as RG
 from tessera.schemas import PREDICTIONS, split_valid
 from tessera.sources import ingest as IG
+from tessera.sources import publish as PB
 
 
 def test_normalize_columns(spark):
@@ -106,6 +107,10 @@ def table(spark, path):
     return sorted(map(str, spark.read.parquet(str(path)).collect()))
 
 
+def published(spark, root, name):
+    return sorted(map(str, PB.read(spark, root, name).collect()))
+
+
 def test_streaming_scoring_rows_fit_the_log(spark, tmp_path):
     from tessera.operators import model as MD
     from tessera.streaming import stream as ST
@@ -134,13 +139,14 @@ def test_jobs_run_twice_leave_equal_tables(spark, tmp_path):
         out = training_job(spark, labelled(spark), root, CFG, run_key="day1")
         scored = scoring_job(spark, texts, "text", ["conv_id"], root, out["ledger"], "batch1", CFG)
         assert {r.conv_id: r.predicted_sentiment for r in scored["predictions"].collect()} == {1: "positive", 2: "negative"}
-        seen.append([table(spark, tmp_path / t) for t in (
-            "model_versions", "pipeline_runs", "predictions", "predictions_quarantine", "splits")])
+        seen.append([published(spark, root, t) for t in (
+            "model_versions", "pipeline_runs", "predictions", "predictions_quarantine")])
+        seen[-1].append(table(spark, out["splits_path"]))
     assert seen[0] == seen[1]
     assert [len(t) for t in seen[0][:4]] == [1, 2, 2, 1]
     led = out["ledger"].first()
     assert led.promoted and led.stage == "Production" and len(out["candidates"]) == 2
-    runs = {r.dag_id: json.loads(r.metrics) for r in spark.read.parquet(f"{root}/pipeline_runs").collect()}
+    runs = {r.dag_id: json.loads(r.metrics) for r in PB.read(spark, root, "pipeline_runs").collect()}
     assert runs["training"]["winner"].startswith("baseline") and runs["training"]["promoted"] and runs["scoring"]["scored"] == 2
     assert "converged" in out["candidates"][0].metrics
 
@@ -165,7 +171,7 @@ def test_failed_jobs_leave_a_row(spark, tmp_path):
     from tessera.plans.jobs import training_job
     with pytest.raises(DataValidationError):
         training_job(spark, labelled(spark).withColumn("text", F.lit(" ")), str(tmp_path), CFG, run_key="bad")
-    row = spark.read.parquet(f"{tmp_path}/pipeline_runs").first()
+    row = PB.read(spark, str(tmp_path), "pipeline_runs").first()
     assert (row.status, json.loads(row.metrics)) == ("failed", {"error": "DataValidationError"})
 
 
@@ -174,11 +180,10 @@ def test_daily_monitoring_job_twice(spark, tmp_path):
     seen = []
     for _ in range(2):
         out = daily_monitoring_job(spark, "/root/testdata/sf0.001", str(tmp_path))
-        seen.append([table(spark, tmp_path / t) for t in ("drift_reports", "alerts", "pipeline_runs")])
+        seen.append([published(spark, str(tmp_path), t) for t in ("drift_reports", "alerts", "pipeline_runs")])
     assert seen[0] == seen[1] and len(seen[0][0]) == 24 and len(seen[0][1]) >= 1
     assert out["reports"].select("report_date").distinct().count() == 24
-    payloads = spark.read.text(f"{tmp_path}/drift_payloads")
-    assert payloads.count() == 24 and all("distance" in str(json.loads(r.value)) for r in payloads.collect())
+    assert out["payloads"].count() == 24 and all("distance" in str(json.loads(r.report)) for r in out["payloads"].collect())
 
 
 def test_flattened_props_oracle_on_mixed_json(spark, tmp_path):
