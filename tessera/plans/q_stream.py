@@ -4,9 +4,14 @@ closed, which is what the oracles restate."""
 
 from __future__ import annotations
 
+import uuid
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT
+from ..session import scratch_path
+from ..streaming import backlog as BL
 from ..streaming import stream as ST
 from .catalog import register
 
@@ -41,6 +46,49 @@ def stream_hourly_volume(t):
     return ST.run_available(ST.hourly_volume(s, "1 hour"), "hourly_volume", path)
 
 
+# Two deliveries of the events: a fifth of the first half of the month comes with the second.
+_SECOND = "event_id % 5 = 0 OR ts >= TIMESTAMP '2024-01-16 00:00:00'"
+
+
+def _deliveries(t):
+    """The two deliveries as folders of several files, and a backlog to take them."""
+    events, root = t.events, scratch_path(t.spark, f"backlog-{uuid.uuid4().hex}")
+    for name, rows in (("first", events.where(f"NOT ({_SECOND})")), ("second", events.where(_SECOND))):
+        rows.repartition(5, "user_id").write.parquet(f"{root}/{name}")
+    size = max(1, events.count() // 6)
+    return root, BL.Backlog(t.spark, f"{root}/backlog", ST.EVENTS_SCHEMA, timedelta(hours=1), slice_rows=size)
+
+
+def _taken(t):
+    root, backlog = _deliveries(t)
+    for name in ("first", "second"):
+        out, _ = backlog.run(BL.source_files(t.spark, f"{root}/{name}"), lambda s: ST.hourly_volume(s, "1 hour"))
+    return out, backlog.late_rows()
+
+
+_LATE = f"""(SELECT * FROM events WHERE ({_SECOND}) AND ts <=
+  to_timestamp((SELECT epoch_ms(max(ts)) FROM events WHERE NOT ({_SECOND})) / 1000.0)::TIMESTAMP - INTERVAL 1 HOUR)"""
+
+
+@register("stream_backlog_volume", f"""
+WITH e AS (SELECT * FROM events WHERE event_id NOT IN (SELECT event_id FROM {_LATE}))
+SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
+       time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, count(*) AS count
+FROM e GROUP BY 1, 2
+HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+          "window_start:ts window_end:ts count:int")
+def stream_backlog_volume(t):
+    """X1 over a backlog: two deliveries of overlapping files, taken in time slices."""
+    return _taken(t)[0]
+
+
+@register("stream_backlog_late", f"SELECT event_id, ts, user_id, 1 AS delivery FROM {_LATE}",
+          "event_id:int ts:ts user_id:int delivery:int")
+def stream_backlog_late(t):
+    """The rows of the second delivery that came too late, all of them."""
+    return _taken(t)[1].select("event_id", "ts", "user_id", "delivery")
+
+
 @register("stream_sliding_categories", """
 WITH w AS (
   SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) - k * INTERVAL 1 DAY AS window_start, event_type AS category

@@ -8,8 +8,9 @@ what the watermark has closed.
 A backlog is read as one micro-batch unless ``max_files`` says otherwise: the
 watermark then moves after all of it, so the answer does not depend on the
 order of the files. With ``max_files`` the files must come in event-time order
-within the watermark delay; rows that the watermark drops are counted, and a
-run that dropped any raises unless the caller accepts them.
+within the watermark delay; rows that the watermark drops are counted over all
+micro-batches, and a run that dropped any raises unless the caller accepts them.
+``backlog`` reads a backlog of any size in bounded micro-batches ordered by time.
 
 Each run has a checkpoint and an output of its own. A run that must resume
 names a ``resume`` key; the folder then depends on that key, the source and the
@@ -22,6 +23,7 @@ with the session zone pinned to UTC.
 from __future__ import annotations
 
 import hashlib
+import threading
 import uuid
 from collections.abc import Iterator
 
@@ -29,6 +31,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState
 
 from ..config import DEFAULT, Config
@@ -64,20 +67,54 @@ def _location(spark: SparkSession, name: str, source: str, resume: str | None =
     return f"{base}/checkpoint", f"{base}/output"
 
 
-def late_rows(query) -> int:
-    """Rows that the watermark has dropped, over the query's recent progress."""
-    return sum(int(op.get("numRowsDroppedByWatermark", 0))
-               for p in query.recentProgress for op in p["stateOperators"])
+class Progress(StreamingQueryListener):
+    """Sums over all micro-batches of the queries started while it listens (a query's own
+    ``recentProgress`` keeps the last ones only): rows that the watermark has dropped,
+    and the largest number of rows in state."""
 
+    def __init__(self, spark: SparkSession):
+        self.streams, self.ended = spark.streams, threading.Event()
+        self.dropped = self.most_state = self.batches = 0
 
-def _finish(query, allow_late: bool) -> None:
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise query.exception()
-    dropped = late_rows(query)
-    if dropped and not allow_late:
-        raise LateRows(f"{query.name or 'stream'}: {dropped} rows came after the watermark; read the backlog as "
-                       "one micro-batch, order its files by event time or raise the delay")
+    def __enter__(self) -> "Progress":
+        self.streams.addListener(self)
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.streams.removeListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        self.run = event.runId
+
+    def onQueryProgress(self, event) -> None:
+        if event.progress.runId == self.run:
+            ops = event.progress.stateOperators
+            self.batches += 1
+            self.dropped += sum(op.numRowsDroppedByWatermark for op in ops)
+            self.most_state = max(self.most_state, sum(op.numRowsTotal for op in ops))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if event.runId == self.run:
+            self.ended.set()
+
+
+def finish(start, allow_late: bool = False) -> Progress:
+    """Run a query (``start`` starts it and returns it) to its end."""
+    with Progress(SparkSession.getActiveSession()) as progress:
+        query = start()
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()
+        # events come in order, so all progress has been seen by the last one
+        if not progress.ended.wait(120):
+            raise RuntimeError("the end of the query was not reported: late rows are not counted in full")
+    if progress.dropped and not allow_late:
+        raise LateRows(f"{query.name or 'stream'}: {progress.dropped} rows came after the watermark; read the backlog "
+                       "in order (backlog.run) or as one micro-batch, or raise the delay")
+    return progress
 
 
 def run_available(df: DataFrame, name: str, source: str, mode: str = "append",
@@ -91,7 +128,7 @@ def run_available(df: DataFrame, name: str, source: str, mode: str = "append",
     w = df.writeStream.format("parquet").option("checkpointLocation", ckpt).outputMode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    _finish(w.trigger(availableNow=True).start(out), allow_late)
+    finish(lambda: w.trigger(availableNow=True).start(out), allow_late)
     return spark.read.schema(df.schema).parquet(out)
 
 
@@ -294,8 +331,8 @@ def drift_on_closed_windows(events: DataFrame, reference_counts: DataFrame, feat
         finally:
             cur.unpersist()
 
-    _finish(counts.writeStream.outputMode("append").option("checkpointLocation", ckpt)
-            .foreachBatch(score).trigger(availableNow=True).start(), allow_late)
+    finish(lambda: counts.writeStream.outputMode("append").option("checkpointLocation", ckpt)
+           .foreachBatch(score).trigger(availableNow=True).start(), allow_late)
     none = spark.createDataFrame([], "report_date date, feature string, category string, n bigint")
     shapes = scored(none, [cfg.reference_end])
     return tuple(_read_or_empty(spark, p, d.schema) for p, d in zip((reports_path, alerts_path), shapes))

@@ -11,29 +11,30 @@ from pyspark.sql import functions as F
 from tessera.config import DEFAULT
 from tessera.operators import features as FE
 from tessera.operators import model as MD
+from tessera.streaming import backlog as BL
 from tessera.streaming import stream as ST
 
 
 def test_baseline_training_separable(spark):
-    rows = [("excellent great good", 1, "train"), ("wonderful good nice", 1, "train"),
-            ("bad awful terrible", 0, "train"), ("poor bad awful", 0, "train"),
-            ("great excellent nice", 1, "train"), ("terrible poor bad", 0, "train"),
-            ("great good", 1, "val"), ("bad awful", 0, "val"),
-            ("excellent good", 1, "test"), ("terrible bad", 0, "test")]
+    rows = [("harbour lamp gladly shines", 1, "train"), ("gladly shines garden", 1, "train"),
+            ("rust drizzle grumbles", 0, "train"), ("grumbles swamp rust", 0, "train"),
+            ("garden lamp gladly", 1, "train"), ("swamp drizzle rust grumbles", 0, "train"),
+            ("lamp shines", 1, "val"), ("rust swamp", 0, "val"),
+            ("gladly garden", 1, "test"), ("grumbles drizzle", 0, "test")]
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
                                "doc_id long, text string, label int, split string")
     cfg = DEFAULT.with_(tfidf_max_features=100, ngram_max=1)
     cands = MD.train_and_evaluate(df, cfg)
     base = [c for c in cands if c.model_type.startswith("baseline")][0]
     assert base.metrics["accuracy"] >= 0.7 and base.metrics["n_features"] > 0
-    q = spark.createDataFrame([("excellent nice",)], "text string")
+    q = spark.createDataFrame([("garden shines",)], "text string")
     assert MD.predict(base.model, q).first().pred_class == 1
 
 
 def test_tfidf_shapes(spark):
     cfg = DEFAULT.with_(tfidf_max_features=10, ngram_max=1)
     train = spark.createDataFrame([(i, t) for i, t in enumerate(
-        ["good movie", "bad movie", "great acting", "bad acting"])], "doc_id long, text string")
+        ["north wind", "south wind", "north shore", "calm shore"])], "doc_id long, text string")
     g = FE.with_grams(train, "text", "grams", 1)
     idf, n = FE.fit_vocabulary(g, "doc_id", "grams", cfg)
     assert n == 4 and idf.count() <= 10
@@ -193,3 +194,98 @@ def test_dedup_stream_across_batches(spark, tmp_path):
     df.write.mode("append").parquet(str(src))  # every event delivered twice, in a second file
     out = ST.run_available(ST.deduplicated(ST.event_stream(spark, str(src))), "dedup_test", str(src))
     assert out.count() == 50 and out.select("event_id").distinct().count() == 50
+
+
+def _sparse(rnd, n, hours=30):
+    return [(i, rnd.randint(0, 4), T0 + timedelta(milliseconds=rnd.randint(0, hours * 3_600_000))) for i in range(n)]
+
+
+QUERIES = {
+    "volume": lambda s: ST.hourly_volume(s, "1 hour"),
+    "sessions": lambda s: ST.user_sessions(s, "5 minutes", "1 hour"),
+    "dedup": lambda s: ST.deduplicated(s, "1 hour"),
+    "flags": lambda s: ST.rate_flags(s, DEFAULT, limit=3, window_s=600, late_delay="1 hour"),
+}
+
+
+def _backlog(spark, root, rows=60):
+    return BL.Backlog(spark, str(root), ST.EVENTS_SCHEMA, timedelta(hours=1), slice_rows=rows)
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_backlog_in_slices_equals_one_batch(spark, tmp_path, name):
+    """Ten overlapping files in no order; each event delivered twice."""
+    rows = _sparse(random.Random(4), 400)
+    src = write_slices(spark, tmp_path / "events", [rows[i::5] for i in range(5)] + [rows[i::5] for i in range(5)])
+    want = ST.run_available(QUERIES[name](ST.event_stream(spark, src)), "one", src)
+    got, progress = _backlog(spark, tmp_path / "b", 90).run(BL.source_files(spark, src), QUERIES[name])
+    assert got.columns == want.columns and len(progress) >= 8
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    whole = ST.finish(lambda: QUERIES[name](ST.event_stream(spark, src)).writeStream.format("noop").option(
+        "checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    if name != "flags":  # whose state rows are the users
+        assert max(p.most_state for p in progress) < whole.most_state / 2  # the state holds a slice and the delay
+    assert all(p.dropped == 0 for p in progress)
+
+
+def test_late_rows_of_a_delivery_do_not_depend_on_files_or_slices(spark, tmp_path):
+    rnd = random.Random(6)
+    rows = _sparse(rnd, 300)
+    first, second = rows[::2], rows[1::2] + [(1000 + i, 1, T0 + timedelta(hours=30, minutes=i)) for i in range(100)]
+    limit = max(ts for *_, ts in first) - timedelta(hours=1)
+    limit = limit.replace(microsecond=limit.microsecond // 1000 * 1000)
+    late = {e for e, _, ts in second if ts <= limit}
+    kept = {e for e, *_ in first + second} - late
+    for n, parts, size in ((0, 1, 10_000), (1, 4, 50), (2, 7, 20)):
+        a = write_slices(spark, tmp_path / f"a{n}", [first[i::parts] for i in range(parts)])
+        b = write_slices(spark, tmp_path / f"b{n}", [second[i::parts] for i in rnd.sample(range(parts), parts)])
+        backlog = _backlog(spark, tmp_path / f"backlog{n}", size)
+        backlog.run(BL.source_files(spark, a), QUERIES["dedup"])
+        out, _ = backlog.run(BL.source_files(spark, a) + BL.source_files(spark, b), QUERIES["dedup"])
+        assert {r.event_id for r in out.collect()} == kept and out.count() == len(kept)
+        assert {(r.event_id, r.delivery) for r in backlog.late_rows().collect()} == {(e, 1) for e in late}
+
+
+def test_a_stopped_backlog_goes_on_where_it_was(spark, tmp_path, monkeypatch):
+    rows = _sparse(random.Random(8), 200)
+    src = write_slices(spark, tmp_path / "events", [rows[:100], rows[100:]])
+    files, calls = BL.source_files(spark, src), []
+
+    def failing(start):
+        calls.append(1)
+        if len(calls) == 3:
+            raise KeyboardInterrupt
+        return ST.finish(start)
+
+    monkeypatch.setattr(BL, "finish", failing)
+    backlog = _backlog(spark, tmp_path / "b", 40)
+    with pytest.raises(KeyboardInterrupt):
+        backlog.run(files, QUERIES["dedup"])
+    out, _ = backlog.run(files, QUERIES["dedup"])
+    assert sorted(r.event_id for r in out.collect()) == list(range(200))
+    again, progress = backlog.run(files, QUERIES["dedup"])
+    assert again.count() == 200 and progress == []
+    assert backlog.late_rows().count() == 0
+
+
+def test_rows_without_a_time_are_late_and_an_empty_delivery_is_empty(spark, tmp_path):
+    src = write_slices(spark, tmp_path / "events", [[(1, 1, T0), (2, 1, None)]])
+    backlog = _backlog(spark, tmp_path / "b")
+    out, _ = backlog.run(BL.source_files(spark, src), QUERIES["dedup"])
+    assert [r.event_id for r in out.collect()] == [1] and [r.event_id for r in backlog.late_rows().collect()] == [2]
+    empty = _backlog(spark, tmp_path / "e")
+    out, _ = empty.run([], QUERIES["volume"])
+    assert out.count() == 0 and "count" in out.columns and empty.late_rows().count() == 0
+
+
+def test_drops_are_counted_over_all_batches(spark, tmp_path):
+    """More micro-batches than a query remembers."""
+    old = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 3)
+    try:
+        days = [[(10 * d + i, 1, T0 + timedelta(days=d)) for i in range(10)] for d in (9, 10, 1, *range(11, 18))]
+        src = write_slices(spark, tmp_path / "events", days)
+        with pytest.raises(ST.LateRows, match="10 rows"):
+            ST.run_available(ST.deduplicated(ST.event_stream(spark, src, max_files=1)), "d", src)
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", old)

@@ -94,8 +94,8 @@ def test_first_with_prefix(spark):
 
 
 CFG = DEFAULT.with_(ngram_max=1, tfidf_max_features=50)
-POS = ["excellent great good", "wonderful good nice", "great excellent nice", "good nice fine"]
-NEG = ["bad awful terrible", "poor bad awful", "terrible poor bad", "awful poor bad"]
+POS = ["lamp shines gladly", "garden gladly blooms", "shines lamp blooms", "gladly blooms brook"]
+NEG = ["rust grumbles swamp", "drizzle rust grumbles", "swamp drizzle rust", "grumbles drizzle rust"]
 
 
 def labelled(spark, flip=0):
@@ -117,7 +117,7 @@ def test_streaming_scoring_rows_fit_the_log(spark, tmp_path):
     splits = labelled(spark).withColumn("split", F.when(F.col("doc_id") % 5 == 0, "test").otherwise("train"))
     cand = MD.train_and_evaluate(splits, CFG)[0]
     src = tmp_path / "texts"
-    spark.createDataFrame([(1, "excellent good"), (2, "bad awful"), (3, ""), (4, "x" * 6000), (5, None)], "conv_id long, text string") \
+    spark.createDataFrame([(1, "garden shines"), (2, "swamp rust"), (3, ""), (4, "x" * 6000), (5, None)], "conv_id long, text string") \
         .coalesce(1).write.parquet(str(src))
 
     def stream():
@@ -133,7 +133,7 @@ def test_streaming_scoring_rows_fit_the_log(spark, tmp_path):
 
 def test_jobs_run_twice_leave_equal_tables(spark, tmp_path):
     from tessera.plans.jobs import scoring_job, training_job
-    texts = spark.createDataFrame([(1, "excellent nice"), (2, "bad poor"), (3, "")], "conv_id long, text string")
+    texts = spark.createDataFrame([(1, "lamp blooms"), (2, "rust drizzle"), (3, "")], "conv_id long, text string")
     root, seen = str(tmp_path), []
     for _ in range(2):
         out = training_job(spark, labelled(spark), root, CFG, run_key="day1")
@@ -155,7 +155,7 @@ def test_a_losing_retrain_leaves_production_as_it_is(spark, tmp_path):
     from tessera.operators import model as MD
     from tessera.plans.jobs import training_job
     root = str(tmp_path)
-    q = spark.createDataFrame([("excellent nice",)], "text string")
+    q = spark.createDataFrame([("lamp blooms",)], "text string")
     first = training_job(spark, labelled(spark), root, CFG, run_key="day1")
     second = training_job(spark, labelled(spark, flip=1), root, CFG, run_key="day2")  # equal F1: not better
     stages = {r.version: (r.stage, r.run_id) for r in second["ledger"].collect()}
