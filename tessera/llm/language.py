@@ -6,21 +6,28 @@ one of ``2**BITS`` buckets. The text's vector is the mean of its buckets'
 embeddings, and a linear softmax over it gives the languages. Both layers are
 trained together by stochastic gradient descent in numpy.
 
-Calibration. On sample rows not used for training, one temperature is fitted
-by likelihood, and the rejection threshold is set so that at most
-``REJECT_RATE`` of the rows that the model gets right fall below it (never
-above ``MAX_THRESHOLD``).
-
-The sample is bounded: at most ``PER_LANG`` rows a language and ``SAMPLE_ROWS``
-in all, texts of any length, the same rows for the same table (lowest hash). Of a text
-longer than ``SAMPLE_CHARS`` characters, ``PIECES`` pieces spread over the whole of it
-are read. Every language with a labelled text that has a letter is learned.
+Calibration. Every fifth row of the sample does not train the layers; on these one
+temperature is fitted by likelihood (one row more counted as wrong). The rejection score
+is a text's familiarity: the mean log frequency of its buckets in the sample (all
+languages with equal weight), less its mean over the sample's rows, each judged by all
+others, and in units of their spread for as many runs. A text is rejected if its
+familiarity is below the threshold. That lies half as far again from the mean
+as the value that ``REJECT_RATE`` of those rows are below, so fewer than that share of
+texts like the training rows are rejected, but not below the familiarity that 95 % of
+unseen languages have: for every language, its rows judged by the other languages. A text
+half in one learned language and half in another is as familiar as either.
+
+The sample is bounded in rows: ``PER_LANG`` a language, ``SAMPLE_ROWS`` in all, fewer if their
+buckets are more than ``SAMPLE_BUCKETS`` in all (one a language at least); the same rows for the same
+table (lowest hash). Sampled rows are read whole: a task turns a text into its buckets and
+their counts. Every language with a labelled text that has a letter is learned.
 Prediction reads every whole text. As the mean and the linear layer commute,
 workers get one table ``buckets x languages`` (``2**BITS`` rows).
 
 A null text, or one without a letter, is ``und`` with score 0 and rejected. Rows
 with a null or blank lang, or a null doc_id, train nothing. If no row is labelled every
-text is ``und``. Equal scores go to the language that sorts first.
+text is ``und``. Equal scores go to the language that sorts first. Very long texts are
+read whole; repeated rows train once and are predicted each.
 """
 
 from __future__ import annotations
@@ -30,25 +37,21 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, free_name, slices, small_batches, table
+from .common import cut, documents, free_name, slices, small_batches, table
 
 BITS = 16
 DIM = 16
 ORDERS = (2, 3, 4)
-PER_LANG = 1500
-SAMPLE_ROWS = 20_000  # over all languages
-SAMPLE_CHARS = 8192  # of one text
-PIECES = 16  # that a longer text gives, at hashed places
+PER_LANG = 600
+SAMPLE_ROWS = 6000  # over all languages
+SAMPLE_BUCKETS = 24_000_000  # different buckets of a row, summed over the rows: 150 MB
 MAX_LANGS = 1000
-KEPT_FEATURES = 2048  # of a row, drawn from its whole text
-TRAIN_FEATURES = 384  # of those, drawn anew each epoch
 EPOCHS = 6
 RATE = 0.8
 REJECT_RATE = 0.001
-MAX_THRESHOLD = 0.35
 UNKNOWN = "und"
 
 
@@ -111,53 +114,82 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+@dataclass
+class Bag:
+    """Different buckets of a text and how often each occurs."""
+
+    ids: np.ndarray
+    counts: np.ndarray
+
+    @staticmethod
+    def of(text: str) -> "Bag":
+        orders, _, _ = features([text])
+        ids = np.concatenate(orders)
+        ids, counts = np.unique(ids[ids < (1 << BITS)], return_counts=True)
+        return Bag(ids.astype(np.uint16), counts.astype(np.uint32))
+
+
+def bag_means(bags: list[Bag], table: np.ndarray) -> np.ndarray:
+    """Mean of ``table[bucket]`` over the runs of each bag."""
+    return np.array([b.counts @ table[b.ids] / max(int(b.counts.sum()), 1) for b in bags])
+
+
 @dataclass
 class Model:
     langs: list[str]
-    weights: np.ndarray  # (2**BITS + 1) x languages: embeddings times softmax layer
+    weights: np.ndarray  # (2**BITS + 1) x (languages + 1): embeddings times softmax layer, log frequency
     bias: np.ndarray
-    temperature: float
-    threshold: float
+    temperature: float = 1.0
+    usual: float = 0.0  # mean log frequency of calibration rows
+    spread: tuple[float, float] = (1.0, 0.0)  # variance of it: a + b / runs
+    threshold: float = -np.inf
 
-    def logits(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        orders, offsets, has = features(texts)
-        sums, counts = text_sums(orders, offsets, self.weights)
-        return sums / np.maximum(counts, 1)[:, None] + self.bias, has
+    def familiarity(self, mean: np.ndarray, runs: np.ndarray) -> np.ndarray:
+        return (mean - self.usual) / np.sqrt(self.spread[0] + self.spread[1] / np.maximum(runs, 1))
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score and whether it is rejected."""
         if not self.langs:
             return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
-        z, has = self.logits(texts)
-        p = softmax(z / self.temperature)
+        orders, offsets, has = features(texts)
+        sums, runs = text_sums(orders, offsets, self.weights)
+        means = sums / np.maximum(runs, 1)[:, None]
+        p = softmax((means[:, :-1] + self.bias) / self.temperature)
         best = p.argmax(axis=1)
         score = np.where(has, p.max(axis=1), 0.0)
         lang = [self.langs[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), has.tolist())]
-        return lang, score, ~has | (score < self.threshold)
+        return lang, score, ~has | (self.familiarity(means[:, -1], runs) < self.threshold)
+
+
+def _bucket_counts(bags: list[Bag], y: np.ndarray, k: int) -> np.ndarray:
+    """Runs of every bucket in the rows of each language, smoothed."""
+    out = np.full((k, 1 << BITS), 0.5)
+    for b, lang in zip(bags, y):
+        out[lang, b.ids] += b.counts
+    return out
 
 
-def train(texts: list[str], langs: list[str], seed: int = 7) -> Model:
-    """Fit on labelled texts; every fifth row of a language calibrates."""
+def _without(bag: Bag, lang: int, own: np.ndarray, totals: np.ndarray) -> float:
+    """Mean log frequency of a training row's buckets in all other rows."""
+    n = bag.counts.sum()
+    share = own[:, bag.ids] / totals[:, None]
+    share[lang] = (own[lang, bag.ids] - bag.counts) / (totals[lang] - n)
+    return float(bag.counts @ np.log(share.mean(axis=0)) / n)
+
+
+def train(bags: list[Bag], langs: list[str], seed: int = 7) -> Model:
+    """Fit on the bags of labelled texts; every fifth row of a language calibrates."""
     names = sorted(set(langs))
-    empty = np.zeros(((1 << BITS) + 1, max(len(names), 1)), np.float32)
     if not names:
-        return Model([], empty, np.zeros(1), 1.0, 0.0)
+        return Model([], np.zeros(((1 << BITS) + 1, 1), np.float32), np.zeros(0))
     rng = np.random.default_rng(seed)
     y = np.searchsorted(names, langs)
     rank = np.zeros(len(y), np.int64)
     for k in range(len(names)):
         rank[y == k] = np.arange((y == k).sum())
     held = rank % 5 == 4
-    runs = []
-    for lo in range(0, len(texts), 100):
-        orders, off, _ = features(texts[lo:lo + 100])
-        for a, b in zip(off, off[1:]):
-            ids = np.concatenate([o[a:b] for o in orders])
-            ids = ids[ids < (1 << BITS)]
-            runs.append(ids if len(ids) <= KEPT_FEATURES else rng.choice(ids, KEPT_FEATURES, replace=False))
-    use = np.flatnonzero(~held & np.array([len(r) > 0 for r in runs], bool))
-    emb = rng.uniform(-1 / DIM, 1 / DIM, ((1 << BITS) + 1, DIM))
-    emb[-1] = 0
+    use = np.flatnonzero(~held & np.array([len(b.ids) > 0 for b in bags], bool))
+    emb = rng.uniform(-1 / DIM, 1 / DIM, (1 << BITS, DIM))
     out, bias = np.zeros((DIM, len(names))), np.zeros(len(names))
     batch, steps = 32, max(1, EPOCHS * -(-len(use) // 32))
     step = 0
@@ -167,53 +199,86 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> Model:
                 continue
             rate = RATE * (1 - step / steps)
             step += 1
-            ids = [runs[r] if len(runs[r]) <= TRAIN_FEATURES else rng.choice(runs[r], TRAIN_FEATURES) for r in rows]
-            lens = np.array([len(i) for i in ids])
-            flat, row = np.concatenate(ids), np.repeat(np.arange(len(rows)), lens)
-            hidden = np.add.reduceat(emb[flat], np.cumsum(lens) - lens, axis=0) / lens[:, None]
+            lens = np.array([len(bags[r].ids) for r in rows])
+            flat, row = np.concatenate([bags[r].ids for r in rows]), np.repeat(np.arange(len(rows)), lens)
+            share = np.concatenate([bags[r].counts / bags[r].counts.sum() for r in rows])[:, None]
+            hidden = np.add.reduceat(share * emb[flat], np.cumsum(lens) - lens, axis=0)
             g = softmax(hidden @ out + bias)
             g[np.arange(len(rows)), y[rows]] -= 1
-            back = (g @ out.T) / lens[:, None]
+            back = g @ out.T
             out -= rate * hidden.T @ g / len(rows) * DIM
             bias -= rate * g.mean(axis=0)
-            np.subtract.at(emb, flat, rate * back[row] * DIM)
-    model = Model(names, np.concatenate([(emb[:-1] @ out), np.zeros((1, len(names)))]).astype(np.float32), bias, 1.0, 0.0)
-    cal = np.flatnonzero(held)
+            np.subtract.at(emb, flat, rate * DIM * share * back[row])
+    some = np.flatnonzero([len(b.ids) > 0 for b in bags])
+    own = _bucket_counts([bags[r] for r in some], y[some], len(names))
+    often = np.log((own / own.sum(axis=1, keepdims=True)).mean(axis=0))
+    weights = np.concatenate([emb @ out, often[:, None]], axis=1)
+    model = Model(names, np.concatenate([weights, np.zeros((1, len(names) + 1))]).astype(np.float32), bias)
+    cal = np.flatnonzero(held & np.array([len(b.ids) > 0 for b in bags], bool))
     if len(cal):
-        z = np.concatenate([model.logits([texts[i] for i in cal[lo:lo + 500]])[0] for lo in range(0, len(cal), 500)])
-        loss = lambda t: -np.log(np.maximum(softmax(z / t)[np.arange(len(cal)), y[cal]], 1e-12)).mean()
-        grid = np.geomspace(0.2, 20, 60)
-        model.temperature = float(grid[int(np.argmin([loss(t) for t in grid]))])
-        p = softmax(z / model.temperature)
-        right = p.argmax(axis=1) == y[cal]
-        if right.any():
-            model.threshold = min(MAX_THRESHOLD, float(np.quantile(p.max(axis=1)[right], REJECT_RATE)))
+        means = bag_means([bags[i] for i in cal], model.weights[:, :-1])
+        model.temperature = _temperature(means + bias, y[cal])
+    if len(some):
+        _set_threshold(model, [bags[i] for i in some], y[some], own)
     return model
 
 
+def _temperature(z: np.ndarray, y: np.ndarray) -> float:
+    # One row more is counted as wrong, so that rows which are all right still have a best temperature.
+    wrong = 1 / (len(y) + 2)
+
+    def loss(t):
+        p = np.log(np.maximum(softmax(z / t), 1e-300))
+        return -((1 - wrong) * p[np.arange(len(y)), y] + wrong * p.mean(axis=1)).mean()
+
+    grid = np.geomspace(0.005, 100, 120)
+    return float(grid[int(np.argmin([loss(t) for t in grid]))])
+
+
+def _set_threshold(model: Model, bags: list[Bag], y: np.ndarray, own: np.ndarray) -> None:
+    """Usual familiarity and rejection threshold: every row is judged by the counts of
+    all others, and by those of the other languages."""
+    totals = own.sum(axis=1)
+    runs = np.array([b.counts.sum() for b in bags], float)
+    seen = np.array([_without(b, k, own, totals) for b, k in zip(bags, y)])
+    model.usual = float(seen.mean())
+    square = (seen - model.usual) ** 2
+    # variance a + b / runs by least squares, neither below zero
+    a, b = np.linalg.lstsq(np.stack([np.ones(len(runs)), 1 / runs], axis=1), square, rcond=None)[0]
+    a, b = (square.mean(), 0.0) if b < 0 else (0.0, (square * runs).mean()) if a < 0 else (a, b)
+    model.spread = (float(max(a, 1e-6)), float(max(b, 1e-6)))
+    known = float(np.quantile(model.familiarity(seen, runs), REJECT_RATE))
+    model.threshold = 1.5 * min(known, 0.0)
+    if len(model.langs) > 1:
+        unseen = []
+        for k in range(len(model.langs)):
+            mine = np.flatnonzero(y == k)
+            others = np.delete(own, k, axis=0)
+            without = np.log((others / others.sum(axis=1, keepdims=True)).mean(axis=0))
+            unseen.append(model.familiarity(bag_means([bags[i] for i in mine], without), runs[mine]))
+        model.threshold = max(model.threshold, min(known, float(np.quantile(np.concatenate(unseen), 0.95))))
+
+
 def fold(doc_id) -> F.Column:
     """crc32 of the doc_id as text, mod 4."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 4
 
 
-def excerpt(text: str, h: str) -> F.Column:
-    """The text, or if it is long ``PIECES`` pieces of it, one at a hashed place of
-    each ``PIECES``-th. Stretches without letters count as three characters, which
-    leaves the runs that hold a letter as they are, so a piece always has some."""
-    some = f"regexp_replace({text}, '\\\\P{{L}}{{3}}\\\\P{{L}}+', '   ')"
-    size = SAMPLE_CHARS // PIECES
-    step = f"(length(t) div {PIECES})"
-    piece = f"substring(t, cast(1 + i * {step} + pmod(xxhash64({h}, i), {step} - {size} + 1) as int), {size})"
-    pieces = f"concat_ws('   ', transform(sequence(0, {PIECES - 1}), i -> {piece}))"
-    of = f"transform(array({some}), t -> if(length(t) <= {SAMPLE_CHARS}, t, {pieces}))[0]"
-    return F.expr(f"if(length({text}) <= {SAMPLE_CHARS}, {text}, {of})")
+def _bags(batches):
+    """Rows ``lang, h, text`` -> ``lang, h, ids, counts`` of the whole text."""
+    for whole in batches:
+        for batch in slices(whole, "text"):
+            bags = [Bag.of(t) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("lang"), batch.column("h"), pa.array([b.ids.tobytes() for b in bags], pa.binary()),
+                 pa.array([b.counts.tobytes() for b in bags], pa.binary())], names=["lang", "h", "ids", "counts"])
 
 
-def sample(docs: DataFrame) -> tuple[list[str], list[str]]:
+def sample(docs: DataFrame) -> tuple[list[Bag], list[str]]:
     """The training rows: of each language the ``PER_LANG`` rows of lowest hash.
 
     Languages are counted first. A language's share of rows wanted gives a bound
-    on the hash, so that about 1.5 x ``PER_LANG`` rows of it are fetched (its row of
+    on the hash, so that about ``PER_LANG`` rows of it are read (its row of
     lowest hash in any case) and no language is sorted anywhere.
     """
     rows = documents(docs, "lang").where(
@@ -224,17 +289,20 @@ def sample(docs: DataFrame) -> tuple[list[str], list[str]]:
         raise ValueError(f"more than {MAX_LANGS} languages")
     if not counts:
         return [], []
-    per_lang = min(PER_LANG, SAMPLE_ROWS // len(counts))
-    share = lambda n: min(1.0, 1.5 * (per_lang + 50) / n)
+    per_lang = max(1, min(PER_LANG, SAMPLE_ROWS // len(counts)))
+    share = lambda n: min(1.0, (per_lang + 50) / n)
     bounds = [(r["lang"], max(r["least"], min((1 << 63) - 1, int(share(r["n"]) * (1 << 64)) - (1 << 63)))) for r in counts]
     bounds = docs.sparkSession.createDataFrame(bounds, "l string, bound long")  # a row a language
     few = rows.join(F.broadcast(bounds), F.col("lang") == F.col("l")).where(F.col("h") <= F.col("bound"))
-    got: dict[str, list] = {}
-    few = few.select("lang", "h", excerpt("text", "h").alias("text")).dropDuplicates(["lang", "h"])  # repeated rows once
-    for r in few.collect():  # 1.5 x PER_LANG rows a language, about
-        got.setdefault(r["lang"], []).append((r["h"], r["text"]))
-    chosen = [(lang, text) for lang in sorted(got) for _, text in sorted(set(got[lang]))[:per_lang]]
-    return [t for _, t in chosen], [lang for lang, _ in chosen]
+    few = few.select("lang", "h", "text").dropDuplicates(["lang", "h"])  # repeated rows once
+    few = cut(few.mapInArrow(_bags, "lang string, h long, ids binary, counts binary"), "language-sample")
+    # The rows of lowest hash of each language, until its share of the buckets is used up.
+    order = Window.partitionBy("lang").orderBy("h")
+    few = few.withColumn("rank", F.row_number().over(order)).withColumn(
+        "before", F.coalesce(F.sum(F.length("ids") / 2).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    few = few.where((F.col("rank") <= per_lang) & (F.col("before") < SAMPLE_BUCKETS / len(counts)))
+    got = sorted(few.select("lang", "h", "ids", "counts").collect(), key=lambda r: (r["lang"], r["h"]))
+    return [Bag(np.frombuffer(r["ids"], np.uint16), np.frombuffer(r["counts"], np.uint32)) for r in got], [r["lang"] for r in got]
 
 
 def fit(docs: DataFrame) -> Model:

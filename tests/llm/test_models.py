@@ -42,7 +42,7 @@ def test_op3_held_out_accuracy(spark, tmp_path):
     for i in (5020, 5021, 5022, 5026, 9000, 9001):
         assert by[i].lang_pred == "und" and by[i].score == 0 and by[i].rejected
     assert by[9002].lang_pred != "und"
-    assert not any(by[i].rejected for i in range(600)) or sum(by[i].rejected for i in range(600)) < 6
+    assert sum(by[i].rejected for i in range(600)) <= 2
 
 
 def test_op3_learns_only_from_its_fold(spark):
@@ -55,19 +55,64 @@ def test_op3_learns_only_from_its_fold(spark):
 def test_op3_language_with_long_texts_only(spark, tmp_path):
     rnd = random.Random(4)
     data = [r for r in labelled(300) if r[2] != "zz"]
-    n = language.SAMPLE_CHARS
+    n = 8192
     # letters anywhere in the text: all over, or only behind a long stretch without any
     data += [(1000 + i, "12 .. " * (i % 3) * n + words(rnd, 2500, STEMS["zz"]), "zz", "s") for i in range(30)]
     data += [(2000 + i, "7 " * n + "щука " + "-" * n, "ru", "s") for i in range(6)]
     assert all(len(r[1]) > n for r in data if r[0] >= 1000)
-    texts, langs = language.sample(docs_frame(spark, data))
-    assert set(langs) == {"xx", "yy", "zz", "ru"} and max(map(len, texts)) <= n + 3 * language.PIECES
-    assert all(any(c.isalpha() for c in t) for t in texts)
+    bags, langs = language.sample(docs_frame(spark, data))
+    assert set(langs) == {"xx", "yy", "zz", "ru"} and all(len(b.ids) for b in bags)
     got = {r.doc_id: r for r in language.op3_language(spark, save(docs_frame(spark, data), tmp_path, "documents")).collect()}
     assert np.mean([got[i].lang_pred == lang for i, _, lang, _ in data]) > 0.97
     assert all(got[1000 + i].lang_pred == "zz" for i in range(30))
 
 
+def test_op3_sample_reads_whole_rows_and_is_bounded(spark, monkeypatch):
+    data = labelled(200)
+    bags, langs = language.sample(docs_frame(spark, data, extra=True))
+    texts = {tuple(language.Bag.of(t).ids): sum(language.Bag.of(t).counts) for i, t, *_ in data}
+    assert len(bags) > 100 and all(texts[tuple(b.ids)] == b.counts.sum() for b in bags)  # every run of a row
+    monkeypatch.setattr(language, "SAMPLE_ROWS", 30)
+    assert max(np.unique(language.sample(docs_frame(spark, data))[1], return_counts=True)[1]) == 10
+    monkeypatch.setattr(language, "SAMPLE_BUCKETS", 300)
+    few, langs = language.sample(docs_frame(spark, data))
+    assert set(langs) == set(STEMS) and sum(len(b.ids) for b in few[:-1]) < 300 + sum(max(len(b.ids) for b in few) for _ in STEMS)
+    assert language.sample(docs_frame(spark, [(i, None, "xx", "s") for i in range(9)])) == ([], [])
+
+
+UNSEEN = [
+    "Съешь же ещё этих мягких французских булок, да выпей чаю.", "吾輩は猫である。名前はまだ無い。どこで生れたか",
+    "function add(a, b) { const xs = [1, 2].map(q => q * a); return xs.reduce((p, c) => p + c, 0); }",
+    "Watu wote wamezaliwa huru, hadhi na haki zao ni sawa, hivyo yapasa watendeane kindugu.", "xkcdq wrtpls zxcvbn mnbvcxz qwrtp plkjhg fdsq"]
+
+
+def test_op3_rejects_unseen_scripts_code_and_languages(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.fit(docs)
+    rows = [r for r in docs.where("lang is not null and text is not null").select("doc_id", "text", "lang").collect()]
+    lang, score, rejected = model.predict([r.text for r in rows])
+    held = [zlib.crc32(str(r.doc_id).encode()) % 4 == 2 for r in rows]
+    assert np.mean([a == r.lang for a, r in zip(lang, rows)]) > 0.99
+    assert np.mean(rejected) <= 0.002 and np.mean(np.array(rejected)[held]) <= 0.005
+    assert 0.005 < model.temperature < 100  # inside its grid
+    assert model.predict(UNSEEN)[2].all()
+    # half in one language, half in another: kept
+    by = {}
+    for r in rows:
+        by.setdefault(r.lang, []).append(r.text[:600])
+    a, b, *_ = sorted(by)
+    mixed = [x + " " + y for x, y in zip(by[a][:100], by[b][:100]) if min(len(x), len(y)) > 200]
+    assert len(mixed) > 20 and not model.predict(mixed)[2].any()
+
+
+def test_op3_two_languages_and_one(spark):
+    data = [r for r in labelled(300) if r[2] != "zz"]
+    for rows in (data, [r for r in data if r[2] == "xx"]):
+        model = language.fit(docs_frame(spark, rows))
+        assert model.predict(UNSEEN)[2].all()
+        assert model.predict([r[1] for r in rows])[2].sum() <= 1
+
+
 def test_op3_sums_equal_plain_means():
     texts = ["Kalo mi, su!", "", "x", "ré tra\nne" * 50, "12"]
     orders, off, has = language.features(texts)
