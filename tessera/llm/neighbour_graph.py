@@ -27,8 +27,8 @@ a node may meet through nodes pointing at it are a sample by hash: that is the
 method's own, and recall is what is measured (README).
 
 Vectors that are null, empty, zero, or hold null or non-finite components take
-no part, nor do vectors of another length than most have (of equally frequent
-lengths the smaller). Repeated rows are rows of their own: a query is compared
+no part. Vectors of each length have an index of their own (lengths are few; the driver
+goes through them). Repeated rows are rows of their own: a query is compared
 with all rows but itself. Ties go to the smaller vec_id. A query finds all other rows if there
 are fewer than asked. An empty table gives no rows.
 """
@@ -36,6 +36,7 @@ are fewer than asked. An empty table gives no rows.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -239,14 +240,22 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.withColumn("node", F.shiftrightunsigned(F.xxhash64("vector"), 1))
 
 
+def lengths(rows: DataFrame) -> list[int]:
+    """Lengths of the vectors, the most frequent first."""
+    return [r["dim"] for r in rows.groupBy("dim").count().orderBy(F.desc("count"), "dim").collect()]
+
+
 def build(vectors: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS, seed: int = 13) -> Index | None:
-    """The neighbour graph of ``vec_id, embedding`` rows; None without a usable row."""
-    spark = vectors.sparkSession
+    """The neighbour graph of the ``vec_id, embedding`` rows of the most frequent length
+    (of equally frequent ones the smaller); None without a usable row."""
     rows = cut(usable(vectors), "ann-rows")
-    dims = rows.groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
-    if dims is None:
-        return None
-    dim = dims["dim"]
+    for dim in lengths(rows)[:1]:
+        return build_of(rows, dim, degree, rounds, seed)
+
+
+def build_of(rows: DataFrame, dim: int, degree: int = DEGREE, rounds: int = ROUNDS, seed: int = 13) -> Index:
+    """The neighbour graph of the ``usable`` rows of one length."""
+    spark = rows.sparkSession
     rows = rows.where(F.col("dim") == dim)
     nodes = cut(rows.groupBy("node").agg(F.min("vec_id").alias("vec_id"), F.first("vector").alias("vector")), "ann-nodes")
     n = nodes.count()
@@ -423,11 +432,8 @@ def search(index: Index, queries: DataFrame, k: int = K, beam: int = BEAM, expan
     return found.select("query", (F.col("rank") + 1).cast("int").alias("rank"), "hit.vec_id", "hit.score")
 
 
-def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 20 nearest rows of every row whose vec_id is divisible by 20."""
-    index = build(table(spark, sf_dir, "embeddings"))
-    if index is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+def _neighbours(index: Index) -> DataFrame:
+    """The ``K`` nearest rows of every row of the index whose vec_id is divisible by 20."""
     asked = index.rows.where(F.col("vec_id") % 20 == 0)
     nodes = index.vectors.join(asked.select("node").distinct(), "node")
     found = _hits(index, nodes.select(F.col("node").alias("query"), F.col("node").alias("own"), "vector"), K + 1)
@@ -438,3 +444,12 @@ def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     others = F.slice(F.filter("hits", lambda h, i: i + 1 != F.col("own")), 1, K)
     found = asked.select("query_id", others.alias("hits")).select(*_ranked("query_id"))
     return found.select("query_id", (F.col("rank") + 1).cast("int").alias("rank"), "hit.vec_id", "hit.score")
+
+
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every row whose vec_id is divisible by 20."""
+    rows = cut(usable(table(spark, sf_dir, "embeddings")), "ann-rows")
+    asked = rows.where(F.col("vec_id") % 20 == 0)
+    found = [_neighbours(build_of(rows, dim)) for dim in lengths(asked)]
+    none = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return reduce(DataFrame.unionByName, found, none)

@@ -9,8 +9,8 @@ never cross documents.
    equal anchors at the same place. About one byte in 80 is an anchor. Its
    context is all that a string with this anchor can reach.
 2. Anchors that occur once are done: no string there repeats. Of the others,
-   equal contexts (by hash) are one class. A class of two or more occurrences
-   repeats as a whole.
+   equal contexts are one class; they are told apart by a 128-bit BLAKE2 digest of their
+   bytes, not by the prefix hashes. A class of two or more occurrences repeats as a whole.
 3. Classes of one occurrence next to other classes of the same anchor differ
    somewhere in the context. Their strings meet by anchor: candidates by hash,
    then the suffixes at the outermost candidates of each context are sorted
@@ -18,9 +18,10 @@ never cross documents.
    agree for ``LENGTH`` bytes are verified byte by byte.
 4. The spans return to their documents and are cut out.
 
-Nothing is capped. Equal texts are one text with a weight. An anchor with more
-than ``HOT_CONTEXTS`` contexts is not brought into one task: its strings are
-counted by hash with map-side combining instead.
+Nothing is capped. Equal texts (by 128 bits of SHA-256) are one text with a weight. An
+anchor with more than ``HOT_CONTEXTS`` contexts is not brought into one task: its strings
+are counted by hash with map-side combining instead, and those that are not alone
+again by a digest of their bytes. So a collision of prefix hashes removes nothing.
 
 A null text is empty. Texts shorter than ``LENGTH`` bytes lose nothing. Null or
 repeated doc_ids pass through row by row; two equal rows repeat each other. An
@@ -37,7 +38,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import binary_column, cut, documents, free_name, partitions, ragged, slices, table, utf8_batch
-from .jaccard_join import node
 from .shingles import mix64
 from .suffix_sort import PrefixHash
 
@@ -49,14 +49,14 @@ STRINGS = 300_000  # compared at a time in a task
 SLICE = 1 << 20  # bytes of text whose anchors are searched at a time
 
 
-def anchors(data: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int = GRAM):
+def anchors(data: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int = GRAM, bits: int = 64):
     """Anchors of the texts ``data[off[i]:off[i + 1]]``: text number, position,
-    hash of the gram, hash of the context, context bytes before and from it."""
+    hash of the gram, context bytes before and from it."""
     n, span = len(data), length - gram + 1
     empty = np.empty(0, np.int64)
     if n < length:
-        return empty, empty, empty, empty, empty, empty
-    prefix = PrefixHash(data)
+        return empty, empty, empty, empty, empty
+    prefix = PrefixHash(data, bits)
     grams = (prefix.sums[gram:] - prefix.sums[:-gram]) * prefix.down[:n - gram + 1]
     key = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(n - gram + 1, dtype=np.uint64)
     width, low = 1, key
@@ -73,24 +73,37 @@ def anchors(data: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int =
     doc = np.searchsorted(off, pos, side="right") - 1
     left = np.minimum(pos - off[doc], length - gram)
     right = np.minimum(off[doc + 1] - pos, length)
-    context = mix64(prefix.hash(pos - left, left + right) + (left * 1024 + right).astype(np.uint64))
-    return doc, pos - off[doc], mix64(grams[pos]).view(np.int64), context.view(np.int64), left, right
+    return doc, pos - off[doc], (mix64(grams[pos]) & prefix.mask).view(np.int64), left, right
 
 
-ANCHOR = "node long, pos long, anchor long, context long, before int, after int, weight long"
+def digests_of(data: np.ndarray, start: np.ndarray, size: np.ndarray, mark: np.ndarray) -> pa.Array:
+    """Digests of the stretches ``data[start:start + size]``, each with its mark (16 bits)."""
+    raw, blake, mark = memoryview(np.ascontiguousarray(data)), hashlib.blake2b, mark.astype("<u2").tobytes()
+    ends = zip(start.tolist(), (start + size).tolist())
+    return pa.array([blake(raw[a:b], digest_size=16).digest() + mark[2 * i:2 * i + 2] for i, (a, b) in enumerate(ends)], pa.binary())
 
 
-def _anchor_rows(length: int, gram: int):
+COUNTED = "anchor long, weight long"
+ANCHOR = "node binary, pos long, anchor long, context binary, before int, after int, weight long"
+
+
+def _anchor_rows(length: int, gram: int, places: bool, bits: int):
+    """Anchors of texts (``node, text``), equal texts of a slice once: with the number of
+    their texts, or as ``places``."""
     def rows(batches):
         for whole in batches:
             for batch in slices(whole, "text", SLICE):
-                nodes = np.asarray(batch.column("node"), np.int64)
-                _, first, count = np.unique(nodes, return_index=True, return_counts=True)
+                names = batch.column("node").dictionary_encode()
+                _, first, count = np.unique(np.asarray(names.indices), return_index=True, return_counts=True)
                 part = batch.take(pa.array(first))
                 data, off = utf8_batch(part.column("text"))
-                doc, pos, gram_hash, context, left, right = anchors(data, off, length, gram)
+                doc, pos, gram_hash, left, right = anchors(data, off, length, gram, bits)
+                if not places:
+                    yield pa.RecordBatch.from_arrays([pa.array(gram_hash), pa.array(count[doc])], names=["anchor", "weight"])
+                    continue
+                context = digests_of(data, off[doc] + pos - left, left + right, left)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes[first][doc]), pa.array(pos), pa.array(gram_hash), pa.array(context),
+                    [part.column("node").take(pa.array(doc)), pa.array(pos), pa.array(gram_hash), context,
                      pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32)), pa.array(count[doc])],
                     names=["node", "pos", "anchor", "context", "before", "after", "weight"])
     return rows
@@ -152,13 +165,13 @@ def strings_at(prefix: PrefixHash, off: np.ndarray, left: np.ndarray, length: in
 
 
 def repeated_reach(data: np.ndarray, off: np.ndarray, left: np.ndarray, group: np.ndarray,
-                   length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
+                   length: int = LENGTH, gram: int = GRAM, bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
     """How far repeated strings reach before and after the anchor of each context
     (0, 0: no string repeats). Contexts of a group share the anchor and differ.
     Strings can only be equal at the same offset, so a few offsets are taken at a time."""
     n = len(left)
     reach_left, reach_right = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    prefix = PrefixHash(data)
+    prefix = PrefixHash(data, bits)
     right = np.diff(off) - left
     low, high = reach_of(left, right, length, gram)
     low, high = possible(prefix, off[:-1] + left, left, right, group, low, high, length, gram)
@@ -204,19 +217,19 @@ def outermost(prefix: PrefixHash, row, offset, start, name, group, length: int)
     return alive
 
 
-REACH = "anchor long, context long, reach_left int, reach_right int"
+REACH = "anchor long, context binary, reach_left int, reach_right int"
 
 
-def _compare(length: int, gram: int):
+def _compare(length: int, gram: int, bits: int):
     def settle(held):
         data = np.frombuffer(b"".join(h[3] for h in held), np.uint8)
         off = np.concatenate([[0], np.cumsum([len(h[3]) for h in held])]).astype(np.int64)
         group = np.array([h[0] for h in held])
         _, group = np.unique(group, return_inverse=True)
-        left, right = repeated_reach(data, off, np.array([h[2] for h in held], np.int64), group, length, gram)
+        left, right = repeated_reach(data, off, np.array([h[2] for h in held], np.int64), group, length, gram, bits)
         some = np.flatnonzero(right)
         return pa.RecordBatch.from_arrays(
-            [pa.array([held[i][0] for i in some], pa.int64()), pa.array([held[i][1] for i in some], pa.int64()),
+            [pa.array([held[i][0] for i in some], pa.int64()), pa.array([held[i][1] for i in some], pa.binary()),
              pa.array(left[some].astype(np.int32)), pa.array(right[some].astype(np.int32))],
             names=["anchor", "context", "reach_left", "reach_right"])
 
@@ -236,7 +249,7 @@ def _compare(length: int, gram: int):
     return compare
 
 
-def _string_hashes(length: int, gram: int):
+def _string_hashes(length: int, gram: int, bits: int):
     """All strings of the contexts of hot anchors, by hash."""
     def rows(batches):
         for batch in batches:
@@ -245,7 +258,7 @@ def _string_hashes(length: int, gram: int):
                 held = part.column("bytes").to_pylist()
                 off = np.concatenate([[0], np.cumsum([len(h) for h in held])]).astype(np.int64)
                 left = np.asarray(part.column("before"), np.int64)
-                row, offset, _, name = strings_at(PrefixHash(np.frombuffer(b"".join(held), np.uint8)), off, left, length,
+                row, offset, _, name = strings_at(PrefixHash(np.frombuffer(b"".join(held), np.uint8), bits), off, left, length,
                                                   *reach_of(left, np.diff(off) - left, length, gram))
                 at = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
@@ -255,14 +268,35 @@ def _string_hashes(length: int, gram: int):
     return rows
 
 
-def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def _string_digests(length: int):
+    """Digests of the strings at ``offsets`` of each context."""
+    def rows(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 4096):
+                part = batch.slice(lo, 4096)
+                held, lists = part.column("bytes").to_pylist(), part.column("offsets")
+                base = np.cumsum([0, *map(len, held)])[:-1] + np.asarray(part.column("before"), np.int64)
+                offset, row = np.asarray(lists.flatten(), np.int64), np.repeat(np.arange(len(held)), np.asarray(lists.value_lengths()))
+                data = np.frombuffer(b"".join(held), np.uint8)
+                at = pa.array(row)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("anchor").take(at), part.column("context").take(at), pa.array(offset.astype(np.int32)),
+                     digests_of(data, base[row] + offset, np.full(len(row), length), np.zeros(len(row)))],
+                    names=["anchor", "context", "offset", "string"])
+    return rows
+
+
+def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, bits: int = 64) -> DataFrame:
     """``node, spans array<struct<lo, hi>>`` of ``doc_id, node, text`` rows: the
-    byte ranges (unmerged) that repeat, for each text that has any."""
+    byte ranges (unmerged) that repeat, for each text that has any. ``bits`` of the prefix
+    hashes are used."""
     spark = rows.sparkSession
-    found = rows.where(F.octet_length("text") >= length).select("node", "text").mapInArrow(_anchor_rows(length, gram), ANCHOR)
+    long = rows.where(F.octet_length("text") >= length).select("node", "text")
+    counted = long.mapInArrow(_anchor_rows(length, gram, False, bits), COUNTED)
+    found = long.mapInArrow(_anchor_rows(length, gram, True, bits), ANCHOR)
     # A table of its own, and dealt anew by text after the join: so Spark may
     # split a hot anchor's rows in the join.
-    shared = cut(found.groupBy("anchor").agg(F.sum("weight").alias("uses")).where("uses > 1").select("anchor"), "shared")
+    shared = cut(counted.groupBy("anchor").agg(F.sum("weight").alias("uses")).where("uses > 1").select("anchor"), "shared")
     places = found.join(shared, "anchor").repartition(partitions(spark), "node").groupBy("node", "pos", "anchor", "context", "before", "after").agg(
         F.sum("weight").alias("weight"))
     places = cut(places, "anchors")
@@ -277,14 +311,20 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     wanted = wanted.join(first, "node").withColumnRenamed("node", "n")
     texts = rows.join(wanted, (rows["node"] == F.col("n")) & rows["doc_id"].eqNullSafe(F.col("first_doc")))
     contexts = cut(texts.select("text", "wanted").mapInArrow(
-        _contexts, "anchor long, context long, before int, bytes binary"), "context-bytes")
+        _contexts, "anchor long, context binary, before int, bytes binary"), "context-bytes")
     hot = mixed.where(F.col("kinds") > HOT_CONTEXTS).select("anchor")
     plain = (contexts.join(hot, "anchor", "left_anti").repartition(partitions(spark), "anchor")
-             .sortWithinPartitions("anchor", "context").mapInArrow(_compare(length, gram), REACH))
-    strings = contexts.join(hot, "anchor", "left_semi").dropDuplicates(["anchor", "context"]).mapInArrow(
-        _string_hashes(length, gram), "anchor long, context long, offset int, string long")
+             .sortWithinPartitions("anchor", "context").mapInArrow(_compare(length, gram, bits), REACH))
+    crowd = contexts.join(hot, "anchor", "left_semi").dropDuplicates(["anchor", "context"])
+    strings = crowd.mapInArrow(_string_hashes(length, gram, bits), "anchor long, context binary, offset int, string long")
     again = strings.groupBy("anchor", "offset", "string").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    crowded = (strings.join(again, ["anchor", "offset", "string"]).groupBy("anchor", "context")
+    # Strings of one hash are compared by their bytes.
+    near = strings.join(again, ["anchor", "offset", "string"], "left_semi").groupBy("anchor", "context").agg(
+        F.collect_list("offset").alias("offsets"))  # of one context: length - gram + 1 at most
+    exact = cut(crowd.join(near, ["anchor", "context"]).mapInArrow(
+        _string_digests(length), "anchor long, context binary, offset int, string binary"), "hot-strings")
+    again = exact.groupBy("anchor", "offset", "string").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    crowded = (exact.join(again, ["anchor", "offset", "string"], "left_semi").groupBy("anchor", "context")
                .agg(F.max(-F.col("offset")).cast("int").alias("reach_left"),
                     F.max(F.lit(length) + F.col("offset")).cast("int").alias("reach_right")))
     whole = classes.where("uses > 1").select(
@@ -340,9 +380,14 @@ def _cut_text(batches):
             yield pa.RecordBatch.from_arrays(cols[:-1], names=part.schema.names[:-1])
 
 
-def removal_digests(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    rows = documents(docs).withColumn("node", node(F.col("text")))
-    spans = repeated_spans(rows, length, gram)
+def text_name(text):
+    """128 bits of the text's SHA-256; a null text is the empty one."""
+    return F.substring(F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256)), 1, 16)
+
+
+def removal_digests(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bits: int = 64) -> DataFrame:
+    rows = documents(docs).withColumn("node", text_name(F.col("text")))
+    spans = repeated_spans(rows, length, gram, bits)
     return rows.join(spans, "node", "left").select("doc_id", "text", "spans").mapInArrow(
         _digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
@@ -350,10 +395,10 @@ def removal_digests(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``docs``, all columns, with the repeated bytes cut out of ``text``. A
     character that loses some of its bytes goes whole."""
-    rows = documents(docs).withColumn("node", node(F.col("text")))
+    rows = documents(docs).withColumn("node", text_name(F.col("text")))
     own, theirs, cuts = (free_name(docs, c) for c in ("_own", "_node", "_spans"))
     spans = repeated_spans(rows, length, gram).select(F.col("node").alias(theirs), F.col("spans").alias(cuts))
-    joined = docs.withColumn(own, node(docs["text"].cast("string"))).join(spans, F.col(own) == F.col(theirs), "left")
+    joined = docs.withColumn(own, text_name(docs["text"].cast("string"))).join(spans, F.col(own) == F.col(theirs), "left")
     return joined.select(*[F.col(f"`{c}`") for c in docs.columns], cuts).mapInArrow(_cut_text, docs.schema)
 
 

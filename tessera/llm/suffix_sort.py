@@ -18,17 +18,17 @@ _BYTE = np.random.default_rng(6).integers(0, 1 << 64, 256, np.uint64)
 
 
 class PrefixHash:
-    """Substring hashes of a byte array."""
+    """Substring hashes of a byte array, of ``bits`` bits (fewer make collisions: for tests)."""
 
-    def __init__(self, data: np.ndarray):
-        self.data = data
+    def __init__(self, data: np.ndarray, bits: int = 64):
+        self.data, self.mask = data, np.uint64((1 << bits) - 1)
         up, self.down = Powers.upto(len(data) + 1)
         self.sums = np.empty(len(data) + 1, np.uint64)
         self.sums[0] = 0
         np.cumsum(_BYTE[data] * up[:len(data)], out=self.sums[1:])
 
     def hash(self, start: np.ndarray, length) -> np.ndarray:
-        return mix64((self.sums[start + length] - self.sums[start]) * self.down[start])
+        return mix64((self.sums[start + length] - self.sums[start]) * self.down[start]) & self.mask
 
     def same(self, a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
         s, d = self.sums, self.down

@@ -134,14 +134,15 @@ def repeat_texts(rnd):
     return texts + [noise(30_000) + q[5:300] + noise(30_000)]
 
 
-@pytest.mark.parametrize("hot", [16_384, 2])
-def test_op6_equals_brute_force(spark, monkeypatch, hot):
+@pytest.mark.parametrize("hot, bits", [(16_384, 64), (2, 64), (16_384, 8), (2, 8)])
+def test_op6_equals_brute_force(spark, monkeypatch, hot, bits):
+    """Also where hashes of 8 bits collide all the time."""
     monkeypatch.setattr(substring_dedup, "HOT_CONTEXTS", hot)
     texts = repeat_texts(random.Random(7))
     rows = [(i if i % 7 else None, t, "xx", "s") for i, t in enumerate(texts)]
     docs = docs_frame(spark, rows, extra=True).repartition(3)
     want = repeats_brute(texts, 200)
-    got = sorted(map(tuple, substring_dedup.removal_digests(docs).collect()), key=repr)
+    got = sorted(map(tuple, substring_dedup.removal_digests(docs, bits=bits).collect()), key=repr)
     assert got == sorted(((r[0], *w[:3], sha(w[3])) for r, w in zip(rows, want)), key=repr)
     cut = substring_dedup.remove_repeats(docs)
     assert cut.columns == docs.columns

@@ -289,6 +289,17 @@ def test_op5_few_rows_ties_and_odd_vectors(spark, tmp_path):
     assert run5(spark, tmp_path / "o", [(20, one, 1)]) == {}
 
 
+def test_op5_vectors_of_other_lengths(spark, tmp_path):
+    rng = np.random.default_rng(12)
+    rows = [(i, [float(v) for v in rng.standard_normal(8 if i % 3 else 5)], 0) for i in range(400)]
+    rows += [(1000, [1.0, 2.0], 0), (1001, [0.5, 0.5], 0), (1020, [1.0], 0)]
+    got = run5(spark, tmp_path, rows)
+    for size in (8, 5, 2):
+        want = brute([r for r in rows if len(r[1]) == size])
+        assert set(want) == {q for q in got if len(dict((r[0], r[1]) for r in rows)[q]) == size}
+        assert np.mean([len({h[1] for h in got[q]} & {v for v, _ in want[q]}) / len(want[q]) for q in want]) >= 0.99
+
+
 def test_op5_queries_outside_the_index(spark):
     rng = np.random.default_rng(9)
     x = rng.standard_normal((800, 16))
