@@ -10,13 +10,18 @@ def _c(col):
     return F.col(col) if isinstance(col, str) else col
 
 
+def _with(values: Column, other: Column) -> Column:
+    """``other``, evaluated once a row, next to every value. (A lambda that names it
+    would evaluate it again for every element.)"""
+    return F.array_repeat(other, F.size(values))
+
+
 def softmax(scores: str | Column) -> Column:
     """Softmax of a score array, max subtracted first for stability."""
     s = _c(scores)
-    mx = F.array_max(s)
-    e = F.transform(s, lambda x: F.exp(x - mx))
-    tot = F.aggregate(e, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(e, lambda x: x / tot)
+    e = F.zip_with(s, _with(s, F.array_max(s)), lambda x, m: F.exp(x - m))
+    total = F.aggregate(e, F.lit(0.0), lambda acc, x: acc + x)
+    return F.zip_with(e, _with(s, total), lambda x, t: x / t)
 
 
 def argmax(values: str | Column) -> Column:
@@ -26,10 +31,12 @@ def argmax(values: str | Column) -> Column:
 
 
 def softmax_argmax(scores: str | Column) -> tuple[Column, Column]:
-    """M1: (winning class, its softmax probability)."""
-    p = softmax(scores)
-    i = argmax(scores)
-    return i, F.element_at(p, i + 1)
+    """M1: (winning class, its softmax probability). The winner's exponential is 1, so
+    its share is one over the sum; one pass over the scores."""
+    s = _c(scores)
+    e = F.zip_with(s, _with(s, F.array_max(s)), lambda x, m: F.exp(x - m))
+    total = F.aggregate(e, F.lit(0.0), lambda acc, x: acc + x)
+    return argmax(s), F.when(F.size(s) > 0, 1.0 / total)
 
 
 def round_half_even(x: str | Column, digits: int = 4) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
 from ..functions.dates import bucket_unit, on_day, trailing_window, truncate
+from .quantiles import quantiles
 
 
 def status_of(score: Column, threshold: float) -> Column:
@@ -77,20 +78,21 @@ def latency_percentiles(predictions: DataFrame, as_of: datetime | None, days: in
     """A3: interpolated p50/p95/p99 and n; null becomes 0. Without ``as_of``
     over the whole log.
 
-    ``exact`` uses ``percentile`` (= ``percentile_cont``), whose buffer is a
-    value->count map: small for integer latencies. For very wide value
-    domains pass ``exact=False`` to use ``percentile_approx`` sketches.
+    Exact values come from ``quantiles`` (no task holds all distinct values);
+    ``exact=False`` uses ``percentile_approx`` sketches.
     """
+    names = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
     lat = F.col("latency_ms")
+    w = predictions if as_of is None else predictions.where(trailing_window("created_at", as_of, days, hours))
     if exact:
-        ps = [F.percentile(lat, q) for q in (0.5, 0.95, 0.99)]
+        agg = quantiles(w, lat, names)
+        counted = w.agg(F.count(F.lit(1)).alias("count"))
+        # two single rows
+        agg = agg.withColumn("_k", F.lit(0)).join(counted.withColumn("_k", F.lit(0)), "_k").drop("_k")
     else:
-        ps = [F.percentile_approx(lat, q, 10000).cast("double") for q in (0.5, 0.95, 0.99)]
-    w = predictions if as_of is None else predictions.where(trailing_window("created_at", as_of, days, hours))
-    agg = w.agg(*[p.alias(n) for p, n in zip(ps, ("p50", "p95", "p99"))],
-                F.count(F.lit(1)).alias("count"))
-    return agg.select(*[F.coalesce(F.col(n).cast("double"), F.lit(0.0)).alias(n)
-                        for n in ("p50", "p95", "p99")], "count")
+        agg = w.agg(*[F.percentile_approx(lat, q, 10000).cast("double").alias(n) for n, q in names.items()],
+                    F.count(F.lit(1)).alias("count"))
+    return agg.select(*[F.coalesce(F.col(n), F.lit(0.0)).alias(n) for n in names], "count")
 
 
 def sentiment_distribution(predictions: DataFrame, as_of: datetime, days: int | None = None,

@@ -120,8 +120,11 @@ def _violation(col: str, rule) -> tuple[str, Column]:
 
 
 def check_constraints(df: DataFrame, table: str) -> DataFrame:
-    """Add ``violations ARRAY<STRING>`` (empty when the row is valid)."""
-    checks = [_violation(c, r) for c, r in RULES[table] if c in df.columns]
+    """Add ``violations ARRAY<STRING>`` (empty when the row is valid). A column that is
+    not there is null in every row: it breaks its NOT NULL rule and no other."""
+    absent = {c for c, _ in RULES[table]} - set(df.columns)
+    checks = [(f"{c}:not_null", F.lit(True)) if c in absent else _violation(c, r)
+              for c, r in RULES[table] if c not in absent or r == "notnull"]
     arr = F.array(*[F.when(cond, F.lit(name)) for name, cond in checks])
     return df.withColumn("violations", F.array_compact(arr))
 
