@@ -49,9 +49,6 @@ class Config:
     # Chunk size of the skew-safe ordered folds (W5): events of one key are
     # spread over (key, chunk) tasks.
     fold_chunk: str = "hour"
-    # Tasks that CPU-heavy text work is dealt to (by key); 0 keeps the layout
-    # of the input files, as suits a table of many files.
-    text_partitions: int = 16
 
     def with_(self, **kw) -> "Config":
         return replace(self, **kw)

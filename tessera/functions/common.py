@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,9 +33,17 @@ def det_id(*parts: Column | str) -> Column:
     return F.sha2(F.concat_ws(":", *[c.cast("string") for c in cols]), 256)
 
 
-def dealt(df, partitions: int, key: str | None = None):
-    """``df`` hash-partitioned by ``key`` into ``partitions`` (0: as it is), for
-    CPU-heavy row work on a table of a few large files."""
-    if not partitions or df.isStreaming:
-        return df
-    return df.repartition(partitions, key) if key else df.repartition(partitions)
+def one_row(*frames):
+    """Frames of one row each, side by side, without a join."""
+    cols = [c for f in frames for c in f.columns]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return rows.agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])
+
+
+def spread(scan, key: str):
+    """A table as read, dealt by ``key`` to the cluster's cores if its files give fewer
+    tasks than that (a few large files), as it is otherwise. For CPU-heavy row work."""
+    if scan.isStreaming:
+        return scan
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan

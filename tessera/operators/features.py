@@ -1,10 +1,10 @@
 """Term statistics, vocabulary and TF-IDF.
 
-Per-document n-gram counts are computed inside each row: the n-grams are
-sorted and run boundaries give each distinct term with its count, so no
-shuffle is needed to get ``(doc, term, tf)``. Corpus statistics are then a
-single ``groupBy(term)`` with map-side combine; the vocabulary is bounded by
-``max_features`` and is the only thing broadcast.
+Terms are counted inside each row's own task: a task tokenises the cleaned texts of an
+Arrow batch and adds up its terms, so what is shuffled is a row for each different term of
+a batch of documents, not for each term of a document. The partial counts meet in one
+``groupBy(term)`` with map-side combine. The vocabulary is bounded by ``max_features`` and
+is the only thing broadcast. TF-IDF rows are weighted and normalised in the row's task.
 
 Weighting (the public default of the reference's vectoriser): smoothed idf
 ``ln((1 + n) / (1 + df)) + 1`` fitted on the training documents, raw term
@@ -13,58 +13,71 @@ counts times idf, then L2-normalised per document.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ..config import DEFAULT, Config
-from ..functions.common import dealt
-from ..functions.text import clean_text, ngrams, tokens
+from ..functions.text import TOKEN_RE, clean_text, ngrams, tokens
 from ..session import cut_lineage
 from .ordered import top_k
 
-
-def with_grams(df: DataFrame, text_col: str, out: str = "grams", n_max: int = 2,
-               cleaned: bool = False, key: str | None = None,
-               partitions: int = 0) -> DataFrame:
-    """Clean ``text_col`` (unless ``cleaned``) and add its n-grams as ``out``,
-    after dealing the rows to ``partitions`` tasks by ``key`` (0: as they are).
-
-    Each intermediate (cleaned text, tokens) is projected as a column first:
-    a lambda referencing an expression re-evaluates it per element, and the
-    entity-unescape UDF may not sit inside a lambda at all.
-    """
-    df = dealt(df, partitions, key)
-    c = df if cleaned else df.withColumn("_clean", clean_text(text_col))
-    src = text_col if cleaned else "_clean"
-    c = c.withColumn("_tok", tokens(src))
-    c = c.withColumn(out, ngrams("_tok", n_max)).drop("_tok")
-    return c if cleaned else c.drop("_clean")
+TOKEN = re.compile(TOKEN_RE)
+BATCH_BYTES = 4 << 20  # cleaned text whose terms a task adds up at a time
 
 
-def doc_terms(df: DataFrame, key: str, gram_col: str) -> DataFrame:
-    """``(key, term, tf)`` of distinct terms per document; row-local, no shuffle.
+def with_grams(df: DataFrame, text_col: str, out: str = "grams", n_max: int = 2) -> DataFrame:
+    """Clean ``text_col`` and add its n-grams as ``out``, as native expressions (a model's
+    feature stages, also on streams).
 
-    The n-grams are sorted, the run starts found with one ``filter``, and
-    each run's length is the distance to the next start: O(n log n) per row.
+    Each intermediate (cleaned text, tokens) is projected as a column first:
+    a lambda referencing an expression re-evaluates it per element.
     """
-    s = df.select(key, F.array_sort(F.col(gram_col)).alias("_s"))
-    s = s.withColumn("_n", F.size("_s"))
-    srt, n = F.col("_s"), F.col("_n")
-    s = s.withColumn("_starts", F.filter(
-        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-        lambda i: (i == 1) | (F.element_at(srt, i) != F.element_at(srt, F.greatest(i - 1, F.lit(1))))))
-    st = F.col("_starts")
-    entries = F.transform(st, lambda p, k: F.struct(
-        F.element_at(srt, p).alias("term"),
-        (F.coalesce(F.try_element_at(st, k + 2), n + 1) - p).cast("bigint").alias("tf")))
-    # No filter on n: a pushed-down predicate would inline the lambdas.
-    return (s.select(key, F.explode(F.when(n > 0, entries)).alias("e"))
-            .select(key, "e.term", "e.tf"))
-
-
-def term_stats(doc_term: DataFrame) -> DataFrame:
-    """Corpus count ``tf`` and document count ``df`` per term."""
-    return doc_term.groupBy("term").agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df"))
+    c = df.withColumn("_clean", clean_text(text_col))
+    c = c.withColumn("_tok", tokens("_clean"))
+    return c.withColumn(out, ngrams("_tok", n_max)).drop("_tok", "_clean")
+
+
+def _grams(text: str, n_max: int) -> list[str]:
+    """F14/F15 of a cleaned text, as ``functions.text.tokens`` and ``ngrams``."""
+    tok = TOKEN.findall(text)
+    return tok + [" ".join(tok[i:i + n]) for n in range(2, n_max + 1) for i in range(len(tok) - n + 1)]
+
+
+def _pieces(batch: pa.RecordBatch, column: str, size: int):
+    """Slices of a batch with about ``size`` bytes of ``column`` (one row at least)."""
+    lens = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64)
+    group = (np.cumsum(lens) - lens) // size
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+    for lo, hi in zip(cuts, cuts[1:]):
+        if hi > lo:
+            yield batch.slice(lo, hi - lo)
+
+
+def term_counts(cleaned: DataFrame, text_col: str, n_max: int = 2) -> DataFrame:
+    """Corpus count ``tf`` and document count ``df`` per term of cleaned texts."""
+    def count(batches):
+        for whole in batches:
+            for batch in _pieces(whole, "text", BATCH_BYTES):
+                tf, df = Counter(), Counter()
+                for text in batch.column("text").to_pylist():
+                    grams = _grams(text or "", n_max)
+                    tf.update(grams)
+                    df.update(set(grams))
+                terms = list(tf)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(terms, pa.string()), pa.array([tf[t] for t in terms], pa.int64()),
+                     pa.array([df[t] for t in terms], pa.int64())], names=["term", "tf", "df"])
+
+    parts = cleaned.select(F.col(text_col).alias("text")).mapInArrow(count, "term string, tf long, df long")
+    return parts.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
 
 
 def vocabulary(stats: DataFrame, max_features: int, min_df: int = 1) -> DataFrame:
@@ -87,24 +100,38 @@ def idf_table(stats_vocab: DataFrame, n_docs: Column | int) -> DataFrame:
     return stats_vocab.select("term", (F.log((n + 1) / (F.col("df") + 1)) + 1).alias("idf"))
 
 
-def tfidf_long(doc_term: DataFrame, idf: DataFrame, key: str) -> DataFrame:
-    """K1: ``(key, term, weight)``; terms outside the vocabulary drop out.
+def tfidf_weights(cleaned: DataFrame, text_col: str, key: str, idf: DataFrame, n_max: int = 2) -> DataFrame:
+    """K1: ``(key, term, weight)`` of cleaned texts; terms outside the vocabulary drop out.
 
-    The idf table has at most ``max_features`` rows, so it is broadcast.
+    The idf table has at most ``max_features`` rows: the tasks get it whole, and weight and
+    normalise each document where it is, without a shuffle.
     """
-    j = doc_term.join(F.broadcast(idf), "term")
-    w = F.col("tf") * F.col("idf")
-    norm = F.sqrt(F.sum(w * w).over(Window.partitionBy(key)))
-    return j.select(key, "term", (w / norm).alias("weight"))
-
-
-def fit_vocabulary(train_docs: DataFrame, key: str, gram_col: str, cfg: Config = DEFAULT):
-    """Fit on the training documents: returns ``(idf_df, n_docs)``.
+    shared = cleaned.sparkSession.sparkContext.broadcast({r["term"]: r["idf"] for r in idf.collect()})
+
+    def weigh(batches):
+        known = shared.value
+        for whole in batches:
+            for batch in _pieces(whole, "_text", BATCH_BYTES):
+                row, term, weight = [], [], []
+                for i, text in enumerate(batch.column("_text").to_pylist()):
+                    w = {t: n * known[t] for t, n in Counter(_grams(text or "", n_max)).items() if t in known}
+                    norm = math.sqrt(sum(x * x for x in w.values()))
+                    row += [i] * len(w)
+                    term += w
+                    weight += [x / norm for x in w.values()]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), pa.array(term, pa.string()),
+                                                  pa.array(weight, pa.float64())], names=[key, "term", "weight"])
+
+    rows = cleaned.select(F.col(key), F.col(text_col).alias("_text"))
+    schema = StructType([rows.schema[key], StructField("term", StringType()), StructField("weight", DoubleType())])
+    return rows.mapInArrow(weigh, schema)
+
+
+def fit_vocabulary(cleaned: DataFrame, text_col: str, cfg: Config = DEFAULT):
+    """Fit on the cleaned training documents: returns ``(idf_df, n_docs)``.
 
     ``idf_df`` is the vocabulary with its idf, ordered by corpus count.
     """
-    dt = doc_terms(train_docs, key, gram_col)
-    stats = term_stats(dt)
-    vocab = vocabulary(stats, cfg.tfidf_max_features, cfg.min_df)
-    n_docs = train_docs.count()
+    vocab = vocabulary(term_counts(cleaned, text_col, cfg.ngram_max), cfg.tfidf_max_features, cfg.min_df)
+    n_docs = cleaned.count()
     return idf_table(vocab, n_docs), n_docs

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
+from ..functions.common import one_row
 from ..functions.dates import bucket_unit, on_day, trailing_window, truncate
 from .quantiles import quantiles
 
@@ -85,10 +86,7 @@ def latency_percentiles(predictions: DataFrame, as_of: datetime | None, days: in
     lat = F.col("latency_ms")
     w = predictions if as_of is None else predictions.where(trailing_window("created_at", as_of, days, hours))
     if exact:
-        agg = quantiles(w, lat, names)
-        counted = w.agg(F.count(F.lit(1)).alias("count"))
-        # two single rows
-        agg = agg.withColumn("_k", F.lit(0)).join(counted.withColumn("_k", F.lit(0)), "_k").drop("_k")
+        agg = one_row(quantiles(w, lat, names), w.agg(F.count(F.lit(1)).alias("count")))
     else:
         agg = w.agg(*[F.percentile_approx(lat, q, 10000).cast("double").alias(n) for n, q in names.items()],
                     F.count(F.lit(1)).alias("count"))

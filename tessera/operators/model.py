@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
 from ..functions.common import det_id
+from ..functions.text import clean_text
 from ..functions.mathx import argmax, round_half_even
 from ..session import cut_lineage
 from ..sources.publish import names, put_new
@@ -60,7 +61,7 @@ def fit_candidates(train: DataFrame, cfg: Config = DEFAULT, key: str = "doc_id",
     """
     g = with_grams(train, "text", "grams", cfg.ngram_max).withColumn(
         "label_d", F.col(label).cast("double")).persist()
-    idf_df, n = fit_vocabulary(g, key, "grams", cfg)
+    idf_df, n = fit_vocabulary(train.select(clean_text("text").alias("clean")), "clean", cfg)
     rows = idf_df.collect()  # bounded by max_features: this is the model itself
     vocab = [r["term"] for r in rows]
     idf = [float(r["idf"]) for r in rows]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT
+from ..functions.common import spread
+from ..functions.text import clean_text
 from ..operators import features as FE
 from ..operators import sample as S
 from ..sources import views as V
@@ -22,17 +24,19 @@ gr AS (SELECT {key}, unnest(list_concat(t, list_transform(range(1, len(t)), lamb
 dt AS (SELECT {key}, term, count(*) AS tf FROM gr GROUP BY ALL)"""
 
 
-def doc_terms_df(t):
-    d = FE.with_grams(t.documents.select("doc_id", "text"), "text", "grams", CFG.ngram_max, key="doc_id",
-                     partitions=CFG.text_partitions)
-    return FE.doc_terms(d, "doc_id", "grams")
+def _cleaned(docs):
+    return spread(docs, "doc_id").withColumn("text", clean_text("text"))
+
+
+def _counts(t):
+    return FE.term_counts(_cleaned(t.documents.select("doc_id", "text")), "text", CFG.ngram_max)
 
 
 @register("term_stats", "WITH " + _grams_sql("documents", "doc_id") + """
 SELECT term, sum(tf) AS tf, count(*) AS df FROM dt GROUP BY term""", "term:str tf:int df:int")
 def term_stats(t):
     """Corpus and document frequency of every 1-2-gram."""
-    return FE.term_stats(doc_terms_df(t))
+    return _counts(t)
 
 
 @register("vocabulary", "WITH " + _grams_sql("documents", "doc_id") + f"""
@@ -40,7 +44,7 @@ SELECT term, sum(tf) AS tf, count(*) AS df FROM dt GROUP BY term
 ORDER BY tf DESC, term LIMIT {CFG.tfidf_max_features}""", "term:str tf:int df:int")
 def vocabulary(t):
     """Top 50,000 n-grams by corpus count (ties by term)."""
-    return FE.vocabulary(FE.term_stats(doc_terms_df(t)), CFG.tfidf_max_features)
+    return FE.vocabulary(_counts(t), CFG.tfidf_max_features)
 
 
 def _split_cte() -> str:
@@ -73,9 +77,6 @@ def tfidf_weights(t):
     once to the shared checkpoint folder instead of ranked twice."""
     s = cut_lineage(S.stratified_split(V.reviews(t), "doc_id", "label", CFG)
                     .select("doc_id", "split", "text"), "tfidf_split")
-    g = FE.with_grams(s, "text", "grams", CFG.ngram_max, key="doc_id",
-                     partitions=CFG.text_partitions)
-    train = g.where(F.col("split") == "train")
-    idf, _ = FE.fit_vocabulary(train, "doc_id", "grams", CFG)
-    test_terms = FE.doc_terms(g.where(F.col("split") == "test"), "doc_id", "grams")
-    return FE.tfidf_long(test_terms, idf, "doc_id")
+    s = _cleaned(s)
+    idf, _ = FE.fit_vocabulary(s.where(F.col("split") == "train"), "text", CFG)
+    return FE.tfidf_weights(s.where(F.col("split") == "test"), "text", "doc_id", idf, CFG.ngram_max)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT
-from ..functions.common import dealt
+from ..functions.common import spread
 from ..functions import text as X
 from ..operators import sample as S
 from ..operators import validate as VA
@@ -25,7 +25,7 @@ SELECT doc_id, {sql_clean_text('text')} AS text_clean,
 FROM documents""", "doc_id:int text_clean:str n_clean:int text_hash:str n_chars:int")
 def clean_documents(t):
     """clean_text over every document, with raw hash and length."""
-    d = dealt(t.documents.select("doc_id", "text"), CFG.text_partitions, "doc_id").withColumn("text_clean", X.clean_text("text"))
+    d = spread(t.documents.select("doc_id", "text"), "doc_id").withColumn("text_clean", X.clean_text("text"))
     return d.select("doc_id", "text_clean", F.char_length("text_clean").alias("n_clean"),
                               X.sha256_hex("text").alias("text_hash"),
                               X.char_length("text").alias("n_chars"))

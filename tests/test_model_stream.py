@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.config import DEFAULT
+from tessera.functions.text import clean_text
 from tessera.operators import features as FE
 from tessera.operators import model as MD
 from tessera.streaming import backlog as BL
@@ -35,10 +36,9 @@ def test_tfidf_shapes(spark):
     cfg = DEFAULT.with_(tfidf_max_features=10, ngram_max=1)
     train = spark.createDataFrame([(i, t) for i, t in enumerate(
         ["north wind", "south wind", "north shore", "calm shore"])], "doc_id long, text string")
-    g = FE.with_grams(train, "text", "grams", 1)
-    idf, n = FE.fit_vocabulary(g, "doc_id", "grams", cfg)
+    idf, n = FE.fit_vocabulary(train, "text", cfg)
     assert n == 4 and idf.count() <= 10
-    w = FE.tfidf_long(FE.doc_terms(g, "doc_id", "grams"), idf, "doc_id")
+    w = FE.tfidf_weights(train, "text", "doc_id", idf, 1)
     norms = w.groupBy("doc_id").agg(F.sum(F.col("weight") ** 2).alias("s")).collect()
     assert len(norms) == 4 and all(abs(r.s - 1) < 1e-9 for r in norms)
 
@@ -180,7 +180,7 @@ def test_drift_stream_without_closed_window_is_empty(spark, tmp_path):
 
 def test_distributed_topk_equals_sorted_limit(spark):
     t = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
-    st = FE.term_stats(FE.doc_terms(FE.with_grams(t, "text", "grams"), "doc_id", "grams")).persist()
+    st = FE.term_counts(t.select(clean_text("text").alias("text")), "text").persist()
     simple = [tuple(r) for r in st.orderBy(F.col("tf").desc(), "term").limit(3000).collect()]
     dist = [tuple(r) for r in FE.vocabulary(st, 3000).collect()]
     assert len(simple) == 3000 and sorted(simple) == sorted(dist)
@@ -289,3 +289,13 @@ def test_drops_are_counted_over_all_batches(spark, tmp_path):
             ST.run_available(ST.deduplicated(ST.event_stream(spark, src, max_files=1)), "d", src)
     finally:
         spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", old)
+
+
+def test_counted_terms_equal_the_native_ngrams(spark, monkeypatch):
+    monkeypatch.setattr(FE, "BATCH_BYTES", 50)
+    texts = ["One two, two THREE &amp; four", "", None, "a b c", "two three two three", "x" * 40 + " 12 <b>12</b>"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    native = FE.with_grams(df, "text", "g", 3).select("doc_id", F.explode("g").alias("term"))
+    want = {r.term: (r.tf, r.df) for r in native.groupBy("term").agg(F.count("*").alias("tf"), F.countDistinct("doc_id").alias("df")).collect()}
+    got = FE.term_counts(df.select(clean_text("text").alias("c")), "c", 3).collect()
+    assert {r.term: (r.tf, r.df) for r in got} == want and len(got) == len(want)
