@@ -46,9 +46,6 @@ class Config:
     resolve_before: date = date(2024, 1, 27)
     # 16**4 hash buckets per class for the exact stratified rank.
     split_prefix_hex: int = 4
-    # Chunk size of the skew-safe ordered folds (W5): events of one key are
-    # spread over (key, chunk) tasks.
-    fold_chunk: str = "hour"
 
     def with_(self, **kw) -> "Config":
         return replace(self, **kw)

@@ -1,10 +1,5 @@
-"""Skew-safe ordered operators.
-
-A window ``partitionBy(key)`` puts every row of a key into one task. When a
-key may hold a large share of all rows (two class labels, six experiments,
-one hot run id), these helpers split the key into ordered chunks, solve a
-small per-chunk summary on its own, and carry the result back into
-``(key, chunk)`` windows that run in parallel.
+"""Ranks without ranking a whole key in one task: bucketed row numbers, quota cutoffs
+and global top-k. (Lag, lead and running maxima are in ``segments``.)
 """
 
 from __future__ import annotations
@@ -96,68 +91,6 @@ def rank_cutoffs(rows: DataFrame, quotas: list[Column], total_col: str = "_total
         edge.select("_part", "_i", "_h", "_key", "_row", F.col("_need").alias("_take"), "_n")), "quota-rows")
 
 
-def running_max_before(df: DataFrame, part_cols: list[str], order_cols: list[str],
-                       chunk_col: str, value: Column, out: str) -> DataFrame:
-    """``max(value) over (partition by part order by order rows unbounded
-    preceding and 1 preceding)``, split into ``(key, chunk)`` tasks.
-
-    ``chunk_col`` must be non-decreasing along ``order_cols``. Null values are
-    ignored, as in SQL; the result is null when no earlier value exists.
-    """
-    d = df.withColumn("_v", value)
-    per_chunk = d.groupBy(*part_cols, chunk_col).agg(F.max("_v").alias("_cmax"))
-    wc = (Window.partitionBy(*part_cols).orderBy(chunk_col)
-          .rowsBetween(Window.unboundedPreceding, -1))
-    carry = per_chunk.select(*[F.col(c).alias(f"_k_{c}") for c in part_cols],
-                             F.col(chunk_col).alias("_k_chunk"),
-                             F.max("_cmax").over(wc).alias("_carry"))
-    cond = d[chunk_col].eqNullSafe(carry["_k_chunk"])
-    for c in part_cols:
-        cond = cond & d[c].eqNullSafe(carry[f"_k_{c}"])
-    j = d.join(carry, cond, "inner")
-    wr = (Window.partitionBy(*part_cols, chunk_col).orderBy(*order_cols)
-          .rowsBetween(Window.unboundedPreceding, -1))
-    inner = F.max("_v").over(wr)
-    res = F.when(inner.isNull(), F.col("_carry")).when(F.col("_carry").isNull(), inner) \
-        .otherwise(F.greatest(inner, F.col("_carry")))
-    return (j.withColumn(out, res)
-            .drop("_v", "_carry", "_k_chunk", *[f"_k_{c}" for c in part_cols]))
-
-
-def neighbours(df: DataFrame, part_cols: list[str], order_cols: list[str],
-               chunk_col: str, carry_cols: list[str]) -> DataFrame:
-    """Previous and next row of each row within its key (``lag``/``lead``).
-
-    Adds ``prev_<c>``/``next_<c>`` for every ``c`` in ``carry_cols``. Rows of
-    one key are processed in ``(key, chunk)`` windows; the first and last
-    row of each chunk take their neighbour from the adjacent non-empty chunk
-    through a per-chunk summary (one row per key and chunk).
-    """
-    order_struct = F.struct(*[F.col(c) for c in order_cols])
-    payload = F.struct(*[F.col(c) for c in carry_cols])
-    summ = (df.groupBy(*part_cols, chunk_col)
-            .agg(F.min_by(payload, order_struct).alias("_first"),
-                 F.max_by(payload, order_struct).alias("_last")))
-    wc = Window.partitionBy(*part_cols).orderBy(chunk_col)
-    summ = summ.select(*[F.col(c).alias(f"_k_{c}") for c in part_cols],
-                       F.col(chunk_col).alias("_k_chunk"),
-                       F.lag("_last").over(wc).alias("_prev_chunk_last"),
-                       F.lead("_first").over(wc).alias("_next_chunk_first"))
-    cond = df[chunk_col].eqNullSafe(summ["_k_chunk"])
-    for c in part_cols:
-        cond = cond & df[c].eqNullSafe(summ[f"_k_{c}"])
-    j = df.join(summ, cond, "inner")
-    w = Window.partitionBy(*part_cols, chunk_col).orderBy(*order_cols)
-    # The payload struct is never null, so lag/lead are null exactly at the
-    # chunk's edges, where the adjacent chunk's boundary row applies.
-    j = (j.withColumn("_prev", F.coalesce(F.lag(payload).over(w), F.col("_prev_chunk_last")))
-         .withColumn("_next", F.coalesce(F.lead(payload).over(w), F.col("_next_chunk_first"))))
-    for c in carry_cols:
-        j = j.withColumn(f"prev_{c}", F.col("_prev")[c]).withColumn(f"next_{c}", F.col("_next")[c])
-    return j.drop("_prev", "_next", "_prev_chunk_last", "_next_chunk_first",
-                  "_k_chunk", *[f"_k_{c}" for c in part_cols])
-
-
 def top_k(df: DataFrame, k: int, order_cols: list, bucket_cols: list, out: str = "rank") -> DataFrame:
     """Exact global top-``k`` with its rank, without funnelling into one task.
 

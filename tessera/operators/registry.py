@@ -3,7 +3,7 @@
 The registry's mutable stages become a pure function of the ordered version
 history of each model: Production F1 is the running maximum of F1 over
 earlier versions that carry metrics, so the promotion decision of every
-version is a windowed comparison (computed in (model, chunk) tasks).
+version is a windowed comparison (a segmented scan over ranges of (model, version)).
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import neighbours, running_max_before
+from .segments import Ranged, neighbours, running_max_before
 
 # Fixed metric keys (must equal the reference's).
 TAG_KEYS = ("f1_macro", "accuracy", "precision_macro", "recall_macro")
@@ -27,7 +27,7 @@ def is_better(new_f1: Column, current_f1: Column, current_has_metrics: Column) -
         F.coalesce(new_f1, F.lit(0.0)) > F.coalesce(current_f1, F.lit(0.0)))
 
 
-def promotion_ledger(versions: DataFrame, chunk: int = 1024) -> DataFrame:
+def promotion_ledger(versions: DataFrame) -> DataFrame:
     """Decision and final stage of every registered version.
 
     Input: ``name, version, has_metrics, f1_macro`` (+ any columns).
@@ -35,9 +35,8 @@ def promotion_ledger(versions: DataFrame, chunk: int = 1024) -> DataFrame:
     F1 over earlier versions with metrics. The last promoted version of a
     model is Production, earlier promoted ones Archived, the rest Staging.
     """
-    v = versions.withColumn("_chunk", F.floor(F.col("version") / chunk))
     val = F.when(F.col("has_metrics"), F.coalesce(F.col("f1_macro"), F.lit(0.0)))
-    r = running_max_before(v, ["name"], ["version"], "_chunk", val, "_prod_f1")
+    r = running_max_before(Ranged.of(versions, ["name"], ["version"]), val, "_prod_f1").rows
     promoted = F.col("_prod_f1").isNull() | (F.coalesce(F.col("f1_macro"), F.lit(0.0)) > F.col("_prod_f1"))
     r = r.withColumn("promoted", promoted)
     last = (r.where("promoted").groupBy("name").agg(F.max("version").alias("_last_prod")))
@@ -60,13 +59,12 @@ def current_versions(ledger: DataFrame) -> DataFrame:
             .select("name", "stage", "v.version", "v.run_id"))
 
 
-def deployment_history(ledger: DataFrame, chunk: int = 1024) -> DataFrame:
+def deployment_history(ledger: DataFrame) -> DataFrame:
     """Promoted versions with deployed/replaced times and the active flag."""
     p = (ledger.where("promoted")
          .select("name", "version", "run_id", "new_f1", "accuracy",
-                 F.col("registered_at").alias("deployed_at"),
-                 F.floor(F.col("version") / chunk).alias("_chunk")))
-    n = neighbours(p, ["name"], ["version"], "_chunk", ["deployed_at"])
+                 F.col("registered_at").alias("deployed_at")))
+    n = neighbours(Ranged.of(p, ["name"], ["version"]), ["deployed_at"]).rows
     return n.select(F.col("name").alias("model_name"), F.col("version").alias("model_version"),
                     F.col("run_id"), F.col("new_f1").alias("f1_score"), "accuracy",
                     "deployed_at", F.col("next_deployed_at").alias("replaced_at"),

@@ -11,7 +11,7 @@ row. Folded over the ordered events of a ``(dag_id, run_id)`` key this is:
   start is replaced and leaves no row.
 
 So only the previous and next event of each event are needed (``lag`` and
-``lead``), computed by ``neighbours`` in (key, hour) chunks so a hot run key
+``lead``), computed by a segmented scan over ranges of (key, time), so a hot run key
 is spread over many tasks.
 """
 
@@ -20,19 +20,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT, Config
 from ..functions.common import det_id
 from ..functions.dates import duration_seconds
-from .ordered import neighbours
+from .segments import Ranged, neighbours
 
 KEY = ["dag_id", "run_id"]
 
 
-def fold_runs(events: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+def fold_runs(events: DataFrame) -> DataFrame:
     """``pipeline_runs`` rows from ``(event_id, dag_id, run_id, kind,
     evt_at, metrics)`` events; ``kind`` is start, success or failed."""
-    e = events.withColumn("_chunk", F.date_trunc(cfg.fold_chunk, "evt_at"))
-    n = neighbours(e, KEY, ["evt_at", "event_id"], "_chunk", ["kind", "evt_at", "event_id"])
+    n = neighbours(Ranged.of(events, KEY, ["evt_at", "event_id"]), ["kind", "evt_at", "event_id"]).rows
     is_start = F.col("kind") == "start"
     prev_start = F.col("prev_kind") == "start"
     finish = (~is_start).alias("_finish")

@@ -66,6 +66,6 @@ def registry_page(t: Tables, cfg: Config = DEFAULT) -> dict:
 
 def runs_page(t: Tables, cfg: Config = DEFAULT) -> dict:
     """Run history, newest runs and per-DAG summary."""
-    h = RN.fold_runs(V.run_events(t), cfg)
+    h = RN.fold_runs(V.run_events(t))
     return {"recent": M.recent_runs(h), "summary": RN.run_summary(h),
             "failures": AL.pipeline_failure_alerts(h)}

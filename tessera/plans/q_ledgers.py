@@ -45,7 +45,7 @@ _RUN_SPEC = ("id:str dag_id:str run_id:str status:str started_at:ts completed_at
 
 
 def run_history_df(t):
-    return RN.fold_runs(V.run_events(t), CFG)
+    return RN.fold_runs(V.run_events(t))
 
 
 @register("run_history", _RUNS_SQL + "SELECT * FROM runs", _RUN_SPEC)

@@ -10,6 +10,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT
+from ..operators import activity as A
 from ..session import scratch_path
 from ..streaming import backlog as BL
 from ..streaming import stream as ST
@@ -104,7 +105,7 @@ def stream_sliding_categories(t):
                             "sliding_categories", path)
 
 
-@register("stream_user_sessions", """
+_SESSIONS = """
 WITH e AS (
   SELECT user_id, ts, value,
          CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL
@@ -115,7 +116,10 @@ s AS (SELECT *, sum(new_session) OVER (PARTITION BY user_id ORDER BY ts ROWS UNB
 g AS (SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end,
              count(*) AS events, sum(value) AS value
       FROM s GROUP BY user_id, sid)
-SELECT * FROM g WHERE session_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+SELECT * FROM g"""
+
+
+@register("stream_user_sessions", _SESSIONS + " WHERE session_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR",
           "user_id:int session_start:ts session_end:ts events:int value:dbl")
 def stream_user_sessions(t):
     """Per-user session windows with a 30-minute gap; closed sessions."""
@@ -123,7 +127,7 @@ def stream_user_sessions(t):
     return ST.run_available(ST.user_sessions(s), "user_sessions", path)
 
 
-@register("stream_rate_flags", """
+_FLAGS = """
 WITH RECURSIVE e AS (
   SELECT event_id, user_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
   FROM events),
@@ -134,9 +138,11 @@ f(event_id, user_id, ts, rn, window_start, hits) AS (
          CASE WHEN e.ts >= f.window_start + INTERVAL {W} SECOND THEN e.ts ELSE f.window_start END,
          CASE WHEN e.ts >= f.window_start + INTERVAL {W} SECOND THEN 1 ELSE f.hits + 1 END
   FROM f JOIN e ON e.user_id = f.user_id AND e.rn = f.rn + 1)
-SELECT event_id, user_id, ts, window_start, hits, hits > {L} AS flagged FROM f
-WHERE epoch_us(ts) <= ((SELECT epoch_ms(max(ts)) FROM events) - 3600000) * 1000""".format(
-    W=CFG.rate_window_seconds, L=CFG.rate_limit_per_minute),
+SELECT event_id, user_id, ts, window_start, hits, hits > {L} AS flagged FROM f""".format(W=CFG.rate_window_seconds, L=CFG.rate_limit_per_minute)
+
+
+@register("stream_rate_flags", _FLAGS + """
+WHERE epoch_us(ts) <= ((SELECT epoch_ms(max(ts)) FROM events) - 3600000) * 1000""",
           "event_id:int user_id:int ts:ts window_start:ts hits:int flagged:bool")
 def stream_rate_flags(t):
     """First-hit anchored 60 s windows per user, flagged above the limit
@@ -169,3 +175,16 @@ def stream_drift_reports(t):
     rep, _ = ST.drift_on_closed_windows(s, ref, feats, "drift_windows", path, CFG)
     return rep.select("report_date", "drift_score", "features_drifted", "total_features",
                       "prediction_drift_detected", "reference_size", "current_size")
+
+
+@register("user_sessions", _SESSIONS, "user_id:int session_start:ts session_end:ts events:int value:dbl")
+def user_sessions(t):
+    """X3 over the whole table: every session, users dealt by time ranges."""
+    return A.sessions(t.events, timedelta(minutes=30))
+
+
+@register("rate_flags", _FLAGS, "event_id:int user_id:int ts:ts window_start:ts hits:int flagged:bool")
+def rate_flags(t):
+    """X4 over the whole table: every hit, users dealt by time ranges."""
+    flags = A.rate_windows(t.events, CFG.rate_limit_per_minute, timedelta(seconds=CFG.rate_window_seconds))
+    return flags.drop("_pid")

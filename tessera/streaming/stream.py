@@ -35,6 +35,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState
 
 from ..config import DEFAULT, Config
+from ..operators.activity import fold_hits
 from ..session import scratch_path
 
 EVENTS_SCHEMA = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
@@ -172,22 +173,6 @@ RATE_OUT = "event_id BIGINT, user_id BIGINT, ts_us BIGINT, window_start_us BIGIN
 RATE_STATE = "window_start_us BIGINT, hits INT, ts_us ARRAY<BIGINT>, ids ARRAY<BIGINT>"
 
 
-def fold_hits(ts: np.ndarray, span: int, start: int | None, hits: int):
-    """Window start and hit number of each of the sorted times ``ts``, going on
-    from an open window (``start``, ``hits``). Jumps from window to window."""
-    starts, counts = np.empty(len(ts), np.int64), np.empty(len(ts), np.int32)
-    at = 0
-    while at < len(ts):
-        if start is None or ts[at] >= start + span:
-            start, hits = int(ts[at]), 0
-        end = int(np.searchsorted(ts, start + span, side="left"))
-        starts[at:end] = start
-        counts[at:end] = hits + np.arange(1, end - at + 1)  # rejected hits count too
-        hits += end - at
-        at = end
-    return starts, counts, start, hits
-
-
 def _rate_fn(window_s: int, timeout: bool):
     span = window_s * 1_000_000  # microseconds
 

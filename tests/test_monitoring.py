@@ -76,7 +76,7 @@ def test_registry_cases_and_random_histories(spark):
     def ledger(history):
         rows = [("m", i + 1, f1, has) for i, (f1, has) in enumerate(history)]
         df = spark.createDataFrame(rows, "name string, version long, f1_macro double, has_metrics boolean")
-        return RG.promotion_ledger(df, chunk=3).orderBy("version").collect()
+        return RG.promotion_ledger(df).orderBy("version").collect()
     r = ledger([(0.7, True), (0.8, True)])
     assert r[1].promoted and r[1].stage == "Production" and r[0].stage == "Archived"
     r = ledger([(0.9, True), (0.8, True)])

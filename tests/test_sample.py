@@ -3,12 +3,15 @@
 import hashlib
 import random
 from collections import Counter
+from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tessera.operators import ordered as O
+from tessera.operators import activity as A
 from tessera.operators import sample as S
+from tessera.operators import segments as G
 
 
 def test_balanced_split_80_10_10(spark):
@@ -86,21 +89,83 @@ def test_caps_leave_out_null_labels_and_splits(spark):
     assert got == {"train": 20, "val": 10, "test": 10}
 
 
-def test_running_max_and_neighbours_match_plain_windows(spark):
+@pytest.mark.parametrize("partitions", [1, 7, 40])
+def test_segmented_scans_match_plain_windows(spark, partitions):
+    """A key with half of the rows, null keys and values; more partitions than keys."""
     rnd = random.Random(3)
-    rows = [(("hot" if rnd.random() < 0.5 else f"k{rnd.randint(0, 5)}"), i,
+    rows = [("hot" if rnd.random() < 0.5 else rnd.choice([None, "a", "z", f"k{rnd.randint(0, 5)}"]), i,
              rnd.random() if rnd.random() < 0.8 else None) for i in range(2000)]
-    df = spark.createDataFrame(rows, "k string, o long, v double").withColumn("c", F.floor(F.col("o") / 97))
-    got = O.running_max_before(df, ["k"], ["o"], "c", F.col("v"), "m")
-    w = Window.partitionBy("k").orderBy("o").rowsBetween(Window.unboundedPreceding, -1)
-    ref = df.withColumn("m2", F.max("v").over(w))
-    j = got.join(ref.select("k", "o", "m2"), ["k", "o"])
-    assert j.where(~F.col("m").eqNullSafe(F.col("m2"))).count() == 0
-    nb = O.neighbours(df, ["k"], ["o"], "c", ["o"])
-    w2 = Window.partitionBy("k").orderBy("o")
-    ref2 = df.withColumn("p", F.lag("o").over(w2)).withColumn("n", F.lead("o").over(w2))
-    j2 = nb.join(ref2.select("k", "o", "p", "n"), ["k", "o"])
-    assert j2.where(~F.col("prev_o").eqNullSafe(F.col("p")) | ~F.col("next_o").eqNullSafe(F.col("n"))).count() == 0
+    df = spark.createDataFrame(rows, "k string, o long, v double")
+    w = Window.partitionBy("k").orderBy("o")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    want = df.select("k", "o", "v", F.max("v").over(before).alias("m"), F.lag("o").over(w).alias("p"), F.lead("v").over(w).alias("n"))
+    r = G.Ranged.of(df, ["k"], ["o"], partitions)
+    assert r.rows.select("_pid").distinct().count() >= min(partitions, 2)
+    if partitions == 40:
+        assert r.rows.where("k = 'hot'").select("_pid").distinct().count() > 10  # split
+    got = G.neighbours(G.running_max_before(r, F.col("v"), "m"), ["o", "v"]).rows
+    got = got.select("k", "o", "v", "m", F.col("prev_o").alias("p"), F.col("next_v").alias("n"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    empty = G.neighbours(G.Ranged.of(df.limit(0), ["k"], ["o"]), ["o"]).rows
+    assert empty.count() == 0
+
+
+def _hits(rnd, n):
+    """Hits in milliseconds: bursts, equal times, gaps, and one user with most of them."""
+    out, at = [], {}
+    for i in range(n):
+        user = "hot" if rnd.random() < 0.7 else rnd.choice([None, "b", "c", f"u{rnd.randint(0, 30)}"])
+        at[user] = at.get(user, 0) + rnd.choice([0, 0, 1, 5, 40, 300 if rnd.random() < 0.1 else 7])
+        out.append((i, user, at[user]))
+    rnd.shuffle(out)
+    return out
+
+
+def _one_by_one(rows, span):
+    state, out = {}, {}
+    for i, user, t in sorted(rows, key=lambda r: (r[2], r[0])):
+        start, hits = state.get(user, (None, 0))
+        if start is None or t >= start + span:
+            start, hits = t, 0
+        state[user] = start, hits + 1
+        out[i] = start, hits + 1
+    return out
+
+
+@pytest.mark.parametrize("partitions, span", [(1, 60), (9, 60), (60, 60), (60, 5000), (25, 1)])
+def test_rate_windows_equal_one_by_one(spark, partitions, span):
+    rows = _hits(random.Random(partitions + span), 3000)
+    df = spark.createDataFrame(rows, "event_id long, user_id string, ms long").selectExpr(
+        "event_id", "user_id", "timestamp_millis(ms) AS ts")
+    got = A.rate_windows(df, limit=3, window=timedelta(milliseconds=span), partitions=partitions)
+    if partitions == 60:
+        assert got.select("_pid", "user_id").where("user_id = 'hot'").distinct().count() > 20  # one user, many tasks
+    got = {r.event_id: (r.start, r.hits, r.flagged) for r in got.selectExpr(
+        "event_id", "unix_millis(window_start) AS start", "hits", "flagged").collect()}
+    assert got == {i: (s, h, h > 3) for i, (s, h) in _one_by_one(rows, span).items()}
+
+
+def test_rate_windows_without_rows_or_times(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, "a", datetime(2024, 1, 1))], "event_id long, user_id string, ts timestamp")
+    got = A.rate_windows(df, limit=1, window=timedelta(seconds=1)).select("event_id", "hits", "flagged").collect()
+    assert [tuple(r) for r in got] == [(2, 1, False)]
+    assert A.rate_windows(df.limit(0), limit=1, window=timedelta(seconds=1)).count() == 0
+
+
+@pytest.mark.parametrize("partitions", [1, 30])
+def test_sessions_equal_one_by_one(spark, partitions):
+    rows = _hits(random.Random(5), 2500)
+    df = spark.createDataFrame([(*r, float(r[0])) for r in rows], "event_id long, user_id string, ms long, value double").selectExpr(
+        "event_id", "user_id", "timestamp_millis(ms) AS ts", "value")
+    want, last = [], {}
+    for i, user, t in sorted(rows, key=lambda r: (r[2], r[0])):
+        if user not in last or t >= last[user][2] + 30:
+            last[user] = [user, t, t, 0, 0.0]
+            want.append(last[user])
+        last[user][2:] = [t, last[user][3] + 1, last[user][4] + i]
+    got = A.sessions(df, timedelta(milliseconds=30), partitions).selectExpr(
+        "user_id", "unix_millis(session_start)", "unix_millis(session_end)", "events", "value").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(((u, a, b + 30, n, v) for u, a, b, n, v in want), key=str)
 
 
 def test_balanced_cap(spark):
