@@ -18,12 +18,15 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
 from ..functions.common import date_lit, det_id
 from ..functions.text import as_category
+from ..session import cut_lineage
 
 EXCLUDED = ("created_at", "timestamp")
 PSI_EPS = 1e-4
@@ -165,37 +168,95 @@ def drift_reports(profile: DataFrame, features: list[str], cfg: Config = DEFAULT
 
 
 def ks_backfill(df: DataFrame, value_col: str, day_col: str = "day", cfg: Config = DEFAULT,
-                first: date | None = None, last: date | None = None, step: float = 16) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov statistic per report date.
-
-    D = max over distinct values of |F_ref(x) - F_cur(x)|, from cumulative
-    counts. Values are cut into ranges of ``step``; counts run inside each
-    (date, range), and one small table of range totals carries them on, so no
-    date's values are sorted in one task.
+                first: date | None = None, last: date | None = None, partitions: int | None = None) -> DataFrame:
+    """Two-sample Kolmogorov-Smirnov statistic per report date, of values of any kind.
+
+    D = max over distinct values of |F_ref(x) - F_cur(x)|, from cumulative counts. The log
+    is counted by (day, value), the reference by value alone, and the counts are dealt by
+    ranges of the value, of about equally many counts each. A row is sent once, whatever
+    the number of report dates: a task goes through its range in order, adds up the
+    counts of each day, and takes the window of a report date as the difference of two running
+    sums over the days. What lies before a range comes from totals by (range, day).
+    Nulls are one value, before all others.
     """
     first = first or cfg.reference_end
     last = last or cfg.as_of.date()
-    daily = (df.groupBy(F.col(day_col).alias("day"), F.col(value_col).alias("value"))
-             .agg(F.count(F.lit(1)).alias("n")))
-    al = aligned_counts(daily, ["value"], cfg.reference_end, first, last, cfg.drift_window_days)
-    al = al.withColumn("_range", F.floor(F.col("value") / F.lit(step)))
-    sums = al.groupBy("report_date", "_range").agg(F.sum("ref_n").alias("r"), F.sum("cur_n").alias("c"))
-    day = Window.partitionBy("report_date")
-    before = day.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    carry = sums.select(F.col("report_date").alias("_d"), F.col("_range").alias("_g"),
-                        F.coalesce(F.sum("r").over(before), F.lit(0)).alias("r0"),
-                        F.coalesce(F.sum("c").over(before), F.lit(0)).alias("c0"),
-                        F.sum("r").over(day).alias("ref_tot"), F.sum("c").over(day).alias("cur_tot"))
-    inside = Window.partitionBy("report_date", "_range").orderBy("value").rowsBetween(
-        Window.unboundedPreceding, 0)
-    a = (al.withColumn("ri", F.sum("ref_n").over(inside)).withColumn("ci", F.sum("cur_n").over(inside))
-         .join(carry, (F.col("report_date") == F.col("_d")) & F.col("_range").eqNullSafe(F.col("_g")))
-         .where(F.col("cur_tot") > 0)
-         .withColumn("gap", F.abs((F.col("r0") + F.col("ri")) / F.col("ref_tot")
-                                  - (F.col("c0") + F.col("ci")) / F.col("cur_tot"))))
-    return a.groupBy("report_date").agg(F.max("gap").alias("ks_statistic"),
-                                        F.first("ref_tot").alias("reference_size"),
-                                        F.first("cur_tot").alias("current_size"))
+    lo, days = first - timedelta(days=cfg.drift_window_days), (last - first).days + cfg.drift_window_days
+    day = F.date_diff(F.col(day_col), date_lit(lo))
+    served = (day >= 0) & (day < days)
+    # slot 0 is the reference, slot d + 1 the d-th day that some report date's window has
+    use = F.array_compact(F.array(F.when(F.col(day_col) < date_lit(cfg.reference_end), F.lit(0)), F.when(served, day + 1)))
+    counts = (df.select(F.col(value_col).alias("value"), F.explode(use).alias("slot"))
+              .groupBy("value", "slot").agg(F.count(F.lit(1)).alias("n")))
+    dealt = counts.repartitionByRange(partitions, "value") if partitions else counts.repartitionByRange("value")
+    dealt = cut_lineage(dealt.withColumn("_pid", F.spark_partition_id()), "ks-counts")
+    sums = dealt.groupBy("_pid", "slot").agg(F.sum("n").alias("n"))  # one row a range and day
+    totals = dict(sums.groupBy("slot").agg(F.sum("n").alias("n")).collect())  # one row a day
+    if not totals.get(0):
+        raise ValueError("Reference dataset is empty.")
+    before = Window.partitionBy("slot").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    slots = F.explode(F.array(*[F.lit(s) for s in sorted(totals)])).alias("slot")
+    grid = sums.select("_pid").distinct().select("_pid", slots).join(sums, ["_pid", "slot"], "left")
+    carry = grid.select("_pid", F.lit(0).alias("kind"), F.lit(None).cast(dealt.schema["value"].dataType).alias("value"), "slot",
+                        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n"))
+    rows = dealt.select("_pid", F.lit(1).alias("kind"), "value", "slot", "n").unionByName(carry)
+    rows = rows.repartition("_pid").sortWithinPartitions("_pid", "kind", F.col("value").asc_nulls_first())
+    gaps = rows.mapInArrow(_ks_gaps(totals, days, cfg.drift_window_days), "date int, gap double")
+    sizes = _window_sums(np.array([[totals.get(i, 0) for i in range(days + 1)]], np.float64), cfg.drift_window_days)[0]
+    sizes = [(first + timedelta(days=i), totals[0], int(n)) for i, n in enumerate(sizes) if n]
+    sizes = df.sparkSession.createDataFrame(sizes, "report_date date, reference_size long, current_size long")  # a row a date
+    found = gaps.groupBy("date").agg(F.max("gap").alias("ks_statistic")).withColumn(
+        "report_date", F.date_add(date_lit(first), F.col("date")))
+    return found.join(F.broadcast(sizes), "report_date").select(
+        "report_date", "ks_statistic", "reference_size", "current_size")
+
+
+def _window_sums(slots: np.ndarray, window: int) -> np.ndarray:
+    """Counts by (row, slot) -> counts of the window of each report date: the ``window``
+    days before it. The first date's window is days 0 to ``window - 1``."""
+    upto = np.concatenate([np.zeros((len(slots), 1)), np.cumsum(slots[:, 1:], axis=1)], axis=1)
+    return upto[:, window:] - upto[:, :upto.shape[1] - window]
+
+
+def _ks_gaps(totals: dict, days: int, window: int, block: int = 1024):
+    """Rows of a range in order of the value -> greatest gap of each report date."""
+    size = np.array([totals.get(i, 0) for i in range(days + 1)], np.float64)
+    current = _window_sums(size[None], window)[0]
+
+    def best(slots, base):
+        """Gaps at the values whose counts by slot are ``slots``, after those of ``base``."""
+        upto = base + np.cumsum(slots, axis=0)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            gap = np.abs(upto[:, :1] / size[0] - _window_sums(upto, window) / current)
+        return np.nanmax(np.where(np.isfinite(gap), gap, 0.0), axis=0), upto[-1]
+
+    def rows(batches):
+        pid, value, base, held, found = None, object(), None, [], np.zeros(len(current))
+
+        def close():
+            nonlocal held, base, found
+            if held:
+                gap, base = best(np.array(held), base)
+                found, held = np.maximum(found, gap), []
+
+        for batch in batches:
+            for p, kind, v, slot, n in zip(*[batch.column(c).to_pylist() for c in ("_pid", "kind", "value", "slot", "n")]):
+                if p != pid:
+                    close()
+                    pid, value, base = p, object(), np.zeros(days + 1)
+                if not kind:  # what lies before the range
+                    base[slot] = n
+                    continue
+                if v != value:
+                    if len(held) >= block:
+                        close()
+                    value = v
+                    held.append(np.zeros(days + 1))
+                held[-1][slot] += n
+        close()
+        at = np.flatnonzero(current > 0)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(found[at])], names=["date", "gap"])
+    return rows
 
 
 def require_rows(reference: DataFrame, current: DataFrame) -> None:

@@ -5,6 +5,7 @@ import json
 import random
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -185,12 +186,32 @@ def test_ks_ranges_carry_over(spark):
     rows = [(rnd.choice(days), rnd.randint(-50, 400)) for _ in range(3000)]
     cfg = DEFAULT.with_(as_of=datetime(2024, 1, 12))
     df = spark.createDataFrame(rows, "day date, value int")
-    one = {r.report_date: r.ks_statistic for r in D.ks_backfill(df, "value", cfg=cfg, step=1e9).collect()}
-    for step in (1, 7, 64):
-        got = {r.report_date: r.ks_statistic for r in D.ks_backfill(df, "value", cfg=cfg, step=step).collect()}
+    one = {r.report_date: r.ks_statistic for r in D.ks_backfill(df, "value", cfg=cfg, partitions=1).collect()}
+    for n in (3, 20):
+        got = {r.report_date: r.ks_statistic for r in D.ks_backfill(df, "value", cfg=cfg, partitions=n).collect()}
         assert got.keys() == one.keys() and all(abs(got[d] - one[d]) < 1e-12 for d in one)
     for day, stat in one.items():
         ref = sorted(v for d, v in rows if d < cfg.reference_end)
         cur = sorted(v for d, v in rows if 0 < (day - d).days <= cfg.drift_window_days)
         gap = max(abs(sum(r <= x for r in ref) / len(ref) - sum(c <= x for c in cur) / len(cur)) for x in {*ref, *cur})
         assert abs(gap - stat) < 1e-12
+
+
+@pytest.mark.parametrize("partitions", [1, 12])
+def test_ks_of_continuous_values_with_nulls_and_a_hot_value(spark, partitions, monkeypatch):
+    rnd = random.Random(9)
+    days = [datetime(2024, 1, d).date() for d in range(1, 20)]
+    rows = [(rnd.choice(days), rnd.choice([None, 0.25, 0.25, rnd.gauss(0, 1), rnd.gauss(1, 3) * 10 ** rnd.randint(-9, 9)])) for _ in range(2500)]
+    cfg = DEFAULT.with_(as_of=datetime(2024, 1, 16))
+    df = spark.createDataFrame(rows, "day date, value double")
+    got = {r.report_date: (r.ks_statistic, r.reference_size, r.current_size) for r in D.ks_backfill(df, "value", cfg=cfg, partitions=partitions).collect()}
+    place = lambda v: -1e300 if v is None else v
+    assert len(got) == 9
+    for day, (stat, n, m) in got.items():
+        ref = np.sort([place(v) for d, v in rows if d < cfg.reference_end])
+        cur = np.sort([place(v) for d, v in rows if 0 < (day - d).days <= cfg.drift_window_days])
+        x = np.concatenate([ref, cur])
+        gap = np.abs(np.searchsorted(ref, x, "right") / len(ref) - np.searchsorted(cur, x, "right") / len(cur)).max()
+        assert (n, m) == (len(ref), len(cur)) and abs(gap - stat) < 1e-12
+    with pytest.raises(ValueError, match="Reference dataset is empty"):
+        D.ks_backfill(df.where("day > '2024-01-10'"), "value", cfg=cfg)
