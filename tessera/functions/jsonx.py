@@ -4,15 +4,38 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, DataType, DecimalType, DoubleType, FloatType, IntegralType,
+                               MapType, NullType, StringType, StructType, VariantType)
 
 NUMERIC_PREFIXES = ("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT", "DECIMAL")
 SCALAR_PREFIXES = NUMERIC_PREFIXES + ("BOOLEAN", "STRING")
 
 
-def to_json_text(col: str | Column) -> Column:
-    """Nested value to JSON text."""
+def json_safe(col: str | Column, kind: DataType) -> Column:
+    """A nested value with every part that JSON has no form for as text (dates, times,
+    binary in hex, NaN and infinities); numbers, booleans, text, nulls, arrays and structs
+    stay. Map keys are text."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.to_json(c)
+    if isinstance(kind, StructType):
+        parts = [json_safe(c.getField(f.name), f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(c.isNotNull(), F.struct(*parts))
+    if isinstance(kind, ArrayType):
+        return F.transform(c, lambda x: json_safe(x, kind.elementType))
+    if isinstance(kind, MapType):
+        return F.map_from_entries(F.transform(F.map_entries(c), lambda e: F.struct(
+            e["key"].cast("string").alias("key"), json_safe(e["value"], kind.valueType).alias("value"))))
+    if isinstance(kind, BinaryType):
+        return F.hex(c)
+    if isinstance(kind, (StringType, BooleanType, IntegralType, DecimalType, VariantType, NullType)):
+        return c
+    if isinstance(kind, (FloatType, DoubleType)):
+        return c  # to_json writes NaN and infinities as text
+    return c.cast("string")
+
+
+def to_json_text(df: DataFrame, col: str) -> Column:
+    """A column of ``df``, of any nesting, as JSON text; nulls are written."""
+    return F.to_json(json_safe(col, df.schema[col].dataType), {"ignoreNullFields": "false"})
 
 
 def _is(type_col: Column, prefixes) -> Column:

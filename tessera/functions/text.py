@@ -10,14 +10,12 @@ written out explicitly (the same text works in Java regex and RE2).
 
 from __future__ import annotations
 
-import html
+import json
 import sys
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
 
 
 def _ranges(codepoints: list[int]) -> str:
@@ -63,22 +61,68 @@ def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-@pandas_udf(StringType())
-def html_unescape(s: pd.Series) -> pd.Series:
-    """full HTML5 entity unescape (Python stdlib), Arrow-batched.
+# Character references of HTML5, by the standard's rules: a decimal or hexadecimal number, or
+# a name of up to 32 characters, each with or without a semicolon.
+REF_RE = "&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\\t\\n\\f <&#;]{1,32};?)"
 
-    Callers pass NULL for rows without '&' so only those rows carry text
-    through Arrow; the result is NULL for them.
-    """
-    return s.map(lambda x: None if x is None else html.unescape(x))
+
+def _names() -> Column:
+    """Names of HTML5 (Python's copy of the standard's table) as a constant map."""
+    return F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+
+
+# Names that also count without a semicolon; the longest that a reference begins with wins.
+LEGACY_RE = "^(" + "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))) + ")"
+
+
+def _windows() -> dict[str, str]:
+    """Numbers that stand for another character: those of Windows-1252, NUL, and CR."""
+    out = {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
+    return {str(n): c for n, c in (out | {0: "\ufffd", 0x0D: "\r"}).items()}
+
+
+def _character(n: Column) -> Column:
+    """The character of a code point, from its UTF-8 bytes."""
+    byte = lambda v: F.lpad(F.hex(v), 2, "0")
+    tail = lambda k: byte(F.shiftright(n, 6 * k).bitwiseAND(F.lit(63)) + 128)
+    return F.decode(F.unhex(
+        F.when(n < 0x80, byte(n)).when(n < 0x800, F.concat(byte(F.shiftright(n, 6) + 192), tail(0)))
+        .when(n < 0x10000, F.concat(byte(F.shiftright(n, 12) + 224), tail(1), tail(0)))
+        .otherwise(F.concat(byte(F.shiftright(n, 18) + 240), tail(2), tail(1), tail(0)))), "UTF-8")
+
+
+def _number(ref: Column) -> Column:
+    """The text of a reference by number (``#65;`` or ``#x41``)."""
+    hexa = F.lower(F.substring(ref, 2, 1)) == "x"
+    digits = F.regexp_extract(ref, "^#[xX]?0*([0-9a-fA-F]*)", 1)
+    digits = F.when(digits == "", "0").otherwise(digits)
+    n = F.when(F.length(digits) > 8, F.lit(1 << 40)).when(hexa, F.conv(digits, 16, 10).cast("long")).otherwise(
+        F.conv(digits, 10, 10).cast("long"))
+    other = F.try_element_at(F.from_json(F.lit(json.dumps(_windows())), "map<string,string>"), n.cast("string"))
+    none = (n.between(0x1, 0x8) | n.between(0xE, 0x1F) | n.between(0x7F, 0x9F) | n.between(0xFDD0, 0xFDEF) | (n == 0xB)
+            | (n.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE))
+    return (F.when(other.isNotNull(), other).when(n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), F.lit("\ufffd"))
+            .when(none, F.lit("")).otherwise(_character(n)))
+
+
+def _reference(ref: Column) -> Column:
+    """What a reference (without its ampersand) stands for; unknown ones stay."""
+    named = F.try_element_at(_names(), ref)
+    legacy = F.regexp_extract(ref, LEGACY_RE, 1)
+    begun = F.concat(F.try_element_at(_names(), legacy), F.substring(ref, F.length(legacy) + 1, F.length(ref)))
+    return (F.when(ref.startswith("#"), _number(ref)).when(named.isNotNull(), named).when(legacy != "", begun)
+            .otherwise(F.concat(F.lit("&"), ref)))
 
 
 def unescape_entities(col: str | Column) -> Column:
-    """F1 on rows that may hold a character reference; others bypass Python as NULLs."""
+    """HTML5 character references as their characters, by native expressions: the text is
+    split at its references, each is looked up, and all is joined again. Texts without
+    ``&`` before a letter or ``#`` pass as they are."""
     c = _c(col)
-    # Only '&' followed by '#' or a letter can start a character reference.
-    maybe_ref = c.rlike("&[A-Za-z#]")
-    return F.coalesce(html_unescape(F.when(maybe_ref, c)), c)
+    parts = F.split(c, REF_RE)
+    found = F.transform(F.regexp_extract_all(c, F.lit(REF_RE), 1), _reference)
+    joined = F.zip_with(parts, F.concat(found, F.array(F.lit(""))), lambda p, r: F.concat(p, r))
+    return F.when(c.rlike("&[A-Za-z#]"), F.array_join(joined, "")).otherwise(c)
 
 
 def clean_native(col: str | Column) -> Column:

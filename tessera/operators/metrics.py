@@ -33,6 +33,11 @@ def latest_drift(drift_reports: DataFrame) -> DataFrame:
             .select("r.report_date", "r.dataset_drift_detected", "r.drift_score"))
 
 
+def latest_status(drift_reports: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """O2: the newest report with its status."""
+    return latest_drift(drift_reports).withColumn("drift_status", status_of(F.col("drift_score"), cfg.drift_threshold))
+
+
 def summary(predictions: DataFrame, drift_reports: DataFrame, day: date,
             model_version: str | None = None, model_f1: float | None = None,
             cfg: Config = DEFAULT) -> DataFrame:

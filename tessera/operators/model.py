@@ -52,7 +52,7 @@ def _feature_stages(vocab: list[str], idf: list[float]) -> list:
 
 
 def fit_candidates(train: DataFrame, cfg: Config = DEFAULT, key: str = "doc_id",
-                   label: str = "label") -> dict[str, tuple[PipelineModel, float]]:
+                   label: str = "label", only: tuple[str, ...] | None = None) -> dict[str, tuple[PipelineModel, float]]:
     """K2/K4: fit the TF-IDF + logistic regression baseline and a second
     candidate (multinomial naive Bayes on term counts) on ``train``.
 
@@ -76,6 +76,8 @@ def fit_candidates(train: DataFrame, cfg: Config = DEFAULT, key: str = "doc_id",
                             maxIter=cfg.logreg_max_iter, standardization=cfg.logreg_standardize)
     nb = NaiveBayes(featuresCol="tf", labelCol="label_d", modelType="multinomial", smoothing=1.0)
     for name, est in (("baseline_tfidf_logreg", lr), ("naive_bayes_counts", nb)):
+        if only is not None and name not in only:
+            continue
         t0 = time.time()
         fitted = est.fit(feats)
         out[name] = (PipelineModel(stages=feat_model.stages + [fitted]), time.time() - t0)
@@ -84,11 +86,11 @@ def fit_candidates(train: DataFrame, cfg: Config = DEFAULT, key: str = "doc_id",
     return out
 
 
-def _predict_grams(model: PipelineModel, g: DataFrame) -> DataFrame:
+def _predict_grams(model: PipelineModel, g: DataFrame, digits: int = 4) -> DataFrame:
     p = model.transform(g).withColumn("_prob", vector_to_array("probability"))
     idx = argmax("_prob")
     return (p.withColumn("pred_class", idx)
-            .withColumn("confidence", round_half_even(F.element_at("_prob", idx + 1), 4))
+            .withColumn("confidence", round_half_even(F.element_at("_prob", idx + 1), digits))
             .withColumn("predicted_sentiment",
                         F.when(idx == 0, LABELS[0]).when(idx == 1, LABELS[1])
                          .otherwise(idx.cast("string")))
@@ -96,9 +98,9 @@ def _predict_grams(model: PipelineModel, g: DataFrame) -> DataFrame:
                   "prediction"))
 
 
-def predict(model: PipelineModel, df: DataFrame, text_col: str = "text") -> DataFrame:
+def predict(model: PipelineModel, df: DataFrame, text_col: str = "text", digits: int = 4) -> DataFrame:
     """Winning class, its probability (4 places) and label text."""
-    return _predict_grams(model, with_grams(df, text_col, "grams"))
+    return _predict_grams(model, with_grams(df, text_col, "grams"), digits)
 
 
 def evaluate_model(model: PipelineModel, test: DataFrame, label: str = "label") -> dict:

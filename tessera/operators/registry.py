@@ -59,6 +59,13 @@ def current_versions(ledger: DataFrame) -> DataFrame:
             .select("name", "stage", "v.version", "v.run_id"))
 
 
+def production(ledger: DataFrame, name: str) -> tuple[str | None, float | None]:
+    """A1: version and F1 of the newest Production version of ``name``, if any."""
+    row = (ledger.where((F.col("name") == name) & (F.col("stage") == "Production"))
+           .agg(F.max_by(F.struct("version", "new_f1"), "version").alias("v")).first()["v"])
+    return (None, None) if row is None else (str(row["version"]), row["new_f1"])
+
+
 def deployment_history(ledger: DataFrame) -> DataFrame:
     """Promoted versions with deployed/replaced times and the active flag."""
     p = (ledger.where("promoted")

@@ -28,9 +28,10 @@ def _alerts(t: Tables, cfg: Config):
 
 
 def overview(t: Tables, day: date, cfg: Config = DEFAULT) -> dict:
-    """O1: KPIs, 14-day volume, five newest alerts."""
+    """O1: KPIs with the Production version, 14-day volume, five newest alerts."""
     p = V.predictions(t, cfg)
-    return {"summary": M.summary(p, _reports(t, cfg), day, cfg=cfg),
+    ledger = RG.promotion_ledger(V.model_versions(t, cfg))
+    return {"summary": M.summary(p, _reports(t, cfg), day, *RG.production(ledger, cfg.registry_name), cfg=cfg),
             "volume": M.prediction_volume(p, cfg.as_of, days=14),
             "alerts": M.recent_alerts(_alerts(t, cfg), 5)}
 
@@ -38,7 +39,7 @@ def overview(t: Tables, day: date, cfg: Config = DEFAULT) -> dict:
 def drift_page(t: Tables, days: int = 30, cfg: Config = DEFAULT) -> dict:
     """O2: drift history, latest report and its status."""
     r = _reports(t, cfg)
-    return {"history": M.drift_history(r, cfg.as_of, days), "latest": M.latest_drift(r)}
+    return {"history": M.drift_history(r, cfg.as_of, days), "latest": M.latest_status(r, cfg)}
 
 
 def predictions_page(t: Tables, days: int = 7, cfg: Config = DEFAULT) -> dict:

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
+from ..functions.jsonx import to_json_text
 from ..functions.text import clean_text
 from ..operators import alerts as AL
 from ..operators import drift as D
@@ -133,7 +134,8 @@ def daily_monitoring_job(spark: SparkSession, sf_dir: str, log_root: str | None
                        profile.where(F.col("day") >= F.lit(cfg.reference_end)))
         reports = cut_lineage(D.drift_reports(profile, list(V.PROFILE_FEATURES), cfg), "reports")
         alerts = cut_lineage(AL.alerts_from_reports(reports, cfg), "alerts")
-        payloads = reports.select("report_date", F.col("details").alias("report"))
+        whole = reports.withColumn("row", F.struct(*[c for c in reports.columns if c != "details"]))
+        payloads = whole.select("report_date", F.col("details").alias("report"), to_json_text(whole, "row").alias("summary"))
         tables.update(drift_reports=PB.Table(reports, "report_date"), alerts=PB.Table(alerts, "report_date"),
                       drift_payloads=PB.Table(payloads, "report_date"))
         metrics.update(reports=reports.count(), alerts=alerts.count())

@@ -15,6 +15,7 @@ from ..session import cut_lineage
 from ..sources import views as V
 from .catalog import register
 from .oracle_views import AS_OF, V_PREDICTIONS, V_PROFILE, with_views
+from .q_ledgers import _LEDGER_SQL
 
 CFG = DEFAULT
 FEATURES = list(V.PROFILE_FEATURES)
@@ -242,6 +243,37 @@ def kpi_summary(t):
     return M.summary(V.predictions(t), drift_reports_df(t), date(2024, 1, 30), cfg=CFG)
 
 
+@register("kpi_summary_production", _DIST_CTES + f"""
+, today AS (SELECT count(*) AS n, coalesce(avg(latency_ms), 0) AS avg_latency FROM predictions
+            WHERE CAST(created_at AS DATE) = DATE '2024-01-30'),
+latest AS (SELECT drift_score FROM rep ORDER BY report_date DESC, created_at DESC, id DESC LIMIT 1),
+served AS ({_LEDGER_SQL} SELECT * FROM ledger WHERE name = (SELECT min(name) FROM ledger) AND stage = 'Production')
+SELECT n AS predictions_today, round(avg_latency, 2) AS avg_latency_ms,
+       (SELECT CAST(max(version) AS VARCHAR) FROM served) AS model_version, (SELECT arg_max(new_f1, version) FROM served) AS model_f1,
+       coalesce((SELECT CASE WHEN drift_score > {2 * THR} THEN 'critical'
+                             WHEN drift_score > {THR} THEN 'warning' ELSE 'healthy' END FROM latest),
+                'healthy') AS drift_status
+FROM today""", "predictions_today:int avg_latency_ms:dbl model_version:str model_f1:dbl drift_status:str")
+def kpi_summary_production(t):
+    """A1 with the version and F1 that are served: the Production version of the first
+    model of the ledger."""
+    from datetime import date
+    from ..operators import registry as RG
+    from .q_ledgers import ledger_df
+    ledger = cut_lineage(ledger_df(t), "ledger")
+    served = RG.production(ledger, ledger.agg(F.min("name")).first()[0])
+    return M.summary(V.predictions(t), drift_reports_df(t), date(2024, 1, 30), *served, cfg=CFG)
+
+
+@register("recent_alerts_page", _DIST_CTES + """
+SELECT id, alert_type, severity, message, is_resolved, metadata, created_at
+FROM alerts ORDER BY created_at DESC, id DESC LIMIT 50""",
+          "id:str alert_type:str severity:str message:str is_resolved:bool metadata:str created_at:ts")
+def recent_alerts_page(t):
+    """The 50 newest alerts of the alerts page."""
+    return M.recent_alerts(alerts_df(t), CFG.listing_limit)
+
+
 @register("drift_monitor_daily", _DIST_CTES + f"""
 , vol AS (SELECT CAST(date_trunc('day', created_at) AS DATE) AS day, count(*) AS n FROM predictions GROUP BY 1)
 SELECT r.report_date, r.drift_score, r.features_drifted, r.prediction_drift_detected,

@@ -17,6 +17,7 @@ from ..operators import sample as S
 from ..operators import validate as VA
 from ..sources import views as V
 from .catalog import register
+from .oracle_views import V_REVIEWS, sql_clean_text, with_views
 
 CFG = DEFAULT
 
@@ -74,6 +75,68 @@ def scoring_rejects(t):
     return ST.rejected_stream(t.documents, "text", ["doc_id"], CFG)
 
 
+@register("scoring_rejects_turns", f"""
+SELECT conv_id, turn, length(text) AS input_length,
+       CASE WHEN text IS NULL THEN 'null text' WHEN length(text) < 1 THEN 'empty text' ELSE 'text too long' END AS reason
+FROM conversations WHERE NOT coalesce(length(text) BETWEEN 1 AND {CFG.max_text_length}, FALSE)""",
+          "conv_id:int turn:int input_length:int reason:str")
+def scoring_rejects_turns(t):
+    """The turns that batch and stream scoring leave out."""
+    from ..streaming import stream as ST
+    return ST.rejected_stream(t.conversations, "text", ["conv_id", "turn"], CFG)
+
+
+# The multinomial naive Bayes candidate has a closed form: class shares and smoothed term
+# shares of the training documents, over the vocabulary of the most frequent terms.
+_BAYES = with_views(V_REVIEWS) + f""",
+g AS (SELECT doc_id, label, regexp_extract_all({sql_clean_text('text')}, '[a-z0-9]{{2,}}') AS t FROM reviews),
+gr AS (SELECT label, unnest(list_concat(t, list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]))) AS term FROM g),
+st AS (SELECT term, count(*) AS tf, sum(label) AS tf1 FROM gr GROUP BY term),
+voc AS (SELECT * FROM st ORDER BY tf DESC, term LIMIT {CFG.tfidf_max_features}),
+size AS (SELECT count(*) AS v, sum(tf - tf1) AS n0, sum(tf1) AS n1 FROM voc),
+prior AS (SELECT ln((sum(label) + 1.0) / (count(*) + 2)) - ln((sum(1 - label) + 1.0) / (count(*) + 2)) AS p FROM reviews),
+theta AS (SELECT term, ln((tf1 + 1.0) / (n1 + v)) - ln((tf - tf1 + 1.0) / (n0 + v)) AS w FROM voc, size),
+c AS (SELECT conv_id, turn, text, regexp_extract_all({sql_clean_text('text')}, '[a-z0-9]{{2,}}') AS t
+      FROM conversations WHERE length(text) BETWEEN 1 AND {CFG.max_text_length}),
+cg AS (SELECT conv_id, turn, unnest(list_concat(t, list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]))) AS term FROM c),
+z AS (SELECT conv_id, turn, sum(w) AS s FROM cg JOIN theta USING (term) GROUP BY ALL),
+x AS (SELECT c.conv_id, c.turn, c.text, coalesce(z.s, 0) + p AS s FROM c LEFT JOIN z USING (conv_id, turn), prior)
+SELECT conv_id, turn, sha256(text) AS input_text_hash, length(text) AS input_length,
+  CASE WHEN s > 0 THEN 'positive' ELSE 'negative' END AS predicted_sentiment, round(1 / (1 + exp(-abs(s))), 3) AS confidence
+FROM x"""
+_BAYES_SPEC = "conv_id:int turn:int input_text_hash:str input_length:int predicted_sentiment:str confidence:dbl"
+
+
+def _bayes(t):
+    return MD.fit_candidates(V.reviews(t), CFG, only=("naive_bayes_counts",))["naive_bayes_counts"][0]
+
+
+def _shown(rows):
+    return rows.select("conv_id", "turn", "input_text_hash", "input_length", "predicted_sentiment",
+                       F.round(F.col("confidence").cast("double"), 3).alias("confidence"))
+
+
+@register("batch_scoring_bayes", _BAYES, _BAYES_SPEC)
+def batch_scoring_bayes(t):
+    """The naive Bayes candidate, fitted on all reviews, scores every
+    admissible turn (confidence to three places)."""
+    turns = VA.admissibility(t.conversations, "text", CFG.max_text_length).where("admissible")
+    scored = MD.predict(_bayes(t), turns, "text", digits=8)
+    return _shown(scored.withColumns({"input_text_hash": F.sha2("text", 256), "input_length": F.char_length("text")}))
+
+
+@register("stream_scoring_bayes", _BAYES, _BAYES_SPEC)
+def stream_scoring_bayes(t):
+    """The same model over the turns as a file stream."""
+    from ..streaming import stream as ST
+    path = f"{t.root}/conversations.parquet"
+    src = (t.spark.readStream.schema("conv_id BIGINT, turn BIGINT, role STRING, text STRING").parquet(ST._stream_path(path)))
+    src = src.where(F.char_length("text").between(1, CFG.max_text_length))
+    scored = MD.predict(_bayes(t), src, "text", digits=8)
+    scored = scored.withColumns({"input_text_hash": F.sha2("text", 256), "input_length": F.char_length("text")})
+    return _shown(ST.run_available(scored.drop("text", "role"), "scoring-bayes", path))
+
+
 @register("stream_scoring")
 def stream_scoring(t):
     """Conversation turns read as a file stream, scored by the winning

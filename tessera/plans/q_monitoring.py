@@ -150,3 +150,20 @@ def ingested_reviews(t):
              for name in ("train", "val", "test")]
     u = IG.union_splits(parts)
     return IG.normalize_columns(u, keep=("doc_id",))
+
+
+@register("ingested_sources", with_views(V_REVIEWS_FOR_INGEST) + """
+SELECT 'reviews' AS source, doc_id AS item, text, label FROM reviews
+UNION ALL SELECT 'turns', conv_id * 1000 + turn, text, CASE role WHEN 'user' THEN 1 WHEN 'assistant' THEN 0 END FROM conversations
+UNION ALL SELECT 'pages', page_id, html, NULL FROM pages""", "source:str item:int text:str label:int")
+def ingested_sources(t):
+    """S1/S2/U1 over three tables with columns of their own: normalised to (text, label),
+    a missing label as null, and unioned."""
+    from ..sources import ingest as IG
+    role = F.when(F.col("role") == "user", 1).when(F.col("role") == "assistant", 0)
+    tables = {
+        "reviews": V.reviews(t).withColumnRenamed("doc_id", "item"),
+        "turns": t.conversations.select((F.col("conv_id") * 1000 + F.col("turn")).alias("item"), F.col("text").alias("sentence"), role.alias("sentiment")),
+        "pages": t.pages.select(F.col("page_id").alias("item"), F.col("html").alias("sentence"))}
+    parts = [IG.normalize_columns(df, keep=("item",)).withColumn("source", F.lit(name)) for name, df in tables.items()]
+    return IG.union_splits(parts).select("source", "item", "text", "label")

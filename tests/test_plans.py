@@ -49,6 +49,7 @@ def test_top_runs_use_group_limit(spark):
     assert "WindowGroupLimit" in _plan(spark, "experiment_runs")
 
 
-def test_unescape_udf_only_sees_candidate_rows(spark):
-    p = _plan(spark, "clean_documents")
-    assert "ArrowEvalPython" in p and "rlike" in p.lower()
+@pytest.mark.parametrize("name", ["clean_documents", "clean_pages", "clean_conversations"])
+def test_cleaning_runs_no_python(spark, name):
+    p = _plan(spark, name)
+    assert "EvalPython" not in p and "InArrow" not in p and "InPandas" not in p

@@ -204,3 +204,35 @@ def test_flattened_props_oracle_on_mixed_json(spark, tmp_path):
                   con.execute(ORACLE["flattened_props"]).fetchall())
     assert got == want
     assert (2, "o", '{"x":"y"}', False) in got and (1, "n", "null", False) in got
+
+
+def test_json_safe_nested_values(spark):
+    import datetime as dt
+    from decimal import Decimal
+    schema = ("v struct<i:int, f:double, g:array<double>, t:timestamp_ntz, d:date, b:binary, n:decimal(10,3), s:string, "
+              "m:map<int, struct<x:date>>, z:struct<q:int>, deep:array<struct<a:array<timestamp_ntz>>>>")
+    row = (1, 0.5, [1.0, float("nan"), float("inf"), None], dt.datetime(2024, 1, 2, 3), dt.date(2024, 1, 2), b"\x01\xff", Decimal("1.250"), "é\"",
+           {7: (dt.date(2024, 5, 6),)}, None, [([dt.datetime(2024, 1, 1)],), (None,)])
+    df = spark.createDataFrame([(row,), (None,)], schema)
+    one, two = (r.j for r in df.select(J.to_json_text(df, "v").alias("j")).collect())
+    got = json.loads(one)  # JSON that any reader takes
+    assert got == {"i": 1, "f": 0.5, "g": [1.0, "NaN", "Infinity", None], "t": "2024-01-02 03:00:00", "d": "2024-01-02", "b": "01FF", "n": 1.25,
+                   "s": "é\"", "m": {"7": {"x": "2024-05-06"}}, "z": None, "deep": [{"a": ["2024-01-01 00:00:00"]}, {"a": None}]}
+    assert two is None
+
+
+def test_logistic_regression_is_the_optimum(spark):
+    """K2: the gradient of the penalised mean loss vanishes at the fitted coefficients."""
+    import numpy as np
+    from tessera.operators import model as MD
+    cfg = CFG.with_(logreg_C=0.5)
+    rows = labelled(spark).unionByName(spark.createDataFrame([(900 + i, t, y) for i, (t, y) in enumerate(
+        [("lamp rust", 1), ("rust garden", 0), ("gladly swamp brook", 1), ("drizzle", 1)])], "doc_id long, text string, label int"))
+    model, _ = MD.fit_candidates(rows, cfg, only=("baseline_tfidf_logreg",))["baseline_tfidf_logreg"]
+    from tessera.operators.features import with_grams
+    got = model.transform(with_grams(rows, "text", "grams", 1)).select("features", "label").collect()
+    x, y = np.array([r.features.toArray() for r in got]), np.array([r.label for r in got])
+    w, b = model.stages[-1].coefficients.toArray(), model.stages[-1].intercept
+    p = 1 / (1 + np.exp(-(x @ w + b)))
+    gradient = np.append(x.T @ (p - y) / len(y) + w / (cfg.logreg_C * len(y)), (p - y).mean())
+    assert np.abs(gradient).max() < 1e-4 and np.abs(w).max() > 0.1

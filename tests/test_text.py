@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.functions import text as X
 from tessera.sources.tables import Tables
@@ -71,3 +72,27 @@ def test_ngrams(spark):
     from tessera.operators.features import with_grams
     got = [r.grams for r in with_grams(df, "text").collect()]
     assert got == [["the", "cat", "sat", "the cat", "cat sat"], ["one"], []]
+
+
+def test_unescape_equals_the_standard_library(spark):
+    import html
+    import random
+    from html.entities import html5
+    rnd = random.Random(5)
+    names = sorted(html5)
+    odd = ["&", "&;", "&#", "&#;", "&#x;", "&#xZ;", "&#0;", "&#13;", "&#x80;", "&#150", "&#xD800;", "&#x110000;", "&#99999999999999999999;",
+           "&#x1;", "&#xb;", "&#xFDD0;", "&#x1FFFE;", "&#x1F600;", "&#00065;", "&amp", "&ampamp;", "&notit;", "&notin;", "&NotEqualTilde;",
+           "&copyright", "&é;", "&" + "a" * 40 + ";", "&a b;", "&lt&gt;", "&&amp;", "&#65&#66;", "&#x41g;", "&AMP;lt;", "x&y", "a & b", "&1;", "&aacute&Aacute"]
+    texts = odd + [None, "", "plain"] + ["&" + n for n in rnd.sample(names, 200)]
+    alphabet = ["&", ";", "#", "x", "X", "a", "amp", "lt", "not", "9", "41", "\t", " ", "<", "é", "😀", "copy", "gt;", "&#3"]
+    texts += ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 25))) for _ in range(2500)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = {r.i: r.u for r in df.select("i", X.unescape_entities("t").alias("u")).collect()}
+    wrong = [(t, got[i]) for i, t in enumerate(texts) if got[i] != (None if t is None else html.unescape(t))]
+    assert not wrong, wrong[:5]
+
+
+def test_every_name_is_known(spark):
+    from html.entities import html5
+    df = spark.createDataFrame([(n, v) for n, v in html5.items()], "n string, v string")
+    assert df.where(X.unescape_entities(F.concat(F.lit("&"), "n")) != F.col("v")).count() == 0
