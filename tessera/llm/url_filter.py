@@ -7,14 +7,20 @@ entropy of its characters, number of query parameters, dots and hyphens of the
 host, and two suffix statistics: the smoothed share of blocked urls among
 labelled urls with the same last label, and with the same last two labels.
 
-Training labels: urls that a rule decides, unless labelled urls are given. The
-trees see at most ``TRAIN_ROWS`` of them (lowest hash of the url, a documented
-sample); suffix statistics count all of them. Without both classes among the
-labels there is nothing to learn, and the verdict is the one class there is
-(``allow`` without any).
+Training labels: urls that a rule decides, unless labelled urls are given. Every
+different (url, label) counts once, however often it is repeated. Hosts are dealt to
+``FOLDS`` folds by hash: a training url's suffix statistics come from the other folds, so
+they never hold its own label or its host's. The trees see at most ``TRAIN_ROWS`` urls
+(lowest hash, a documented sample); suffix statistics count all of them. Without both
+classes among the labels there is nothing to learn, and the verdict is the one class there
+is (``allow`` without any). ``held_out`` judges every labelled url by what the other
+folds' hosts teach.
 
 A null url, or one without ``://``, has an empty host and path, fits no rule and
-is judged by the trees like any other. Repeated rows are judged alike.
+is judged by the trees like any other. Repeated rows are judged alike. Very long urls
+are read whole. Ties: of two rules that fit the longer wins (no two of one length can fit with
+different texts but in host and path alike), and a probability of one half allows. An empty
+table gives no rows; other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -31,6 +37,7 @@ RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SYMBOLS = LOWER + "0123456789" + "./-_?=&%:#~+@"
 TRAIN_ROWS = 20_000
+FOLDS = 5
 PRIOR = 20.0
 TREES, DEPTH = 10, 4
 
@@ -93,10 +100,86 @@ def lexical(df: DataFrame) -> DataFrame:
         count(F.col("host"), ".").alias("host_dots"), count(F.col("host"), "-").alias("host_hyphens"))
 
 
-def suffix_rates(labelled: DataFrame, labels: int, share: float, name: str) -> DataFrame:
-    """Smoothed share of blocked urls for each suffix of ``host, blocked`` rows."""
-    return (labelled.groupBy(suffix(F.col("host"), labels).alias(f"{name}_key"))
-            .agg(((F.sum("blocked") + PRIOR * share) / (F.count(F.lit(1)) + PRIOR)).alias(name)))
+RATES = (("top_rate", 1), ("pair_rate", 2))
+INPUTS = [*LEXICAL, *(name for name, _ in RATES)]
+
+
+def fold(host_col: Column) -> Column:
+    return F.pmod(F.xxhash64(host_col, F.lit(23)), F.lit(FOLDS)).cast("int")
+
+
+def _counts(known: DataFrame, labels: int) -> DataFrame:
+    """Blocked and all urls of each suffix, by fold and over all (fold null)."""
+    return known.withColumn("key", suffix(F.col("host"), labels)).groupBy("key", "fold").agg(
+        F.sum("blocked").alias("bad"), F.count(F.lit(1)).alias("n"))
+
+
+class Filter:
+    """Suffix statistics and trees, learned from ``url, host, path, blocked`` rows."""
+
+    def __init__(self, known: DataFrame):
+        # every different url with its label once
+        known = cut(known.groupBy("url", "host", "path", "blocked").count().drop("count").withColumn("fold", fold(F.col("host"))), "url-known")
+        n, bad = known.agg(F.count(F.lit(1)), F.sum("blocked")).first()
+        self.share = bad / n if n else 0.0
+        self.model = None
+        if 0.0 < self.share < 1.0:
+            # one row a suffix and fold; written once, as the sample and all urls join them
+            self.counts = {name: cut(_counts(known, k), f"url-{name}") for name, k in RATES}
+            few = known.orderBy(F.xxhash64("url"), "url", "blocked").limit(TRAIN_ROWS)
+            few = cut(self.features(few, "fold").select(*INPUTS, F.col("blocked").alias("label")), "url-sample")
+            booster = GBTClassifier(labelCol="label", featuresCol="features", maxIter=TREES, maxDepth=DEPTH,
+                                    seed=17, maxBins=64, cacheNodeIds=False)
+            self.model = booster.fit(self.assembled(few))
+
+    @staticmethod
+    def assembled(df: DataFrame) -> DataFrame:
+        return VectorAssembler(inputCols=INPUTS, outputCol="features").transform(df)
+
+    def features(self, df: DataFrame, own: str | None = None) -> DataFrame:
+        """Features of ``url, host, path`` rows; with ``own`` the suffix statistics leave out
+        the fold that this column names."""
+        for name, k in RATES:
+            counts = self.counts[name]
+            total = counts.groupBy("key").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
+            df = df.withColumn("_key", suffix(F.col("host"), k)).join(
+                total.select(F.col("key").alias("_key"), F.col("bad").alias("_bad"), F.col("n").alias("_n")), "_key", "left")
+            bad, n = F.coalesce("_bad", F.lit(0.0)), F.coalesce("_n", F.lit(0))
+            if own:
+                part = counts.select(F.col("key").alias("_key"), F.col("fold").alias(own), F.col("bad").alias("_own"), F.col("n").alias("_m"))
+                df = df.join(part, ["_key", own], "left")
+                bad, n = bad - F.coalesce("_own", F.lit(0.0)), n - F.coalesce("_m", F.lit(0))
+            df = df.withColumn(name, (bad + PRIOR * self.share) / (n + PRIOR)).drop("_key", "_bad", "_n", "_own", "_m")
+        return lexical(df)
+
+    def scored(self, df: DataFrame, own: str | None = None) -> DataFrame:
+        """``df`` with ``learned`` (block or allow) and ``block_probability``."""
+        if self.model is None:
+            return df.select("*", F.lit("block" if self.share else "allow").alias("learned"), F.lit(None).cast("double").alias("block_probability"))
+        out = self.model.transform(self.assembled(self.features(df, own)))
+        return out.select(*df.columns, F.when(F.col("prediction") == 1.0, "block").otherwise("allow").alias("learned"),
+                          F.element_at(vector_probability(), 2).alias("block_probability"))
+
+
+def _parsed(urls: DataFrame) -> DataFrame:
+    return urls.withColumns({"host": host(F.col("url")), "path": path(F.col("url"))})
+
+
+def _ruled(parts: DataFrame, rules) -> DataFrame:
+    verdict = F.create_map(*[F.lit(x) for v, r in rules for x in (r, v)]) if rules else None
+    parts = parts.withColumn("rule", matched(F.col("host"), F.col("path"), rules))
+    return parts.withColumn("decided", verdict[F.col("rule")] if rules else F.lit(None).cast("string"))
+
+
+def labelled_urls(pages: DataFrame, rules=RULES) -> DataFrame:
+    """``url, host, path, blocked`` of the urls that a rule decides."""
+    parts = _ruled(_parsed(pages.select(pages["url"].cast("string").alias("url"))), rules)
+    return parts.where("rule is not null").select("url", "host", "path", F.when(F.col("decided") == "block", 1.0).otherwise(0.0).alias("blocked"))
+
+
+def _known(labelled: DataFrame) -> DataFrame:
+    rows = labelled.select(labelled["url"].cast("string").alias("url"), labelled["blocked"].cast("double").alias("blocked"))
+    return _parsed(rows.where("blocked is not null"))
 
 
 def judge(pages: DataFrame, rules=RULES, labelled: DataFrame | None = None) -> DataFrame:
@@ -106,44 +189,23 @@ def judge(pages: DataFrame, rules=RULES, labelled: DataFrame | None = None) -> D
     ``labelled``: ``url, blocked`` (0/1) rows to learn from; by default the urls
     that a rule decides.
     """
-    spark = pages.sparkSession
-    verdict = F.create_map(*[F.lit(x) for v, r in rules for x in (r, v)]) if rules else None
+    trained = Filter(labelled_urls(pages, rules) if labelled is None else _known(labelled))
     urls = pages.select(pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"))
-    parts = urls.withColumns({"host": host(F.col("url")), "path": path(F.col("url"))})
-    parts = parts.withColumn("rule", matched(F.col("host"), F.col("path"), rules))
-    decided = verdict[F.col("rule")] if rules else F.lit(None).cast("string")
-    if labelled is None:
-        known = parts.where(F.col("rule").isNotNull()).select(
-            "url", "host", "path", F.when(decided == "block", 1.0).otherwise(0.0).alias("blocked"))
-    else:
-        known = labelled.select(labelled["url"].cast("string").alias("url"), labelled["blocked"].cast("double").alias("blocked"))
-        known = known.where("blocked is not null").withColumns({"host": host(F.col("url")), "path": path(F.col("url"))})
-    n, blocked = known.agg(F.count(F.lit(1)), F.sum("blocked")).first()
-    if not n or blocked in (0.0, float(n)):
-        learned = F.lit("block" if n and blocked else "allow")
-        return parts.select("page_id", "host", "path", "rule", F.coalesce(decided, learned).alias("verdict"),
-                            F.lit(None).cast("double").alias("block_probability"))
-    share = blocked / n
-    # One row a suffix; written once, as both the sample and all pages join them.
-    rates = {name: cut(suffix_rates(known, k, share, name), f"url-{name}") for name, k in (("top_rate", 1), ("pair_rate", 2))}
-
-    def with_features(df: DataFrame) -> DataFrame:
-        for name, k in (("top_rate", 1), ("pair_rate", 2)):
-            df = df.join(rates[name], suffix(F.col("host"), k) == F.col(f"{name}_key"), "left").drop(f"{name}_key")
-        return lexical(df).fillna(share, ["top_rate", "pair_rate"])
-
-    inputs = [*LEXICAL, "top_rate", "pair_rate"]
-    order = F.xxhash64("url")
-    few = known.orderBy(order, "url", "blocked").limit(TRAIN_ROWS)
-    few = cut(with_features(few).select(*inputs, F.col("blocked").alias("label")), "url-sample")
-    assemble = VectorAssembler(inputCols=inputs, outputCol="features")
-    booster = GBTClassifier(labelCol="label", featuresCol="features", maxIter=TREES, maxDepth=DEPTH,
-                            seed=17, maxBins=64, cacheNodeIds=False)
-    model = booster.fit(assemble.transform(few))
-    scored = model.transform(assemble.transform(with_features(parts)))
-    learned = F.when(F.col("prediction") == 1.0, "block").otherwise("allow")
-    return scored.select("page_id", "host", "path", "rule", F.coalesce(decided, learned).alias("verdict"),
-                         F.element_at(vector_probability(), 2).alias("block_probability"))
+    scored = trained.scored(_ruled(_parsed(urls), rules))
+    return scored.select("page_id", "host", "path", "rule", F.coalesce("decided", "learned").alias("verdict"), "block_probability")
+
+
+def held_out(labelled: DataFrame) -> DataFrame:
+    """``fold, blocked, verdict, n``: different labelled urls (``url, blocked`` rows), judged
+    by filters that have seen the hosts of the other folds only."""
+    known = cut(_known(labelled).dropDuplicates(["url", "blocked"]).withColumn("_fold", fold(F.col("host"))), "url-held-out")
+    out = None
+    for k in range(FOLDS):
+        trained = Filter(known.where(F.col("_fold") != k).select("url", "host", "path", "blocked"))
+        got = trained.scored(known.where(F.col("_fold") == k)).groupBy(
+            F.col("_fold").alias("fold"), "blocked", F.col("learned").alias("verdict")).agg(F.count(F.lit(1)).alias("n"))
+        out = got if out is None else out.unionByName(got)
+    return out
 
 
 def vector_probability() -> Column:

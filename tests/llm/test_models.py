@@ -178,6 +178,51 @@ def test_op4_learns_from_labelled_urls(spark):
     assert np.mean([(r.verdict == "block") == bool(rows[r.page_id][2]) for r in got]) > 0.95
 
 
+def _spam(rnd, n):
+    rows = []
+    for i in range(n):
+        bad = rnd.random() < 0.5
+        host = f"{rnd.choice(['spam', 'win', 'pills'])}{rnd.randint(100, 99999)}.zone" if bad else f"{words(rnd, 1)}.place"
+        tail = "/".join(str(rnd.randint(0, 9999)) for _ in range(4 if bad else 1)) + ("?a=1&b=2&c=3" if bad else "")
+        rows.append((i, f"http://{host}/{tail}", float(bad)))
+    return rows
+
+
+def test_op4_repeated_urls_change_no_verdict(spark):
+    rows = _spam(random.Random(8), 300)
+    df = spark.createDataFrame(rows, "page_id long, url string, blocked double")
+    again = df.unionByName(df.where("page_id = 7").withColumn("x", F.explode(F.sequence(F.lit(1), F.lit(20_500)))).drop("x"))
+    one, two = ({r.page_id: (r.verdict, r.block_probability) for r in url_filter.judge(df, rules=(), labelled=k).collect()} for k in (df, again))
+    assert one == two
+
+
+def test_op4_held_out_hosts(spark):
+    df = spark.createDataFrame(_spam(random.Random(9), 500), "page_id long, url string, blocked double")
+    got = url_filter.held_out(df.unionByName(df)).collect()
+    n = sum(r.n for r in got)
+    assert n == df.select("url").distinct().count() and {r.fold for r in got} == set(range(url_filter.FOLDS))
+    assert sum(r.n for r in got if (r.verdict == "block") == bool(r.blocked)) / n > 0.95
+    # labels that the url says nothing about: suffix statistics do not give them away
+    noise = df.withColumn("blocked", F.pmod(F.xxhash64("url", F.lit(99)), F.lit(2)).cast("double"))
+    got = url_filter.held_out(noise).collect()
+    assert 0.35 < sum(r.n for r in got if (r.verdict == "block") == bool(r.blocked)) / n < 0.65
+
+
+def test_op4_suffix_rates_leave_out_the_own_fold(spark):
+    rnd = random.Random(3)
+    rows = [(f"http://{rnd.choice('abcdefgh')}{rnd.randint(0, 3)}.{rnd.choice(['x.org', 'y.org', 'z.net'])}/p{i}", float(rnd.random() < 0.4)) for i in range(200)]
+    known = url_filter._known(spark.createDataFrame(rows * 2, "url string, blocked double"))
+    f = url_filter.Filter(known)
+    got = f.features(known.dropDuplicates(["url"]).withColumn("fold", url_filter.fold(F.col("host"))), "fold").collect()
+    folds = {r.url: r.fold for r in got}
+    share = sum(b for _, b in rows) / len(rows)
+    for r in got:
+        for name, k in url_filter.RATES:
+            end = lambda u: ".".join(u[7:].split("/")[0].split(".")[-k:])  # noqa: B023, E731
+            mine = [b for u, b in rows if end(u) == end(r.url) and folds[u] != r.fold]
+            assert abs(r[name] - (sum(mine) + url_filter.PRIOR * share) / (len(mine) + url_filter.PRIOR)) < 1e-9
+
+
 def test_op4_features(spark):
     df = spark.createDataFrame([("http://a-b.c.org/x/y1?p=1&q=22#z&z",), (None,), ("aab",)], "url string")
     df = df.withColumns({"host": url_filter.host(F.col("url")), "path": url_filter.path(F.col("url"))})
