@@ -100,7 +100,8 @@ def top_k(df: DataFrame, k: int, order_cols: list, bucket_cols: list, out: str =
     per second, gives each bucket's offset; buckets starting at or beyond
     ``k`` are dropped before any ranking, and the rest are ranked inside
     ``bucket`` windows in parallel. Only the counts of the first prefix (for a
-    vocabulary: the distinct term counts) are ordered in one window.
+    vocabulary: the distinct term counts) are ordered in one window. At most ``k`` buckets
+    begin before rank ``k``, so they are broadcast and no other row is shuffled.
     """
     first, second = (F.col(c) if isinstance(c, str) else c for c in bucket_cols)
     d = df.withColumn("_b1", first).withColumn("_b2", second)
@@ -110,11 +111,11 @@ def top_k(df: DataFrame, k: int, order_cols: list, bucket_cols: list, out: str =
     outer = (outer.select(F.col("_b1").alias("_k1"), F.coalesce(F.sum("_n1").over(w1), F.lit(0)).alias("_off1"))
              .where(F.col("_off1") < k))
     w2 = Window.partitionBy("_b1").orderBy("_b2").rowsBetween(Window.unboundedPreceding, -1)
-    offs = (counts.join(outer, counts["_b1"].eqNullSafe(outer["_k1"]))
+    offs = (counts.join(F.broadcast(outer), counts["_b1"].eqNullSafe(outer["_k1"]))
             .select("_k1", F.col("_b2").alias("_k2"),
                     (F.col("_off1") + F.coalesce(F.sum("_n").over(w2), F.lit(0))).alias("_off"))
             .where(F.col("_off") < k))
-    j = d.join(offs, d["_b1"].eqNullSafe(offs["_k1"]) & d["_b2"].eqNullSafe(offs["_k2"]))
+    j = d.join(F.broadcast(offs), d["_b1"].eqNullSafe(offs["_k1"]) & d["_b2"].eqNullSafe(offs["_k2"]))
     wr = Window.partitionBy("_b1", "_b2").orderBy(*order_cols)
     r = j.withColumn(out, F.col("_off") + F.row_number().over(wr))
     return r.where(F.col(out) <= k).drop("_off", "_k1", "_k2", "_b1", "_b2")
