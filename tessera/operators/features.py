@@ -31,7 +31,7 @@ from .ordered import top_k
 
 TOKEN = re.compile(TOKEN_RE)
 IN_TOKEN = np.array([chr(b).encode("latin-1") in b"abcdefghijklmnopqrstuvwxyz0123456789" for b in range(256)])
-BATCH_BYTES = 1 << 20  # cleaned text whose terms a task adds up at a time
+BATCH_BYTES = 1 << 18  # cleaned text whose terms a task adds up at a time
 BATCH_TERMS = 1 << 17  # counted terms sent on at a time
 
 
